@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reglink.operators import person
+from reglink.operators import person, token_join
 from reglink.operators.chunks import assign_chunks
 from reglink.plans import oracle as O
 from reglink.sources import fixtures as fx
@@ -61,3 +61,24 @@ def q_name_father_chained(spark, sf_dir):
 def q_person_evidence(spark, sf_dir):
     p, r = _people(spark, sf_dir)
     return person.person_evidence(p, r, 0.9, "correlated")
+
+
+@register_query("block_match", O.with_fixtures(O.BLOCK_BODY, O.BLOCK_CTES))
+def q_block_match(spark, sf_dir):
+    return token_join.token_set_join(fx.pending(spark, sf_dir), fx.blocks(spark, sf_dir),
+                                     "death_main_id", "death_address", "BlockCode", "BlockName",
+                                     80, right_out="block_id")
+
+
+@register_query("pin_match", O.with_fixtures(O.PIN_BODY, O.PIN_CTES))
+def q_pin_match(spark, sf_dir):
+    return token_join.token_set_join(fx.pending(spark, sf_dir), fx.pins(spark, sf_dir),
+                                     "death_main_id", "death_address", "Pincode", "Pincode",
+                                     80, right_out="matched_pin")
+
+
+@register_query("block_match_contained", O.with_fixtures(O.BLOCK_CONTAINED))
+def q_block_contained(spark, sf_dir):
+    return token_join.contained_join(fx.pending(spark, sf_dir), fx.blocks(spark, sf_dir),
+                                     "death_main_id", "death_address", "BlockCode", "BlockName",
+                                     right_out="block_id")

@@ -70,3 +70,61 @@ NAME_FATHER_CHAINED = (f"SELECT p.death_main_id, r.rc_no, r.rc_name, r.rc_father
 
 PERSON_EVIDENCE = (f"SELECT *, 'name_father' AS branch FROM ({NAME_FATHER}) "
                    f"UNION ALL SELECT *, 'name_only' AS branch FROM ({NAME_ONLY})")
+
+
+# ---------------------------------------------------------------------------
+# token_set_ratio, naive: every (record, gazetteer row) pair is scored
+# ---------------------------------------------------------------------------
+
+def norm_tokens(x: str) -> str:
+    norm = (f"trim(lower(regexp_replace(regexp_replace({x}, '[\\x{{80}}-\\x{{FF}}]', '', 'g'), "
+            f"'[^a-zA-Z0-9_]', ' ', 'g')))")
+    return f"list_sort(list_distinct(list_filter(string_split({norm}, ' '), lambda t: t <> '')))"
+
+
+def lcs(a: str, b: str) -> str:
+    """Bit-parallel LCS with a HUGEINT bit vector (|a| <= 126)."""
+    return (f"(length({a}) - bit_count(list_reduce("
+            f"list_transform(string_split({b}, ''), lambda ch: list_sum(list_transform(range(length({a})), lambda i: "
+            f"CASE WHEN substr({a}, (i + 1)::INTEGER, 1) = ch THEN (1::HUGEINT << i::INTEGER) ELSE 0::HUGEINT END))::HUGEINT), "
+            f"lambda v, x: (((v + (v & x)) | (v - (v & x))) & ((1::HUGEINT << length({a})::INTEGER) - 1)), "
+            f"(1::HUGEINT << length({a})::INTEGER) - 1)))")
+
+
+def ratio_prefix(p: str, x: str) -> str:
+    return (f"(CASE WHEN length({p}) = 0 OR length({x}) = 0 THEN 0 "
+            f"ELSE round_even(200.0 * length({p}) / (length({p}) + length({x})), 0) END)")
+
+
+def ratio_lcs(a: str, b: str) -> str:
+    return (f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 "
+            f"ELSE round_even(200.0 * {lcs(a, b)} / (length({a}) + length({b})), 0) END)")
+
+
+def token_set_match(left: str, lkey: str, ltext: str, right: str, rkey: str, rtext: str,
+                    out_l: str, out_r: str, threshold: int = 80) -> tuple[str, str]:
+    """(extra CTEs, final SELECT) for the naive token_set join."""
+    ctes = f"""
+ta AS (SELECT {lkey} AS lk, {norm_tokens(ltext)} AS A FROM {left}),
+tb AS (SELECT {rkey} AS rk, {norm_tokens(rtext)} AS B FROM {right}),
+tp AS (SELECT lk, rk, A, B,
+         array_to_string(list_sort(list_intersect(A, B)), ' ') AS t0,
+         array_to_string(list_sort(list_filter(A, lambda t: NOT list_contains(B, t))), ' ') AS sab,
+         array_to_string(list_sort(list_filter(B, lambda t: NOT list_contains(A, t))), ' ') AS sba
+       FROM ta, tb WHERE len(A) > 0 AND len(B) > 0),
+tt AS (SELECT lk, rk, t0, trim(t0 || ' ' || sab) AS t1, trim(t0 || ' ' || sba) AS t2 FROM tp),
+ts AS (SELECT lk, rk, CAST(greatest({ratio_prefix('t0', 't1')}, {ratio_prefix('t0', 't2')}, {ratio_lcs('t1', 't2')}) AS INTEGER) AS score FROM tt)"""
+    body = f"SELECT lk AS {out_l}, rk AS {out_r}, score FROM ts WHERE score >= {threshold}"
+    return ctes, body
+
+
+BLOCK_CTES, BLOCK_BODY = token_set_match("pending", "death_main_id", "death_address",
+                                         "blocks", "BlockCode", "BlockName", "death_main_id", "block_id")
+PIN_CTES, PIN_BODY = token_set_match("pending", "death_main_id", "death_address",
+                                     "pins", "Pincode", "Pincode", "death_main_id", "matched_pin")
+
+BLOCK_CONTAINED = f"""
+SELECT p.death_main_id, b.BlockCode AS block_id
+FROM (SELECT death_main_id, {norm_tokens('death_address')} AS A FROM pending) p,
+     (SELECT BlockCode, {norm_tokens('BlockName')} AS B FROM blocks) b
+WHERE len(b.B) > 0 AND list_has_all(p.A, b.B)"""
