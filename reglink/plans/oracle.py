@@ -102,19 +102,19 @@ def ratio_lcs(a: str, b: str) -> str:
 
 
 def token_set_match(left: str, lkey: str, ltext: str, right: str, rkey: str, rtext: str,
-                    out_l: str, out_r: str, threshold: int = 80) -> tuple[str, str]:
-    """(extra CTEs, final SELECT) for the naive token_set join."""
+                    out_l: str, out_r: str, threshold: int = 80, px: str = "") -> tuple[str, str]:
+    """(extra CTEs, final SELECT) for the naive token_set join; ``px`` prefixes CTE names."""
     ctes = f"""
-ta AS (SELECT {lkey} AS lk, {norm_tokens(ltext)} AS A FROM {left}),
-tb AS (SELECT {rkey} AS rk, {norm_tokens(rtext)} AS B FROM {right}),
-tp AS (SELECT lk, rk, A, B,
+{px}ta AS (SELECT {lkey} AS lk, {norm_tokens(ltext)} AS A FROM {left}),
+{px}tb AS (SELECT {rkey} AS rk, {norm_tokens(rtext)} AS B FROM {right}),
+{px}tp AS (SELECT lk, rk, A, B,
          array_to_string(list_sort(list_intersect(A, B)), ' ') AS t0,
          array_to_string(list_sort(list_filter(A, lambda t: NOT list_contains(B, t))), ' ') AS sab,
          array_to_string(list_sort(list_filter(B, lambda t: NOT list_contains(A, t))), ' ') AS sba
-       FROM ta, tb WHERE len(A) > 0 AND len(B) > 0),
-tt AS (SELECT lk, rk, t0, trim(t0 || ' ' || sab) AS t1, trim(t0 || ' ' || sba) AS t2 FROM tp),
-ts AS (SELECT lk, rk, CAST(greatest({ratio_prefix('t0', 't1')}, {ratio_prefix('t0', 't2')}, {ratio_lcs('t1', 't2')}) AS INTEGER) AS score FROM tt)"""
-    body = f"SELECT lk AS {out_l}, rk AS {out_r}, score FROM ts WHERE score >= {threshold}"
+       FROM {px}ta, {px}tb WHERE len(A) > 0 AND len(B) > 0),
+{px}tt AS (SELECT lk, rk, t0, trim(t0 || ' ' || sab) AS t1, trim(t0 || ' ' || sba) AS t2 FROM {px}tp),
+{px}ts AS (SELECT lk, rk, CAST(greatest({ratio_prefix('t0', 't1')}, {ratio_prefix('t0', 't2')}, {ratio_lcs('t1', 't2')}) AS INTEGER) AS score FROM {px}tt)"""
+    body = f"SELECT lk AS {out_l}, rk AS {out_r}, score FROM {px}ts WHERE score >= {threshold}"
     return ctes, body
 
 
@@ -128,3 +128,101 @@ SELECT p.death_main_id, b.BlockCode AS block_id
 FROM (SELECT death_main_id, {norm_tokens('death_address')} AS A FROM pending) p,
      (SELECT BlockCode, {norm_tokens('BlockName')} AS B FROM blocks) b
 WHERE len(b.B) > 0 AND list_has_all(p.A, b.B)"""
+
+
+# ---------------------------------------------------------------------------
+# cleaning, sources, chunks, reports
+# ---------------------------------------------------------------------------
+
+def strip_punct(x: str) -> str:
+    return f"regexp_replace({x}, '[^\\w\\s]', '', 'g')"
+
+
+CLEAN_NAMES = (f"SELECT death_main_id, {clean('DEATH_DECEASED_NAME')} AS clean_name, "
+               f"{clean('DEATH_FATHER_NAME')} AS clean_father FROM pending")
+CLEAN_DOCUMENTS = f"SELECT doc_id, {clean('text')} AS clean_text FROM documents"
+STRIP_PUNCT = (f"SELECT death_main_id, {strip_punct('DEATH_DECEASED_NAME')} AS death_name, "
+               f"{strip_punct('DEATH_FATHER_NAME')} AS death_father_name FROM pending")
+ADDRESS_PARTS = "DEATH_RESIDENCE, DEATH_RESIDENCE_STREET, DEATH_RESIDENCE_PREMISES, DEATH_RESIDENCE_DIST, DEATH_RESIDENCE_STATE"
+CONCAT_ADDRESS = f"SELECT row_id, concat_ws(',', {ADDRESS_PARTS}) AS full_address FROM uploads"
+INGEST_UPLOADS = (f"SELECT {strip_punct('DEATH_DECEASED_NAME')} AS death_name, "
+                  f"{strip_punct('DEATH_FATHER_NAME')} AS death_father_name, "
+                  f"concat_ws(',', {ADDRESS_PARTS}) AS death_address FROM uploads")
+REGISTER_UNION = "SELECT * FROM register"
+PIN_LIST = "SELECT Pincode FROM pins"
+
+CHUNK_CTE = """
+chunks AS (
+  SELECT id, CAST((rn - 1) // 100 + 1 AS BIGINT) AS chunk_id, CAST(rn AS BIGINT) AS position
+  FROM (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM pending_main WHERE is_send = 0)
+)"""
+PENDING_CHUNKS = "SELECT id, chunk_id, position FROM chunks"
+CHUNK_STATS = ("SELECT count(id) AS pending_count, CAST(ceil(count(id) / 100.0) AS BIGINT) AS chunk_count "
+               "FROM pending_main WHERE is_send = 0")
+CHUNK_ID_LISTS = ("SELECT chunk_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS id_list "
+                  "FROM chunks GROUP BY chunk_id")
+IDS_FROM_LIST = "SELECT chunk_id, id FROM chunks"
+STILL_PENDING = ("SELECT * FROM pending_main WHERE is_send = 0 "
+                 "AND id NOT IN (SELECT id FROM chunks WHERE chunk_id <= 5)")
+
+_B_CTES, _B_BODY = token_set_match("pending", "death_main_id", "death_address", "blocks", "BlockCode",
+                                   "BlockName", "death_main_id", "block_id", px="b_")
+_N_CTES, _N_BODY = token_set_match("pending", "death_main_id", "death_address", "pins", "Pincode",
+                                   "Pincode", "death_main_id", "matched_pin", px="n_")
+EVIDENCE_CTES = (_B_CTES + "," + _N_CTES + f""",
+block_ev AS ({_B_BODY}),
+pin_ev AS ({_N_BODY}),
+person_ev AS ({PERSON_EVIDENCE})""")
+
+UNMATCHED = """
+SELECT death_main_id, 'block' AS evidence FROM pending p WHERE NOT EXISTS (SELECT 1 FROM block_ev e WHERE e.death_main_id = p.death_main_id)
+UNION ALL
+SELECT death_main_id, 'pin' AS evidence FROM pending p WHERE NOT EXISTS (SELECT 1 FROM pin_ev e WHERE e.death_main_id = p.death_main_id)
+UNION ALL
+SELECT death_main_id, 'person' AS evidence FROM pending p WHERE NOT EXISTS (SELECT 1 FROM person_ev e WHERE e.death_main_id = p.death_main_id)"""
+
+MATCH_COUNTS = f"""
+SELECT c.chunk_id, e.district, e.branch, count(*) AS match_count
+FROM ({PERSON_EVIDENCE}) e JOIN chunked c USING (death_main_id)
+GROUP BY c.chunk_id, e.district, e.branch"""
+
+PENDING_COLUMNS = [("death_main_id", "bigint"), ("DEATH_DECEASED_NAME", "string"),
+                   ("DEATH_FATHER_NAME", "string"), ("death_address", "string")]
+COLUMN_PROFILE = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS non_null, '{t}' AS dtype FROM pending"
+    for c, t in PENDING_COLUMNS)
+
+SCORECARD_CTE = f"""
+card AS (
+  SELECT e.death_main_id, e.rc_no, e.branch,
+         {edit_score('p.p_name', 'r.r_name')} AS name_score,
+         CASE WHEN e.branch = 'name_father' THEN {edit_score('p.p_father', 'r.r_father')} END AS father_score,
+         (SELECT CAST(max(b.score) AS INTEGER) FROM block_ev b
+           WHERE b.death_main_id = e.death_main_id AND b.block_id = e.rc_blockmunicipalitycode) AS block_score,
+         (SELECT CAST(max(n.score) AS INTEGER) FROM pin_ev n WHERE n.death_main_id = e.death_main_id) AS pin_score
+  FROM person_ev e JOIN pend_clean p USING (death_main_id) JOIN reg_clean r USING (rc_no)
+)"""
+SCORECARD = "SELECT * FROM card"
+BEST_MATCH = """
+SELECT death_main_id, rc_no, branch, name_score + coalesce(father_score, 0) AS total_score FROM card
+QUALIFY row_number() OVER (PARTITION BY death_main_id
+                           ORDER BY name_score + coalesce(father_score, 0) DESC, rc_no ASC) = 1"""
+
+ELAPSED_TEXT = """
+SELECT user_id, n_events,
+       CAST(s // 3600 AS VARCHAR) || ' Hour ' || CAST((s % 3600) // 60 AS VARCHAR) || ' Minutes '
+         || CAST(s % 60 AS VARCHAR) || ' Seconds' AS elapsed_text
+FROM (SELECT user_id, count(*) AS n_events,
+             CAST((epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS BIGINT) AS s
+      FROM events GROUP BY user_id)"""
+
+PEEK = f"SELECT * FROM ({PERSON_EVIDENCE}) ORDER BY death_main_id, rc_no, branch LIMIT 5"
+REGISTER_SLICE = "SELECT * FROM register ORDER BY PERMANENT_RCNO LIMIT 100 OFFSET 100"
+
+NAME_ONLY_STRICT = f"""SELECT {PERSON_SELECT} FROM pend_clean p JOIN reg_clean r
+  ON coalesce(p.p_father = '', false) AND length(p.p_name) > 0 AND p.p_name = r.r_name"""
+NAME_FATHER_STRICT = (f"SELECT {PERSON_SELECT} FROM pend_clean p JOIN r2 r ON "
+                      f"NOT coalesce(p.p_father = '', false) AND length(p.p_name) > 0 AND length(p.p_father) > 0 "
+                      f"AND {sim_ok('p.p_name', 'r.r_name')} AND {sim_ok('p.p_father', 'r.r_father')}")
+PERSON_EVIDENCE_STRICT = (f"SELECT *, 'name_father' AS branch FROM ({NAME_FATHER_STRICT}) "
+                          f"UNION ALL SELECT *, 'name_only' AS branch FROM ({NAME_ONLY_STRICT})")

@@ -84,6 +84,48 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pending_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pending main table: ``is_send = 1`` for rows already handed out
+    (customers with a negative balance), ``file_name`` = upload file."""
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    p = pending(spark, sf_dir)
+    return p.join(cust, p.death_main_id == cust.c_custkey).select(
+        F.col("death_main_id").alias("id"),
+        F.when(F.col("c_acctbal") < 0, F.lit(1)).otherwise(F.lit(0)).alias("is_send"),
+        F.col("DEATH_DECEASED_NAME").alias("death_name"),
+        F.col("DEATH_FATHER_NAME").alias("death_father_name"),
+        "death_address",
+        F.concat(F.lit("upload_"), F.lower("c_mktsegment"), F.lit(".csv")).alias("file_name"),
+    )
+
+
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw upload rows (all strings) before ingest: the pending names plus
+    address parts; ``row_id`` only identifies the row in query output."""
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    p = pending(spark, sf_dir)
+    df = (p.join(cust, p.death_main_id == cust.c_custkey)
+           .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
+    k = F.col("c_custkey")
+    none = F.lit(None).cast("string")
+    return df.select(
+        k.alias("row_id"),
+        "DEATH_DECEASED_NAME", "DEATH_FATHER_NAME",
+        none.alias("DEATH_SPOUSE_NAME"), none.alias("DEATH_DATE"), none.alias("DEATH_BASE_REGN_DATE"),
+        (k % 90).cast("string").alias("DEATH_AGE_YEAR"),
+        F.when(k % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("DEATH_SEX"),
+        F.col("c_name").alias("DEATH_RESIDENCE"),
+        F.when(k % 3 == 0, none).otherwise(F.concat(F.lit("Street "), F.col("c_nationkey").cast("string")))
+         .alias("DEATH_RESIDENCE_STREET"),
+        F.when(k % 5 == 0, F.lit("Ward 4")).otherwise(none).alias("DEATH_RESIDENCE_PREMISES"),
+        F.col("n_name").alias("DEATH_RESIDENCE_DIST"),
+        F.col("r_name").alias("DEATH_RESIDENCE_STATE"),
+    )
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
@@ -135,6 +177,25 @@ blocks AS (
   UNION ALL
   SELECT 'R' || lpad(CAST(r_regionkey AS VARCHAR), 3, '0') AS BlockCode, r_name AS BlockName FROM region
 ),
+pending_main AS (
+  SELECT death_main_id AS id, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS is_send,
+         DEATH_DECEASED_NAME AS death_name, DEATH_FATHER_NAME AS death_father_name, death_address,
+         'upload_' || lower(c_mktsegment) || '.csv' AS file_name
+  FROM pending JOIN customer ON death_main_id = c_custkey
+),
+uploads AS (
+  SELECT c_custkey AS row_id, DEATH_DECEASED_NAME, DEATH_FATHER_NAME,
+         CAST(NULL AS VARCHAR) AS DEATH_SPOUSE_NAME, CAST(NULL AS VARCHAR) AS DEATH_DATE,
+         CAST(NULL AS VARCHAR) AS DEATH_BASE_REGN_DATE, CAST(c_custkey % 90 AS VARCHAR) AS DEATH_AGE_YEAR,
+         CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS DEATH_SEX,
+         c_name AS DEATH_RESIDENCE,
+         CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Street ' || CAST(c_nationkey AS VARCHAR) END AS DEATH_RESIDENCE_STREET,
+         CASE WHEN c_custkey % 5 = 0 THEN 'Ward 4' ELSE NULL END AS DEATH_RESIDENCE_PREMISES,
+         n_name AS DEATH_RESIDENCE_DIST, r_name AS DEATH_RESIDENCE_STATE
+  FROM pending JOIN customer ON death_main_id = c_custkey
+               JOIN nation ON c_nationkey = n_nationkey
+               JOIN region ON n_regionkey = r_regionkey
+),
 pins AS (
   SELECT DISTINCT regexp_extract(s_name, '[0-9]+', 0) AS Pincode FROM supplier
   WHERE regexp_extract(s_name, '[0-9]+', 0) <> ''
