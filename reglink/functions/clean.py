@@ -17,8 +17,9 @@ def clean_name(c) -> Column:
     whitespace to one space -> trim.  Deletes rather than replaces, so
     ``O'Neil-Smith 2nd`` becomes ``oneilsmith nd``; null stays null."""
     c = as_col(c)
-    kept = F.regexp_replace(F.lower(c), r"(?U)[^a-z\s]", "")
-    return F.trim(F.regexp_replace(kept, r"(?U)\s+", " "))
+    # Python's whitespace also covers U+001C..U+001F, Java's (?U)\s does not
+    kept = F.regexp_replace(F.lower(c), r"(?U)[^a-z\s\x{1C}-\x{1F}]", "")
+    return F.trim(F.regexp_replace(kept, r"(?U)[\s\x{1C}-\x{1F}]+", " "))
 
 
 def strip_punct(c) -> Column:
