@@ -18,6 +18,56 @@ from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments,
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
 
 
+class EditIndex:
+    """Index side of an edit join: the segments of the distinct right values
+    and their lengths.  Built once and reused by many probes (e.g. every
+    micro-batch of a stream); ``persist`` cuts its lineage."""
+
+    def __init__(self, right_values: DataFrame, threshold: float, b: str = "b"):
+        self.p, self.q = threshold_fraction(threshold)
+        self.threshold = threshold
+        self.b = b
+        self.values = right_values.select(b).where(F.length(b) > 0).distinct()
+        if self.p != self.q and threshold < MIN_THRESHOLD:
+            raise ValueError(f"edit threshold {threshold} < {MIN_THRESHOLD}: segment filter not selective")
+        if self.p == self.q:
+            self.segments = None
+            self.lengths = None
+        else:
+            self.segments = index_segments(self.values, b, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, b)
+            self.lengths = self.values.select(F.length(b).alias(SEG_LEN)).distinct()
+
+    def tau(self, L: Column) -> Column:
+        # the largest budget any partner of a length-L string can have
+        return F.floor(F.lit(self.q - self.p) * L / F.lit(self.p))
+
+    def band(self, l: Column) -> tuple[Column, Column]:
+        p, q = self.p, self.q
+        return F.ceil(F.lit(p) * l / F.lit(q)).cast("int"), F.floor(F.lit(q) * l / F.lit(p)).cast("int")
+
+    def persist(self) -> "EditIndex":
+        """Reliable checkpoint (shared checkpoint dir) of the index tables."""
+        self.values = self.values.checkpoint()
+        if self.segments is not None:
+            self.segments = self.segments.checkpoint()
+            self.lengths = self.lengths.checkpoint()
+        return self
+
+    def probe(self, left_values: DataFrame, a: str = "a") -> DataFrame:
+        """Distinct verified ``(a, b)`` pairs for the left values."""
+        b = self.b
+        left_values = left_values.select(a).where(F.length(a) > 0).distinct()
+        if self.segments is None:
+            return left_values.join(self.values, F.col(a) == F.col(b)).select(a, b)
+        probe = probe_segments(left_values, a, self.lengths, self.band, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, a)
+        # Verify inside the join (the filter becomes the join condition), then
+        # dedupe only the verified pairs: a pair sharing several segments is
+        # verified several times, but the candidate set is never shuffled again.
+        cand = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]) \
+                    .where(edit_within(F.col(a), F.col(b), self.threshold))
+        return cand.select(a, b).distinct()
+
+
 def edit_pairs(left_values: DataFrame, right_values: DataFrame, threshold: float,
                a: str = "a", b: str = "b") -> DataFrame:
     """Distinct ``(a, b)`` with ``edit_similarity(a, b) >= threshold``.
@@ -25,26 +75,7 @@ def edit_pairs(left_values: DataFrame, right_values: DataFrame, threshold: float
     ``left_values``/``right_values`` hold one string column each (``a``/``b``);
     null and blank values never match.
     """
-    p, q = threshold_fraction(threshold)
-    left_values = left_values.select(a).where(F.length(a) > 0).distinct()
-    right_values = right_values.select(b).where(F.length(b) > 0).distinct()
-    if p == q:
-        return left_values.join(right_values, F.col(a) == F.col(b)).select(a, b)
-    if threshold < MIN_THRESHOLD:
-        raise ValueError(f"edit threshold {threshold} < {MIN_THRESHOLD}: segment filter not selective")
-
-    def tau(L: Column) -> Column:
-        # the largest budget any partner of a length-L string can have
-        return F.floor(F.lit(q - p) * L / F.lit(p))
-
-    def band(l: Column) -> tuple[Column, Column]:
-        return F.ceil(F.lit(p) * l / F.lit(q)).cast("int"), F.floor(F.lit(q) * l / F.lit(p)).cast("int")
-
-    index = index_segments(right_values, b, tau).select(SEG_LEN, SEG_NO, SEG_TXT, b)
-    lengths = right_values.select(F.length(b).alias(SEG_LEN)).distinct()
-    probe = probe_segments(left_values, a, lengths, band, tau).select(SEG_LEN, SEG_NO, SEG_TXT, a)
-    cand = probe.join(index, [SEG_LEN, SEG_NO, SEG_TXT]).select(a, b).distinct()
-    return cand.where(edit_within(F.col(a), F.col(b), threshold))
+    return EditIndex(right_values, threshold, b).probe(left_values, a)
 
 
 def edit_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, threshold: float,

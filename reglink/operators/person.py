@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reglink.functions.clean import clean_name
-from reglink.operators.edit_join import edit_pairs
+from reglink.operators.edit_join import EditIndex
 
 PERSON_COLUMNS = ["death_main_id", "rc_no", "rc_name", "rc_father_name",
                   "rc_blockmunicipalitycode", "rc_category", "district"]
@@ -55,69 +55,90 @@ def prepare_register(register: DataFrame) -> DataFrame:
     )
 
 
-def _two_key_sides(p: DataFrame, r: DataFrame):
-    p2 = p.where(~F.col("name_only") & (F.length("p_name") > 0) & (F.length("p_father") > 0))
-    # Register rows without a father's name leave the two-key branch
-    r2 = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
-    return p2, r2
+class RegisterSide:
+    """The register side of person matching, prepared once: cleaned rows,
+    the two-key subset and the edit indexes of its distinct names and
+    fathers.  ``persist`` checkpoints the indexes (for streams, where every
+    micro-batch probes the same register)."""
 
+    def __init__(self, r: DataFrame, threshold: float = 0.9):
+        self.rows = r
+        # Register rows without a father's name leave the two-key branch
+        self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
+        self.names = EditIndex(self.two_key.select(F.col("r_name").alias("b")), threshold)
+        self.fathers = EditIndex(self.two_key.select(F.col("r_father").alias("b")), threshold)
 
-def name_pairs(p: DataFrame, r: DataFrame, threshold: float) -> DataFrame:
-    return edit_pairs(p.select(F.col("p_name").alias("a")), r.select(F.col("r_name").alias("b")), threshold) \
+    def persist(self) -> "RegisterSide":
+        self.names.persist()
+        self.fathers.persist()
+        return self
+
+
+def _side(r, threshold: float) -> RegisterSide:
+    return r if isinstance(r, RegisterSide) else RegisterSide(r, threshold)
+
+
+def _two_key_pending(p: DataFrame) -> DataFrame:
+    return p.where(~F.col("name_only") & (F.length("p_name") > 0) & (F.length("p_father") > 0))
+
+
+def name_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
+    return side.names.probe(p2.select(F.col("p_name").alias("a"))) \
         .select(F.col("a").alias("p_name"), F.col("b").alias("r_name"))
 
 
-def father_pairs(p: DataFrame, r: DataFrame, threshold: float) -> DataFrame:
-    return edit_pairs(p.select(F.col("p_father").alias("a")), r.select(F.col("r_father").alias("b")), threshold) \
+def father_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
+    return side.fathers.probe(p2.select(F.col("p_father").alias("a"))) \
         .select(F.col("a").alias("p_father"), F.col("b").alias("r_father"))
 
 
-def name_match(p: DataFrame, r: DataFrame, threshold: float = 0.9) -> DataFrame:
+def name_match(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
     """J3 alone: two-key pending rows x register rows with similar names."""
-    p2, r2 = _two_key_sides(p, r)
-    pairs = name_pairs(p2, r2, threshold)
-    return (p2.select("death_main_id", "p_name").join(pairs, "p_name")
-              .join(r2, "r_name").select(*PERSON_COLUMNS))
+    side = _side(r, threshold)
+    p2 = _two_key_pending(p)
+    return (p2.select("death_main_id", "p_name").join(name_pairs(p2, side), "p_name")
+              .join(side.two_key, "r_name").select(*PERSON_COLUMNS))
 
 
-def two_key_correlated(p: DataFrame, r: DataFrame, threshold: float = 0.9) -> DataFrame:
+def two_key_correlated(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
     """J3 + J4 correlated: name and father of the same pair both >= threshold."""
-    p2, r2 = _two_key_sides(p, r)
-    npairs = name_pairs(p2, r2, threshold)
-    fpairs = father_pairs(p2, r2, threshold)
+    side = _side(r, threshold)
+    p2 = _two_key_pending(p)
     # (pending row, similar register name, similar register father): bounded
     # by the fuzzy neighbourhoods of two distinct values, not by row counts
     cand = (p2.select("death_main_id", "p_name", "p_father")
-              .join(npairs, "p_name").join(fpairs, "p_father")
+              .join(name_pairs(p2, side), "p_name").join(father_pairs(p2, side), "p_father")
               .select("death_main_id", "r_name", "r_father"))
-    return cand.join(r2, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
+    return cand.join(side.two_key, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
 
 
-def two_key_chained(p: DataFrame, r: DataFrame, threshold: float = 0.9) -> DataFrame:
+def two_key_chained(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
     """J3 + J4 chained, per chunk (``p`` needs ``chunk_id``); bag semantics."""
-    p2, r2 = _two_key_sides(p, r)
-    npairs = name_pairs(p2, r2, threshold)
-    fpairs = father_pairs(p2, r2, threshold)
+    side = _side(r, threshold)
+    p2 = _two_key_pending(p)
     reg_cols = [c for c in PERSON_COLUMNS if c != "death_main_id"]
-    # m: one copy of a register row per pending row of the chunk whose name matched it
-    m = (p2.select("chunk_id", "p_name").join(npairs, "p_name")
-           .join(r2, "r_name")
+    # m: one copy of a register row per pending row of the chunk whose name
+    # matched it, kept as a count (pre-aggregated before the second join)
+    m = (p2.select("chunk_id", "p_name").join(name_pairs(p2, side), "p_name")
+           .join(side.two_key, "r_name")
            .groupBy("chunk_id", "r_father", *reg_cols).agg(F.count(F.lit(1)).alias("_mult")))
-    out = (p2.select("chunk_id", "death_main_id", "p_father").join(fpairs, "p_father")
+    out = (p2.select("chunk_id", "death_main_id", "p_father").join(father_pairs(p2, side), "p_father")
              .join(m, ["chunk_id", "r_father"]))
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int")))) \
               .select(*PERSON_COLUMNS)
 
 
-def name_only_match(p: DataFrame, r: DataFrame) -> DataFrame:
+def name_only_match(p: DataFrame, r) -> DataFrame:
     """Blank-father rows, equal cleaned names (threshold 1.0 -> hash join)."""
+    rows = r.rows if isinstance(r, RegisterSide) else r
     p1 = p.where(F.col("name_only") & (F.length("p_name") > 0)).select("death_main_id", F.col("p_name").alias("r_name"))
-    r1 = r.where(F.length("r_name") > 0)
+    r1 = rows.where(F.length("r_name") > 0)
     return p1.join(r1, "r_name").select(*PERSON_COLUMNS)
 
 
-def person_evidence(p: DataFrame, r: DataFrame, threshold: float = 0.9, mode: str = "correlated") -> DataFrame:
+def person_evidence(p: DataFrame, r, threshold: float = 0.9, mode: str = "correlated") -> DataFrame:
     """Both branches in one output with a ``branch`` column."""
+    r = _side(r, threshold)
     if mode == "correlated":
         two = two_key_correlated(p, r, threshold)
     elif mode == "chained":
@@ -129,5 +150,7 @@ def person_evidence(p: DataFrame, r: DataFrame, threshold: float = 0.9, mode: st
 
 
 def unmatched(pending: DataFrame, evidence: DataFrame, key: str = "death_main_id") -> DataFrame:
-    """Pending ids without any evidence row (left anti join)."""
-    return pending.select(key).join(evidence.select(key), key, "left_anti")
+    """Pending ids without any evidence row (left anti join).  Evidence ids
+    are deduplicated first (map-side), so a record with very many candidates
+    is one row on the build side."""
+    return pending.select(key).join(evidence.select(key).distinct(), key, "left_anti")

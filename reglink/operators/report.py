@@ -3,7 +3,7 @@ elapsed-time text, peek and slice (A4, A6, A7, F13, L1, L3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reglink.functions.similarity import edit_score
@@ -56,12 +56,13 @@ def scorecard(evidence: DataFrame, pending: DataFrame, register: DataFrame,
 
 def best_match(card: DataFrame, key: str = "death_main_id") -> DataFrame:
     """Top candidate per record: highest name+father score, then lowest rc_no.
-    The window is partitioned by record, so no task holds more than one
-    record's candidates."""
-    total = (F.col("name_score") + F.coalesce(F.col("father_score"), F.lit(0))).alias("total_score")
-    w = Window.partitionBy(key).orderBy(F.col("total_score").desc(), F.col("rc_no").asc())
-    ranked = card.select(key, "rc_no", "branch", total).withColumn("_rn", F.row_number().over(w))
-    return ranked.where(F.col("_rn") == 1).drop("_rn")
+    An aggregate (``min`` of a struct ordered as wanted), so it combines
+    map-side and a record with very many candidates never sits in one task."""
+    total = F.col("name_score") + F.coalesce(F.col("father_score"), F.lit(0))
+    best = card.groupBy(key).agg(F.min(F.struct((-total).alias("neg_total"), F.col("rc_no"), F.col("branch")))
+                                 .alias("_b"))
+    return best.select(key, F.col("_b.rc_no").alias("rc_no"), F.col("_b.branch").alias("branch"),
+                       (-F.col("_b.neg_total")).alias("total_score"))
 
 
 def format_elapsed(seconds) -> Column:

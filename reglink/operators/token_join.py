@@ -32,29 +32,61 @@ def _canonical(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.array_join(toks, " "))
 
 
-def shared_token_pairs(lc: DataFrame, rc: DataFrame) -> DataFrame:
-    """(a): distinct ``(lc, rc)`` sharing a token."""
-    lt = lc.select("lc", F.explode(F.split("lc", " ")).alias("tok"))
-    rt = rc.select("rc", F.explode(F.split("rc", " ")).alias("tok"))
-    return lt.join(rt, "tok").select("lc", "rc").distinct()
-
-
-def no_shared_token_pairs(lc: DataFrame, rc: DataFrame, threshold: int) -> DataFrame:
-    """(b): candidates that can reach the threshold on ``ratio(lc, rc)`` alone."""
-    num, den = 201 - 2 * threshold, 200  # indel distance <= num/den * (la + lb)
-
-    def band(l: Column):
+class TokenSetIndex:
+    """Right side of a token-set join, prepared once: canonical token strings
+    of the rows, their distinct set, the token postings and the segment index
+    for the no-shared-token path."""
+
+    def __init__(self, right: DataFrame, right_key: str, right_text: str, threshold: int = 80):
+        if threshold < MIN_SCORE:
+            raise ValueError(f"token_set threshold {threshold} < {MIN_SCORE}")
+        self.threshold = threshold
+        self.key = right_key
+        self.rows = _canonical(right.select(right_key, right_text), right_text, "rc") \
+            .where(F.length("rc") > 0).select(right_key, "rc")
+        self.values = self.rows.select("rc").distinct()
+        self.tokens = self.values.select("rc", F.explode(F.split("rc", " ")).alias("tok"))
+        self.num, self.den = 201 - 2 * threshold, 200  # indel distance <= num/den * (la + lb)
+        self.segments = index_segments(self.values, "rc", self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "rc")
+        self.lengths = self.values.select(F.length("rc").alias(SEG_LEN)).distinct()
+
+    def band(self, l: Column):
+        num, den = self.num, self.den
         return (F.ceil(F.lit(den - num) * l / F.lit(den + num)).cast("int"),
                 F.floor(F.lit(den + num) * l / F.lit(den - num)).cast("int"))
 
-    def tau(L: Column) -> Column:
+    def tau(self, L: Column) -> Column:
+        num, den = self.num, self.den
         partner_max = F.floor(F.lit(den + num) * L / F.lit(den - num))
         return F.floor(F.lit(num) * (L + partner_max) / F.lit(den))
 
-    index = index_segments(rc, "rc", tau).select(SEG_LEN, SEG_NO, SEG_TXT, "rc")
-    lengths = rc.select(F.length("rc").alias(SEG_LEN)).distinct()
-    probe = probe_segments(lc, "lc", lengths, band, tau).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")
-    return probe.join(index, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc").distinct()
+    def persist(self) -> "TokenSetIndex":
+        self.rows = self.rows.checkpoint()
+        self.values = self.values.checkpoint()
+        self.tokens = self.tokens.checkpoint()
+        self.segments = self.segments.checkpoint()
+        self.lengths = self.lengths.checkpoint()
+        return self
+
+    def shared_token_pairs(self, lc: DataFrame) -> DataFrame:
+        """(a): distinct ``(lc, rc)`` sharing a token."""
+        lt = lc.select("lc", F.explode(F.split("lc", " ")).alias("tok"))
+        return lt.join(self.tokens, "tok").select("lc", "rc").distinct()
+
+    def no_shared_token_pairs(self, lc: DataFrame) -> DataFrame:
+        """(b): candidates that can reach the threshold on ``ratio(lc, rc)`` alone."""
+        probe = probe_segments(lc, "lc", self.lengths, self.band, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")
+        return probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc").distinct()
+
+    def join(self, left: DataFrame, left_key: str, left_text: str,
+             left_out: str | None = None, right_out: str | None = None) -> DataFrame:
+        lrows = _canonical(left.select(left_key, left_text), left_text, "lc").where(F.length("lc") > 0)
+        lc = lrows.select("lc").distinct()
+        cand = self.shared_token_pairs(lc).unionByName(self.no_shared_token_pairs(lc)).distinct()
+        scored = score_pairs(cand, self.threshold)
+        out = lrows.select(left_key, "lc").join(scored, "lc").join(self.rows, "rc")
+        return out.select(F.col(left_key).alias(left_out or left_key),
+                          F.col(self.key).alias(right_out or self.key), "score")
 
 
 def score_pairs(pairs: DataFrame, threshold: int | None = None) -> DataFrame:
@@ -88,17 +120,7 @@ def token_set_join(left: DataFrame, right: DataFrame, left_key: str, left_text:
     Bag semantics: duplicate right rows give duplicate output rows.  Null or
     blank texts (no tokens) never match.
     """
-    if threshold < MIN_SCORE:
-        raise ValueError(f"token_set threshold {threshold} < {MIN_SCORE}")
-    lrows = _canonical(left.select(left_key, left_text), left_text, "lc").where(F.length("lc") > 0)
-    rrows = _canonical(right.select(right_key, right_text), right_text, "rc").where(F.length("rc") > 0)
-    lc = lrows.select("lc").distinct()
-    rc = rrows.select("rc").distinct()
-    cand = shared_token_pairs(lc, rc).unionByName(no_shared_token_pairs(lc, rc, threshold)).distinct()
-    scored = score_pairs(cand, threshold)
-    out = lrows.select(left_key, "lc").join(scored, "lc").join(rrows.select(right_key, "rc"), "rc")
-    return out.select(F.col(left_key).alias(left_out or left_key),
-                      F.col(right_key).alias(right_out or right_key), "score")
+    return TokenSetIndex(right, right_key, right_text, threshold).join(left, left_key, left_text, left_out, right_out)
 
 
 def token_set_score(left: Column, right: Column) -> tuple[Column, Column]:

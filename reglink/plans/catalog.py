@@ -281,9 +281,10 @@ def q_incremental_evidence(spark, sf_dir):
     pend = fx.pending(spark, sf_dir)
     ch = chunks.assign_chunks(pend, 100, "death_main_id").drop("position")
     base = scratch_path(spark, "stream")
-    sinks.write_chunks(ch, f"{base}/in")
+    # one file per chunk, as the reference's chunk files
+    sinks.write_chunks(ch.repartition("chunk_id"), f"{base}/in")
     schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
-    stream = incremental.pending_stream(spark, f"{base}/in", schema, max_files_per_trigger=8)
+    stream = incremental.pending_stream(spark, f"{base}/in", schema, max_files_per_trigger=50)
     q = incremental.run_incremental(spark, stream, fx.register(spark, sf_dir), fx.blocks(spark, sf_dir),
                                     fx.pins(spark, sf_dir), f"{base}/out", f"{base}/ckpt", "2024-01-01")
     q.awaitTermination()

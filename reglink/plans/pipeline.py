@@ -42,19 +42,41 @@ def ingest_uploads(raw: DataFrame) -> DataFrame:
     )
 
 
-def run(pending: DataFrame, register: DataFrame, blocks: DataFrame, pins: DataFrame,
+@dataclass
+class Reference:
+    """Everything on the reference side of a run, prepared once: the register
+    (cleaned, with edit indexes) and the two gazetteers (token indexes)."""
+    register: person.RegisterSide
+    blocks: token_join.TokenSetIndex
+    pins: token_join.TokenSetIndex
+
+    def persist(self) -> "Reference":
+        self.register.persist()
+        self.blocks.persist()
+        self.pins.persist()
+        return self
+
+
+def prepare_reference(register: DataFrame, blocks: DataFrame, pins: DataFrame,
+                      name_threshold: float = 0.9, address_threshold: int = 80) -> Reference:
+    return Reference(
+        register=person.RegisterSide(person.prepare_register(register), name_threshold),
+        blocks=token_join.TokenSetIndex(blocks, "BlockCode", "BlockName", address_threshold),
+        pins=token_join.TokenSetIndex(pins, "Pincode", "Pincode", address_threshold),
+    )
+
+
+def run(pending: DataFrame, register: DataFrame | None, blocks: DataFrame | None, pins: DataFrame | None,
         name_threshold: float = 0.9, address_threshold: int = 80, mode: str = "correlated",
-        blank_policy: str = "null_is_blank", prepared_register: DataFrame | None = None) -> Evidence:
+        blank_policy: str = "null_is_blank", reference: Reference | None = None) -> Evidence:
     """Block, pin and person evidence for ``pending``
     (``death_main_id, DEATH_DECEASED_NAME, DEATH_FATHER_NAME, death_address``
-    [, ``chunk_id``])."""
-    block = token_join.token_set_join(pending, blocks, "death_main_id", "death_address",
-                                      "BlockCode", "BlockName", address_threshold, right_out="block_id")
-    pin = token_join.token_set_join(pending, pins, "death_main_id", "death_address",
-                                    "Pincode", "Pincode", address_threshold, right_out="matched_pin")
+    [, ``chunk_id``]).  Pass ``reference`` to reuse a prepared register side."""
+    ref = reference or prepare_reference(register, blocks, pins, name_threshold, address_threshold)
+    block = ref.blocks.join(pending, "death_main_id", "death_address", right_out="block_id")
+    pin = ref.pins.join(pending, "death_main_id", "death_address", right_out="matched_pin")
     p = person.prepare_pending(pending, blank_policy)
-    r = prepared_register if prepared_register is not None else person.prepare_register(register)
-    ev = person.person_evidence(p, r, name_threshold, mode)
+    ev = person.person_evidence(p, ref.register, name_threshold, mode)
     return Evidence(block=block, pin=pin, person=ev)
 
 

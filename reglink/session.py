@@ -32,6 +32,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Candidate generation explodes small shuffles (distinct names) 50x
+        # downstream; let AQE keep small shuffles spread over the cores.
+        # No effect on large data, where partitions are far above this size.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("REGLINK_DRIVER_MEMORY", "8g"))

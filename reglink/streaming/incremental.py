@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from reglink.operators import person
-from reglink.plans.pipeline import run
+from reglink.plans.pipeline import prepare_reference, run
 from reglink.sources import sinks
 
 
@@ -32,14 +31,22 @@ def pending_stream(spark: SparkSession, folder: str, schema: T.StructType,
 def run_incremental(spark: SparkSession, stream: DataFrame, register: DataFrame, blocks: DataFrame,
                     pins: DataFrame, out_path: str, checkpoint: str, run_date: str,
                     available_now: bool = True) -> StreamingQuery:
-    """Per micro-batch evidence, written idempotently by batch id."""
-    prepared = person.prepare_register(register).cache()  # cleaned once, reused by every batch
+    """Per micro-batch evidence, written idempotently by batch id.
+
+    The register side (cleaned names, edit and token indexes) is built once
+    and checkpointed to the shared checkpoint folder before the stream
+    starts; each batch only probes it."""
+    ref = prepare_reference(register, blocks, pins).persist()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ev = run(batch, register, blocks, pins, prepared_register=prepared)
-        for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
-            sinks.append_evidence(df.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                                  out_path, kind, run_date, partition_cols=("run_date", "batch_id"))
+        batch = batch.persist()  # read the batch files once for the three evidence kinds
+        try:
+            ev = run(batch, None, None, None, reference=ref)
+            for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
+                sinks.append_evidence(df.withColumn("batch_id", F.lit(batch_id).cast("long")),
+                                      out_path, kind, run_date, partition_cols=("run_date", "batch_id"))
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
