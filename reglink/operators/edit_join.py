@@ -37,13 +37,13 @@ class EditIndex:
             self.segments = index_segments(self.values, b, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, b)
             self.lengths = self.values.select(F.length(b).alias(SEG_LEN)).distinct()
 
-    def tau(self, L: Column) -> Column:
+    def tau(self, L: str) -> str:
         # the largest budget any partner of a length-L string can have
-        return F.floor(F.lit(self.q - self.p) * L / F.lit(self.p))
+        return f"floor({self.q - self.p} * {L} / {self.p})"
 
-    def band(self, l: Column) -> tuple[Column, Column]:
+    def band(self, l: str) -> tuple[str, str]:
         p, q = self.p, self.q
-        return F.ceil(F.lit(p) * l / F.lit(q)).cast("int"), F.floor(F.lit(q) * l / F.lit(p)).cast("int")
+        return f"CAST(ceil({p} * {l} / {q}) AS INT)", f"CAST(floor({q} * {l} / {p}) AS INT)"
 
     def persist(self) -> "EditIndex":
         """Reliable checkpoint (shared checkpoint dir) of the index tables."""

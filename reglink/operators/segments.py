@@ -19,53 +19,42 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEG_LEN = "_seg_L"
 SEG_NO = "_seg_i"
 SEG_TXT = "_seg_txt"
 
+# The generators are SQL expression strings: one parse instead of hundreds
+# of py4j calls to build nested lambdas.  ``tau``/``band`` map a SQL
+# expression (a length) to SQL expressions.
+SqlFn = Callable[[str], str]
 
-def _layout(L: Column, k: Column):
-    """Segment count, base length and number of long segments for length L."""
-    n = k + F.lit(1)
-    base = F.floor(L / n).cast("int")
-    extra = (L - base * n).cast("int")
-    return n.cast("int"), base, extra
 
+def _layout(df: DataFrame, tau: SqlFn) -> DataFrame:
+    """Add ``_k`` (budget), ``_n`` (segments), ``_base``, ``_extra`` for ``_seg_L``."""
+    df = df.selectExpr("*", f"CAST({tau(SEG_LEN)} AS INT) AS _k")
+    df = df.selectExpr("*", "_k + 1 AS _n", "CAST(floor(_seg_L / (_k + 1)) AS INT) AS _base")
+    return df.selectExpr("*", "_seg_L - _base * _n AS _extra")
 
-def _seg_start(i: Column, n: Column, base: Column, extra: Column) -> Column:
-    # the last ``extra`` segments are one char longer
-    return i * base + F.greatest(F.lit(0), i - (n - extra))
 
+# start and length of segment i; the last ``_extra`` segments are one char longer
+_SEG_START = "(i * _base + greatest(0, i - (_n - _extra)))"
+_SEG_LEN = "(_base + IF(i >= _n - _extra, 1, 0))"
 
-def _seg_len(i: Column, n: Column, base: Column, extra: Column) -> Column:
-    return base + F.when(i >= n - extra, F.lit(1)).otherwise(F.lit(0))
 
-
-def index_segments(df: DataFrame, text: str, tau: Callable[[Column], Column]) -> DataFrame:
+def index_segments(df: DataFrame, text: str, tau: SqlFn) -> DataFrame:
     """Emit ``(_seg_L, _seg_i, _seg_txt)`` for every segment of ``text``."""
-    L = F.length(F.col(text))
-    out = (
-        df.where(L > 0)
-        .withColumn(SEG_LEN, L)
-        .withColumn("_k", tau(F.col(SEG_LEN)).cast("int"))
-    )
-    n, base, extra = _layout(F.col(SEG_LEN), F.col("_k"))
-    out = out.withColumns({"_n": n, "_base": base, "_extra": extra})
-    out = out.withColumn(SEG_NO, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    i, n, base, extra = F.col(SEG_NO), F.col("_n"), F.col("_base"), F.col("_extra")
-    out = out.withColumn(
-        SEG_TXT,
-        F.substring(F.col(text), _seg_start(i, n, base, extra) + 1, _seg_len(i, n, base, extra)),
-    )
-    return out.drop("_k", "_n", "_base", "_extra")
-
-
-def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame,
-                   band: Callable[[Column], tuple[Column, Column]],
-                   tau: Callable[[Column], Column]) -> DataFrame:
+    cols = [f"`{c}`" for c in df.columns]
+    out = _layout(df.where(F.length(text) > 0).selectExpr("*", f"length(`{text}`) AS {SEG_LEN}"), tau)
+    gen = (f"inline(transform(sequence(0, _n - 1), i -> named_struct("
+           f"'{SEG_NO}', i, '{SEG_TXT}', substring(`{text}`, {_SEG_START} + 1, {_SEG_LEN}))))")
+    return out.selectExpr(*cols, SEG_LEN, gen)
+
+
+def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame, band: Callable[[str], tuple[str, str]],
+                   tau: SqlFn) -> DataFrame:
     """Emit ``(_seg_L, _seg_i, _seg_txt)`` substrings of ``text`` to be joined
     against :func:`index_segments` of the other side.
 
@@ -73,28 +62,18 @@ def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame,
     the index side; ``band(l)`` gives the inclusive range of index lengths a
     probe string of length ``l`` can pair with.
     """
-    l = F.length(F.col(text))
-    lo, hi = band(l)
-    out = (
-        df.where(l > 0)
-        .withColumn("_l", l)
-        .withColumn(SEG_LEN, F.explode(F.sequence(F.greatest(lo, F.lit(1)), hi)))
-    )
+    cols = [f"`{c}`" for c in df.columns]
+    lo, hi = band(f"length(`{text}`)")
+    out = df.where(F.length(text) > 0).selectExpr(
+        "*", f"explode(sequence(greatest({lo}, 1), {hi})) AS {SEG_LEN}")
     # Only lengths that exist on the index side: a table of at most
     # max(length) rows, so the broadcast is bounded by construction.
     out = out.join(F.broadcast(index_lengths), SEG_LEN, "left_semi")
-    out = out.withColumn("_k", tau(F.col(SEG_LEN)).cast("int"))
-    n, base, extra = _layout(F.col(SEG_LEN), F.col("_k"))
-    out = out.withColumns({"_n": n, "_base": base, "_extra": extra})
-    out = out.withColumn(SEG_NO, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    i, n, base, extra, k = (F.col(SEG_NO), F.col("_n"), F.col("_base"), F.col("_extra"), F.col("_k"))
-    p = _seg_start(i, n, base, extra)
-    seg_len = _seg_len(i, n, base, extra)
-    delta = F.col("_l") - F.col(SEG_LEN)
-    # multi-match-aware window, clipped to the probe string
-    w_lo = F.greatest(p - i, p + delta - (k - i), F.lit(0))
-    w_hi = F.least(p + i, p + delta + (k - i), F.col("_l") - seg_len)
-    out = out.withColumns({"_p_lo": w_lo, "_p_hi": w_hi, "_len_i": seg_len}).where(F.col("_p_lo") <= F.col("_p_hi"))
-    out = out.withColumn("_pos", F.explode(F.sequence(F.col("_p_lo"), F.col("_p_hi"))))
-    out = out.withColumn(SEG_TXT, F.substring(F.col(text), F.col("_pos") + 1, F.col("_len_i")))
-    return out.drop("_l", "_k", "_n", "_base", "_extra", "_p_lo", "_p_hi", "_len_i", "_pos")
+    out = _layout(out.selectExpr("*", f"length(`{text}`) AS _l"), tau)
+    # multi-match-aware window of segment i, clipped to the probe string
+    w_lo = f"greatest({_SEG_START} - i, {_SEG_START} + (_l - _seg_L) - (_k - i), 0)"
+    w_hi = f"least({_SEG_START} + i, {_SEG_START} + (_l - _seg_L) + (_k - i), _l - {_SEG_LEN})"
+    gen = (f"inline(flatten(transform(sequence(0, _n - 1), i -> transform("
+           f"CASE WHEN {w_lo} <= {w_hi} THEN sequence({w_lo}, {w_hi}) ELSE CAST(array() AS ARRAY<INT>) END, "
+           f"pos -> named_struct('{SEG_NO}', i, '{SEG_TXT}', substring(`{text}`, pos + 1, {_SEG_LEN}))))))")
+    return out.selectExpr(*cols, SEG_LEN, gen)

@@ -50,15 +50,15 @@ class TokenSetIndex:
         self.segments = index_segments(self.values, "rc", self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "rc")
         self.lengths = self.values.select(F.length("rc").alias(SEG_LEN)).distinct()
 
-    def band(self, l: Column):
+    def band(self, l: str) -> tuple[str, str]:
         num, den = self.num, self.den
-        return (F.ceil(F.lit(den - num) * l / F.lit(den + num)).cast("int"),
-                F.floor(F.lit(den + num) * l / F.lit(den - num)).cast("int"))
+        return (f"CAST(ceil({den - num} * {l} / {den + num}) AS INT)",
+                f"CAST(floor({den + num} * {l} / {den - num}) AS INT)")
 
-    def tau(self, L: Column) -> Column:
+    def tau(self, L: str) -> str:
         num, den = self.num, self.den
-        partner_max = F.floor(F.lit(den + num) * L / F.lit(den - num))
-        return F.floor(F.lit(num) * (L + partner_max) / F.lit(den))
+        partner_max = f"floor({den + num} * {L} / {den - num})"
+        return f"floor({num} * ({L} + {partner_max}) / {den})"
 
     def persist(self) -> "TokenSetIndex":
         self.rows = self.rows.checkpoint()
