@@ -51,12 +51,32 @@ def edit_score(a, b) -> Column:
         F.floor((100 * (m - F.levenshtein(a, b))) / m).cast("int"))
 
 
+BANDED_MAX = 4  # budgets 1..4 use the banded, early-exit levenshtein(a, b, k)
+
+
+def edit_within_sql(a: str, b: str, t: float) -> str:
+    """SQL for ``edit_similarity(a, b) >= t`` in exact integer arithmetic.
+
+    The pair's edit budget is ``floor((q-p) * max(len) / q)``; small budgets
+    use Spark's banded ``levenshtein(a, b, k)`` (returns -1 beyond ``k``),
+    budget 0 is equality.  Blank never matches."""
+    p, q = threshold_fraction(t)
+    la, lb = f"length({a})", f"length({b})"
+    budget = f"floor({q - p} * greatest({la}, {lb}) / {q})"
+    banded = " ".join(f"WHEN {budget} = {k} THEN levenshtein({a}, {b}, {k}) >= 0"
+                      for k in range(1, BANDED_MAX + 1))
+    return (f"({la} > 0 AND {lb} > 0 AND CASE WHEN {budget} = 0 THEN {a} = {b} {banded} "
+            f"ELSE {q} * levenshtein({a}, {b}) <= {q - p} * greatest({la}, {lb}) END)")
+
+
 def edit_within(a, b, t: float) -> Column:
-    """``edit_similarity(a, b) >= t`` in exact integer arithmetic; blank never matches."""
+    """``edit_similarity(a, b) >= t``; ``a``/``b`` are column names or columns."""
+    if isinstance(a, str) and isinstance(b, str):
+        return F.expr(edit_within_sql(f"`{a}`", f"`{b}`", t))
     p, q = threshold_fraction(t)
     a, b = as_col(a), as_col(b)
     m = F.greatest(F.length(a), F.length(b))
-    return (m > 0) & (F.length(a) > 0) & (F.length(b) > 0) & (q * F.levenshtein(a, b) <= (q - p) * m)
+    return (F.length(a) > 0) & (F.length(b) > 0) & (q * F.levenshtein(a, b) <= (q - p) * m)
 
 
 # ---------------------------------------------------------------------------
@@ -70,6 +90,13 @@ def normalize_tokens_text(c) -> Column:
     return F.trim(F.lower(F.regexp_replace(ascii_ish, r"(?U)\W", " ")))
 
 
+def canonical_tokens_sql(x: str) -> str:
+    """SQL: sorted distinct tokens of the normalised text joined by one space
+    ('' for blank) -- the canonical form a token-set score depends on."""
+    norm = rf"trim(lower(regexp_replace(regexp_replace({x}, r'[\x{{80}}-\x{{FF}}]', ''), r'(?U)\W', ' ')))"
+    return f"array_join(array_sort(array_distinct(filter(split({norm}, ' '), t -> t != ''))), ' ')"
+
+
 def token_set(c) -> Column:
     """Sorted distinct tokens of the normalised text (empty array for blank)."""
     toks = F.split(normalize_tokens_text(c), " ")

@@ -64,7 +64,7 @@ class EditIndex:
         # dedupe only the verified pairs: a pair sharing several segments is
         # verified several times, but the candidate set is never shuffled again.
         cand = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]) \
-                    .where(edit_within(F.col(a), F.col(b), self.threshold))
+                    .where(edit_within(a, b, self.threshold))
         return cand.select(a, b).distinct()
 
 

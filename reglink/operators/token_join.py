@@ -19,17 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reglink.functions.similarity import (
-    _ratio_prefix, lcs_length, ratio_from_lcs, token_set, token_set_parts,
-)
+from reglink.functions.similarity import canonical_tokens_sql, lcs_length, token_set
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 
 MIN_SCORE = 60  # below this the no-shared-token filter is not selective
 
 
 def _canonical(df: DataFrame, text: str, out: str) -> DataFrame:
-    toks = token_set(F.col(text))
-    return df.withColumn(out, F.array_join(toks, " "))
+    return df.selectExpr("*", f"{canonical_tokens_sql(f'`{text}`')} AS {out}")
 
 
 class TokenSetIndex:
@@ -89,27 +86,39 @@ class TokenSetIndex:
                           F.col(self.key).alias(right_out or self.key), "score")
 
 
+def _ratio_sql(lcs: str, la: str, lb: str) -> str:
+    """round_half_even(200 * lcs / (la + lb)), 0 when either side is empty."""
+    return f"CASE WHEN {la} = 0 OR {lb} = 0 THEN 0 ELSE CAST(bround(200.0 * {lcs} / ({la} + {lb}), 0) AS INT) END"
+
+
 def score_pairs(pairs: DataFrame, threshold: int | None = None) -> DataFrame:
     """Exact ``token_set_ratio`` for distinct ``(lc, rc)`` canonical token strings."""
-    parts = token_set_parts(F.split("lc", " "), F.split("rc", " "))
-    df = pairs.withColumns(parts)
-    l0, l1, l2 = F.length("_t0"), F.length("_t1"), F.length("_t2")
-    closed = F.greatest(_ratio_prefix(l0, l1), _ratio_prefix(l0, l2))
-    upper12 = F.bround(F.lit(200.0) * F.least(l1, l2) / (l1 + l2), 0).cast("int")
-    both = (F.length("_sab") > 0) & (F.length("_sba") > 0)
-    df = df.withColumns({"_closed": closed, "_need": both & (upper12 > closed)})
+    df = pairs.selectExpr(
+        "lc", "rc",
+        "array_join(array_sort(array_intersect(split(lc, ' '), split(rc, ' '))), ' ') AS _t0",
+        "array_join(array_sort(array_except(split(lc, ' '), split(rc, ' '))), ' ') AS _sab",
+        "array_join(array_sort(array_except(split(rc, ' '), split(lc, ' '))), ' ') AS _sba")
+    df = df.selectExpr("*", "trim(concat_ws(' ', _t0, _sab)) AS _t1", "trim(concat_ws(' ', _t0, _sba)) AS _t2")
+    df = df.selectExpr(
+        "*",
+        # t0 is a prefix of t1 and t2: LCS = |t0|
+        f"greatest({_ratio_sql('length(_t0)', 'length(_t0)', 'length(_t1)')}, "
+        f"{_ratio_sql('length(_t0)', 'length(_t0)', 'length(_t2)')}) AS _closed",
+        "CAST(bround(200.0 * least(length(_t1), length(_t2)) / (length(_t1) + length(_t2)), 0) AS INT) AS _upper12")
+    df = df.selectExpr("*", "length(_sab) > 0 AND length(_sba) > 0 AND _upper12 > _closed AS _need")
     if threshold is not None:
-        df = df.where((F.col("_closed") >= threshold) | (F.col("_need") & (upper12 >= threshold)))
+        df = df.where(f"_closed >= {threshold} OR (_need AND _upper12 >= {threshold})")
     # Python only for rows that need an LCS (UDFs are evaluated for every input row)
     need = df.where("_need").withColumn("_lcs_d", lcs_length(F.col("_sab"), F.col("_sba")))
-    rest = df.where(~F.col("_need")).withColumn("_lcs_d", F.lit(None).cast("int"))
-    df = need.unionByName(rest)
-    lcs12 = F.when(F.length("_t0") > 0, F.length("_t0") + 1).otherwise(0) + F.col("_lcs_d")
-    r12 = F.when(F.col("_need"), ratio_from_lcs(lcs12, l1, l2)).otherwise(F.lit(0))
-    df = df.withColumn("score", F.greatest(F.col("_closed"), r12).cast("int"))
+    rest = df.where("NOT _need").selectExpr("*", "CAST(NULL AS INT) AS _lcs_d")
+    # LCS(t1, t2) = |t0 + ' '| + LCS(s_ab, s_ba) when t0 is not empty
+    lcs12 = "(IF(length(_t0) > 0, length(_t0) + 1, 0) + _lcs_d)"
+    scored = need.unionByName(rest).selectExpr(
+        "lc", "rc",
+        f"greatest(_closed, IF(_need, {_ratio_sql(lcs12, 'length(_t1)', 'length(_t2)')}, 0)) AS score")
     if threshold is not None:
-        df = df.where(F.col("score") >= threshold)
-    return df.select("lc", "rc", "score")
+        scored = scored.where(f"score >= {threshold}")
+    return scored
 
 
 def token_set_join(left: DataFrame, right: DataFrame, left_key: str, left_text: str,
