@@ -11,7 +11,7 @@ each row's index within its partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LOCAL_BITS = 33  # monotonically_increasing_id = (partition << 33) + index in partition
@@ -57,10 +57,18 @@ def assign_chunks(df: DataFrame, size: int = 100, key: str = "id", num_partition
     return pos.withColumn("chunk_id", ((F.col("position") - 1) / F.lit(size)).cast("long") + 1)
 
 
+def chunk_name(chunk_id) -> Column:
+    """a 9-character chunk name, deterministic (replayable) instead of random."""
+    c = F.col(chunk_id) if isinstance(chunk_id, str) else chunk_id
+    return F.upper(F.substring(F.md5(c.cast("string")), 1, 9))
+
+
 def chunk_id_lists(chunked: DataFrame, key: str = "id") -> DataFrame:
-    """A5: per chunk the sorted comma-separated id list (a chunk is at most ``size`` rows)."""
+    """A5: per chunk the sorted comma-separated id list (a chunk is at most
+    ``size`` rows, so ``collect_list`` is bounded) and the chunk's name."""
     return chunked.groupBy("chunk_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(key)), lambda x: x.cast("string")), ",").alias("id_list"))
+        F.array_join(F.transform(F.sort_array(F.collect_list(key)), lambda x: x.cast("string")), ",").alias("id_list")
+    ).select("chunk_id", chunk_name("chunk_id").alias("chunk_name"), "id_list")
 
 
 def ids_from_list(lists: DataFrame, col: str = "id_list", key: str = "id") -> DataFrame:

@@ -54,6 +54,11 @@ def scorecard(evidence: DataFrame, pending: DataFrame, register: DataFrame,
                        F.col("pin_score").cast("int").alias("pin_score"))
 
 
+def strong_candidates(card: DataFrame, threshold: int = 90) -> DataFrame:
+    """Candidates whose name and father scores both reach ``threshold``."""
+    return card.where((F.col("name_score") >= threshold) & (F.col("father_score") >= threshold))
+
+
 def best_match(card: DataFrame, key: str = "death_main_id") -> DataFrame:
     """Top candidate per record: highest name+father score, then lowest rc_no.
     An aggregate (``min`` of a struct ordered as wanted), so it combines

@@ -139,8 +139,8 @@ def q_ingest_uploads(spark, sf_dir):
 def q_register_union(spark, sf_dir):
     """K1 then S8: the register written partitioned by district, read back as one table."""
     path = scratch_path(spark, "register")
-    sinks.write_register(fx.register(spark, sf_dir), path)
-    return readers.read_register_partitioned(spark, path)
+    sinks.write_register(readers.load_register(fx.register(spark, sf_dir)), path)
+    return readers.load_register(readers.read_register_partitioned(spark, path))
 
 
 @register_query("pin_list", O.with_fixtures(O.PIN_LIST))
@@ -175,7 +175,7 @@ def q_chunk_id_lists(spark, sf_dir):
 @register_query("ids_from_list", O.with_fixtures(O.IDS_FROM_LIST, O.CHUNK_CTE))
 def q_ids_from_list(spark, sf_dir):
     _, ch = _chunks(spark, sf_dir)
-    return chunks.ids_from_list(chunks.chunk_id_lists(ch, "id"), "id_list", "id")
+    return chunks.ids_from_list(chunks.chunk_id_lists(ch, "id"), "id_list", "id").select("chunk_id", "id")
 
 
 @register_query("still_pending", O.with_fixtures(O.STILL_PENDING, O.CHUNK_CTE))
@@ -230,6 +230,11 @@ def q_best_match(spark, sf_dir):
     return report.best_match(_scorecard(spark, sf_dir))
 
 
+@register_query("scorecard_strong", O.with_fixtures(O.SCORECARD_STRONG, O.EVIDENCE_CTES + "," + O.SCORECARD_CTE))
+def q_scorecard_strong(spark, sf_dir):
+    return report.strong_candidates(_scorecard(spark, sf_dir), 90)
+
+
 @register_query("elapsed_text", O.ELAPSED_TEXT)
 def q_elapsed_text(spark, sf_dir):
     ev = readers.read_table(spark, sf_dir, "events")

@@ -159,8 +159,8 @@ chunks AS (
 PENDING_CHUNKS = "SELECT id, chunk_id, position FROM chunks"
 CHUNK_STATS = ("SELECT count(id) AS pending_count, CAST(ceil(count(id) / 100.0) AS BIGINT) AS chunk_count "
                "FROM pending_main WHERE is_send = 0")
-CHUNK_ID_LISTS = ("SELECT chunk_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS id_list "
-                  "FROM chunks GROUP BY chunk_id")
+CHUNK_ID_LISTS = ("SELECT chunk_id, upper(substr(md5(CAST(chunk_id AS VARCHAR)), 1, 9)) AS chunk_name, "
+                  "string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS id_list FROM chunks GROUP BY chunk_id")
 IDS_FROM_LIST = "SELECT chunk_id, id FROM chunks"
 STILL_PENDING = ("SELECT * FROM pending_main WHERE is_send = 0 "
                  "AND id NOT IN (SELECT id FROM chunks WHERE chunk_id <= 5)")
@@ -226,3 +226,5 @@ NAME_FATHER_STRICT = (f"SELECT {PERSON_SELECT} FROM pend_clean p JOIN r2 r ON "
                       f"AND {sim_ok('p.p_name', 'r.r_name')} AND {sim_ok('p.p_father', 'r.r_father')}")
 PERSON_EVIDENCE_STRICT = (f"SELECT *, 'name_father' AS branch FROM ({NAME_FATHER_STRICT}) "
                           f"UNION ALL SELECT *, 'name_only' AS branch FROM ({NAME_ONLY_STRICT})")
+
+SCORECARD_STRONG = "SELECT * FROM card WHERE name_score >= 90 AND father_score >= 90"

@@ -109,3 +109,20 @@ def test_unmatched(frames):
     p, r = person.prepare_pending(pend), person.prepare_register(reg)
     ev = person.person_evidence(p, r)
     assert [x.death_main_id for x in person.unmatched(pend, ev).collect()] == [7]
+
+
+def test_edit_join_api(frames):
+    pend, reg, _, _ = frames
+    p = pend.select("death_main_id", clean_name("DEATH_DECEASED_NAME").alias("pn"))
+    r = reg.select("PERMANENT_RCNO", clean_name("NAME").alias("rn"))
+    from reglink.operators.edit_join import edit_join
+    inner = edit_join(p, r, "pn", "rn", 0.9, ["death_main_id"], ["PERMANENT_RCNO"])
+    assert sorted(tuple(x) for x in inner.collect()) == sorted([
+        (1, "0001001"), (1, "0001002"), (2, "0001001"), (2, "0001002"), (3, "0001003"), (4, "0001003"),
+        (5, "0001004"), (6, "0001005"), (7, "0001001"), (7, "0001002")])
+    anti = edit_join(p, r, "pn", "rn", 0.9, ["death_main_id"], how="left_anti")
+    assert anti.count() == 0
+    exact = edit_join(p, r, "pn", "rn", 1.0, ["death_main_id"], ["PERMANENT_RCNO"])
+    assert sorted(tuple(x) for x in exact.collect()) == sorted([
+        (1, "0001001"), (1, "0001002"), (3, "0001003"), (4, "0001003"), (6, "0001005"),
+        (7, "0001001"), (7, "0001002")])
