@@ -143,6 +143,20 @@ def q_register_union(spark, sf_dir):
     return readers.load_register(readers.read_register_partitioned(spark, path))
 
 
+@register_query("gazetteer_roundtrip", O.with_fixtures(O.GAZETTEER_ROUNDTRIP))
+def q_gazetteer_roundtrip(spark, sf_dir):
+    """K2 then S5/S6: both gazetteers overwritten as tables (twice: the
+    reference deletes and rewrites them every run) and read back."""
+    base = scratch_path(spark, "gazetteers")
+    for _ in range(2):
+        sinks.write_table(fx.blocks(spark, sf_dir), f"{base}/blocks")
+        sinks.write_table(fx.pins(spark, sf_dir), f"{base}/pins")
+    blocks = readers.load_blocks(spark.read.schema(readers.BLOCK_SCHEMA).parquet(f"{base}/blocks"))
+    pins = readers.load_pins(spark.read.schema(readers.PIN_SCHEMA).parquet(f"{base}/pins"))
+    return blocks.select("BlockCode", F.col("BlockName").alias("name")).unionByName(
+        pins.select(F.col("Pincode").alias("BlockCode"), F.col("Pincode").alias("name")))
+
+
 @register_query("pin_list", O.with_fixtures(O.PIN_LIST))
 def q_pin_list(spark, sf_dir):
     return readers.load_pins(fx.pins(spark, sf_dir))

@@ -228,3 +228,5 @@ PERSON_EVIDENCE_STRICT = (f"SELECT *, 'name_father' AS branch FROM ({NAME_FATHER
                           f"UNION ALL SELECT *, 'name_only' AS branch FROM ({NAME_ONLY_STRICT})")
 
 SCORECARD_STRONG = "SELECT * FROM card WHERE name_score >= 90 AND father_score >= 90"
+GAZETTEER_ROUNDTRIP = ("SELECT BlockCode, BlockName AS name FROM blocks "
+                       "UNION ALL SELECT Pincode AS BlockCode, Pincode AS name FROM pins")

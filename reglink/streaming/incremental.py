@@ -20,9 +20,14 @@ from reglink.sources import sinks
 
 
 def pending_stream(spark: SparkSession, folder: str, schema: T.StructType,
-                   max_files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
-    """The chunk folder as a stream, a bounded number of files per batch."""
+                   max_files_per_trigger: int = 1, fmt: str = "parquet",
+                   archive_dir: str | None = None) -> DataFrame:
+    """The chunk folder as a stream, a bounded number of files per batch.
+    T3: with ``archive_dir`` consumed files are moved there after their batch
+    commits (the reference deletes them; progress itself is in the checkpoint)."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.format(fmt).load(folder)
