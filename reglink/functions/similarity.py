@@ -127,26 +127,33 @@ def token_set_parts(a_tokens: Column, b_tokens: Column) -> dict[str, Column]:
     return {"_t0": t0, "_sab": s_ab, "_sba": s_ba, "_t1": t1, "_t2": t2}
 
 
-@F.pandas_udf(T.IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common subsequence (bit-parallel, Hyyro 2004).
-
-    ``V`` starts all ones over |a| bits; per char c of b:
-    ``U = V & M[c]; V = (V + U) | (V - U)``; LCS = number of zero bits in V.
-    Python integers remove the 64-char word limit.
-    """
-    out = []
-    for x, y in zip(a, b):
-        if x is None or y is None or not x or not y:
-            out.append(0)
-            continue
-        masks: dict[str, int] = {}
-        for i, ch in enumerate(x):
-            masks[ch] = masks.get(ch, 0) | (1 << i)
-        full = (1 << len(x)) - 1
-        v = full
-        for ch in y:
-            u = v & masks.get(ch, 0)
-            v = ((v + u) | (v - u)) & full
-        out.append(len(x) - bin(v).count("1"))
-    return pd.Series(out, dtype="int32")
+def _make_lcs_udf():
+    # Built in a factory so cloudpickle ships the function by value: executors
+    # need pandas only, not this package on their path.
+    def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
+        """Length of the longest common subsequence (bit-parallel, Hyyro 2004).
+
+        ``V`` starts all ones over |a| bits; per char c of b:
+        ``U = V & M[c]; V = (V + U) | (V - U)``; LCS = number of zero bits in V.
+        Python integers remove the 64-char word limit.
+        """
+        out = []
+        for x, y in zip(a, b):
+            if x is None or y is None or not x or not y:
+                out.append(0)
+                continue
+            masks: dict[str, int] = {}
+            for i, ch in enumerate(x):
+                masks[ch] = masks.get(ch, 0) | (1 << i)
+            full = (1 << len(x)) - 1
+            v = full
+            for ch in y:
+                u = v & masks.get(ch, 0)
+                v = ((v + u) | (v - u)) & full
+            out.append(len(x) - bin(v).count("1"))
+        return pd.Series(out, dtype="int32")
+
+    return F.pandas_udf(lcs_length, T.IntegerType())
+
+
+lcs_length = _make_lcs_udf()
