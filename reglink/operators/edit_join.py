@@ -53,6 +53,21 @@ class EditIndex:
             self.lengths = self.lengths.checkpoint()
         return self
 
+    def save_bucketed(self, table: str, path: str, buckets: int) -> "EditIndex":
+        """Write the index as bucketed tables under ``path`` (shared storage):
+        segments bucketed on the join key, so a later probe shuffles only its
+        own side into the same buckets.  Returns an index reading them."""
+        spark = self.values.sparkSession
+        _save_bucketed(self.values, f"{table}_values", f"{path}/values", buckets, [self.b])
+        self.values = spark.table(f"{table}_values")
+        if self.segments is not None:
+            _save_bucketed(self.segments, f"{table}_segments", f"{path}/segments", buckets,
+                           [SEG_LEN, SEG_NO, SEG_TXT])
+            self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+            self.segments = spark.table(f"{table}_segments")
+            self.lengths = spark.read.parquet(f"{path}/lengths")
+        return self
+
     def probe(self, left_values: DataFrame, a: str = "a") -> DataFrame:
         """Distinct verified ``(a, b)`` pairs for the left values."""
         b = self.b
@@ -97,3 +112,9 @@ def edit_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, th
     matched = l.join(pairs, F.col(left_on) == F.col("_a"), "left" if how == "left" else "inner")
     out = matched.join(r, F.col("_b") == F.col(right_on), "left" if how == "left" else "inner")
     return out.select(*keep_left, *keep_right)
+
+
+def _save_bucketed(df: DataFrame, table: str, path: str, buckets: int, cols: list[str]) -> None:
+    """Bucketed parquet table at an explicit (shared) location."""
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, *cols).sortBy(*cols)
+       .option("path", path).saveAsTable(table))

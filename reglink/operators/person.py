@@ -73,6 +73,21 @@ class RegisterSide:
         self.fathers.persist()
         return self
 
+    def save_bucketed(self, table: str, path: str, buckets: int) -> "RegisterSide":
+        """Persist the prepared register for repeated runs: rows bucketed on
+        the cleaned name (name-only join), two-key rows on (name, father)
+        (final join), edit indexes on their segment keys.  Each later run
+        then shuffles only the pending side; the register is read in place."""
+        from reglink.operators.edit_join import _save_bucketed
+        spark = self.rows.sparkSession
+        _save_bucketed(self.rows, f"{table}_rows", f"{path}/rows", buckets, ["r_name"])
+        _save_bucketed(self.two_key, f"{table}_two_key", f"{path}/two_key", buckets, ["r_name", "r_father"])
+        self.rows = spark.table(f"{table}_rows")
+        self.two_key = spark.table(f"{table}_two_key")
+        self.names.save_bucketed(f"{table}_names", f"{path}/names", buckets)
+        self.fathers.save_bucketed(f"{table}_fathers", f"{path}/fathers", buckets)
+        return self
+
 
 def _side(r, threshold: float) -> RegisterSide:
     return r if isinstance(r, RegisterSide) else RegisterSide(r, threshold)

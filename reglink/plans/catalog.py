@@ -278,6 +278,18 @@ def q_person_evidence_strict(spark, sf_dir):
     return person.person_evidence(p, r, 0.9)
 
 
+@register_query("person_evidence_bucketed", O.with_fixtures(O.PERSON_EVIDENCE))
+def q_person_evidence_bucketed(spark, sf_dir):
+    """Person evidence against a register persisted as bucketed tables
+    (rows, two-key rows, segment indexes): the register is read in place and
+    only the pending side is shuffled into its buckets."""
+    import uuid
+    path = scratch_path(spark, "register-bucketed")
+    ref = pipeline.prepare_reference(fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir),
+                                     bucketed_path=path, table_prefix=f"reglink_reg_{uuid.uuid4().hex[:8]}")
+    return person.person_evidence(person.prepare_pending(fx.pending(spark, sf_dir)), ref.register, 0.9)
+
+
 @register_query("evidence_sink_roundtrip", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_evidence_sink_roundtrip(spark, sf_dir):
     """K4-K7: person evidence written twice to the same run date and chunks

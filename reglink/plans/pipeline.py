@@ -58,9 +58,18 @@ class Reference:
 
 
 def prepare_reference(register: DataFrame, blocks: DataFrame, pins: DataFrame,
-                      name_threshold: float = 0.9, address_threshold: int = 80) -> Reference:
+                      name_threshold: float = 0.9, address_threshold: int = 80,
+                      bucketed_path: str | None = None, buckets: int | None = None,
+                      table_prefix: str = "reglink_register") -> Reference:
+    """The reference side of a run.  With ``bucketed_path`` (shared storage)
+    the prepared register and its edit indexes are written once as bucketed
+    tables, so every later run shuffles only its pending side."""
+    side = person.RegisterSide(person.prepare_register(register), name_threshold)
+    if bucketed_path:
+        n = buckets or int(register.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        side = side.save_bucketed(table_prefix, bucketed_path, n)
     return Reference(
-        register=person.RegisterSide(person.prepare_register(register), name_threshold),
+        register=side,
         blocks=token_join.TokenSetIndex(blocks, "BlockCode", "BlockName", address_threshold),
         pins=token_join.TokenSetIndex(pins, "Pincode", "Pincode", address_threshold),
     )

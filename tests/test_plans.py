@@ -35,3 +35,26 @@ def test_register_scan_pruned(spark):
     txt = plan(QUERIES["name_only_match"](spark, SF_SMALL))
     # only the part columns the register derivation needs are read
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_type:string,p_size:int>" in txt
+
+
+def test_bucketed_register_is_read_in_place(spark):
+    """With a bucketed register side, the register scans feed their joins
+    without a shuffle (broadcast off, as for a large register)."""
+    from reglink.operators import person
+    from reglink.session import scratch_path
+    from reglink.sources import fixtures as fx
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = person.prepare_pending(fx.pending(spark, SF_SMALL))
+        plain = person.person_evidence(p, person.prepare_register(fx.register(spark, SF_SMALL)))
+        side = person.RegisterSide(person.prepare_register(fx.register(spark, SF_SMALL)), 0.9) \
+            .save_bucketed("test_regb", scratch_path(spark, "regb"), 8)
+        bucketed = person.person_evidence(p, side)
+        n_plain = plan(plain).count("Exchange hashpartitioning")
+        text = plan(bucketed)
+        assert text.count("Bucketed: true") >= 4
+        assert text.count("Exchange hashpartitioning") < n_plain
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
