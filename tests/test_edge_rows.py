@@ -74,3 +74,20 @@ def test_101_rows_make_chunks_of_100_and_1(spark):
     assert len(lists[0].chunk_name) == 9 and lists[0].chunk_name == lists[0].chunk_name.upper()
     back = chunks.ids_from_list(chunks.chunk_id_lists(ch, "id")).select("id").collect()
     assert sorted(r.id for r in back) == [i * 7 + 3 for i in range(101)]
+
+
+def test_hot_name_holds_a_third_of_the_register(spark):
+    """One (name, father) held by a third of the register and by many pending
+    rows: every pair is found (bag semantics), the hot value enters the
+    segment index once, and no row is dropped."""
+    hot, n_reg, n_pend = ("md rahim", "md karim"), 300, 40
+    reg_rows = [(f"{i:07d}", hot[0] if i % 3 == 0 else f"person {chr(97 + i % 26)}{i}",
+                 hot[1] if i % 3 == 0 else "some father", "0001", "PHH") for i in range(n_reg)]
+    pend_rows = [(i, "Md  Rahim" if i % 2 == 0 else "MD RAHIMM", "Md Karim", None) for i in range(n_pend)]
+    p, r = _person(spark, pend_rows, reg_rows)
+    side = person.RegisterSide(r, 0.9)
+    assert side.names.values.where(F.col("b") == hot[0]).count() == 1
+    ev = person.two_key_correlated(p, side)
+    # "md rahimm" (9 chars) vs "md rahim" (8): budget floor(9/10) = 0 -> no match
+    assert ev.count() == (n_pend // 2) * (n_reg // 3)
+    assert {r_.death_main_id for r_ in ev.select("death_main_id").distinct().collect()} == set(range(0, n_pend, 2))
