@@ -157,3 +157,40 @@ def _make_lcs_udf():
 
 
 lcs_length = _make_lcs_udf()
+
+
+def _make_damerau_udf():
+    # factory: shipped by value, executors need pandas only
+    def damerau_levenshtein(a: pd.Series, b: pd.Series) -> pd.Series:
+        """True (unrestricted) Damerau-Levenshtein distance: insert, delete,
+        substitute, transpose adjacent chars (Lowrance-Wagner)."""
+        out = []
+        for x, y in zip(a, b):
+            if x is None or y is None:
+                out.append(None)
+                continue
+            last_row: dict[str, int] = {}
+            big = len(x) + len(y)
+            d = [[0] * (len(y) + 2) for _ in range(len(x) + 2)]
+            d[0][0] = big
+            for i in range(len(x) + 1):
+                d[i + 1][0], d[i + 1][1] = big, i
+            for j in range(len(y) + 1):
+                d[0][j + 1], d[1][j + 1] = big, j
+            for i in range(1, len(x) + 1):
+                last_col = 0
+                for j in range(1, len(y) + 1):
+                    i1, j1 = last_row.get(y[j - 1], 0), last_col
+                    cost = 1
+                    if x[i - 1] == y[j - 1]:
+                        cost, last_col = 0, j
+                    d[i + 1][j + 1] = min(d[i][j] + cost, d[i + 1][j] + 1, d[i][j + 1] + 1,
+                                          d[i1][j1] + (i - i1 - 1) + 1 + (j - j1 - 1))
+                last_row[x[i - 1]] = i
+            out.append(d[len(x) + 1][len(y) + 1])
+        return pd.Series(out, dtype="Int32")
+
+    return F.pandas_udf(damerau_levenshtein, T.IntegerType())
+
+
+damerau_distance = _make_damerau_udf()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reglink.functions.similarity import edit_within, threshold_fraction
+from reglink.functions.similarity import damerau_distance, edit_within, threshold_fraction
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
@@ -23,10 +23,17 @@ class EditIndex:
     and their lengths.  Built once and reused by many probes (e.g. every
     micro-batch of a stream); ``persist`` cuts its lineage."""
 
-    def __init__(self, right_values: DataFrame, threshold: float, b: str = "b"):
+    METRICS = ("levenshtein", "damerau")
+
+    def __init__(self, right_values: DataFrame, threshold: float, b: str = "b", metric: str = "levenshtein"):
+        if metric not in self.METRICS:
+            raise ValueError(f"metric must be one of {self.METRICS}")
         self.p, self.q = threshold_fraction(threshold)
         self.threshold = threshold
         self.b = b
+        self.metric = metric
+        # an adjacent swap across a segment boundary spoils two segments
+        self.per_edit = 2 if metric == "damerau" else 1
         self.values = right_values.select(b).where(F.length(b) > 0).distinct()
         if self.p != self.q and threshold < MIN_THRESHOLD:
             raise ValueError(f"edit threshold {threshold} < {MIN_THRESHOLD}: segment filter not selective")
@@ -34,7 +41,7 @@ class EditIndex:
             self.segments = None
             self.lengths = None
         else:
-            self.segments = index_segments(self.values, b, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, b)
+            self.segments = index_segments(self.values, b, self.tau, self.per_edit).select(SEG_LEN, SEG_NO, SEG_TXT, b)
             self.lengths = self.values.select(F.length(b).alias(SEG_LEN)).distinct()
 
     def tau(self, L: str) -> str:
@@ -74,7 +81,10 @@ class EditIndex:
         left_values = left_values.select(a).where(F.length(a) > 0).distinct()
         if self.segments is None:
             return left_values.join(self.values, F.col(a) == F.col(b)).select(a, b)
-        probe = probe_segments(left_values, a, self.lengths, self.band, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, a)
+        probe = probe_segments(left_values, a, self.lengths, self.band, self.tau, self.per_edit) \
+            .select(SEG_LEN, SEG_NO, SEG_TXT, a)
+        if self.metric == "damerau":
+            return self._verify_damerau(probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]), a, b)
         # Verify inside the join (the filter becomes the join condition), then
         # dedupe only the verified pairs: a pair sharing several segments is
         # verified several times, but the candidate set is never shuffled again.
@@ -83,14 +93,29 @@ class EditIndex:
         return cand.select(a, b).distinct()
 
 
+    def _verify_damerau(self, cand: DataFrame, a: str, b: str) -> DataFrame:
+        """Damerau <= Levenshtein <= 2 * Damerau: Levenshtein decides most
+        pairs in the JVM; the Arrow UDF sees only ``budget < lev <= 2*budget``."""
+        p, q = self.p, self.q
+        m = f"greatest(length(`{a}`), length(`{b}`))"
+        budget = f"floor({q - p} * {m} / {q})"
+        lev = f"levenshtein(`{a}`, `{b}`)"
+        pairs = (cand.where(f"length(`{a}`) > 0 AND length(`{b}`) > 0 AND {lev} <= 2 * {budget}")
+                     .select(a, b).distinct()
+                     .selectExpr(a, b, f"{lev} <= {budget} AS _sure", f"{budget} AS _budget"))
+        sure = pairs.where("_sure").select(a, b)
+        maybe = pairs.where("NOT _sure").withColumn("_d", damerau_distance(F.col(a), F.col(b)))
+        return sure.unionByName(maybe.where("_d <= _budget").select(a, b))
+
+
 def edit_pairs(left_values: DataFrame, right_values: DataFrame, threshold: float,
-               a: str = "a", b: str = "b") -> DataFrame:
+               a: str = "a", b: str = "b", metric: str = "levenshtein") -> DataFrame:
     """Distinct ``(a, b)`` with ``edit_similarity(a, b) >= threshold``.
 
     ``left_values``/``right_values`` hold one string column each (``a``/``b``);
     null and blank values never match.
     """
-    return EditIndex(right_values, threshold, b).probe(left_values, a)
+    return EditIndex(right_values, threshold, b, metric).probe(left_values, a)
 
 
 def edit_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, threshold: float,

@@ -61,12 +61,12 @@ class RegisterSide:
     fathers.  ``persist`` checkpoints the indexes (for streams, where every
     micro-batch probes the same register)."""
 
-    def __init__(self, r: DataFrame, threshold: float = 0.9):
+    def __init__(self, r: DataFrame, threshold: float = 0.9, metric: str = "levenshtein"):
         self.rows = r
         # Register rows without a father's name leave the two-key branch
         self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
-        self.names = EditIndex(self.two_key.select(F.col("r_name").alias("b")), threshold)
-        self.fathers = EditIndex(self.two_key.select(F.col("r_father").alias("b")), threshold)
+        self.names = EditIndex(self.two_key.select(F.col("r_name").alias("b")), threshold, metric=metric)
+        self.fathers = EditIndex(self.two_key.select(F.col("r_father").alias("b")), threshold, metric=metric)
 
     def persist(self) -> "RegisterSide":
         self.names.persist()

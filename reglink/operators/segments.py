@@ -32,10 +32,15 @@ SEG_TXT = "_seg_txt"
 SqlFn = Callable[[str], str]
 
 
-def _layout(df: DataFrame, tau: SqlFn) -> DataFrame:
-    """Add ``_k`` (budget), ``_n`` (segments), ``_base``, ``_extra`` for ``_seg_L``."""
+def _layout(df: DataFrame, tau: SqlFn, per_edit: int = 1) -> DataFrame:
+    """Add ``_k`` (budget), ``_n`` (segments), ``_base``, ``_extra`` for ``_seg_L``.
+
+    ``per_edit`` is how many segments one unit of distance can spoil: 1 for
+    Levenshtein/indel, 2 with adjacent transpositions (a swap across a
+    boundary), so ``_n = per_edit * _k + 1`` keeps one segment intact."""
     df = df.selectExpr("*", f"CAST({tau(SEG_LEN)} AS INT) AS _k")
-    df = df.selectExpr("*", "_k + 1 AS _n", "CAST(floor(_seg_L / (_k + 1)) AS INT) AS _base")
+    n = f"({per_edit} * _k + 1)"
+    df = df.selectExpr("*", f"{n} AS _n", f"CAST(floor(_seg_L / {n}) AS INT) AS _base")
     return df.selectExpr("*", "_seg_L - _base * _n AS _extra")
 
 
@@ -44,17 +49,17 @@ _SEG_START = "(i * _base + greatest(0, i - (_n - _extra)))"
 _SEG_LEN = "(_base + IF(i >= _n - _extra, 1, 0))"
 
 
-def index_segments(df: DataFrame, text: str, tau: SqlFn) -> DataFrame:
+def index_segments(df: DataFrame, text: str, tau: SqlFn, per_edit: int = 1) -> DataFrame:
     """Emit ``(_seg_L, _seg_i, _seg_txt)`` for every segment of ``text``."""
     cols = [f"`{c}`" for c in df.columns]
-    out = _layout(df.where(F.length(text) > 0).selectExpr("*", f"length(`{text}`) AS {SEG_LEN}"), tau)
+    out = _layout(df.where(F.length(text) > 0).selectExpr("*", f"length(`{text}`) AS {SEG_LEN}"), tau, per_edit)
     gen = (f"inline(transform(sequence(0, _n - 1), i -> named_struct("
            f"'{SEG_NO}', i, '{SEG_TXT}', substring(`{text}`, {_SEG_START} + 1, {_SEG_LEN}))))")
     return out.selectExpr(*cols, SEG_LEN, gen)
 
 
 def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame, band: Callable[[str], tuple[str, str]],
-                   tau: SqlFn) -> DataFrame:
+                   tau: SqlFn, per_edit: int = 1) -> DataFrame:
     """Emit ``(_seg_L, _seg_i, _seg_txt)`` substrings of ``text`` to be joined
     against :func:`index_segments` of the other side.
 
@@ -69,10 +74,16 @@ def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame, band: Cal
     # Only lengths that exist on the index side: a table of at most
     # max(length) rows, so the broadcast is bounded by construction.
     out = out.join(F.broadcast(index_lengths), SEG_LEN, "left_semi")
-    out = _layout(out.selectExpr("*", f"length(`{text}`) AS _l"), tau)
-    # multi-match-aware window of segment i, clipped to the probe string
-    w_lo = f"greatest({_SEG_START} - i, {_SEG_START} + (_l - _seg_L) - (_k - i), 0)"
-    w_hi = f"least({_SEG_START} + i, {_SEG_START} + (_l - _seg_L) + (_k - i), _l - {_SEG_LEN})"
+    out = _layout(out.selectExpr("*", f"length(`{text}`) AS _l"), tau, per_edit)
+    if per_edit == 1:
+        # multi-match-aware window of segment i, clipped to the probe string
+        w_lo = f"greatest({_SEG_START} - i, {_SEG_START} + (_l - _seg_L) - (_k - i), 0)"
+        w_hi = f"least({_SEG_START} + i, {_SEG_START} + (_l - _seg_L) + (_k - i), _l - {_SEG_LEN})"
+    else:
+        # position- and shift-bounded window: at most _k inserts/deletes
+        # before the segment, and at most _k after it
+        w_lo = f"greatest({_SEG_START} - _k, {_SEG_START} + (_l - _seg_L) - _k, 0)"
+        w_hi = f"least({_SEG_START} + _k, {_SEG_START} + (_l - _seg_L) + _k, _l - {_SEG_LEN})"
     gen = (f"inline(flatten(transform(sequence(0, _n - 1), i -> transform("
            f"CASE WHEN {w_lo} <= {w_hi} THEN sequence({w_lo}, {w_hi}) ELSE CAST(array() AS ARRAY<INT>) END, "
            f"pos -> named_struct('{SEG_NO}', i, '{SEG_TXT}', substring(`{text}`, pos + 1, {_SEG_LEN}))))))")

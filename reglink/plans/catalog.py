@@ -57,6 +57,13 @@ def q_name_father(spark, sf_dir):
     return person.two_key_correlated(p, r, 0.9)
 
 
+@register_query("name_father_damerau", O.with_fixtures(O.NAME_FATHER_DAMERAU))
+def q_name_father_damerau(spark, sf_dir):
+    """J4 correlated with adjacent transpositions counted as one edit."""
+    p, r = _people(spark, sf_dir)
+    return person.two_key_correlated(p, person.RegisterSide(r, 0.9, metric="damerau"), 0.9)
+
+
 @register_query("name_father_chained", O.with_fixtures(O.NAME_FATHER_CHAINED, O.CHAINED_CTES))
 def q_name_father_chained(spark, sf_dir):
     pend = assign_chunks(fx.pending(spark, sf_dir), 100, "death_main_id")

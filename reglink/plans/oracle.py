@@ -230,3 +230,13 @@ PERSON_EVIDENCE_STRICT = (f"SELECT *, 'name_father' AS branch FROM ({NAME_FATHER
 SCORECARD_STRONG = "SELECT * FROM card WHERE name_score >= 90 AND father_score >= 90"
 GAZETTEER_ROUNDTRIP = ("SELECT BlockCode, BlockName AS name FROM blocks "
                        "UNION ALL SELECT Pincode AS BlockCode, Pincode AS name FROM pins")
+
+
+def sim_ok_damerau(a: str, b: str) -> str:
+    """Damerau-Levenshtein similarity >= 0.9 in integers; blank never matches."""
+    return (f"(length({a}) > 0 AND length({b}) > 0 AND "
+            f"10 * damerau_levenshtein({a}, {b}) <= greatest(length({a}), length({b})))")
+
+
+NAME_FATHER_DAMERAU = (f"SELECT {PERSON_SELECT} FROM p2 p JOIN r2 r ON {sim_ok_damerau('p.p_name', 'r.r_name')} "
+                       f"AND {sim_ok_damerau('p.p_father', 'r.r_father')}")

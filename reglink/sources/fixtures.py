@@ -12,8 +12,8 @@ kept; deterministic rules on the row's own columns decide its spelling.
   category = ``p_type``; district = ``p_brand``.
 * pending   <- ``customer`` joined with ``nation``, ``region`` and the part of
   the same key (its name): the queue of incoming records.  Its spelling
-  varies by ``c_custkey``: reversed, upper-cased with double spaces, or one
-  key letter off; fathers blank (``--``), null, unknown or one letter longer;
+  varies by ``c_custkey``: reversed, upper-cased with double spaces, one
+  key letter off, or the key's last two letters swapped; fathers blank (``--``), null, unknown or one letter longer;
   addresses null, a short typo of the nation, or the full
   ``customer, nation, region, segment``.
 * blocks    <- ``nation`` (code = 4-digit key) and ``region`` (code ``R`` + 3 digits).
@@ -64,9 +64,15 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     base = F.concat_ws(" ", "p_name", spell(k))
     first = F.split_part("p_name", F.lit(" "), F.lit(1))
+    key = spell(k)
+    # last two letters of the spelt key swapped: 2 Levenshtein edits, 1 Damerau edit
+    swapped = F.concat(F.expr("substring(translate(CAST(c_custkey AS STRING), '0123456789', 'abcdefghij'), 1, "
+                              "length(CAST(c_custkey AS STRING)) - 2)"),
+                       F.substring(key, -1, 1), F.substring(key, -2, 1))
     name = (F.when(k % 7 == 0, F.reverse(base))
              .when(k % 7 == 1, F.concat(F.upper(F.replace(base, F.lit(" "), F.lit("  "))), F.lit(".")))
              .when(k % 7 == 2, F.concat_ws(" ", "p_name", spell(k + 1)))
+             .when((k % 7 == 3) & (k >= 10), F.concat_ws(" ", "p_name", swapped))
              .otherwise(base))
     father = (F.when(k % 11 == 0, F.lit("--"))
                .when(k % 11 == 1, F.lit(None).cast("string"))
@@ -159,6 +165,10 @@ pending AS (
          CASE WHEN c_custkey % 7 = 0 THEN reverse(p_name || ' ' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij'))
               WHEN c_custkey % 7 = 1 THEN upper(replace(p_name || ' ' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij'), ' ', '  ')) || '.'
               WHEN c_custkey % 7 = 2 THEN p_name || ' ' || translate(CAST(c_custkey + 1 AS VARCHAR), '0123456789', 'abcdefghij')
+              WHEN c_custkey % 7 = 3 AND c_custkey >= 10 THEN p_name || ' ' ||
+                   substr(translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij'), 1, length(CAST(c_custkey AS VARCHAR)) - 2) ||
+                   right(translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij'), 1) ||
+                   substr(translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij'), length(CAST(c_custkey AS VARCHAR)) - 1, 1)
               ELSE p_name || ' ' || translate(CAST(c_custkey AS VARCHAR), '0123456789', 'abcdefghij') END AS DEATH_DECEASED_NAME,
          CASE WHEN c_custkey % 11 = 0 THEN '--'
               WHEN c_custkey % 11 = 1 THEN NULL

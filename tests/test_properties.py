@@ -157,3 +157,49 @@ def test_clean_name_idempotent_and_matches_python(spark, texts):
         expected = " ".join(re.sub(r"[^a-z\s]", "", t.lower()).split()).strip()
         if t.isascii():
             assert r.c == expected
+
+
+def damerau(a: str, b: str) -> int:
+    last_row, big = {}, len(a) + len(b)
+    d = [[0] * (len(b) + 2) for _ in range(len(a) + 2)]
+    d[0][0] = big
+    for i in range(len(a) + 1):
+        d[i + 1][0], d[i + 1][1] = big, i
+    for j in range(len(b) + 1):
+        d[0][j + 1], d[1][j + 1] = big, j
+    for i in range(1, len(a) + 1):
+        last_col = 0
+        for j in range(1, len(b) + 1):
+            i1, j1 = last_row.get(b[j - 1], 0), last_col
+            cost = 0 if a[i - 1] == b[j - 1] else 1
+            if cost == 0:
+                last_col = j
+            d[i + 1][j + 1] = min(d[i][j] + cost, d[i + 1][j] + 1, d[i][j + 1] + 1,
+                                  d[i1][j1] + (i - i1 - 1) + 1 + (j - j1 - 1))
+        last_row[a[i - 1]] = i
+    return d[len(a) + 1][len(b) + 1]
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.8])
+def test_damerau_pairs_complete_and_exact(spark, threshold):
+    rng = random.Random(17)
+    alpha = "abcd "
+
+    def swap(s):
+        s = list(s)
+        for _ in range(rng.randint(0, 3)):
+            if len(s) > 1:
+                i = rng.randrange(len(s) - 1)
+                s[i], s[i + 1] = s[i + 1], s[i]
+        return "".join(s)
+
+    base = ["".join(rng.choice(alpha) for _ in range(rng.randint(1, 26))) for _ in range(120)]
+    A = sorted({swap(_mutate(rng, x, alpha)) for x in base})
+    B = sorted({swap(x) for x in base} | set(base))
+    f = Fraction(str(threshold))
+    p, q = f.numerator, f.denominator
+    want = {(a, b) for a in A for b in B if a and b and q * damerau(a, b) <= (q - p) * max(len(a), len(b))}
+    got = {(r.a, r.b) for r in edit_pairs(spark.createDataFrame([(x,) for x in A], "a string"),
+                                          spark.createDataFrame([(x,) for x in B], "b string"),
+                                          threshold, metric="damerau").collect()}
+    assert got == want
