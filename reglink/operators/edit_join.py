@@ -99,13 +99,25 @@ class EditIndex:
         p, q = self.p, self.q
         m = f"greatest(length(`{a}`), length(`{b}`))"
         budget = f"floor({q - p} * {m} / {q})"
-        lev = f"levenshtein(`{a}`, `{b}`)"
-        pairs = (cand.where(f"length(`{a}`) > 0 AND length(`{b}`) > 0 AND {lev} <= 2 * {budget}")
+        # banded Levenshtein up to 2*budget inside the join condition (-1 beyond)
+        banded = " ".join(f"WHEN {budget} = {k} THEN levenshtein(`{a}`, `{b}`, {2 * k})" for k in range(1, 5))
+        lev2 = (f"CASE WHEN {budget} = 0 THEN IF(`{a}` = `{b}`, 0, -1) {banded} "
+                f"ELSE IF(levenshtein(`{a}`, `{b}`) <= 2 * {budget}, levenshtein(`{a}`, `{b}`), -1) END")
+        pairs = (cand.where(f"length(`{a}`) > 0 AND length(`{b}`) > 0 AND ({lev2}) >= 0")
                      .select(a, b).distinct()
-                     .selectExpr(a, b, f"{lev} <= {budget} AS _sure", f"{budget} AS _budget"))
+                     .selectExpr(a, b, f"levenshtein(`{a}`, `{b}`) <= {budget} AS _sure", f"{budget} AS _budget"))
         sure = pairs.where("_sure").select(a, b)
-        maybe = pairs.where("NOT _sure").withColumn("_d", damerau_distance(F.col(a), F.col(b)))
-        return sure.unionByName(maybe.where("_d <= _budget").select(a, b))
+        # budget 1 (every string under 2/(1-t) chars): Damerau 1 with
+        # Levenshtein 2 is exactly one adjacent swap at the first mismatch
+        first = f"array_position(zip_with(split(`{a}`, ''), split(`{b}`, ''), (x, y) -> x = y), false)"
+        one_swap = (f"length(`{a}`) = length(`{b}`) AND {first} > 0 AND {first} < length(`{a}`) "
+                    f"AND substr(`{a}`, {first}, 1) = substr(`{b}`, {first} + 1, 1) "
+                    f"AND substr(`{a}`, {first} + 1, 1) = substr(`{b}`, {first}, 1) "
+                    f"AND substr(`{a}`, {first} + 2) = substr(`{b}`, {first} + 2)")
+        swap1 = pairs.where(f"NOT _sure AND _budget = 1 AND {one_swap}").select(a, b)
+        # larger budgets: the Arrow UDF on the remaining band only
+        maybe = pairs.where("NOT _sure AND _budget > 1").withColumn("_d", damerau_distance(F.col(a), F.col(b)))
+        return sure.unionByName(swap1).unionByName(maybe.where("_d <= _budget").select(a, b))
 
 
 def edit_pairs(left_values: DataFrame, right_values: DataFrame, threshold: float,
