@@ -16,12 +16,32 @@ from reglink.functions.similarity import damerau_distance, edit_within, threshol
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
+VARIANT = "_var"
+
+
+def deletion_variants_sql(x: str) -> str:
+    """SQL: the string itself and every string with one char deleted."""
+    return (f"array_distinct(transform(sequence(0, length({x})), i -> IF(i = 0, {x}, "
+            f"concat(substr({x}, 1, i - 1), substr({x}, i + 1)))))")
 
 
 class EditIndex:
-    """Index side of an edit join: the segments of the distinct right values
-    and their lengths.  Built once and reused by many probes (e.g. every
-    micro-batch of a stream); ``persist`` cuts its lineage."""
+    """Index side of an edit join over the distinct right values, built once
+    and probed many times (every micro-batch of a stream, every run when
+    saved as bucketed tables).
+
+    Two exact candidate generators, split by the pair's edit budget
+    ``floor((q-p) * max(len) / q)``:
+
+    * budget <= 1 (every pair whose longer string is shorter than
+      ``long_from``; at 0.9 that is under 20 chars, i.e. most names): the
+      one-deletion neighbourhood.  Two strings within one edit -- or one
+      adjacent swap -- share the string itself or a one-char deletion, so
+      candidates are an equi-join on the variant.  Long shared prefixes do
+      not inflate it.
+    * budget >= 2: the segment filter (Pass-Join), probed only for length
+      pairs whose longer side reaches ``long_from``.
+    """
 
     METRICS = ("levenshtein", "damerau")
 
@@ -35,14 +55,22 @@ class EditIndex:
         # an adjacent swap across a segment boundary spoils two segments
         self.per_edit = 2 if metric == "damerau" else 1
         self.values = right_values.select(b).where(F.length(b) > 0).distinct()
-        if self.p != self.q and threshold < MIN_THRESHOLD:
-            raise ValueError(f"edit threshold {threshold} < {MIN_THRESHOLD}: segment filter not selective")
+        self.segments = self.lengths = self.variants = None
         if self.p == self.q:
-            self.segments = None
-            self.lengths = None
-        else:
-            self.segments = index_segments(self.values, b, self.tau, self.per_edit).select(SEG_LEN, SEG_NO, SEG_TXT, b)
-            self.lengths = self.values.select(F.length(b).alias(SEG_LEN)).distinct()
+            return
+        if threshold < MIN_THRESHOLD:
+            raise ValueError(f"edit threshold {threshold} < {MIN_THRESHOLD}: segment filter not selective")
+        p, q = self.p, self.q
+        # smallest max-length whose budget reaches 2
+        self.long_from = -(-2 * q // (q - p))
+        short_max = self.long_from - 1
+        self.variants = (self.values.where(F.length(b) <= short_max)
+                         .selectExpr(f"`{b}`", f"explode({deletion_variants_sql(f'`{b}`')}) AS {VARIANT}"))
+        # segments only for strings that can have a partner at least long_from long
+        min_indexed = -(-p * self.long_from // q)
+        longish = self.values.where(F.length(b) >= min_indexed)
+        self.segments = index_segments(longish, b, self.tau, self.per_edit).select(SEG_LEN, SEG_NO, SEG_TXT, b)
+        self.lengths = longish.select(F.length(b).alias(SEG_LEN)).distinct()
 
     def tau(self, L: str) -> str:
         # the largest budget any partner of a length-L string can have
@@ -58,40 +86,50 @@ class EditIndex:
         if self.segments is not None:
             self.segments = self.segments.checkpoint()
             self.lengths = self.lengths.checkpoint()
+            self.variants = self.variants.checkpoint()
         return self
 
     def save_bucketed(self, table: str, path: str, buckets: int) -> "EditIndex":
-        """Write the index as bucketed tables under ``path`` (shared storage):
-        segments bucketed on the join key, so a later probe shuffles only its
-        own side into the same buckets.  Returns an index reading them."""
+        """Write the index as bucketed tables under ``path`` (shared storage),
+        each bucketed on its join key, so a later probe shuffles only its own
+        side into the same buckets.  Returns an index reading them."""
         spark = self.values.sparkSession
         _save_bucketed(self.values, f"{table}_values", f"{path}/values", buckets, [self.b])
         self.values = spark.table(f"{table}_values")
         if self.segments is not None:
             _save_bucketed(self.segments, f"{table}_segments", f"{path}/segments", buckets,
                            [SEG_LEN, SEG_NO, SEG_TXT])
+            _save_bucketed(self.variants, f"{table}_variants", f"{path}/variants", buckets, [VARIANT])
             self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
             self.segments = spark.table(f"{table}_segments")
+            self.variants = spark.table(f"{table}_variants")
             self.lengths = spark.read.parquet(f"{path}/lengths")
         return self
 
+    def candidates(self, left_values: DataFrame, a: str) -> DataFrame:
+        """Unverified ``(a, b)`` candidates (with repeats) from both generators."""
+        b = self.b
+        short_max = self.long_from - 1
+        short = (left_values.where(F.length(a) <= short_max)
+                 .selectExpr(f"`{a}`", f"explode({deletion_variants_sql(f'`{a}`')}) AS {VARIANT}")
+                 .join(self.variants, VARIANT).select(a, b))
+        probe = probe_segments(left_values, a, self.lengths, self.band, self.tau, self.per_edit,
+                               min_pair_len=self.long_from).select(SEG_LEN, SEG_NO, SEG_TXT, a)
+        long = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select(a, b)
+        return short.unionByName(long)
+
     def probe(self, left_values: DataFrame, a: str = "a") -> DataFrame:
         """Distinct verified ``(a, b)`` pairs for the left values."""
         b = self.b
         left_values = left_values.select(a).where(F.length(a) > 0).distinct()
         if self.segments is None:
             return left_values.join(self.values, F.col(a) == F.col(b)).select(a, b)
-        probe = probe_segments(left_values, a, self.lengths, self.band, self.tau, self.per_edit) \
-            .select(SEG_LEN, SEG_NO, SEG_TXT, a)
+        cand = self.candidates(left_values, a)
         if self.metric == "damerau":
-            return self._verify_damerau(probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]), a, b)
-        # Verify inside the join (the filter becomes the join condition), then
-        # dedupe only the verified pairs: a pair sharing several segments is
-        # verified several times, but the candidate set is never shuffled again.
-        cand = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]) \
-                    .where(edit_within(a, b, self.threshold))
-        return cand.select(a, b).distinct()
-
+            return self._verify_damerau(cand, a, b)
+        # Verify before deduplicating: a pair found several times is verified
+        # several times, but the candidate set is never shuffled again.
+        return cand.where(edit_within(a, b, self.threshold)).select(a, b).distinct()
 
     def _verify_damerau(self, cand: DataFrame, a: str, b: str) -> DataFrame:
         """Damerau <= Levenshtein <= 2 * Damerau: Levenshtein decides most

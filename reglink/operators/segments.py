@@ -59,13 +59,15 @@ def index_segments(df: DataFrame, text: str, tau: SqlFn, per_edit: int = 1) -> D
 
 
 def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame, band: Callable[[str], tuple[str, str]],
-                   tau: SqlFn, per_edit: int = 1) -> DataFrame:
+                   tau: SqlFn, per_edit: int = 1, min_pair_len: int | None = None) -> DataFrame:
     """Emit ``(_seg_L, _seg_i, _seg_txt)`` substrings of ``text`` to be joined
     against :func:`index_segments` of the other side.
 
     ``index_lengths`` holds one column ``_seg_L`` with the distinct lengths of
     the index side; ``band(l)`` gives the inclusive range of index lengths a
-    probe string of length ``l`` can pair with.
+    probe string of length ``l`` can pair with.  ``min_pair_len`` keeps only
+    length pairs whose longer side reaches it (shorter pairs are handled by
+    another generator).
     """
     cols = [f"`{c}`" for c in df.columns]
     lo, hi = band(f"length(`{text}`)")
@@ -73,6 +75,8 @@ def probe_segments(df: DataFrame, text: str, index_lengths: DataFrame, band: Cal
         "*", f"explode(sequence(greatest({lo}, 1), {hi})) AS {SEG_LEN}")
     # Only lengths that exist on the index side: a table of at most
     # max(length) rows, so the broadcast is bounded by construction.
+    if min_pair_len is not None:
+        out = out.where(f"greatest(length(`{text}`), {SEG_LEN}) >= {min_pair_len}")
     out = out.join(F.broadcast(index_lengths), SEG_LEN, "left_semi")
     out = _layout(out.selectExpr("*", f"length(`{text}`) AS _l"), tau, per_edit)
     if per_edit == 1:
