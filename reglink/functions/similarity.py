@@ -7,9 +7,8 @@
   ``t0 = sort(A&B)``, ``t1 = t0+' '+sort(A-B)``, ``t2 = t0+' '+sort(B-A)``:
   ``max(ratio(t0,t1), ratio(t0,t2), ratio(t1,t2))`` with
   ``ratio(x, y) = round_half_even(200*LCS(x, y) / (|x|+|y|))`` (0 if either is
-  empty).  ``t0`` is a prefix of ``t1``/``t2`` so the first two are closed
-  form; the third needs ``LCS(sort(A-B), sort(B-A))`` only, computed by an
-  Arrow UDF on the few pairs where it can change the result.
+  empty).  The scoring itself lives in ``operators.token_join.score_pairs``;
+  here are the normalisation and the LCS / Damerau Arrow UDFs.
 """
 
 from __future__ import annotations
@@ -103,30 +102,6 @@ def token_set(c) -> Column:
     return F.array_sort(F.array_distinct(F.filter(toks, lambda x: x != "")))
 
 
-def _ratio_prefix(lp: Column, lx: Column) -> Column:
-    """ratio(p, x) when p is a prefix of x (LCS = |p|)."""
-    return F.when((lp == 0) | (lx == 0), F.lit(0)).otherwise(
-        F.bround(F.lit(200.0) * lp / (lp + lx), 0).cast("int"))
-
-
-def ratio_from_lcs(lcs: Column, la: Column, lb: Column) -> Column:
-    return F.when((la == 0) | (lb == 0), F.lit(0)).otherwise(
-        F.bround(F.lit(200.0) * lcs / (la + lb), 0).cast("int"))
-
-
-def token_set_parts(a_tokens: Column, b_tokens: Column) -> dict[str, Column]:
-    """Closed-form parts of token_set_ratio for two sorted token arrays."""
-    inter = F.array_sort(F.array_intersect(a_tokens, b_tokens))
-    d_ab = F.array_sort(F.array_except(a_tokens, b_tokens))
-    d_ba = F.array_sort(F.array_except(b_tokens, a_tokens))
-    t0 = F.array_join(inter, " ")
-    s_ab = F.array_join(d_ab, " ")
-    s_ba = F.array_join(d_ba, " ")
-    t1 = F.trim(F.concat_ws(" ", t0, s_ab))
-    t2 = F.trim(F.concat_ws(" ", t0, s_ba))
-    return {"_t0": t0, "_sab": s_ab, "_sba": s_ba, "_t1": t1, "_t2": t2}
-
-
 def _make_lcs_udf():
     # Built in a factory so cloudpickle ships the function by value: executors
     # need pandas only, not this package on their path.
