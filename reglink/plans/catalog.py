@@ -312,6 +312,18 @@ def q_evidence_sink_roundtrip(spark, sf_dir):
     return pipeline.read_evidence(spark, path, "person").drop("run_date", "chunk_id")
 
 
+@register_query("pipeline_evidence", O.with_fixtures(O.PIPELINE_EVIDENCE, O.EVIDENCE_CTES))
+def q_pipeline_evidence(spark, sf_dir):
+    """E1 end to end: chunk the queue, match it (block, pin, person), write
+    each evidence kind once partitioned by run date and chunk, read back."""
+    pend = fx.pending(spark, sf_dir)
+    ch = chunks.assign_chunks(pend.select("death_main_id"), 100, "death_main_id")
+    ev = pipeline.run(pend, fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir))
+    path = scratch_path(spark, "pipeline")
+    pipeline.write_evidence(ev, path, "2024-01-01", chunks=ch)
+    return pipeline.read_all_evidence(spark, path)
+
+
 @register_query("incremental_evidence", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_incremental_evidence(spark, sf_dir):
     """Pending written as one folder per chunk, consumed as a stream

@@ -240,3 +240,8 @@ def sim_ok_damerau(a: str, b: str) -> str:
 
 NAME_FATHER_DAMERAU = (f"SELECT {PERSON_SELECT} FROM p2 p JOIN r2 r ON {sim_ok_damerau('p.p_name', 'r.r_name')} "
                        f"AND {sim_ok_damerau('p.p_father', 'r.r_father')}")
+
+PIPELINE_EVIDENCE = """
+SELECT death_main_id, 'block' AS evidence, block_id AS ref_id, score FROM block_ev
+UNION ALL SELECT death_main_id, 'pin' AS evidence, matched_pin AS ref_id, score FROM pin_ev
+UNION ALL SELECT death_main_id, 'person' AS evidence, rc_no AS ref_id, CAST(NULL AS INTEGER) AS score FROM person_ev"""

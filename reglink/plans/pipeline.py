@@ -101,6 +101,21 @@ def read_evidence(spark, path: str, kind: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{kind}")
 
 
+EVIDENCE_REF = {"block": ("block_id", "score"), "pin": ("matched_pin", "score"), "person": ("rc_no", None)}
+
+
+def read_all_evidence(spark, path: str) -> DataFrame:
+    """All evidence kinds as one table: ``death_main_id, evidence, ref_id, score``
+    (score is null for person evidence)."""
+    out = None
+    for kind, (ref, score) in EVIDENCE_REF.items():
+        df = read_evidence(spark, path, kind).select(
+            "death_main_id", F.lit(kind).alias("evidence"), F.col(ref).alias("ref_id"),
+            (F.col(score) if score else F.lit(None)).cast("int").alias("score"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def unmatched_report(pending: DataFrame, ev: Evidence) -> DataFrame:
     """J7 per record and evidence kind."""
     out = None
