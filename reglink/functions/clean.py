@@ -22,9 +22,14 @@ def clean_name(c) -> Column:
     return F.trim(F.regexp_replace(kept, r"(?U)[\s\x{1C}-\x{1F}]+", " "))
 
 
+# Python's ``\w`` is letters, numbers and '_' (no combining marks, unlike
+# Java's ``(?U)\w``), so the word class is spelt out.
+WORD = r"\p{L}\p{N}_"
+
+
 def strip_punct(c) -> Column:
     """Remove every char that is neither a word char nor whitespace."""
-    return F.regexp_replace(as_col(c), r"(?U)[^\w\s]", "")
+    return F.regexp_replace(as_col(c), rf"(?U)[^{WORD}\s\x{{1C}}-\x{{1F}}]", "")
 
 
 def concat_address(*cols) -> Column:

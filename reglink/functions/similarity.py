@@ -86,13 +86,14 @@ def normalize_tokens_text(c) -> Column:
     """Drop chars U+0080..U+00FF, non-word chars -> space, lower, trim."""
     c = as_col(c)
     ascii_ish = F.regexp_replace(c, r"[\x{80}-\x{FF}]", "")
-    return F.trim(F.lower(F.regexp_replace(ascii_ish, r"(?U)\W", " ")))
+    return F.trim(F.lower(F.regexp_replace(ascii_ish, r"[^\p{L}\p{N}_]", " ")))
 
 
 def canonical_tokens_sql(x: str) -> str:
     """SQL: sorted distinct tokens of the normalised text joined by one space
     ('' for blank) -- the canonical form a token-set score depends on."""
-    norm = rf"trim(lower(regexp_replace(regexp_replace({x}, r'[\x{{80}}-\x{{FF}}]', ''), r'(?U)\W', ' ')))"
+    # Python's \W: anything but letters, numbers and '_' (marks included)
+    norm = rf"trim(lower(regexp_replace(regexp_replace({x}, r'[\x{{80}}-\x{{FF}}]', ''), r'[^\p{{L}}\p{{N}}_]', ' ')))"
     return f"array_join(array_sort(array_distinct(filter(split({norm}, ' '), t -> t != ''))), ' ')"
 
 

@@ -203,3 +203,17 @@ def test_damerau_pairs_complete_and_exact(spark, threshold):
                                           spark.createDataFrame([(x,) for x in B], "b string"),
                                           threshold, metric="damerau").collect()}
     assert got == want
+
+
+def test_word_class_matches_python_re(spark):
+    """strip_punct and the token normalisation use Python's word class
+    (letters, numbers, '_'; combining marks are not word chars)."""
+    from reglink.functions.clean import strip_punct
+    from reglink.functions.similarity import canonical_tokens_sql
+    texts = ["রিনা দাস, ২ নং ওয়ার্ড", "O'Neil-Smith 2nd", "Ünïcode_x ½ café", "áb c", "naïve—test_1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(strip_punct("t").alias("x"), F.expr(canonical_tokens_sql("t")).alias("y")).collect()
+    for r, t in zip(rows, texts):
+        assert r.x == re.sub(r"[^\w\s]", "", t)
+        norm = re.sub(r"(?ui)\W", " ", re.sub(r"[\u0080-ÿ]", "", t)).lower().strip()
+        assert r.y == " ".join(sorted(set(norm.split())))
