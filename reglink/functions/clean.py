@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.functions.util import as_col
 
 
@@ -18,6 +19,7 @@ def clean_name(c) -> Column:
     ``O'Neil-Smith 2nd`` becomes ``oneilsmith nd``; null stays null."""
     c = as_col(c)
     # Python's whitespace also covers U+001C..U+001F, Java's (?U)\s does not
+    # C.CLEAN_NAME_DELETE, with Python's whitespace set spelt out for Java
     kept = F.regexp_replace(F.lower(c), r"(?U)[^a-z\s\x{1C}-\x{1F}]", "")
     return F.trim(F.regexp_replace(kept, r"(?U)[\s\x{1C}-\x{1F}]+", " "))
 
@@ -34,7 +36,7 @@ def strip_punct(c) -> Column:
 
 def concat_address(*cols) -> Column:
     """Join the non-null parts with ``,`` (empty strings are kept)."""
-    return F.concat_ws(",", *[as_col(c) for c in cols])
+    return F.concat_ws(C.ADDRESS_SEPARATOR, *[as_col(c) for c in cols])
 
 
 def blank_to_empty(c) -> Column:

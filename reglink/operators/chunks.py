@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reglink import constants as C
+
 LOCAL_BITS = 33  # monotonically_increasing_id = (partition << 33) + index in partition
 
 
@@ -27,7 +29,7 @@ def pending_count(main: DataFrame, key: str = "id", flag: str = "is_send") -> Da
     return pending_only(main, flag).agg(F.count(key).alias("pending_count"))
 
 
-def chunk_count(main: DataFrame, size: int = 100, key: str = "id", flag: str = "is_send") -> DataFrame:
+def chunk_count(main: DataFrame, size: int = C.CHUNK_SIZE, key: str = "id", flag: str = "is_send") -> DataFrame:
     """A1 + A3: pending rows and ``ceil(count / size)`` chunks."""
     return pending_count(main, key, flag).select(
         "pending_count", F.ceil(F.col("pending_count") / F.lit(size)).cast("long").alias("chunk_count"))
@@ -51,7 +53,7 @@ def assign_positions(df: DataFrame, key: str, num_partitions: int | None = None)
     return out.withColumn("position", (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_pid", "_local", "_off")
 
 
-def assign_chunks(df: DataFrame, size: int = 100, key: str = "id", num_partitions: int | None = None) -> DataFrame:
+def assign_chunks(df: DataFrame, size: int = C.CHUNK_SIZE, key: str = "id", num_partitions: int | None = None) -> DataFrame:
     """``chunk_id`` (1-based) of consecutive groups of ``size`` rows by ``key``."""
     pos = assign_positions(df, key, num_partitions)
     return pos.withColumn("chunk_id", ((F.col("position") - 1) / F.lit(size)).cast("long") + 1)
@@ -78,7 +80,7 @@ def ids_from_list(lists: DataFrame, col: str = "id_list", key: str = "id") -> Da
                 .select(*[c for c in lists.columns if c != col], F.col("_v").cast("long").alias(key))
 
 
-def claim_pending(main: DataFrame, n_chunks: int, size: int = 100, key: str = "id",
+def claim_pending(main: DataFrame, n_chunks: int, size: int = C.CHUNK_SIZE, key: str = "id",
                   flag: str = "is_send") -> DataFrame:
     """S7 + K8: the ids of the next ``n_chunks`` chunks, as ledger rows.
 

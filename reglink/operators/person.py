@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.functions.clean import clean_name
 from reglink.operators.edit_join import EditIndex
 
@@ -61,7 +62,7 @@ class RegisterSide:
     fathers.  ``persist`` checkpoints the indexes (for streams, where every
     micro-batch probes the same register)."""
 
-    def __init__(self, r: DataFrame, threshold: float = 0.9, metric: str = "levenshtein"):
+    def __init__(self, r: DataFrame, threshold: float = C.NAME_THRESHOLD, metric: str = "levenshtein"):
         self.rows = r
         # Register rows without a father's name leave the two-key branch
         self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
@@ -107,7 +108,7 @@ def father_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
         .select(F.col("a").alias("p_father"), F.col("b").alias("r_father"))
 
 
-def name_match(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
+def name_match(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:
     """J3 alone: two-key pending rows x register rows with similar names."""
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
@@ -115,7 +116,7 @@ def name_match(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
               .join(side.two_key, "r_name").select(*PERSON_COLUMNS))
 
 
-def two_key_correlated(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
+def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:
     """J3 + J4 correlated: name and father of the same pair both >= threshold."""
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
@@ -127,7 +128,7 @@ def two_key_correlated(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
     return cand.join(side.two_key, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
 
 
-def two_key_chained(p: DataFrame, r, threshold: float = 0.9) -> DataFrame:
+def two_key_chained(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:
     """J3 + J4 chained, per chunk (``p`` needs ``chunk_id``); bag semantics."""
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
@@ -151,7 +152,7 @@ def name_only_match(p: DataFrame, r) -> DataFrame:
     return p1.join(r1, "r_name").select(*PERSON_COLUMNS)
 
 
-def person_evidence(p: DataFrame, r, threshold: float = 0.9, mode: str = "correlated") -> DataFrame:
+def person_evidence(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD, mode: str = "correlated") -> DataFrame:
     """Both branches in one output with a ``branch`` column."""
     r = _side(r, threshold)
     if mode == "correlated":

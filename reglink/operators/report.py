@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.functions.similarity import edit_score
 from reglink.functions.util import as_col
 
@@ -75,8 +76,8 @@ def format_elapsed(seconds) -> Column:
     s = as_col(seconds).cast("long")
     h = F.floor(s / 3600).cast("long")
     m = F.floor((s % 3600) / 60).cast("long")
-    return F.concat(h.cast("string"), F.lit(" Hour "), m.cast("string"), F.lit(" Minutes "),
-                    (s % 60).cast("string"), F.lit(" Seconds"))
+    return F.concat(h.cast("string"), F.lit(C.ELAPSED_HOUR), m.cast("string"), F.lit(C.ELAPSED_MINUTES),
+                    (s % 60).cast("string"), F.lit(C.ELAPSED_SECONDS))
 
 
 def elapsed_seconds(start, end) -> Column:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.functions.similarity import canonical_tokens_sql, lcs_length, token_set
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 
@@ -34,7 +35,7 @@ class TokenSetIndex:
     of the rows, their distinct set, the token postings and the segment index
     for the no-shared-token path."""
 
-    def __init__(self, right: DataFrame, right_key: str, right_text: str, threshold: int = 80):
+    def __init__(self, right: DataFrame, right_key: str, right_text: str, threshold: int = C.ADDRESS_THRESHOLD):
         if threshold < MIN_SCORE:
             raise ValueError(f"token_set threshold {threshold} < {MIN_SCORE}")
         self.threshold = threshold
@@ -122,7 +123,7 @@ def score_pairs(pairs: DataFrame, threshold: int | None = None) -> DataFrame:
 
 
 def token_set_join(left: DataFrame, right: DataFrame, left_key: str, left_text: str,
-                   right_key: str, right_text: str, threshold: int = 80,
+                   right_key: str, right_text: str, threshold: int = C.ADDRESS_THRESHOLD,
                    left_out: str | None = None, right_out: str | None = None) -> DataFrame:
     """``(left_key, right_key, score)`` for every pair with score >= threshold.
 

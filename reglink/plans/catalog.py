@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reglink import constants as C
 from reglink.functions import clean
 from reglink.operators import chunks, person, report, token_join
 from reglink.operators.chunks import assign_chunks
@@ -48,48 +49,48 @@ def q_name_only(spark, sf_dir):
 @register_query("name_match", O.with_fixtures(O.NAME_MATCH))
 def q_name_match(spark, sf_dir):
     p, r = _people(spark, sf_dir)
-    return person.name_match(p, r, 0.9)
+    return person.name_match(p, r, C.NAME_THRESHOLD)
 
 
 @register_query("name_father_match", O.with_fixtures(O.NAME_FATHER))
 def q_name_father(spark, sf_dir):
     p, r = _people(spark, sf_dir)
-    return person.two_key_correlated(p, r, 0.9)
+    return person.two_key_correlated(p, r, C.NAME_THRESHOLD)
 
 
 @register_query("name_father_damerau", O.with_fixtures(O.NAME_FATHER_DAMERAU))
 def q_name_father_damerau(spark, sf_dir):
     """J4 correlated with adjacent transpositions counted as one edit."""
     p, r = _people(spark, sf_dir)
-    return person.two_key_correlated(p, person.RegisterSide(r, 0.9, metric="damerau"), 0.9)
+    return person.two_key_correlated(p, person.RegisterSide(r, 0.9, metric="damerau"), C.NAME_THRESHOLD)
 
 
 @register_query("name_father_chained", O.with_fixtures(O.NAME_FATHER_CHAINED, O.CHAINED_CTES))
 def q_name_father_chained(spark, sf_dir):
-    pend = assign_chunks(fx.pending(spark, sf_dir), 100, "death_main_id")
+    pend = assign_chunks(fx.pending(spark, sf_dir), C.CHUNK_SIZE, "death_main_id")
     p = person.prepare_pending(pend)
     r = person.prepare_register(fx.register(spark, sf_dir))
-    return person.two_key_chained(p, r, 0.9)
+    return person.two_key_chained(p, r, C.NAME_THRESHOLD)
 
 
 @register_query("person_evidence", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_person_evidence(spark, sf_dir):
     p, r = _people(spark, sf_dir)
-    return person.person_evidence(p, r, 0.9, "correlated")
+    return person.person_evidence(p, r, C.NAME_THRESHOLD, "correlated")
 
 
 @register_query("block_match", O.with_fixtures(O.BLOCK_BODY, O.BLOCK_CTES))
 def q_block_match(spark, sf_dir):
     return token_join.token_set_join(fx.pending(spark, sf_dir), fx.blocks(spark, sf_dir),
                                      "death_main_id", "death_address", "BlockCode", "BlockName",
-                                     80, right_out="block_id")
+                                     C.ADDRESS_THRESHOLD, right_out="block_id")
 
 
 @register_query("pin_match", O.with_fixtures(O.PIN_BODY, O.PIN_CTES))
 def q_pin_match(spark, sf_dir):
     return token_join.token_set_join(fx.pending(spark, sf_dir), fx.pins(spark, sf_dir),
                                      "death_main_id", "death_address", "Pincode", "Pincode",
-                                     80, right_out="matched_pin")
+                                     C.ADDRESS_THRESHOLD, right_out="matched_pin")
 
 
 @register_query("block_match_contained", O.with_fixtures(O.BLOCK_CONTAINED))
@@ -173,7 +174,7 @@ def q_pin_list(spark, sf_dir):
 
 def _chunks(spark, sf_dir):
     main = fx.pending_main(spark, sf_dir)
-    return main, chunks.assign_chunks(chunks.pending_only(main).select("id"), 100, "id")
+    return main, chunks.assign_chunks(chunks.pending_only(main).select("id"), C.CHUNK_SIZE, "id")
 
 
 @register_query("pending_chunks", O.with_fixtures(O.PENDING_CHUNKS, O.CHUNK_CTE))
@@ -184,7 +185,7 @@ def q_pending_chunks(spark, sf_dir):
 
 @register_query("chunk_stats", O.with_fixtures(O.CHUNK_STATS))
 def q_chunk_stats(spark, sf_dir):
-    return chunks.chunk_count(fx.pending_main(spark, sf_dir), 100, "id")
+    return chunks.chunk_count(fx.pending_main(spark, sf_dir), C.CHUNK_SIZE, "id")
 
 
 @register_query("chunk_id_lists", O.with_fixtures(O.CHUNK_ID_LISTS, O.CHUNK_CTE))
@@ -202,7 +203,7 @@ def q_ids_from_list(spark, sf_dir):
 @register_query("still_pending", O.with_fixtures(O.STILL_PENDING, O.CHUNK_CTE))
 def q_still_pending(spark, sf_dir):
     main = fx.pending_main(spark, sf_dir)
-    ledger = chunks.claim_pending(main, 5, 100, "id")
+    ledger = chunks.claim_pending(main, 5, C.CHUNK_SIZE, "id")
     return chunks.still_pending(main, ledger, "id")
 
 
@@ -224,8 +225,8 @@ def q_unmatched(spark, sf_dir):
 def q_match_counts(spark, sf_dir):
     pend = fx.pending(spark, sf_dir)
     p, r = person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir))
-    ev = person.person_evidence(p, r, 0.9)
-    ch = chunks.assign_chunks(pend.select("death_main_id"), 100, "death_main_id")
+    ev = person.person_evidence(p, r, C.NAME_THRESHOLD)
+    ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
     return report.match_counts(ev, ch)
 
 
@@ -268,7 +269,7 @@ def q_elapsed_text(spark, sf_dir):
 @register_query("peek", O.with_fixtures(O.PEEK))
 def q_peek(spark, sf_dir):
     p, r = _people(spark, sf_dir)
-    return report.peek(person.person_evidence(p, r, 0.9), ["death_main_id", "rc_no", "branch"], 5)
+    return report.peek(person.person_evidence(p, r, C.NAME_THRESHOLD), ["death_main_id", "rc_no", "branch"], 5)
 
 
 @register_query("register_slice", O.with_fixtures(O.REGISTER_SLICE))
@@ -282,7 +283,7 @@ def q_register_slice(spark, sf_dir):
 def q_person_evidence_strict(spark, sf_dir):
     p = person.prepare_pending(fx.pending(spark, sf_dir), "strict")
     r = person.prepare_register(fx.register(spark, sf_dir))
-    return person.person_evidence(p, r, 0.9)
+    return person.person_evidence(p, r, C.NAME_THRESHOLD)
 
 
 @register_query("person_evidence_bucketed", O.with_fixtures(O.PERSON_EVIDENCE))
@@ -294,7 +295,7 @@ def q_person_evidence_bucketed(spark, sf_dir):
     path = scratch_path(spark, "register-bucketed")
     ref = pipeline.prepare_reference(fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir),
                                      bucketed_path=path, table_prefix=f"reglink_reg_{uuid.uuid4().hex[:8]}")
-    return person.person_evidence(person.prepare_pending(fx.pending(spark, sf_dir)), ref.register, 0.9)
+    return person.person_evidence(person.prepare_pending(fx.pending(spark, sf_dir)), ref.register, C.NAME_THRESHOLD)
 
 
 @register_query("evidence_sink_roundtrip", O.with_fixtures(O.PERSON_EVIDENCE))
@@ -303,8 +304,8 @@ def q_evidence_sink_roundtrip(spark, sf_dir):
     (a retried job); dynamic partition overwrite leaves one copy."""
     pend = fx.pending(spark, sf_dir)
     p, r = person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir))
-    ev = person.person_evidence(p, r, 0.9)
-    ch = chunks.assign_chunks(pend.select("death_main_id"), 100, "death_main_id")
+    ev = person.person_evidence(p, r, C.NAME_THRESHOLD)
+    ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
     out = ev.join(ch.select("death_main_id", "chunk_id"), "death_main_id")
     path = scratch_path(spark, "evidence")
     for _ in range(2):
@@ -317,7 +318,7 @@ def q_pipeline_evidence(spark, sf_dir):
     """E1 end to end: chunk the queue, match it (block, pin, person), write
     each evidence kind once partitioned by run date and chunk, read back."""
     pend = fx.pending(spark, sf_dir)
-    ch = chunks.assign_chunks(pend.select("death_main_id"), 100, "death_main_id")
+    ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
     ev = pipeline.run(pend, fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir))
     path = scratch_path(spark, "pipeline")
     pipeline.write_evidence(ev, path, "2024-01-01", chunks=ch)
@@ -329,7 +330,7 @@ def q_incremental_evidence(spark, sf_dir):
     """Pending written as one folder per chunk, consumed as a stream
     a few files per micro-batch, matched against the static register."""
     pend = fx.pending(spark, sf_dir)
-    ch = chunks.assign_chunks(pend, 100, "death_main_id").drop("position")
+    ch = chunks.assign_chunks(pend, C.CHUNK_SIZE, "death_main_id").drop("position")
     base = scratch_path(spark, "stream")
     # one file per chunk, as the reference's chunk files
     sinks.write_chunks(ch.repartition("chunk_id"), f"{base}/in")

@@ -12,13 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.functions.clean import concat_address, strip_punct
 from reglink.operators import person, token_join
 from reglink.sources import sinks
 
-DROPPED_UPLOAD_COLUMNS = ["DEATH_SPOUSE_NAME", "DEATH_DATE", "DEATH_BASE_REGN_DATE", "DEATH_AGE_YEAR", "DEATH_SEX"]
-ADDRESS_COLUMNS = ["DEATH_RESIDENCE", "DEATH_RESIDENCE_STREET", "DEATH_RESIDENCE_PREMISES",
-                   "DEATH_RESIDENCE_DIST", "DEATH_RESIDENCE_STATE"]
+DROPPED_UPLOAD_COLUMNS = C.UPLOAD_DROPPED_COLUMNS
+ADDRESS_COLUMNS = C.UPLOAD_ADDRESS_COLUMNS
 
 
 @dataclass
@@ -58,7 +58,7 @@ class Reference:
 
 
 def prepare_reference(register: DataFrame, blocks: DataFrame, pins: DataFrame,
-                      name_threshold: float = 0.9, address_threshold: int = 80,
+                      name_threshold: float = C.NAME_THRESHOLD, address_threshold: int = C.ADDRESS_THRESHOLD,
                       bucketed_path: str | None = None, buckets: int | None = None,
                       table_prefix: str = "reglink_register") -> Reference:
     """The reference side of a run.  With ``bucketed_path`` (shared storage)
@@ -76,7 +76,8 @@ def prepare_reference(register: DataFrame, blocks: DataFrame, pins: DataFrame,
 
 
 def run(pending: DataFrame, register: DataFrame | None, blocks: DataFrame | None, pins: DataFrame | None,
-        name_threshold: float = 0.9, address_threshold: int = 80, mode: str = "correlated",
+        name_threshold: float = C.NAME_THRESHOLD, address_threshold: int = C.ADDRESS_THRESHOLD,
+        mode: str = "correlated",
         blank_policy: str = "null_is_blank", reference: Reference | None = None) -> Evidence:
     """Block, pin and person evidence for ``pending``
     (``death_main_id, DEATH_DECEASED_NAME, DEATH_FATHER_NAME, death_address``
