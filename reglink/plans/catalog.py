@@ -7,7 +7,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +61,7 @@ def q_name_father(spark, sf_dir):
 def q_name_father_damerau(spark, sf_dir):
     """J4 correlated with adjacent transpositions counted as one edit."""
     p, r = _people(spark, sf_dir)
-    return person.two_key_correlated(p, person.RegisterSide(r, 0.9, metric="damerau"), C.NAME_THRESHOLD)
+    return person.two_key_correlated(p, person.RegisterSide(r, C.NAME_THRESHOLD, metric="damerau"), C.NAME_THRESHOLD)
 
 
 @register_query("name_father_chained", O.with_fixtures(O.NAME_FATHER_CHAINED, O.CHAINED_CTES))
