@@ -5,7 +5,8 @@ Each query is materialised in full with the ``noop`` sink (no collect to the
 driver).  ``value`` is the sum over the headline queries; every registered
 query is timed and reported under ``queries``.  ``BENCH_QUERIES`` (comma
 list) restricts the run; ``BENCH_NAIVE=1`` also times the naive cross-join
-form of the two-key person match for the fast-path/naive ratio.
+form of the two-key person match for the fast-path/naive ratio;
+``BENCH_PAIRS=1`` reports candidate vs verified pairs of the name index.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ def main() -> None:
     extra = {}
     if os.environ.get("BENCH_NAIVE") == "1":
         extra["naive_name_father_sec"] = naive_name_father(spark, sf_dir)
+    if os.environ.get("BENCH_PAIRS") == "1":
+        extra["name_pairs"] = name_pair_counts(spark, sf_dir)
 
     headline = [n for n in HEADLINE if n in times] or list(times)
     total = round(sum(times[n] for n in headline), 3)
@@ -54,6 +57,25 @@ def main() -> None:
                       "all_queries_sec": round(sum(times.values()), 3), **extra}))
 
 
+def name_pair_counts(spark, sf_dir: str) -> dict:
+    """Candidate vs verified pairs of the name edit index."""
+    from pyspark.sql import functions as F
+
+    from reglink.operators import person
+    from reglink.operators.edit_join import EditIndex
+    from reglink.sources import fixtures as fx
+    p = person.prepare_pending(fx.pending(spark, sf_dir))
+    r = person.prepare_register(fx.register(spark, sf_dir))
+    p2 = p.where(~F.col("name_only") & (F.length("p_name") > 0) & (F.length("p_father") > 0))
+    r2 = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
+    left = p2.select(F.col("p_name").alias("a")).where(F.length("a") > 0).distinct()
+    out = {"left_distinct": left.count(), "right_distinct": r2.select("r_name").distinct().count()}
+    for metric in ("levenshtein", "damerau"):
+        ix = EditIndex(r2.select(F.col("r_name").alias("b")), 0.9, metric=metric)
+        out[metric] = {"candidates": ix.candidates(left, "a").count(), "verified": ix.probe(left).count()}
+    return out
+
+
 def naive_name_father(spark, sf_dir: str) -> float:
     """The reference's form: every pending record against every register row."""
     from pyspark.sql import functions as F
