@@ -35,11 +35,15 @@ def chunk_count(main: DataFrame, size: int = C.CHUNK_SIZE, key: str = "id", flag
         "pending_count", F.ceil(F.col("pending_count") / F.lit(size)).cast("long").alias("chunk_count"))
 
 
-def assign_positions(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
-    """Add ``position`` = 1-based rank by ``key`` without a single-partition window."""
+def assign_positions(df: DataFrame, key: str, num_partitions: int | None = None,
+                     tiebreak: list[str] | None = None) -> DataFrame:
+    """Add ``position`` = 1-based rank by ``key`` (then ``tiebreak``) without a
+    single-partition window.  With a non-unique key, ``tiebreak`` columns let
+    the range partitioner split a hot key value across partitions."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
+    order = [key, *(tiebreak or [])]
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in order]).sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))))
     # reliable checkpoint (shared checkpoint dir): survives executor loss and
@@ -53,9 +57,10 @@ def assign_positions(df: DataFrame, key: str, num_partitions: int | None = None)
     return out.withColumn("position", (F.col("_off") + F.col("_local") + 1).cast("long")).drop("_pid", "_local", "_off")
 
 
-def assign_chunks(df: DataFrame, size: int = C.CHUNK_SIZE, key: str = "id", num_partitions: int | None = None) -> DataFrame:
+def assign_chunks(df: DataFrame, size: int = C.CHUNK_SIZE, key: str = "id", num_partitions: int | None = None,
+                  tiebreak: list[str] | None = None) -> DataFrame:
     """``chunk_id`` (1-based) of consecutive groups of ``size`` rows by ``key``."""
-    pos = assign_positions(df, key, num_partitions)
+    pos = assign_positions(df, key, num_partitions, tiebreak)
     return pos.withColumn("chunk_id", ((F.col("position") - 1) / F.lit(size)).cast("long") + 1)
 
 
@@ -74,10 +79,12 @@ def chunk_id_lists(chunked: DataFrame, key: str = "id") -> DataFrame:
 
 
 def ids_from_list(lists: DataFrame, col: str = "id_list", key: str = "id") -> DataFrame:
-    """split a comma list back into one row per id (T-SQL ``f_split``)."""
-    return lists.select(*[c for c in lists.columns if c != col],
-                        F.explode(F.split(F.col(col), ",")).alias("_v")) \
-                .select(*[c for c in lists.columns if c != col], F.col("_v").cast("long").alias(key))
+    """split a comma list back into one row per id (T-SQL ``f_split``).
+    Empty items (``1,,2``) yield nothing; a non-numeric item yields a null id
+    (``try_cast``: no ANSI failure), which matches nothing downstream."""
+    keep = [c for c in lists.columns if c != col]
+    items = lists.select(*keep, F.explode(F.split(F.col(col), ",")).alias("_v")).where(F.trim("_v") != "")
+    return items.select(*keep, F.trim("_v").try_cast("long").alias(key))
 
 
 def claim_pending(main: DataFrame, n_chunks: int, size: int = C.CHUNK_SIZE, key: str = "id",

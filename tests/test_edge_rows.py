@@ -91,3 +91,22 @@ def test_hot_name_holds_a_third_of_the_register(spark):
     # "md rahimm" (9 chars) vs "md rahim" (8): budget floor(9/10) = 0 -> no match
     assert ev.count() == (n_pend // 2) * (n_reg // 3)
     assert {r_.death_main_id for r_ in ev.select("death_main_id").distinct().collect()} == set(range(0, n_pend, 2))
+
+
+def test_chunks_with_hot_non_unique_key(spark):
+    """A third of the rows share one key value; the tie-break column splits it
+    across range partitions and every row still gets a unique position."""
+    df = spark.range(300).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                 F.col("id").alias("row"))
+    ch = chunks.assign_chunks(df, 100, "k", num_partitions=6, tiebreak=["row"])
+    pos = sorted(r.position for r in ch.select("position").collect())
+    assert pos == list(range(1, 301))
+    first = ch.orderBy("position").select("k", "row").collect()
+    assert [(r.k, r.row) for r in first] == sorted((r.k, r.row) for r in first)
+
+
+def test_ids_from_list_tolerates_empty_items(spark):
+    lists = spark.createDataFrame([(1, "3,,5, 7"), (2, "x,9")], "chunk_id long, id_list string")
+    key = lambda t: (t[0], -1 if t[1] is None else t[1])
+    got = sorted(((r.chunk_id, r.id) for r in chunks.ids_from_list(lists).collect()), key=key)
+    assert got == sorted([(1, 3), (1, 5), (1, 7), (2, None), (2, 9)], key=key)
