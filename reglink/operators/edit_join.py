@@ -89,6 +89,18 @@ class EditIndex:
             self.variants = self.variants.checkpoint()
         return self
 
+    @classmethod
+    def from_tables(cls, values: DataFrame, segments: DataFrame, variants: DataFrame, lengths: DataFrame,
+                    threshold: float, b: str = "b", metric: str = "levenshtein") -> "EditIndex":
+        """An index over already written tables (see ``save_bucketed``)."""
+        ix = cls.__new__(cls)
+        ix.p, ix.q = threshold_fraction(threshold)
+        ix.threshold, ix.b, ix.metric = threshold, b, metric
+        ix.per_edit = 2 if metric == "damerau" else 1
+        ix.long_from = -(-2 * ix.q // (ix.q - ix.p)) if ix.p != ix.q else None
+        ix.values, ix.segments, ix.variants, ix.lengths = values, segments, variants, lengths
+        return ix
+
     def save_bucketed(self, table: str, path: str, buckets: int) -> "EditIndex":
         """Write the index as bucketed tables under ``path`` (shared storage),
         each bucketed on its join key, so a later probe shuffles only its own
@@ -193,3 +205,12 @@ def _save_bucketed(df: DataFrame, table: str, path: str, buckets: int, cols: lis
     """Bucketed parquet table at an explicit (shared) location."""
     (df.write.mode("overwrite").format("parquet").bucketBy(buckets, *cols).sortBy(*cols)
        .option("path", path).saveAsTable(table))
+
+
+def register_bucketed(spark, table: str, path: str, ddl: str, buckets: int, cols: list[str]):
+    """Re-register a bucketed table written by :func:`_save_bucketed` (a new
+    session whose catalog does not know it): external table, same layout."""
+    keys = ", ".join(f"`{c}`" for c in cols)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
+              f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)

@@ -63,6 +63,7 @@ class RegisterSide:
     micro-batch probes the same register)."""
 
     def __init__(self, r: DataFrame, threshold: float = C.NAME_THRESHOLD, metric: str = "levenshtein"):
+        self.threshold, self.metric = threshold, metric
         self.rows = r
         # Register rows without a father's name leave the two-key branch
         self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
@@ -87,8 +88,47 @@ class RegisterSide:
         self.two_key = spark.table(f"{table}_two_key")
         self.names.save_bucketed(f"{table}_names", f"{path}/names", buckets)
         self.fathers.save_bucketed(f"{table}_fathers", f"{path}/fathers", buckets)
+        # manifest (written with Spark, so it lives wherever ``path`` does)
+        entries = [("rows", ["r_name"], self.rows), ("two_key", ["r_name", "r_father"], self.two_key)]
+        for part, ix in (("names", self.names), ("fathers", self.fathers)):
+            entries += [(f"{part}/values", ["b"], ix.values)]
+            if ix.segments is not None:
+                entries += [(f"{part}/segments", ["_seg_L", "_seg_i", "_seg_txt"], ix.segments),
+                            (f"{part}/variants", ["_var"], ix.variants)]
+        manifest = [(name, ",".join(cols), buckets, df.schema.toDDL(), float(self.threshold), self.metric)
+                    for name, cols, df in entries]
+        spark.createDataFrame(manifest, "part string, cols string, buckets int, ddl string, "
+                                        "threshold double, metric string") \
+             .coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
         return self
 
+    @classmethod
+    def load_bucketed(cls, spark, path: str, table: str) -> "RegisterSide":
+        """Attach a register side saved by ``save_bucketed`` (e.g. by an earlier
+        run in another process): tables are re-registered over the same files,
+        nothing is recomputed or shuffled."""
+        from reglink.operators.edit_join import EditIndex, register_bucketed
+        rows = {r.part: r for r in spark.read.json(f"{path}/_manifest").collect()}  # a few rows
+        first = next(iter(rows.values()))
+
+        def tbl(part):
+            r = rows[part]
+            return register_bucketed(spark, f"{table}_{part.replace('/', '_')}", f"{path}/{part}",
+                                     r.ddl, r.buckets, r.cols.split(","))
+
+        side = cls.__new__(cls)
+        side.rows, side.two_key = tbl("rows"), tbl("two_key")
+        for part in ("names", "fathers"):
+            has_index = f"{part}/segments" in rows
+            ix = EditIndex.from_tables(
+                tbl(f"{part}/values"),
+                tbl(f"{part}/segments") if has_index else None,
+                tbl(f"{part}/variants") if has_index else None,
+                spark.read.parquet(f"{path}/{part}/lengths") if has_index else None,
+                first.threshold, metric=first.metric)
+            setattr(side, part, ix)
+        return side
+
 
 def _side(r, threshold: float) -> RegisterSide:
     return r if isinstance(r, RegisterSide) else RegisterSide(r, threshold)

@@ -35,6 +35,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--chunk-size", type=int, default=100)
     ap.add_argument("--name-threshold", type=float, default=0.9)
     ap.add_argument("--address-threshold", type=int, default=80)
+    ap.add_argument("--register-index", default=None,
+                    help="shared folder for the prepared register (bucketed tables): "
+                         "loaded when present, built and saved once otherwise")
+    ap.add_argument("--buckets", type=int, default=None)
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -47,7 +51,9 @@ def main(argv: list[str] | None = None) -> None:
     chunked = chunks.assign_chunks(pend, args.chunk_size, "death_main_id")
     ref = pipeline.prepare_reference(readers.load_register(register), blocks, pins,
                                      args.name_threshold, args.address_threshold)
-    if args.metric != "levenshtein":
+    if args.register_index:
+        ref.register = _register_index(spark, args, ref.register.rows)
+    elif args.metric != "levenshtein":
         ref.register = person.RegisterSide(ref.register.rows, args.name_threshold, metric=args.metric)
     ev = pipeline.run(chunked, None, None, None, args.name_threshold, args.address_threshold,
                       args.mode, args.blank_policy, reference=ref)
@@ -62,5 +68,20 @@ def main(argv: list[str] | None = None) -> None:
            .parquet(f"{out}/match_counts"))
 
 
+def _exists(spark, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def _register_index(spark, args, prepared_rows) -> person.RegisterSide:
+    """Reuse the register side saved by an earlier run, or build and save it."""
+    path = args.register_index.rstrip("/")
+    if _exists(spark, f"{path}/_manifest"):
+        return person.RegisterSide.load_bucketed(spark, path, "reglink_register_loaded")
+    buckets = args.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    side = person.RegisterSide(prepared_rows, args.name_threshold, metric=args.metric)
+    return side.save_bucketed("reglink_register_saved", path, buckets)
+
+
 if __name__ == "__main__":
     main()

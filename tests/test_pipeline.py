@@ -150,3 +150,22 @@ def test_stream_archives_consumed_chunk_files(spark):
     cols = ["death_main_id", "rc_no", "branch"]
     from reglink.plans.catalog import QUERIES
     assert _rows(got, cols) == _rows(QUERIES["person_evidence"](spark, SF_SMALL), cols)
+
+
+def test_cli_reuses_saved_register_index(spark):
+    """Second run loads the bucketed register side the first run saved."""
+    from reglink.plans import cli
+    base = scratch_path(spark, "cli-index")
+    fx.pending(spark, SF_SMALL).write.parquet(f"{base}/pending")
+    fx.register(spark, SF_SMALL).write.parquet(f"{base}/register")
+    fx.blocks(spark, SF_SMALL).write.parquet(f"{base}/blocks")
+    fx.pins(spark, SF_SMALL).write.parquet(f"{base}/pins")
+    common = ["--pending", f"{base}/pending", "--register", f"{base}/register", "--blocks", f"{base}/blocks",
+              "--pins", f"{base}/pins", "--run-date", "2024-01-01", "--register-index", f"{base}/index"]
+    cli.main(common + ["--out", f"{base}/out1"])
+    assert cli._exists(spark, f"{base}/index/_manifest")
+    cli.main(common + ["--out", f"{base}/out2"])
+    cols = ["death_main_id", "rc_no", "branch"]
+    first = pipeline.read_evidence(spark, f"{base}/out1", "person")
+    second = pipeline.read_evidence(spark, f"{base}/out2", "person")
+    assert _rows(first, cols) == _rows(second, cols) == _rows(QUERIES_PERSON(spark), cols)

@@ -58,3 +58,22 @@ def test_bucketed_register_is_read_in_place(spark):
         assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bucketed_register_reloads_in_a_fresh_catalog(spark):
+    """A saved register side is re-attached after its tables were dropped from
+    the catalog (as in a new process): same results, still bucketed."""
+    from reglink.operators import person
+    from reglink.session import scratch_path
+    from reglink.sources import fixtures as fx
+    path = scratch_path(spark, "regb-reload")
+    side = person.RegisterSide(person.prepare_register(fx.register(spark, SF_SMALL)), 0.9) \
+        .save_bucketed("reload_regb", path, 8)
+    p = person.prepare_pending(fx.pending(spark, SF_SMALL))
+    want = sorted(map(tuple, person.person_evidence(p, side).collect()))
+    for t in [r.name for r in spark.catalog.listTables() if r.name.startswith("reload_regb")]:
+        spark.sql(f"DROP TABLE {t}")  # external tables: the files stay
+    again = person.RegisterSide.load_bucketed(spark, path, "reload2_regb")
+    got = person.person_evidence(p, again)
+    assert sorted(map(tuple, got.collect())) == want
+    assert "Bucketed: true" in plan(got)
