@@ -19,16 +19,24 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "reglink") -> SparkSession:
-    """Build (or reuse) a session with AQE on and the UI off."""
+    """Build (or reuse) a session with AQE on and the UI off.
+
+    Cluster settings win: the shuffle partition count is only set when given
+    (or ``REGLINK_SHUFFLE_PARTITIONS`` is set, or the master is local), and
+    driver memory only for local masters."""
     builder = SparkSession.builder.appName(app_name)
+    local = bool(master) and master.startswith("local")
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("REGLINK_SHUFFLE_PARTITIONS", "8"))
+    parts = shuffle_partitions or os.environ.get("REGLINK_SHUFFLE_PARTITIONS") or (8 if local else None)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    if local:
+        builder = builder.config("spark.driver.memory", os.environ.get("REGLINK_DRIVER_MEMORY", "8g"))
     builder = (
         builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -38,7 +46,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("REGLINK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
