@@ -15,6 +15,7 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.operators import chunks, person, report
 from reglink.plans import pipeline
 from reglink.session import get_session
@@ -32,9 +33,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", default="correlated", choices=["correlated", "chained"])
     ap.add_argument("--blank-policy", default="null_is_blank", choices=list(person.BLANK_POLICIES))
     ap.add_argument("--metric", default="levenshtein", choices=["levenshtein", "damerau"])
-    ap.add_argument("--chunk-size", type=int, default=100)
-    ap.add_argument("--name-threshold", type=float, default=0.9)
-    ap.add_argument("--address-threshold", type=int, default=80)
+    ap.add_argument("--chunk-size", type=int, default=C.CHUNK_SIZE)
+    ap.add_argument("--name-threshold", type=float, default=C.NAME_THRESHOLD)
+    ap.add_argument("--address-threshold", type=int, default=C.ADDRESS_THRESHOLD)
     ap.add_argument("--register-index", default=None,
                     help="shared folder for the prepared register (bucketed tables): "
                          "loaded when present, built and saved once otherwise")
