@@ -40,10 +40,16 @@ def main(argv: list[str] | None = None) -> None:
                     help="shared folder for the prepared register (bucketed tables): "
                          "loaded when present, built and saved once otherwise")
     ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--stream", action="store_true",
+                    help="treat --pending as a folder of chunk files (with chunk_id) and consume it "
+                         "as a stream; progress is kept in OUT/_checkpoint")
+    ap.add_argument("--files-per-batch", type=int, default=1)
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
+    if args.stream:
+        return _run_stream(spark, args)
     pend = spark.read.schema(readers.PENDING_SCHEMA).parquet(args.pending)
     register = spark.read.parquet(args.register)
     blocks = readers.load_blocks(spark.read.schema(readers.BLOCK_SCHEMA).parquet(args.blocks))
@@ -69,6 +75,28 @@ def main(argv: list[str] | None = None) -> None:
            .parquet(f"{out}/match_counts"))
 
 
+def _run_stream(spark, args) -> None:
+    """Consume the chunk folder incrementally (the reference's loop
+    over chunk files), against the static register side."""
+    from pyspark.sql import types as T
+
+    from reglink.streaming import incremental
+    register = readers.load_register(spark.read.parquet(args.register))
+    blocks = readers.load_blocks(spark.read.schema(readers.BLOCK_SCHEMA).parquet(args.blocks))
+    pins = readers.load_pins(spark.read.schema(readers.PIN_SCHEMA).parquet(args.pins))
+    ref = pipeline.prepare_reference(register, blocks, pins, args.name_threshold, args.address_threshold)
+    if args.register_index:
+        ref.register = _register_index(spark, args, ref.register.rows)
+    elif args.metric != "levenshtein":
+        ref.register = person.RegisterSide(ref.register.rows, args.name_threshold, metric=args.metric)
+    schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
+    stream = incremental.pending_stream(spark, args.pending, schema, args.files_per_batch)
+    out = args.out.rstrip("/")
+    incremental.run_incremental(spark, stream, None, None, None, out, f"{out}/_checkpoint", args.run_date,
+                                mode=args.mode, name_threshold=args.name_threshold,
+                                reference=ref).awaitTermination()
+
+
 def _exists(spark, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reglink.operators.person import RegisterSide
-from reglink.plans.pipeline import prepare_reference, run
+from reglink.plans.pipeline import Reference, prepare_reference, run
 from reglink.sources import sinks
 
 
@@ -37,16 +37,20 @@ def pending_stream(spark: SparkSession, folder: str, schema: T.StructType,
 def run_incremental(spark: SparkSession, stream: DataFrame, register: DataFrame, blocks: DataFrame,
                     pins: DataFrame, out_path: str, checkpoint: str, run_date: str,
                     available_now: bool = True, mode: str = "correlated",
-                    metric: str = "levenshtein", name_threshold: float = 0.9) -> StreamingQuery:
+                    metric: str = "levenshtein", name_threshold: float = 0.9,
+                    reference: Reference | None = None) -> StreamingQuery:
     """Per micro-batch evidence, written idempotently by batch id.
 
     The register side (cleaned names, edit and token indexes) is built once
     and checkpointed to the shared checkpoint folder before the stream
     starts; each batch only probes it."""
-    ref = prepare_reference(register, blocks, pins, name_threshold)
-    if metric != "levenshtein":
-        ref.register = RegisterSide(ref.register.rows, name_threshold, metric=metric)
-    ref = ref.persist()
+    if reference is not None:  # e.g. a register side reloaded from bucketed tables
+        ref = reference
+    else:
+        ref = prepare_reference(register, blocks, pins, name_threshold)
+        if metric != "levenshtein":
+            ref.register = RegisterSide(ref.register.rows, name_threshold, metric=metric)
+        ref = ref.persist()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read the batch files once for the three evidence kinds
