@@ -110,3 +110,19 @@ def test_ids_from_list_tolerates_empty_items(spark):
     key = lambda t: (t[0], -1 if t[1] is None else t[1])
     got = sorted(((r.chunk_id, r.id) for r in chunks.ids_from_list(lists).collect()), key=key)
     assert got == sorted([(1, 3), (1, 5), (1, 7), (2, None), (2, 9)], key=key)
+
+
+def test_garbage_long_inputs_cost_nothing(spark):
+    """Very long names/addresses on the pending side emit no probes when the
+    index side has no strings of comparable length, and still match nothing."""
+    long_name = "x" * 5000
+    p, r = _person(spark, [(1, long_name, long_name, "road " * 2000), (2, "anwar hossain", "karim hossain", "Mal")],
+                   [("0000001", "Anwar Hossain", "Karim Hossain", "0001", "PHH")])
+    side = person.RegisterSide(r, 0.9)
+    left = p.select(F.col("p_name").alias("a"))
+    assert side.names.candidates(left.where(F.length("a") > 100), "a").count() == 0
+    assert {(x.death_main_id, x.rc_no) for x in person.two_key_correlated(p, side).collect()} == {(2, "0000001")}
+    pend = spark.createDataFrame([(1, "road " * 2000), (2, "Vill Haripur, Mal")], "k long, t string")
+    gaz = spark.createDataFrame([("01", "Mal")], "g string, u string")
+    got = {(x.k, x.g) for x in token_join.token_set_join(pend, gaz, "k", "t", "g", "u").collect()}
+    assert got == {(2, "01")}
