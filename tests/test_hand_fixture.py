@@ -126,3 +126,16 @@ def test_edit_join_api(frames):
     assert sorted(tuple(x) for x in exact.collect()) == sorted([
         (1, "0001001"), (1, "0001002"), (3, "0001003"), (4, "0001003"), (6, "0001005"),
         (7, "0001001"), (7, "0001002")])
+
+
+def test_edit_join_left_keeps_unmatched(frames):
+    pend, reg, _, _ = frames
+    from reglink.operators.edit_join import edit_join
+    p = pend.select("death_main_id", clean_name("DEATH_FATHER_NAME").alias("pf"))
+    r = reg.select("PERMANENT_RCNO", clean_name("FATHERNAME").alias("rf"))
+    got = edit_join(p, r, "pf", "rf", 0.9, ["death_main_id"], ["PERMANENT_RCNO"], how="left")
+    rows = {(x.death_main_id, x.PERMANENT_RCNO) for x in got.collect()}
+    # every pending row is kept; blank/null fathers (3, 4) have no partner
+    assert {i for i, _ in rows} == set(range(1, 8))
+    assert (3, None) in rows and (4, None) in rows
+    assert (1, "0001001") in rows and (1, "0001006") in rows and (2, "0001001") in rows
