@@ -217,3 +217,19 @@ def test_word_class_matches_python_re(spark):
         assert r.x == re.sub(r"[^\w\s]", "", t)
         norm = re.sub(r"(?ui)\W", " ", re.sub(r"[\u0080-ÿ]", "", t)).lower().strip()
         assert r.y == " ".join(sorted(set(norm.split())))
+
+
+@pytest.mark.parametrize("metric", ["levenshtein", "damerau"])
+def test_long_strings_exact(spark, metric):
+    """Longer strings (15-60 chars, budgets up to 9) through the segment path."""
+    rng = random.Random(99)
+    alpha = "abc de"
+    base = ["".join(rng.choice(alpha) for _ in range(rng.randint(15, 60))) for _ in range(70)]
+    A = sorted({_mutate(rng, _mutate(rng, x, alpha), alpha) for x in base})
+    B = sorted({_mutate(rng, x, alpha) for x in base} | set(base))
+    dist = lev if metric == "levenshtein" else damerau
+    want = {(a, b) for a in A for b in B if 20 * dist(a, b) <= 3 * max(len(a), len(b))}
+    got = {(r.a, r.b) for r in edit_pairs(spark.createDataFrame([(x,) for x in A], "a string"),
+                                          spark.createDataFrame([(x,) for x in B], "b string"),
+                                          0.85, metric=metric).collect()}
+    assert got == want
