@@ -8,8 +8,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reglink.llm import packing, sharding
+from reglink.llm import licenses, packing, quality, resampling, sharding, topk
 
 SHARDS = 24
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,13 +24,34 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = licenses.known_digests(spark, licenses.KNOWN_LICENSES)
+    return licenses.license_scan(_table(spark, sf_dir, "documents"), known)
+
+
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), [1.0] * SHARDS, grown=[1.0] * (SHARDS + 1))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_repetition_rules": op3_repetition_rules,
+    "op4_license_digests": op4_license_digests,
+    "op6_importance_resampling": op6_importance_resampling,
+    "op8_uniform_threshold_topk": op8_uniform_threshold_topk,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_license_digests": licenses.license_sql()}
