@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reglink.llm import licenses, packing, quality, resampling, sharding, topk
+from reglink.llm import jaccard, licenses, packing, quality, resampling, sharding, substrings, topk
 
 SHARDS = 24
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,10 +33,19 @@ def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_table(spark, sf_dir, "documents"), known)
 
 
+def op5_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op8_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -49,7 +58,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_repetition_rules": op3_repetition_rules,
     "op4_license_digests": op4_license_digests,
+    "op5_signature_tree_join": op5_signature_tree_join,
     "op6_importance_resampling": op6_importance_resampling,
+    "op7_suffix_tree_dedup": op7_suffix_tree_dedup,
     "op8_uniform_threshold_topk": op8_uniform_threshold_topk,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
