@@ -20,10 +20,14 @@ Two documents link when their sets of 5-word shingles have a Jaccard similarity
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reglink.llm import exchange as ex
 from reglink.llm.components import components
@@ -192,7 +196,8 @@ def tree_links(sets: list[np.ndarray], chunk: np.ndarray | None = None, percent:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block_docs: int = BLOCK_DOCS,
                     group_bytes: int = ex.GROUP_BYTES) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``text_hash`` (md5), ``n_shingles`` and ``component_id``.
+    """One row per row of ``docs``: ``doc_id``, ``text_hash`` (md5), ``text_group`` (of the exchange),
+    ``n_shingles`` and ``component_id``.
 
     Null or blank text has no shingles and links with nothing.  Rows with one ``doc_id`` are one
     node; a null ``doc_id`` counts as larger than all ids, and as null in the result where its
@@ -356,10 +361,47 @@ def _labelled(members: DataFrame, reps: DataFrame, counted: DataFrame, linked: D
     """Sizes and components of the representatives, handed to their copies."""
     sizes = counted.groupBy("s_id").agg(F.max("n_shingles").alias("n_shingles"))
     root = reps.join(sizes, reps["_id"] == F.col("s_id"), "left").join(linked, reps["_id"] == F.col("node"), "left")
-    root = root.select(F.col("md5").alias("r_md5"), "n_shingles", F.coalesce("root", "_id").alias("component"))
+    root = root.select(reps["md5"].alias("r_md5"), "n_shingles", F.coalesce("root", "_id").alias("component"))
     out = members.join(root, members.md5 == F.col("r_md5"))
     empty = F.col("n_shingles") == 0
     component = F.when(empty, F.col("_id")).otherwise(F.col("component"))
     none = F.lit(int(ex.NO_ID))
-    return out.select(F.nullif("_id", none).alias("doc_id"), F.col("md5").alias("text_hash"),
+    return out.select(F.nullif("_id", none).alias("doc_id"), F.col("md5").alias("text_hash"), members["_g"].alias("text_group"),
                       F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.nullif(component, none).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, found: DataFrame, group_bytes: int = ex.GROUP_BYTES) -> DataFrame:
+    """Rows of ``docs`` that head their component in ``near_duplicates``' result: one row each, the one of
+    the smallest id (of texts with that id, the one of the smallest hash; of equal rows, one).
+    Rows without shingles link with nothing and all stay.  Columns unchanged."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    marked = docs.withColumn("_null_text", F.col("text").isNull())
+    rows = ex.text_groups(marked, [*others, "_null_text"], group_bytes).rows
+    none = F.lit(int(ex.NO_ID))
+    heads = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    heads = (heads.groupBy(F.coalesce("doc_id", none).alias("id")).agg(F.min(F.struct("text_hash", "text_group")).alias("h"))
+             .select(F.col("h.text_group").alias("_g"), "id", F.col("h.text_hash").alias("text_hash")))
+    schema = docs.schema
+
+    def choose(table: pa.Table, side: pa.Table) -> pa.Table:
+        want = dict(zip(side.column("id").to_pylist(), side.column("text_hash").to_pylist()))
+        keep = []
+        for i, text in zip(table.column("_id").to_pylist(), table.column("_text").to_pylist()):
+            raw = text.encode()
+            if not raw.split():
+                keep.append(True)
+            else:
+                hit = want.get(i) == hashlib.md5(raw).hexdigest()
+                keep.append(hit)
+                if hit:
+                    del want[i]
+        kept = table.filter(pa.array(keep, pa.bool_()))
+        null = kept.column("_null_text").combine_chunks()
+        ids = kept.column("_id").to_numpy()
+        own = {"doc_id": pa.array(ids, pa.int64(), mask=ids == ex.NO_ID), "text": pc.if_else(null, pa.scalar(None, pa.string()), kept.column("_text").combine_chunks().cast(pa.string()))}
+        return pa.table([own[c] if c in own else kept.column(c) for c in names], names=names)
+
+    names = docs.columns
+    wide = T.StructType([T.StructField(f.name, T.LongType() if f.name == "doc_id" else T.StringType() if f.name == "text" else f.dataType) for f in schema])
+    out = rows.groupBy("_g").cogroup(heads.groupBy("_g")).applyInArrow(choose, wide)
+    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

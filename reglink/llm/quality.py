@@ -108,6 +108,16 @@ def measure(text: pa.Array, lengths: list[int]) -> dict[str, np.ndarray]:
     return out
 
 
+def _verdict(m: dict[str, np.ndarray], rules: Rules) -> tuple[np.ndarray, np.ndarray]:
+    """``base_failed`` and ``kept`` of measured texts."""
+    base = (m["n_words"] < rules.min_words) | (100 * m["n_repeat_words"] > rules.repeat_percent * m["n_words"])
+    most = np.maximum(m["word_chars"], 1)
+    bad = base | (m["n_symbols"] > rules.symbol_share * most) | (m["dup_line_chars"] > rules.line_share * most)
+    for n, share in rules.ngram_share.items():
+        bad = bad | (m[f"cover_{n}"] > share * most)
+    return base, ~bad
+
+
 def quality_rules(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """One row per row of ``docs``: the base counts, ``base_failed``, the characters in
     repeated lines (``dup_line_chars``) and in repeated n-grams (``cover_n``), and ``kept``.
@@ -122,13 +132,22 @@ def quality_rules(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
                 m = measure(flat(batch.column("text").slice(lo, hi - lo)), lengths)
-                m["base_failed"] = (m["n_words"] < rules.min_words) | (100 * m["n_repeat_words"] > rules.repeat_percent * m["n_words"])
-                most = np.maximum(m["word_chars"], 1)
-                bad = m["base_failed"] | (m["n_symbols"] > rules.symbol_share * most) | (m["dup_line_chars"] > rules.line_share * most)
-                for n in lengths:
-                    bad = bad | (m[f"cover_{n}"] > rules.ngram_share[n] * most)
-                m["kept"] = ~bad
+                m["base_failed"], m["kept"] = _verdict(m, rules)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), *(pa.array(m[k]) for k in names[1:])], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
+    """Rows of ``docs`` that the rules keep, columns unchanged."""
+    rules = rules or Rules()
+    lengths = sorted(rules.ngram_share)
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi in slices(batch.column("text")):
+                cut = batch.slice(lo, hi - lo)
+                yield cut.filter(pa.array(_verdict(measure(flat(cut.column("text")), lengths), rules)[1]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reglink.llm import jaccard, licenses, packing, quality, resampling, sharding, substrings, topk
+from reglink.llm import jaccard, katz, licenses, packing, quality, resampling, sharding, substrings, topk
 
 SHARDS = 24
 BYTE_BPE = "byte_bpe_50k.json"
@@ -54,6 +54,10 @@ def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), [1.0] * SHARDS, grown=[1.0] * (SHARDS + 1))
 
 
+def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_table(spark, sf_dir, "documents"), katz.crc_held_out())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_repetition_rules": op3_repetition_rules,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_tree_dedup": op7_suffix_tree_dedup,
     "op8_uniform_threshold_topk": op8_uniform_threshold_topk,
     "op9_rendezvous_shards": op9_rendezvous_shards,
+    "op10_katz_backoff": op10_katz_backoff,
 }
 
 ORACLE: dict[str, str] = {"op4_license_digests": licenses.license_sql()}
