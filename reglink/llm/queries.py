@@ -10,16 +10,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reglink.llm import jaccard, katz, licenses, packing, quality, resampling, sharding, substrings, topk
+from reglink.llm import jaccard, katz, licenses, packing, quality, resampling, sentencepiece_lattice, sharding, substrings, topk
 
 SHARDS = 24
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_lattice.load_model(public_tokenizers.path(PIECE_BPE))
+    pieces = sentencepiece_lattice.piece_table(spark, model)
+    return sentencepiece_lattice.encode_documents(_table(spark, sf_dir, "documents"), model, pieces)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -59,6 +66,7 @@ def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece_lattice": op1_sentencepiece_lattice,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_repetition_rules": op3_repetition_rules,
     "op4_license_digests": op4_license_digests,
