@@ -28,7 +28,7 @@ NO_ID = np.int64(2 ** 63 - 1)        # stands for a null doc_id: larger than eve
 
 @dataclass
 class Groups:
-    """Documents by group: columns ``_g`` int, ``_id`` long (null: NO_ID), ``_text`` string, then ``carry``."""
+    """Documents by group: columns ``_g`` int, ``_id`` long (null: NO_ID), ``_text`` string, then the carried columns as ``_c0``, ``_c1``, ..."""
 
     rows: DataFrame
     n: int
@@ -41,7 +41,7 @@ def text_groups(docs: DataFrame, carry: list[str] | None = None, group_bytes: in
     n = max(1, -(-total // group_bytes))
     bits = max(0, int(total // BYTES_A_WORD // bucket_keys)).bit_length()
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("_id"), text.alias("_text"), *(F.col(c) for c in carry or []))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("_id"), text.alias("_text"), *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry or [])))
     return Groups(rows.select(group_of(n).alias("_g"), "*"), n, bits)
 
 

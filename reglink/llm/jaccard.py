@@ -34,6 +34,7 @@ from reglink.llm.components import components
 from reglink.llm.stage import stage
 from reglink.llm.words import mix, rolling, split, window_starts
 
+WORD = r"[^\x20\x09-\x0D]"
 SHINGLE = 5
 PERCENT = 80
 BLOCK_DOCS = 4096
@@ -44,7 +45,8 @@ SLAB_WORDS = 1 << 21
 
 SENT = "_g int, b int, k binary, n binary"
 REPLY = "_g int, b int, reply binary"
-# kind 0: prefix shingles (k), size classes (n) and ids; 1: local links between ids (k, n); 2: sizes; 3: a set
+# kind 0: prefix shingles (k), size classes (n) and ids; 1: local links between ids (k, n);
+# 2: text tags (k), sizes (n) and ids; 3: a set
 FOUND = "kind int, b int, id long, size int, k binary, n binary, ids binary"
 EDGE = "a long, b long"
 
@@ -206,24 +208,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     bits, rows = groups.bits, groups.rows
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(ex.NO_ID))).alias("_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-    keyed = keyed.select("_id", F.md5(F.col("_text").cast("binary")).alias("md5"), ex.group_of(groups.n).alias("_g"))
+    keyed = keyed.select("_id", F.md5(F.col("_text").cast("binary")).alias("md5"), ex.group_of(groups.n).alias("_g"), F.col("_text").rlike(WORD).alias("words"))
     members = stage(keyed, "members")
     reps = members.groupBy("md5").agg(F.min(F.struct("_id", "_g")).alias("r")).select("md5", "r._id", "r._g")
     reps = stage(reps, "representatives")
 
     def chosen(table: pa.Table, side: pa.Table):
-        """The group's representatives: ids, shingles, text number of each shingle, sizes."""
+        """The group's representatives: ids, shingles, text number of each shingle, sizes, texts."""
         want = np.array([i for i in side.column("id").to_pylist() if i is not None], np.int64)
         ids = table.column("_id").to_numpy()
         table = table.filter(pa.array(np.isin(ids, want)))
         h, doc, size = shingle_sets(table.column("_text"), shingle)
-        return table.column("_id").to_numpy().astype(np.int64), h, doc, size
+        return table.column("_id").to_numpy().astype(np.int64), h, doc, size, table.column("_text")
 
     def send(table: pa.Table, side: pa.Table) -> pa.Table:
         if not table.num_rows:
             return ex.table(SENT, {"_g": [], "b": [], "k": [], "n": []})
         g = ex.group_id(table)
-        _, h, _, _ = chosen(table, side)
+        _, h, _, _, _ = chosen(table, side)
         keys, n = np.unique(h, return_counts=True)
         n = n.astype(np.uint32)
         edge = ex.bounds(keys, bits)
@@ -254,8 +256,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
         if not table.num_rows:
             return ex.table(FOUND, out)
-        ids, h, doc, size = chosen(table, side)
-        put(kind=2, k=ex.planes(ids), n=ex.planes(size))
+        ids, h, doc, size, text = chosen(table, side)
+        put(kind=2, k=b"".join(hashlib.md5(t.encode()).digest()[7::-1] for t in text.to_pylist()), n=size.tobytes(), ids=ids.tobytes())
         keys, where = np.unique(h, return_inverse=True)
         code = ex.answers(side, keys, bits, np.uint8)[where]
         order = np.lexsort((h, code, doc))
@@ -297,6 +299,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             for k, n in zip(batch.column("k").to_pylist(), batch.column("n").to_pylist()):
                 yield pa.RecordBatch.from_arrays([pa.array(ex.unplanes(k, np.int64)), pa.array(ex.unplanes(n, np.int64))], names=["a", "b"])
 
+    def unpack_sizes(batches):
+        for batch in batches:
+            for columns in zip(*(batch.column(c).to_pylist() for c in ("ids", "k", "n"))):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(c, np.int64)) for c in columns], names=["s_id", "s_tag", "n"])
+
     def join_family(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         left, right = [], []
@@ -344,9 +351,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     each = each.select(task.alias("task"), "root", "id", "k", (F.col("chunk") > F.col("other")).cast("int").alias("side"),
                        ((F.col("chunks") > 1) & (F.col("chunk") != F.col("other")) & F.lit(True)).alias("pair"))
     links = each.groupBy("task").applyInArrow(join_family, EDGE)
-    linked = components(links)
+    # an id with several texts is one node: its texts' representatives are linked through it
+    several = members.where("words").groupBy("_id").agg(F.min("md5").alias("x"), F.max("md5").alias("y")).where("x <> y").select(F.col("_id").alias("a"))
+    through = (members.where("words").join(several, F.col("_id") == F.col("a")).select("a", F.col("md5").alias("m"))
+               .join(reps, F.col("m") == reps.md5).select("a", reps["_id"].alias("b")))
+    linked = components(links.unionAll(through))
 
-    counted = found.where("kind = 2").select("k", "n").mapInArrow(unpack, EDGE).select(F.col("a").alias("s_id"), F.col("b").alias("n_shingles"))
+    counted = found.where("kind = 2").select("ids", "k", "n").mapInArrow(unpack_sizes, "s_id long, s_tag long, n long")
     return _labelled(members, reps, counted, linked)
 
 
@@ -359,8 +370,9 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _labelled(members: DataFrame, reps: DataFrame, counted: DataFrame, linked: DataFrame) -> DataFrame:
     """Sizes and components of the representatives, handed to their copies."""
-    sizes = counted.groupBy("s_id").agg(F.max("n_shingles").alias("n_shingles"))
-    root = reps.join(sizes, reps["_id"] == F.col("s_id"), "left").join(linked, reps["_id"] == F.col("node"), "left")
+    sizes = counted.groupBy("s_id", "s_tag").agg(F.max("n").alias("n_shingles"))
+    tag = F.conv(F.substring(reps["md5"], 1, 16), 16, -10).cast("long")
+    root = reps.join(sizes, (reps["_id"] == F.col("s_id")) & (tag == F.col("s_tag")), "left").join(linked, reps["_id"] == F.col("node"), "left")
     root = root.select(reps["md5"].alias("r_md5"), "n_shingles", F.coalesce("root", "_id").alias("component"))
     out = members.join(root, members.md5 == F.col("r_md5"))
     empty = F.col("n_shingles") == 0
@@ -377,6 +389,7 @@ def keep_first(docs: DataFrame, found: DataFrame, group_bytes: int = ex.GROUP_BY
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     marked = docs.withColumn("_null_text", F.col("text").isNull())
     rows = ex.text_groups(marked, [*others, "_null_text"], group_bytes).rows
+    held = {c: f"_c{i}" for i, c in enumerate([*others, "_null_text"])}
     none = F.lit(int(ex.NO_ID))
     heads = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
     heads = (heads.groupBy(F.coalesce("doc_id", none).alias("id")).agg(F.min(F.struct("text_hash", "text_group")).alias("h"))
@@ -396,10 +409,10 @@ def keep_first(docs: DataFrame, found: DataFrame, group_bytes: int = ex.GROUP_BY
                 if hit:
                     del want[i]
         kept = table.filter(pa.array(keep, pa.bool_()))
-        null = kept.column("_null_text").combine_chunks()
+        null = kept.column(held["_null_text"]).combine_chunks()
         ids = kept.column("_id").to_numpy()
         own = {"doc_id": pa.array(ids, pa.int64(), mask=ids == ex.NO_ID), "text": pc.if_else(null, pa.scalar(None, pa.string()), kept.column("_text").combine_chunks().cast(pa.string()))}
-        return pa.table([own[c] if c in own else kept.column(c) for c in names], names=names)
+        return pa.table([own[c] if c in own else kept.column(held[c]) for c in names], names=names)
 
     names = docs.columns
     wide = T.StructType([T.StructField(f.name, T.LongType() if f.name == "doc_id" else T.StringType() if f.name == "text" else f.dataType) for f in schema])

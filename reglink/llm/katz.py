@@ -110,7 +110,7 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
         context = np.empty_like(token)
         context[1:] = token[:-1]
         context[off[:-1]] = BEGIN
-        held = table.column("_held").to_numpy()
+        held = table.column("_c0").to_numpy()
         doc = np.repeat(np.arange(n), np.diff(off))
         return token, context, doc, ~held[doc], held
 

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,9 +43,9 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
-def _encoders(path: str):
-    """The library's tokenizer, and a faster encoder of single units with the same vocabulary."""
+def load_encoders(path: str):
+    """The library's tokenizer, a faster encoder of single units with the same vocabulary, and the
+    special tokens' strings; loaded once a task."""
     import tiktoken
     from tokenizers import Tokenizer
     import public_tokenizers
@@ -60,9 +59,9 @@ def _encoders(path: str):
     return whole, tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), special
 
 
-def encode_ids(text: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_ids(text: pa.Array, encoders) -> tuple[np.ndarray, np.ndarray]:
     """Ids of every text in one flat array, and each text's bounds in it."""
-    whole, units, special = _encoders(path)
+    whole, units, special = encoders
     odd = pc.match_substring_regex(text, ODD_SPACE).to_numpy(zero_copy_only=False)
     for s in special:
         odd = odd | pc.match_substring(text, s).to_numpy(zero_copy_only=False)
@@ -106,9 +105,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, seq_len: int = 1024, end_id: i
     Null text counts as empty.  ``ids_crc32`` is over little-endian unsigned 32-bit ids."""
 
     def pieces(batches):
+        encoders = None
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
-                ids, at = encode_ids(flat(batch.column("text").slice(lo, hi - lo)), tokenizer)
+                encoders = encoders or load_encoders(tokenizer)
+                ids, at = encode_ids(flat(batch.column("text").slice(lo, hi - lo)), encoders)
                 doc_ids = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
                 rows: list[tuple] = []
                 for d, doc_id in enumerate(doc_ids):

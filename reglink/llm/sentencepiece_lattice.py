@@ -107,7 +107,11 @@ def bpe_bounds(longest: int) -> Column:
 
     def merge(b: Column, _: Column) -> Column:
         at = F.sequence(F.lit(1), F.size(b) - 2)
-        score = lambda i: F.try_element_at(F.col("seen"), _key(F.get(b, i - 1), F.get(b, i + 1) - F.get(b, i - 1), longest))
+
+        def score(i: Column) -> Column:
+            size = F.get(b, i + 1) - F.get(b, i - 1)
+            return F.when(size <= longest, F.try_element_at(F.col("seen"), _key(F.get(b, i - 1), size, longest)))
+
         best = F.array_max(F.filter(F.transform(at, lambda i: F.struct(score(i).alias("s"), (-i).alias("i"))), lambda x: x["s"].isNotNull()))
         cut = F.transform(F.array(best), lambda x: F.filter(b, lambda _v, i: x["i"].isNull() | (i != -x["i"])))
         return F.when(F.size(b) > 2, F.get(cut, F.lit(0))).otherwise(b)

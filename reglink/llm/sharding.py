@@ -17,13 +17,13 @@ from reglink.llm.stage import numbered
 LAW = "key"
 
 
-def shard_score(key: Column, shard: int, weight: float, seed: str) -> Column:
+def shard_score(key: Column, shard: int, weight: float | None, seed: str) -> Column:
     """Score of one shard: ``-weight / ln(u)`` with u in (0, 1) from 52 bits of an md5.
 
-    For a weight of 1 the order of the scores is the order of u, so u itself is used."""
+    Weight None: all weights are equal, the order of the scores is that of u, and u is used."""
     digest = F.md5(F.concat(key, F.lit(f"/{shard}/{seed}")).cast("binary"))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
-    if weight == 1.0:
+    if weight is None:
         return bits.cast("double")
     return F.lit(-float(weight)) / F.log((bits + 0.5) / F.lit(float(2 ** 52)))
 
@@ -36,7 +36,7 @@ def rendezvous(key: Column, weights: Sequence[float], seed: str = "") -> Column:
     if not live:
         raise ValueError("no shard has a weight above 0")
     equal = len({w for _, w in live}) == 1
-    scored = F.array(*[F.struct(shard_score(text, i, 1.0 if equal else w, seed).alias("s"), F.lit(-i).alias("i")) for i, w in live])
+    scored = F.array(*[F.struct(shard_score(text, i, None if equal else w, seed).alias("s"), F.lit(-i).alias("i")) for i, w in live])
     return (-F.array_max(scored).getField("i")).cast("int")
 
 

@@ -156,7 +156,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX
                 kept.append(joined.decode() if removed[d] else text)
         columns = [pa.array(ids, pa.int64(), mask=ids == ex.NO_ID), pa.array(np.diff(w.off)), pa.array(removed), pa.array(sha, pa.string()), pa.array(spans)]
         if carry is not None:
-            columns += [pa.array(kept, pa.string()), *(table.column(c) for c in carry)]
+            columns += [pa.array(kept, pa.string()), *(table.column(f"_c{i}") for i in range(len(carry)))]
         return pa.table(columns, names=names)
 
     rows = groups.rows
