@@ -7,12 +7,9 @@ here once, in natural order, and imported everywhere else.
 # --- fixed values -----------------------------------------------------------
 ADDRESS_THRESHOLD = 80        # token_set_ratio(address, block or pin) >= 80
 NAME_THRESHOLD = 0.9          # name and father's name similarity >= 0.9
-NAME_ONLY_THRESHOLD = 1.0     # blank father's name: names must be equal
 CHUNK_SIZE = 100              # pending records per chunk
 
-CLEAN_NAME_DELETE = r"[^a-z\s]"   # after lower(): delete every other char
-PUNCT_DELETE = r"[^\w\s]"         # upload names: delete punctuation
-ADDRESS_SEPARATOR = ","           # join of the address parts
+ADDRESS_SEPARATOR = ","       # join of the address parts
 
 ELAPSED_HOUR = " Hour "
 ELAPSED_MINUTES = " Minutes "

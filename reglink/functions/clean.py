@@ -19,7 +19,6 @@ def clean_name(c) -> Column:
     ``O'Neil-Smith 2nd`` becomes ``oneilsmith nd``; null stays null."""
     c = as_col(c)
     # Python's whitespace also covers U+001C..U+001F, Java's (?U)\s does not
-    # C.CLEAN_NAME_DELETE, with Python's whitespace set spelt out for Java
     kept = F.regexp_replace(F.lower(c), r"(?U)[^a-z\s\x{1C}-\x{1F}]", "")
     return F.trim(F.regexp_replace(kept, r"(?U)[\s\x{1C}-\x{1F}]+", " "))
 
@@ -42,9 +41,3 @@ def concat_address(*cols) -> Column:
 def blank_to_empty(c) -> Column:
     """Null -> '' (the register's ISNULL(x, ''))."""
     return F.coalesce(as_col(c), F.lit(""))
-
-
-def is_blank(c) -> Column:
-    """True for null or '' (after cleaning)."""
-    c = as_col(c)
-    return c.isNull() | (c == "")

@@ -31,17 +31,6 @@ def threshold_fraction(t: float) -> tuple[int, int]:
     return f.numerator, f.denominator
 
 
-def edit_distance(a, b) -> Column:
-    return F.levenshtein(as_col(a), as_col(b))
-
-
-def edit_similarity(a, b) -> Column:
-    """Normalised Levenshtein similarity as a double (1.0 when equal)."""
-    a, b = as_col(a), as_col(b)
-    m = F.greatest(F.length(a), F.length(b))
-    return F.when(m == 0, F.lit(None)).otherwise(1 - F.levenshtein(a, b) / m)
-
-
 def edit_score(a, b) -> Column:
     """Integer percent ``floor(100 * (M - d) / M)``; null when both are empty."""
     a, b = as_col(a), as_col(b)
@@ -82,13 +71,6 @@ def edit_within(a, b, t: float) -> Column:
 # token_set_ratio
 # ---------------------------------------------------------------------------
 
-def normalize_tokens_text(c) -> Column:
-    """Drop chars U+0080..U+00FF, non-word chars -> space, lower, trim."""
-    c = as_col(c)
-    ascii_ish = F.regexp_replace(c, r"[\x{80}-\x{FF}]", "")
-    return F.trim(F.lower(F.regexp_replace(ascii_ish, r"[^\p{L}\p{N}_]", " ")))
-
-
 def canonical_tokens_sql(x: str) -> str:
     """SQL: sorted distinct tokens of the normalised text joined by one space
     ('' for blank) -- the canonical form a token-set score depends on."""
@@ -97,12 +79,6 @@ def canonical_tokens_sql(x: str) -> str:
     return f"array_join(array_sort(array_distinct(filter(split({norm}, ' '), t -> t != ''))), ' ')"
 
 
-def token_set(c) -> Column:
-    """Sorted distinct tokens of the normalised text (empty array for blank)."""
-    toks = F.split(normalize_tokens_text(c), " ")
-    return F.array_sort(F.array_distinct(F.filter(toks, lambda x: x != "")))
-
-
 def _make_lcs_udf():
     # Built in a factory so cloudpickle ships the function by value: executors
     # need pandas only, not this package on their path.

@@ -87,15 +87,54 @@ def ids_from_list(lists: DataFrame, col: str = "id_list", key: str = "id") -> Da
     return items.select(*keep, F.trim("_v").try_cast("long").alias(key))
 
 
-def claim_pending(main: DataFrame, n_chunks: int, size: int = C.CHUNK_SIZE, key: str = "id",
-                  flag: str = "is_send") -> DataFrame:
-    """S7 + K8: the ids of the next ``n_chunks`` chunks, as ledger rows.
-
-    Instead of updating ``is_send`` in place, the claimed ids are appended to a
-    ledger; what is still pending is an anti-join against it.
-    """
-    chunked = assign_chunks(pending_only(main, flag).select(key), size, key)
-    return chunked.where(F.col("chunk_id") <= n_chunks).select(key, "chunk_id")
+LEDGER_SCHEMA = "id bigint, chunk_id bigint, claim string"
+
+
+def read_ledger(spark, path: str) -> DataFrame:
+    """Claimed ids so far (K8); empty before the first claim."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def claim_pending(main: DataFrame, ledger: DataFrame | None = None, n_chunks: int = 1, size: int = C.CHUNK_SIZE,
+                  key: str = "id", flag: str = "is_send") -> DataFrame:
+    """``(key, chunk_id)`` of the next ``n_chunks`` chunks that no ledger row holds.
+
+    Ids in the ledger leave before numbering, and chunk numbers go on after the ledger's."""
+    todo, done = pending_only(main, flag).select(key), 0
+    if ledger is not None:
+        todo = todo.join(ledger.select(F.col("id").alias(key)), key, "left_anti")
+        done = ledger.agg(F.coalesce(F.max("chunk_id"), F.lit(0)).alias("n")).first()["n"]
+    chunked = assign_chunks(todo, size, key)
+    return (chunked.where(F.col("chunk_id") <= n_chunks)
+            .select(key, (F.col("chunk_id") + F.lit(done)).cast("long").alias("chunk_id")))
+
+
+def mark_claimed(claim: DataFrame, path: str, claim_id: str, key: str = "id") -> DataFrame:
+    """K8: add a claim to the ledger below ``path`` once: the folder of ``claim_id`` is its own,
+    so marking it again replaces it.  Returns the claim as written."""
+    out = f"{path.rstrip('/')}/claim={claim_id}"
+    claim.select(F.col(key).cast("long").alias("id"), "chunk_id").write.mode("overwrite").parquet(out)
+    return claim.sparkSession.read.schema("id bigint, chunk_id bigint").parquet(out).withColumnRenamed("id", key)
+
+
+def claim_next(main: DataFrame, path: str, claim_id: str, n_chunks: int, size: int = C.CHUNK_SIZE,
+               key: str = "id", flag: str = "is_send") -> DataFrame:
+    """S7 + K8: claim the next chunks and mark them; a claim that was marked before is handed out again as it was."""
+    ledger = read_ledger(main.sparkSession, path)
+    mine = ledger.where(F.col("claim") == claim_id)
+    if not mine.isEmpty():
+        return mine.select(F.col("id").alias(key), "chunk_id")
+    return mark_claimed(claim_pending(main, ledger, n_chunks, size, key, flag), path, claim_id, key)
+
+
+def to_pending(main: DataFrame) -> DataFrame:
+    """Rows of the main table as the matcher reads them."""
+    extra = [c for c in main.columns if c in ("chunk_id", "file_name")]
+    return main.select(F.col("id").alias("death_main_id"), F.col("death_name").alias("DEATH_DECEASED_NAME"),
+                       F.col("death_father_name").alias("DEATH_FATHER_NAME"), "death_address", *extra)
 
 
 def still_pending(main: DataFrame, ledger: DataFrame, key: str = "id", flag: str = "is_send") -> DataFrame:

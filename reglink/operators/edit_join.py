@@ -16,13 +16,17 @@ from reglink.functions.similarity import damerau_distance, edit_within, threshol
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
+MIN_DAMERAU_THRESHOLD = 0.67  # an edit spoils two segments: below 2/3 there are more segments than characters
 VARIANT = "_var"
 
 
-def deletion_variants_sql(x: str) -> str:
-    """SQL: the string itself and every string with one char deleted."""
-    return (f"array_distinct(transform(sequence(0, length({x})), i -> IF(i = 0, {x}, "
-            f"concat(substr({x}, 1, i - 1), substr({x}, i + 1)))))")
+def deletion_variants_sql(x: str, from_len: int = 1) -> str:
+    """SQL: the string itself and, from ``from_len`` characters on, every string with one char deleted.
+
+    A pair with an edit has its longer string at ``from_len`` at least; a shorter one is then
+    that string with one char deleted, so it needs no variants of its own."""
+    return (f"IF(length({x}) < {from_len}, array({x}), array_distinct(transform(sequence(0, length({x})), i -> IF(i = 0, {x}, "
+            f"concat(substr({x}, 1, i - 1), substr({x}, i + 1))))))")
 
 
 class EditIndex:
@@ -58,20 +62,26 @@ class EditIndex:
         self.segments = self.lengths = self.variants = None
         if self.p == self.q:
             return
-        if threshold < MIN_THRESHOLD:
-            raise ValueError(f"edit threshold {threshold} < {MIN_THRESHOLD}: segment filter not selective")
+        least = MIN_THRESHOLD if self.per_edit == 1 else MIN_DAMERAU_THRESHOLD
+        if threshold < least:
+            raise ValueError(f"{metric} threshold {threshold} < {least}: segments would be empty")
         p, q = self.p, self.q
         # smallest max-length whose budget reaches 2
         self.long_from = -(-2 * q // (q - p))
         short_max = self.long_from - 1
         self.variants = (self.values.where(F.length(b) <= short_max)
-                         .selectExpr(f"`{b}`", f"explode({deletion_variants_sql(f'`{b}`')}) AS {VARIANT}"))
+                         .selectExpr(f"`{b}`", f"explode({deletion_variants_sql(f'`{b}`', self.edit_from)}) AS {VARIANT}"))
         # segments only for strings that can have a partner at least long_from long
         min_indexed = -(-p * self.long_from // q)
         longish = self.values.where(F.length(b) >= min_indexed)
         self.segments = index_segments(longish, b, self.tau, self.per_edit).select(SEG_LEN, SEG_NO, SEG_TXT, b)
         self.lengths = longish.select(F.length(b).alias(SEG_LEN)).distinct()
 
+    @property
+    def edit_from(self) -> int:
+        """Length of the longer string from which on one edit is allowed."""
+        return -(-self.q // (self.q - self.p))
+
     def tau(self, L: str) -> str:
         # the largest budget any partner of a length-L string can have
         return f"floor({self.q - self.p} * {L} / {self.p})"
@@ -123,7 +133,7 @@ class EditIndex:
         b = self.b
         short_max = self.long_from - 1
         short = (left_values.where(F.length(a) <= short_max)
-                 .selectExpr(f"`{a}`", f"explode({deletion_variants_sql(f'`{a}`')}) AS {VARIANT}")
+                 .selectExpr(f"`{a}`", f"explode({deletion_variants_sql(f'`{a}`', self.edit_from)}) AS {VARIANT}")
                  .join(self.variants, VARIANT).select(a, b))
         probe = probe_segments(left_values, a, self.lengths, self.band, self.tau, self.per_edit,
                                min_pair_len=self.long_from).select(SEG_LEN, SEG_NO, SEG_TXT, a)
@@ -182,22 +192,24 @@ def edit_pairs(left_values: DataFrame, right_values: DataFrame, threshold: float
 
 def edit_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, threshold: float,
               keep_left: list[str] | None = None, keep_right: list[str] | None = None,
-              how: str = "inner") -> DataFrame:
+              how: str = "inner", ignore_case: bool = False) -> DataFrame:
     """All (left row, right row) whose keys are ``threshold``-similar.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  Column
-    names of the two sides must not clash (use ``keep_*`` to project).
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``;
+    ``ignore_case`` compares lower-cased keys.  Column names of the two
+    sides must not clash (use ``keep_*`` to project).
     """
     keep_left = keep_left or left.columns
     keep_right = keep_right or right.columns
-    pairs = edit_pairs(left.select(F.col(left_on).alias("_a")), right.select(F.col(right_on).alias("_b")),
-                       threshold, "_a", "_b")
+    case = F.lower if ignore_case else (lambda c: c)
+    l_key, r_key = case(F.col(left_on)), case(F.col(right_on))
+    pairs = edit_pairs(left.select(l_key.alias("_a")), right.select(r_key.alias("_b")), threshold, "_a", "_b")
     if how in ("left_semi", "left_anti"):
-        return left.join(pairs.select("_a").distinct(), F.col(left_on) == F.col("_a"), how).select(*keep_left)
+        return left.join(pairs.select("_a").distinct(), l_key == F.col("_a"), how).select(*keep_left)
     l = left.select(*{*keep_left, left_on})
     r = right.select(*{*keep_right, right_on})
-    matched = l.join(pairs, F.col(left_on) == F.col("_a"), "left" if how == "left" else "inner")
-    out = matched.join(r, F.col("_b") == F.col(right_on), "left" if how == "left" else "inner")
+    matched = l.join(pairs, l_key == F.col("_a"), "left" if how == "left" else "inner")
+    out = matched.join(r, F.col("_b") == r_key, "left" if how == "left" else "inner")
     return out.select(*keep_left, *keep_right)
 
 
@@ -209,8 +221,10 @@ def _save_bucketed(df: DataFrame, table: str, path: str, buckets: int, cols: lis
 
 def register_bucketed(spark, table: str, path: str, ddl: str, buckets: int, cols: list[str]):
     """Re-register a bucketed table written by :func:`_save_bucketed` (a new
-    session whose catalog does not know it): external table, same layout."""
+    session whose catalog does not know it): external table, same layout.
+    An entry of the same name goes first (its files stay)."""
     keys = ", ".join(f"`{c}`" for c in cols)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet "
               f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(table)

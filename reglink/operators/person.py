@@ -63,7 +63,7 @@ class RegisterSide:
     micro-batch probes the same register)."""
 
     def __init__(self, r: DataFrame, threshold: float = C.NAME_THRESHOLD, metric: str = "levenshtein"):
-        self.threshold, self.metric = threshold, metric
+        self.threshold, self.metric, self.stored = threshold, metric, False
         self.rows = r
         # Register rows without a father's name leave the two-key branch
         self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
@@ -71,10 +71,21 @@ class RegisterSide:
         self.fathers = EditIndex(self.two_key.select(F.col("r_father").alias("b")), threshold, metric=metric)
 
     def persist(self) -> "RegisterSide":
-        self.names.persist()
-        self.fathers.persist()
+        """Store rows and indexes in the shared checkpoint folder, once."""
+        if not self.stored:
+            self.rows, self.two_key = self.rows.checkpoint(), self.two_key.checkpoint()
+            self.names.persist()
+            self.fathers.persist()
+            self.stored = True
         return self
 
+    def fingerprint(self) -> str:
+        """Identity of what the side was built from: register content, threshold and metric."""
+        cols = sorted(self.rows.columns)
+        n, x, y = self.rows.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*cols)),
+                                F.sum(F.hash(*cols).cast("long"))).first()
+        return f"{n}/{x}/{y}/{','.join(cols)}/{self.threshold}/{self.metric}"
+
     def save_bucketed(self, table: str, path: str, buckets: int) -> "RegisterSide":
         """Persist the prepared register for repeated runs: rows bucketed on
         the cleaned name (name-only join), two-key rows on (name, father)
@@ -82,6 +93,7 @@ class RegisterSide:
         then shuffles only the pending side; the register is read in place."""
         from reglink.operators.edit_join import _save_bucketed
         spark = self.rows.sparkSession
+        print_of = self.fingerprint()
         _save_bucketed(self.rows, f"{table}_rows", f"{path}/rows", buckets, ["r_name"])
         _save_bucketed(self.two_key, f"{table}_two_key", f"{path}/two_key", buckets, ["r_name", "r_father"])
         self.rows = spark.table(f"{table}_rows")
@@ -95,21 +107,25 @@ class RegisterSide:
             if ix.segments is not None:
                 entries += [(f"{part}/segments", ["_seg_L", "_seg_i", "_seg_txt"], ix.segments),
                             (f"{part}/variants", ["_var"], ix.variants)]
-        manifest = [(name, ",".join(cols), buckets, df.schema.toDDL(), float(self.threshold), self.metric)
+        manifest = [(name, ",".join(cols), buckets, df.schema.toDDL(), float(self.threshold), self.metric, print_of)
                     for name, cols, df in entries]
         spark.createDataFrame(manifest, "part string, cols string, buckets int, ddl string, "
-                                        "threshold double, metric string") \
+                                        "threshold double, metric string, fingerprint string") \
              .coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+        self.stored = True
         return self
 
     @classmethod
-    def load_bucketed(cls, spark, path: str, table: str) -> "RegisterSide":
+    def load_bucketed(cls, spark, path: str, table: str, expect: str | None = None) -> "RegisterSide | None":
         """Attach a register side saved by ``save_bucketed`` (e.g. by an earlier
         run in another process): tables are re-registered over the same files,
-        nothing is recomputed or shuffled."""
+        nothing is recomputed or shuffled.  ``expect``: the fingerprint it must
+        have; None when it was built from something else."""
         from reglink.operators.edit_join import EditIndex, register_bucketed
         rows = {r.part: r for r in spark.read.json(f"{path}/_manifest").collect()}  # a few rows
         first = next(iter(rows.values()))
+        if expect is not None and getattr(first, "fingerprint", None) != expect:
+            return None
 
         def tbl(part):
             r = rows[part]
@@ -117,6 +133,7 @@ class RegisterSide:
                                      r.ddl, r.buckets, r.cols.split(","))
 
         side = cls.__new__(cls)
+        side.threshold, side.metric, side.stored = first.threshold, first.metric, True
         side.rows, side.two_key = tbl("rows"), tbl("two_key")
         for part in ("names", "fathers"):
             has_index = f"{part}/segments" in rows
@@ -160,12 +177,24 @@ def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) ->
     """J3 + J4 correlated: name and father of the same pair both >= threshold."""
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
-    # (pending row, similar register name, similar register father): bounded
-    # by the fuzzy neighbourhoods of two distinct values, not by row counts
-    cand = (p2.select("death_main_id", "p_name", "p_father")
-              .join(name_pairs(p2, side), "p_name").join(father_pairs(p2, side), "p_father")
-              .select("death_main_id", "r_name", "r_father"))
-    return cand.join(side.two_key, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
+    keys = two_key_candidates(p2, side)
+    rows = p2.select("death_main_id", "p_name", "p_father").join(keys, ["p_name", "p_father"])
+    return rows.join(side.two_key, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
+
+
+def existing_keys(p2: DataFrame, side: RegisterSide, names: DataFrame, fathers: DataFrame) -> DataFrame:
+    """Distinct pending keys with each similar register name and that name's *existing* fathers, as far
+    as they are similar to some pending father: never names times fathers."""
+    cards = (side.two_key.select("r_name", "r_father").distinct()
+             .join(names.select("r_name").distinct(), "r_name", "left_semi")
+             .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
+    return p2.select("p_name", "p_father").distinct().join(names, "p_name").join(cards, "r_name")
+
+
+def two_key_candidates(p2: DataFrame, side: RegisterSide) -> DataFrame:
+    """Distinct ``(p_name, p_father, r_name, r_father)`` with both keys similar."""
+    names, fathers = name_pairs(p2, side), father_pairs(p2, side)
+    return existing_keys(p2, side, names, fathers).join(fathers, ["p_father", "r_father"])
 
 
 def two_key_chained(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reglink import constants as C
+from reglink.functions.clean import clean_name
 from reglink.functions.similarity import edit_score
+from reglink.operators.chunks import assign_positions
 from reglink.functions.util import as_col
 
 
@@ -29,17 +31,18 @@ def profile(df: DataFrame) -> DataFrame:
     return stacked.select("s.*")
 
 
-def scorecard(evidence: DataFrame, pending: DataFrame, register: DataFrame,
-              block_ev: DataFrame, pin_ev: DataFrame) -> DataFrame:
+def scorecard(evidence: DataFrame, pending: DataFrame, block_ev: DataFrame, pin_ev: DataFrame) -> DataFrame:
     """Per person candidate the four scores the reference lays out:
     name and father edit scores (0..100), the block score of the card's own
-    block in the record's block evidence, the best pin score of the record."""
+    block in the record's block evidence, the best pin score of the record.
+    The card's names are those of the evidence row (``rc_no`` need not be unique)."""
     pc = pending.select("death_main_id", "p_name", "p_father")
-    rc = register.select("rc_no", "r_name", "r_father")
     blocks = (block_ev.groupBy("death_main_id", "block_id").agg(F.max("score").alias("block_score")))
     pins = pin_ev.groupBy("death_main_id").agg(F.max("score").alias("pin_score"))
-    card = (evidence.select("death_main_id", "rc_no", "rc_blockmunicipalitycode", "branch")
-                    .join(pc, "death_main_id").join(rc, "rc_no"))
+    own = evidence.select("death_main_id", "rc_no", "rc_blockmunicipalitycode", "branch",
+                          clean_name(F.coalesce("rc_name", F.lit(""))).alias("r_name"),
+                          clean_name(F.coalesce("rc_father_name", F.lit(""))).alias("r_father"))
+    card = own.join(pc, "death_main_id")
     card = card.select(
         "death_main_id", "rc_no", "branch", "rc_blockmunicipalitycode",
         edit_score("p_name", "r_name").alias("name_score"),
@@ -92,5 +95,7 @@ def peek(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
 
 
 def slice_rows(df: DataFrame, order: list[str], offset: int, n: int) -> DataFrame:
-    """L3: ``skiprows``/``nrows`` as ``orderBy(...).offset(offset).limit(n)``."""
-    return df.orderBy(*order).offset(offset).limit(n)
+    """L3: ``skiprows``/``nrows``: rows ``offset + 1`` to ``offset + n`` in a total order, by
+    position (no task sorts or skips all rows before the slice)."""
+    placed = assign_positions(df, order[0], tiebreak=order[1:])
+    return placed.where(F.col("position").between(offset + 1, offset + n)).drop("position")

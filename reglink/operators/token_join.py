@@ -5,9 +5,12 @@ Exact candidate set, no cross product:
 (a) pairs sharing at least one token: explode distinct tokens, equi-join;
 (b) pairs sharing none: then ``t0`` is empty and the score is
     ``ratio(sorted A, sorted B)``, which needs the indel distance
-    ``|a| + |b| - 2*LCS`` to be at most ``(100.5 - T) / 100 * (|a| + |b|)``;
-    the segment filter of :mod:`reglink.operators.segments` generates exactly
-    those candidates by equi-join.
+    ``|a| + |b| - 2*LCS`` to be at most ``(100.5 - T) / 100 * (|a| + |b|)``.
+    Short pairs (pins, short names) share the string that is left after
+    deleting the allowed number of characters from each side: an equi-join
+    on (both lengths, that string).  Longer pairs use the segment filter of
+    :mod:`reglink.operators.segments`, and must have enough characters of the
+    other side's alphabet.
 
 Scoring runs once per distinct pair of *token sets* (addresses and gazetteer
 names repeat); ``LCS`` is computed by an Arrow UDF only for pairs where the
@@ -16,14 +19,26 @@ third ratio can still change the result.  Rows are attached afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reglink import constants as C
-from reglink.functions.similarity import canonical_tokens_sql, lcs_length, token_set
+from reglink.functions.similarity import canonical_tokens_sql, lcs_length
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 
-MIN_SCORE = 60  # below this the no-shared-token filter is not selective
+MIN_SCORE = 68  # below this the segment filter would cut more segments than characters
+SHORT = 10      # pairs of at most this length on both sides use exact deletions
+MAX_DELETED = 5  # most characters that a short pair at MIN_SCORE can lose on one side
+VARIANT = "_del"
+
+
+def deletions_sql(x: str, n: int) -> str:
+    """SQL: every distinct string that is left after deleting exactly ``n`` characters."""
+    out = f"array({x})"
+    for _ in range(n):
+        out = (f"array_distinct(flatten(transform({out}, y -> transform(sequence(1, length(y)), "
+               f"i -> concat(substr(y, 1, i - 1), substr(y, i + 1))))))")
+    return out
 
 
 def _canonical(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -45,8 +60,12 @@ class TokenSetIndex:
         self.values = self.rows.select("rc").distinct()
         self.tokens = self.values.select("rc", F.explode(F.split("rc", " ")).alias("tok"))
         self.num, self.den = 201 - 2 * threshold, 200  # indel distance <= num/den * (la + lb)
-        self.segments = index_segments(self.values, "rc", self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "rc")
-        self.lengths = self.values.select(F.length("rc").alias(SEG_LEN)).distinct()
+        # a long pair has a side above SHORT; its other side may be this short
+        least = -(-(self.den - self.num) * (SHORT + 1) // (self.den + self.num))
+        longish = self.values.where(F.length("rc") >= least)
+        self.segments = index_segments(longish, "rc", self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "rc")
+        self.lengths = longish.select(F.length("rc").alias(SEG_LEN)).distinct()
+        self.deletions = self._deletions(self.values, "rc", "_lb", "_la")
 
     def band(self, l: str) -> tuple[str, str]:
         num, den = self.num, self.den
@@ -58,7 +77,20 @@ class TokenSetIndex:
         partner_max = f"floor({den + num} * {L} / {den - num})"
         return f"floor({num} * ({L} + {partner_max}) / {den})"
 
+    def _deletions(self, df: DataFrame, text: str, own: str, other: str) -> DataFrame:
+        """(own length, partner length, string left) of short strings: per partner length within the band,
+        the most characters that this side may lose are deleted."""
+        lo, hi = self.band(own)
+        rows = (df.selectExpr(f"`{text}`", f"length(`{text}`) AS {own}").where(f"{own} BETWEEN 1 AND {SHORT}")
+                .selectExpr("*", f"explode(sequence(least(greatest({lo}, 1), {SHORT}), least({hi}, {SHORT}))) AS {other}")
+                .where(f"{other} BETWEEN {lo} AND {hi}")
+                .selectExpr("*", f"CAST(floor((floor({self.num} * ({own} + {other}) / {self.den}) + {own} - {other}) / 2) AS INT) AS _d")
+                .where(f"_d >= 0 AND _d < {own}"))
+        cases = " ".join(f"WHEN _d = {n} THEN {deletions_sql(f'`{text}`', n)}" for n in range(MAX_DELETED + 1))
+        return rows.selectExpr(f"`{text}`", own, other, f"explode(CASE {cases} END) AS {VARIANT}")
+
     def persist(self) -> "TokenSetIndex":
+        self.deletions = self.deletions.checkpoint()
         self.rows = self.rows.checkpoint()
         self.values = self.values.checkpoint()
         self.tokens = self.tokens.checkpoint()
@@ -73,11 +105,31 @@ class TokenSetIndex:
 
     def no_shared_token_pairs(self, lc: DataFrame) -> DataFrame:
         """(b): candidates that can reach the threshold on ``ratio(lc, rc)`` alone."""
-        probe = probe_segments(lc, "lc", self.lengths, self.band, self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")
-        return probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc").distinct()
+        short = (self._deletions(lc, "lc", "_la", "_lb").join(self.deletions, ["_la", "_lb", VARIANT])
+                 .select("lc", "rc"))
+        probe = probe_segments(lc, "lc", self.lengths, self.band, self.tau,
+                               min_pair_len=SHORT + 1).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")
+        # LCS is at most the number of characters that the other side has at all
+        common = ("least(length(lc) - length(translate(lc, rc, '')), length(rc) - length(translate(rc, lc, '')))")
+        long = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc") \
+                    .where(f"{self.den} * (length(lc) + length(rc) - 2 * {common}) <= {self.num} * (length(lc) + length(rc))")
+        return short.unionByName(long).distinct()
 
     def join(self, left: DataFrame, left_key: str, left_text: str,
-             left_out: str | None = None, right_out: str | None = None) -> DataFrame:
+             left_out: str | None = None, right_out: str | None = None, how: str = "inner") -> DataFrame:
+        """``how``: ``inner``; ``left`` (unmatched left keys with null key and score); ``left_semi`` /
+        ``left_anti``: the left rows with / without a match."""
+        if how != "inner":
+            if how not in ("left", "left_semi", "left_anti"):
+                raise ValueError(f"how: {how}")
+            mine = left_out or left_key
+            found = self.join(left, left_key, left_text, left_out, right_out)
+            keys = found.select(F.col(mine).alias("_hit")).distinct()
+            if how != "left":
+                return left.join(keys, F.col(left_key) == F.col("_hit"), how)
+            rest = left.join(keys, F.col(left_key) == F.col("_hit"), "left_anti").select(
+                F.col(left_key).alias(mine), *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in found.columns[1:]])
+            return found.unionByName(rest)
         lrows = _canonical(left.select(left_key, left_text), left_text, "lc").where(F.length("lc") > 0)
         lc = lrows.select("lc").distinct()
         cand = self.shared_token_pairs(lc).unionByName(self.no_shared_token_pairs(lc)).distinct()
@@ -124,18 +176,13 @@ def score_pairs(pairs: DataFrame, threshold: int | None = None) -> DataFrame:
 
 def token_set_join(left: DataFrame, right: DataFrame, left_key: str, left_text: str,
                    right_key: str, right_text: str, threshold: int = C.ADDRESS_THRESHOLD,
-                   left_out: str | None = None, right_out: str | None = None) -> DataFrame:
+                   left_out: str | None = None, right_out: str | None = None, how: str = "inner") -> DataFrame:
     """``(left_key, right_key, score)`` for every pair with score >= threshold.
 
     Bag semantics: duplicate right rows give duplicate output rows.  Null or
     blank texts (no tokens) never match.
     """
-    return TokenSetIndex(right, right_key, right_text, threshold).join(left, left_key, left_text, left_out, right_out)
-
-
-def token_set_score(left: Column, right: Column) -> tuple[Column, Column]:
-    """Canonical token strings for scoring a known pair list (see ``score_pairs``)."""
-    return F.array_join(token_set(left), " "), F.array_join(token_set(right), " ")
+    return TokenSetIndex(right, right_key, right_text, threshold).join(left, left_key, left_text, left_out, right_out, how)
 
 
 def contained_join(left: DataFrame, right: DataFrame, left_key: str, left_text: str,

@@ -202,10 +202,81 @@ def q_ids_from_list(spark, sf_dir):
 @register_query("still_pending", O.with_fixtures(O.STILL_PENDING, O.CHUNK_CTE))
 def q_still_pending(spark, sf_dir):
     main = fx.pending_main(spark, sf_dir)
-    ledger = chunks.claim_pending(main, 5, C.CHUNK_SIZE, "id")
+    ledger = chunks.claim_pending(main, None, 5, C.CHUNK_SIZE, "id")
     return chunks.still_pending(main, ledger, "id")
 
 
+@register_query("claim_twice", O.with_fixtures(O.CLAIM_TWICE, O.CHUNK_CTE))
+def q_claim_twice(spark, sf_dir):
+    """Two claims of a queue that advances: three chunks, then two; the first claim asked
+    for again is the same."""
+    main = fx.pending_main(spark, sf_dir)
+    ledger = scratch_path(spark, "ledger")
+    first = chunks.claim_next(main, ledger, "a", 3)
+    second = chunks.claim_next(main, ledger, "b", 2)
+    again = chunks.claim_next(main, ledger, "a", 3)
+    parts = [c.select("id", "chunk_id", F.lit(n).alias("claim_no")) for n, c in ((1, first), (2, second), (3, again))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _csv_options(writer):
+    return writer.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+
+
+@register_query("chunk_csv_roundtrip", O.with_fixtures(O.CHUNK_CSV))
+def q_chunk_csv(spark, sf_dir):
+    """A chunk file as a data-frame writer leaves it: an unnamed index column first, columns in another
+    order, quotes, commas and line breaks in an address, ids with leading zeros."""
+    path = scratch_path(spark, "chunk-csv")
+    p = fx.pending(spark, sf_dir)
+    address = F.concat(F.lit('House "'), F.col("death_main_id").cast("string"), F.lit('", Ward\n'), F.col("death_address"))
+    out = p.select(F.monotonically_increasing_id().alias(""), address.alias("death_address"), "DEATH_FATHER_NAME", "death_main_id",
+                   "DEATH_DECEASED_NAME", F.lpad(F.col("death_main_id").cast("string"), 12, "0").alias("card"))
+    _csv_options(out.write).csv(path)
+    schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("card", T.StringType())])
+    return readers.read_chunk(spark, path, schema)
+
+
+@register_query("csv_evidence", O.with_fixtures(O.CSV_EVIDENCE, O.EVIDENCE_CTES))
+def q_csv_evidence(spark, sf_dir):
+    """K4: block, pin and person evidence as dated CSV with the source headers, read back by name."""
+    pend, ev = _evidence(spark, sf_dir)
+    path, out = scratch_path(spark, "csv-evidence"), None
+    for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
+        sinks.write_evidence_csv(df, path, kind, "2024-01-01")
+        names = [b for _, b in sinks.CSV_HEADERS[kind]]
+        back = readers.read_chunk(spark, f"{path}/{kind}_csv/owner=run-2024-01-01", readers.all_string_schema(names))
+        row = back.select(F.lit(kind).alias("kind"), F.concat_ws("|", *names).alias("line"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register_query("ingest_claim_match", O.with_fixtures(O.INGEST_CLAIM_MATCH, O.INGEST_CTES))
+def q_ingest_claim_match(spark, sf_dir):
+    """Uploads by file, appended to the main table, two chunks claimed, matched by name
+    against the register; each match keeps its upload's file name."""
+    base = scratch_path(spark, "ingest")
+    raw = fx.uploads(spark, sf_dir)
+    raw = raw.withColumn("part", F.concat(F.lit("upload_"), (F.col("row_id") % 3).cast("string"))).drop("row_id")
+    _csv_options(raw.write.partitionBy("part")).csv(f"{base}/in")
+    pipeline.append_uploads(pipeline.ingest_uploads(readers.read_uploads(spark, f"{base}/in", name_from="folder")), f"{base}/main", "b1")
+    main = spark.read.parquet(f"{base}/main")
+    claim = chunks.claim_next(main, f"{base}/ledger", "c1", 2)
+    pend = chunks.to_pending(main.join(claim, "id"))
+    p, r = person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir))
+    found = person.person_evidence(p, r, C.NAME_THRESHOLD)
+    files = pend.select("death_main_id", F.element_at(F.split("file_name", "="), -1).alias("file_name"), "chunk_id")
+    return found.join(files, "death_main_id").select("death_main_id", "chunk_id", "file_name", "rc_no", "branch")
+
+
+@register_query("edit_join_keep", O.with_fixtures(O.EDIT_JOIN_KEEP))
+def q_edit_join_keep(spark, sf_dir):
+    """J3 with keep lists (P2) and case ignored (F4), on the names as they are."""
+    from reglink.operators.edit_join import edit_join
+    return edit_join(fx.pending(spark, sf_dir), fx.register(spark, sf_dir), "DEATH_DECEASED_NAME", "NAME", C.NAME_THRESHOLD,
+                     keep_left=["death_main_id"], keep_right=["PERMANENT_RCNO", "district"], ignore_case=True)
+
+
 # --- evidence reports (J7, A4, A6, A7, L1, L3, F13) --------------------------
 
 def _evidence(spark, sf_dir):
@@ -236,9 +307,7 @@ def q_column_profile(spark, sf_dir):
 
 def _scorecard(spark, sf_dir):
     pend, ev = _evidence(spark, sf_dir)
-    p = person.prepare_pending(pend)
-    r = person.prepare_register(fx.register(spark, sf_dir))
-    return report.scorecard(ev.person, p, r, ev.block, ev.pin)
+    return report.scorecard(ev.person, person.prepare_pending(pend), ev.block, ev.pin)
 
 
 @register_query("scorecard", O.with_fixtures(O.SCORECARD, O.EVIDENCE_CTES + "," + O.SCORECARD_CTE))
@@ -292,15 +361,16 @@ def q_person_evidence_bucketed(spark, sf_dir):
     only the pending side is shuffled into its buckets."""
     import uuid
     path = scratch_path(spark, "register-bucketed")
+    table = f"reglink_reg_{uuid.uuid4().hex[:8]}"
     ref = pipeline.prepare_reference(fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir),
-                                     bucketed_path=path, table_prefix=f"reglink_reg_{uuid.uuid4().hex[:8]}")
+                                     bucketed_path=path, table_prefix=table)
     return person.person_evidence(person.prepare_pending(fx.pending(spark, sf_dir)), ref.register, C.NAME_THRESHOLD)
 
 
 @register_query("evidence_sink_roundtrip", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_evidence_sink_roundtrip(spark, sf_dir):
-    """K4-K7: person evidence written twice to the same run date and chunks
-    (a retried job); dynamic partition overwrite leaves one copy."""
+    """K4-K7: person evidence written twice for the same run date (a retried
+    job); the run's folder is replaced, which leaves one copy."""
     pend = fx.pending(spark, sf_dir)
     p, r = person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir))
     ev = person.person_evidence(p, r, C.NAME_THRESHOLD)
@@ -312,10 +382,24 @@ def q_evidence_sink_roundtrip(spark, sf_dir):
     return pipeline.read_evidence(spark, path, "person").drop("run_date", "chunk_id")
 
 
+@register_query("evidence_rerun_shrinks", O.with_fixtures(O.RERUN_SHRINKS))
+def q_evidence_rerun_shrinks(spark, sf_dir):
+    """K4-K7: a second run of the same date that lacks the first chunk and the records that are no longer
+    matched: nothing of the first run stays."""
+    pend = fx.pending(spark, sf_dir)
+    ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
+    ev = person.person_evidence(person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir)), C.NAME_THRESHOLD)
+    out = ev.join(ch.select("death_main_id", "chunk_id"), "death_main_id")
+    path = scratch_path(spark, "shrink")
+    sinks.append_evidence(out, path, "person", "2024-01-01")
+    sinks.append_evidence(out.where((F.col("chunk_id") > 1) & (F.col("death_main_id") % 5 != 0)), path, "person", "2024-01-01")
+    return pipeline.read_evidence(spark, path, "person").drop("run_date")
+
+
 @register_query("pipeline_evidence", O.with_fixtures(O.PIPELINE_EVIDENCE, O.EVIDENCE_CTES))
 def q_pipeline_evidence(spark, sf_dir):
     """E1 end to end: chunk the queue, match it (block, pin, person), write
-    each evidence kind once partitioned by run date and chunk, read back."""
+    each evidence kind once into the run's folder, read back."""
     pend = fx.pending(spark, sf_dir)
     ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
     ev = pipeline.run(pend, fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir))
@@ -326,15 +410,15 @@ def q_pipeline_evidence(spark, sf_dir):
 
 @register_query("incremental_evidence", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_incremental_evidence(spark, sf_dir):
-    """Pending written as one folder per chunk, consumed as a stream
-    a few files per micro-batch, matched against the static register."""
+    """Pending written as chunk files (whole chunks, many to a file),
+    consumed as a stream a few files per micro-batch, matched against the
+    static register."""
     pend = fx.pending(spark, sf_dir)
     ch = chunks.assign_chunks(pend, C.CHUNK_SIZE, "death_main_id").drop("position")
     base = scratch_path(spark, "stream")
-    # one file per chunk, as the reference's chunk files
-    sinks.write_chunks(ch.repartition("chunk_id"), f"{base}/in")
+    sinks.write_chunks(ch, f"{base}/in")
     schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
-    stream = incremental.pending_stream(spark, f"{base}/in", schema, max_files_per_trigger=50)
+    stream = incremental.pending_stream(spark, f"{base}/in", schema, max_files_per_trigger=4)
     q = incremental.run_incremental(spark, stream, fx.register(spark, sf_dir), fx.blocks(spark, sf_dir),
                                     fx.pins(spark, sf_dir), f"{base}/out", f"{base}/ckpt", "2024-01-01")
     q.awaitTermination()

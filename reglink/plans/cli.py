@@ -4,28 +4,30 @@ gazetteers, match, and write evidence, unmatched records and match counts.
     python -m reglink.plans.cli --pending P --register R --blocks B --pins N \\
         --out OUT --run-date 2024-01-01 [--mode correlated|chained] [--chunk-size 100]
 
-Inputs are parquet with the schemas of ``sources.readers`` (the register may
-carry a ``district`` column).  Outputs go below ``OUT`` partitioned by run
-date and chunk; re-running a date replaces its partitions.
+Inputs are parquet, or CSV where a path ends in ``.csv`` or ``--format csv`` is given, with the
+schemas of ``sources.readers``.  ``--register`` takes one dataset (it may carry a
+``district`` column) or several ``district=path``.  Outputs go below ``OUT``, one folder
+per kind and run date; re-running a date replaces its folders.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 
 from pyspark.sql import functions as F
 
 from reglink import constants as C
-from reglink.operators import chunks, person, report
+from reglink.operators import chunks, person
 from reglink.plans import pipeline
 from reglink.session import get_session
-from reglink.sources import readers
+from reglink.sources import readers, sinks
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--pending", required=True)
-    ap.add_argument("--register", required=True)
+    ap.add_argument("--register", required=True, nargs="+", help="a path, or several district=path")
     ap.add_argument("--blocks", required=True)
     ap.add_argument("--pins", required=True)
     ap.add_argument("--out", required=True)
@@ -44,35 +46,59 @@ def main(argv: list[str] | None = None) -> None:
                     help="treat --pending as a folder of chunk files (with chunk_id) and consume it "
                          "as a stream; progress is kept in OUT/_checkpoint")
     ap.add_argument("--files-per-batch", type=int, default=1)
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--csv-evidence", action="store_true", help="also write the evidence as CSV with the source headers")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
     if args.stream:
         return _run_stream(spark, args)
-    pend = spark.read.schema(readers.PENDING_SCHEMA).parquet(args.pending)
-    register = spark.read.parquet(args.register)
-    blocks = readers.load_blocks(spark.read.schema(readers.BLOCK_SCHEMA).parquet(args.blocks))
-    pins = readers.load_pins(spark.read.schema(readers.PIN_SCHEMA).parquet(args.pins))
-
+    pend = _read(spark, args, args.pending, readers.PENDING_SCHEMA)
     chunked = chunks.assign_chunks(pend, args.chunk_size, "death_main_id")
-    ref = pipeline.prepare_reference(readers.load_register(register), blocks, pins,
-                                     args.name_threshold, args.address_threshold)
-    if args.register_index:
-        ref.register = _register_index(spark, args, ref.register.rows)
-    elif args.metric != "levenshtein":
-        ref.register = person.RegisterSide(ref.register.rows, args.name_threshold, metric=args.metric)
     ev = pipeline.run(chunked, None, None, None, args.name_threshold, args.address_threshold,
-                      args.mode, args.blank_policy, reference=ref)
+                      args.mode, args.blank_policy, reference=_reference(spark, args))
     out = args.out.rstrip("/")
     pipeline.write_evidence(ev, out, args.run_date, chunks=chunked)
+    # what was written answers the rest: no join runs twice
+    ev, owner = pipeline.written_evidence(spark, out, args.run_date), f"run-{args.run_date}"
     missing = pipeline.unmatched_report(pend, ev).join(chunked.select("death_main_id", "chunk_id"), "death_main_id")
-    (missing.withColumn("run_date", F.lit(args.run_date)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "chunk_id")
-            .parquet(f"{out}/unmatched"))
-    (report.match_counts(ev.person, chunked).withColumn("run_date", F.lit(args.run_date))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date")
-           .parquet(f"{out}/match_counts"))
+    sinks.write_owned(missing.withColumn("run_date", F.lit(args.run_date)), f"{out}/unmatched", owner)
+    counts = ev.person.groupBy("chunk_id", "district", "branch").agg(F.count(F.lit(1)).alias("match_count"))
+    sinks.write_owned(counts.withColumn("run_date", F.lit(args.run_date)), f"{out}/match_counts", owner)
+    if args.csv_evidence:
+        for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
+            sinks.write_evidence_csv(df, out, kind, args.run_date)
+
+
+def _read(spark, args, path: str, schema):
+    if args.format == "csv" or path.endswith(".csv"):
+        return readers.read_chunk(spark, path, schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _register(spark, args):
+    """One register, or one per district."""
+    parts = [p.partition("=") for p in args.register]
+    if all(sep for _, sep, _ in parts):
+        return readers.union_registers({d: _read(spark, args, p, readers.REGISTER_SCHEMA) for d, _, p in parts})
+    if len(parts) > 1:
+        raise SystemExit("several registers: give each as district=path")
+    path = args.register[0]
+    if args.format == "csv" or path.endswith(".csv"):
+        return readers.load_register(_read(spark, args, path, readers.REGISTER_SCHEMA))
+    return readers.load_register(spark.read.parquet(path))
+
+
+def _reference(spark, args) -> pipeline.Reference:
+    blocks = readers.load_blocks(_read(spark, args, args.blocks, readers.BLOCK_SCHEMA))
+    pins = readers.load_pins(_read(spark, args, args.pins, readers.PIN_SCHEMA))
+    ref = pipeline.prepare_reference(_register(spark, args), blocks, pins, args.name_threshold, args.address_threshold)
+    if args.register_index:
+        ref.register = _register_index(spark, args, ref.register.rows)
+    elif args.metric != "levenshtein":
+        ref.register = person.RegisterSide(ref.register.rows, args.name_threshold, metric=args.metric)
+    return ref
 
 
 def _run_stream(spark, args) -> None:
@@ -81,19 +107,13 @@ def _run_stream(spark, args) -> None:
     from pyspark.sql import types as T
 
     from reglink.streaming import incremental
-    register = readers.load_register(spark.read.parquet(args.register))
-    blocks = readers.load_blocks(spark.read.schema(readers.BLOCK_SCHEMA).parquet(args.blocks))
-    pins = readers.load_pins(spark.read.schema(readers.PIN_SCHEMA).parquet(args.pins))
-    ref = pipeline.prepare_reference(register, blocks, pins, args.name_threshold, args.address_threshold)
-    if args.register_index:
-        ref.register = _register_index(spark, args, ref.register.rows)
-    elif args.metric != "levenshtein":
-        ref.register = person.RegisterSide(ref.register.rows, args.name_threshold, metric=args.metric)
+    ref = _reference(spark, args)
     schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
-    stream = incremental.pending_stream(spark, args.pending, schema, args.files_per_batch)
+    stream = incremental.pending_stream(spark, args.pending, schema, args.files_per_batch, args.format)
     out = args.out.rstrip("/")
     incremental.run_incremental(spark, stream, None, None, None, out, f"{out}/_checkpoint", args.run_date,
                                 mode=args.mode, name_threshold=args.name_threshold,
+                                address_threshold=args.address_threshold, blank_policy=args.blank_policy,
                                 reference=ref).awaitTermination()
 
 
@@ -103,13 +123,17 @@ def _exists(spark, path: str) -> bool:
 
 
 def _register_index(spark, args, prepared_rows) -> person.RegisterSide:
-    """Reuse the register side saved by an earlier run, or build and save it."""
+    """Reuse the register side saved by an earlier run when it was built from this register with
+    this threshold and metric; else build and save it.  Table names follow from the path."""
     path = args.register_index.rstrip("/")
+    table = f"reglink_register_{hashlib.md5(path.encode()).hexdigest()[:12]}"
+    side = person.RegisterSide(prepared_rows, args.name_threshold, metric=args.metric)
     if _exists(spark, f"{path}/_manifest"):
-        return person.RegisterSide.load_bucketed(spark, path, "reglink_register_loaded")
+        saved = person.RegisterSide.load_bucketed(spark, path, table, expect=side.fingerprint())
+        if saved is not None:
+            return saved
     buckets = args.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    side = person.RegisterSide(prepared_rows, args.name_threshold, metric=args.metric)
-    return side.save_bucketed("reglink_register_saved", path, buckets)
+    return side.save_bucketed(table, path, buckets)
 
 
 if __name__ == "__main__":

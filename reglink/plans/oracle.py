@@ -195,18 +195,19 @@ COLUMN_PROFILE = "\nUNION ALL\n".join(
 SCORECARD_CTE = f"""
 card AS (
   SELECT e.death_main_id, e.rc_no, e.branch,
-         {edit_score('p.p_name', 'r.r_name')} AS name_score,
-         CASE WHEN e.branch = 'name_father' THEN {edit_score('p.p_father', 'r.r_father')} END AS father_score,
+         {edit_score('p.p_name', 'e.r_name')} AS name_score,
+         CASE WHEN e.branch = 'name_father' THEN {edit_score('p.p_father', 'e.r_father')} END AS father_score,
          (SELECT CAST(max(b.score) AS INTEGER) FROM block_ev b
            WHERE b.death_main_id = e.death_main_id AND b.block_id = e.rc_blockmunicipalitycode) AS block_score,
          (SELECT CAST(max(n.score) AS INTEGER) FROM pin_ev n WHERE n.death_main_id = e.death_main_id) AS pin_score
-  FROM person_ev e JOIN pend_clean p USING (death_main_id) JOIN reg_clean r USING (rc_no)
+  FROM (SELECT *, {clean("coalesce(rc_name, '')")} AS r_name, {clean("coalesce(rc_father_name, '')")} AS r_father FROM person_ev) e
+       JOIN pend_clean p USING (death_main_id)
 )"""
 SCORECARD = "SELECT * FROM card"
 BEST_MATCH = """
 SELECT death_main_id, rc_no, branch, name_score + coalesce(father_score, 0) AS total_score FROM card
 QUALIFY row_number() OVER (PARTITION BY death_main_id
-                           ORDER BY name_score + coalesce(father_score, 0) DESC, rc_no ASC) = 1"""
+                           ORDER BY name_score + coalesce(father_score, 0) DESC, rc_no ASC, branch ASC) = 1"""
 
 ELAPSED_TEXT = """
 SELECT user_id, n_events,
@@ -245,3 +246,50 @@ PIPELINE_EVIDENCE = """
 SELECT death_main_id, 'block' AS evidence, block_id AS ref_id, score FROM block_ev
 UNION ALL SELECT death_main_id, 'pin' AS evidence, matched_pin AS ref_id, score FROM pin_ev
 UNION ALL SELECT death_main_id, 'person' AS evidence, rc_no AS ref_id, CAST(NULL AS INTEGER) AS score FROM person_ev"""
+
+
+CLAIM_TWICE = """
+SELECT id, chunk_id, 1 AS claim_no FROM chunks WHERE chunk_id <= 3
+UNION ALL SELECT id, chunk_id, 2 AS claim_no FROM chunks WHERE chunk_id IN (4, 5)
+UNION ALL SELECT id, chunk_id, 3 AS claim_no FROM chunks WHERE chunk_id <= 3"""
+
+CHUNK_CSV = """
+SELECT death_main_id, DEATH_DECEASED_NAME, DEATH_FATHER_NAME,
+       'House "' || CAST(death_main_id AS VARCHAR) || '", Ward' || chr(10) || death_address AS death_address,
+       lpad(CAST(death_main_id AS VARCHAR), 12, '0') AS card FROM pending"""
+
+CSV_EVIDENCE = """
+SELECT 'block' AS kind, concat_ws('|', CAST(death_main_id AS VARCHAR), block_id) AS line FROM block_ev
+UNION ALL SELECT 'pin' AS kind, concat_ws('|', CAST(death_main_id AS VARCHAR), matched_pin) AS line FROM pin_ev
+UNION ALL SELECT 'person' AS kind, concat_ws('|', CAST(death_main_id AS VARCHAR), rc_no, rc_name, rc_father_name,
+                                             rc_blockmunicipalitycode, rc_category) AS line FROM person_ev"""
+
+RERUN_SHRINKS = f"""
+SELECT e.*, c.chunk_id FROM ({PERSON_EVIDENCE}) e JOIN chunked c USING (death_main_id)
+WHERE c.chunk_id > 1 AND e.death_main_id % 5 <> 0"""
+
+EDIT_JOIN_KEEP = f"""
+SELECT p.death_main_id, r.PERMANENT_RCNO, r.district FROM pending p JOIN register r
+  ON {sim_ok('lower(p.DEATH_DECEASED_NAME)', 'lower(r.NAME)')}"""
+
+INGEST_CTES = f"""
+loaded AS (
+  SELECT 'upload_' || CAST(row_id % 3 AS VARCHAR) AS file_name, {strip_punct('DEATH_DECEASED_NAME')} AS death_name,
+         {strip_punct('DEATH_FATHER_NAME')} AS death_father_name, concat_ws(',', {ADDRESS_PARTS}) AS death_address
+  FROM uploads
+),
+claimed AS (
+  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY file_name, death_address, death_name, death_father_name) AS id FROM loaded)
+  WHERE id <= 200
+),
+up AS (
+  SELECT id AS death_main_id, CAST((id - 1) // 100 + 1 AS BIGINT) AS chunk_id, file_name,
+         {clean('death_name')} AS p_name, {clean('death_father_name')} AS p_father FROM claimed
+)"""
+
+INGEST_CLAIM_MATCH = f"""
+SELECT p.death_main_id, p.chunk_id, p.file_name, r.rc_no, 'name_father' AS branch FROM up p JOIN r2 r
+  ON coalesce(p.p_father, '') <> '' AND {sim_ok('p.p_name', 'r.r_name')} AND {sim_ok('p.p_father', 'r.r_father')}
+UNION ALL
+SELECT p.death_main_id, p.chunk_id, p.file_name, r.rc_no, 'name_only' AS branch FROM up p JOIN reg_clean r
+  ON coalesce(p.p_father, '') = '' AND length(p.p_name) > 0 AND p.p_name = r.r_name"""

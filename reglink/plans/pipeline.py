@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from reglink import constants as C
 from reglink.functions.clean import concat_address, strip_punct
 from reglink.operators import person, token_join
+from reglink.operators.chunks import assign_positions
 from reglink.sources import sinks
 
 DROPPED_UPLOAD_COLUMNS = C.UPLOAD_DROPPED_COLUMNS
@@ -42,6 +43,27 @@ def ingest_uploads(raw: DataFrame) -> DataFrame:
     )
 
 
+def new_main_rows(ingested: DataFrame, after_id: int = 0) -> DataFrame:
+    """K9: ingested uploads as rows of the main table: ids go on after ``after_id`` in the order of
+    file, address and name; nothing sent yet."""
+    keyed = ingested.select("death_name", "death_father_name", "death_address", "file_name")
+    placed = assign_positions(keyed, "file_name", tiebreak=["death_address", "death_name", "death_father_name"])
+    return placed.select((F.col("position") + F.lit(after_id)).cast("long").alias("id"), F.lit(0).alias("is_send"),
+                         "death_name", "death_father_name", "death_address", "file_name")
+
+
+def append_uploads(ingested: DataFrame, main_path: str, batch: str) -> None:
+    """K9: append one batch of uploads to the main table; the folder of ``batch`` is its own, so
+    loading it again replaces it (ids of other batches stay)."""
+    spark = ingested.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(main_path)
+    after = 0
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        others = spark.read.parquet(main_path).where(F.col("batch") != batch)
+        after = others.agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
+    new_main_rows(ingested, after).write.mode("overwrite").parquet(f"{main_path.rstrip('/')}/batch={batch}")
+
+
 @dataclass
 class Reference:
     """Everything on the reference side of a run, prepared once: the register
@@ -50,10 +72,15 @@ class Reference:
     blocks: token_join.TokenSetIndex
     pins: token_join.TokenSetIndex
 
+    stored: bool = False
+
     def persist(self) -> "Reference":
-        self.register.persist()
-        self.blocks.persist()
-        self.pins.persist()
+        """Store all three in the shared checkpoint folder, once (a register side read from bucketed tables stays there)."""
+        if not self.stored:
+            self.register.persist()
+            self.blocks.persist()
+            self.pins.persist()
+            self.stored = True
         return self
 
 
@@ -91,7 +118,7 @@ def run(pending: DataFrame, register: DataFrame | None, blocks: DataFrame | None
 
 
 def write_evidence(ev: Evidence, path: str, run_date: str, chunks: DataFrame | None = None) -> None:
-    """One write per evidence kind, partitioned by run date and chunk."""
+    """One write per evidence kind, with ``chunk_id`` as a column; a run date's folder is replaced."""
     for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
         if chunks is not None:
             df = df.join(chunks.select("death_main_id", "chunk_id"), "death_main_id")
@@ -99,7 +126,14 @@ def write_evidence(ev: Evidence, path: str, run_date: str, chunks: DataFrame | N
 
 
 def read_evidence(spark, path: str, kind: str) -> DataFrame:
-    return spark.read.parquet(f"{path.rstrip('/')}/{kind}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{kind}").drop("owner")
+
+
+def written_evidence(spark, path: str, run_date: str) -> Evidence:
+    """The evidence that a batch run of ``run_date`` wrote."""
+    def kind(k: str) -> DataFrame:
+        return spark.read.parquet(f"{path.rstrip('/')}/{k}/owner=run-{run_date}")
+    return Evidence(block=kind("block"), pin=kind("pin"), person=kind("person"))
 
 
 EVIDENCE_REF = {"block": ("block_id", "score"), "pin": ("matched_pin", "score"), "person": ("rc_no", None)}

@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share (master {sc.master})")
         # Local runs and tests only: a cluster names its shared folder itself.
         current = tempfile.mkdtemp(prefix="reglink-ckpt-", dir="/tmp")
     if sc.getCheckpointDir() is None:

@@ -10,14 +10,15 @@ kept; deterministic rules on the row's own columns decide its spelling.
   ``FATHERNAME`` is ``p_type`` + first word of ``p_name`` (blank when
   ``p_size % 10 = 0``); block code = ``p_size % 25`` (a nation key, 4 digits);
   category = ``p_type``; district = ``p_brand``.
-* pending   <- ``customer`` joined with ``nation``, ``region`` and the part of
-  the same key (its name): the queue of incoming records.  Its spelling
+  Every 19th card number occurs again, for another person of district ``Second``.
+* pending   <- ``customer`` joined with ``nation``, ``region`` and, where there is one, the
+  part of the same key (its name): the queue of incoming records.  Its spelling
   varies by ``c_custkey``: reversed, upper-cased with double spaces, one
   key letter off, or the key's last two letters swapped; fathers blank (``--``), null, unknown or one letter longer;
-  addresses null, a short typo of the nation, or the full
+  addresses null, a short typo of the nation, a bare pin, or the full
   ``customer, nation, region, segment``.
 * blocks    <- ``nation`` (code = 4-digit key) and ``region`` (code ``R`` + 3 digits).
-* pins      <- distinct digit runs of ``supplier.s_name``.
+* pins      <- distinct digit runs of ``supplier.s_name`` and one six-digit pin per supplier.
 
 ``ORACLE_CTE`` states the same derivation in SQL for the DuckDB oracle.
 """
@@ -40,7 +41,7 @@ def spell(c: Column) -> Column:
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return part.select(
+    own = part.select(
         F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("PERMANENT_RCNO"),
         F.concat_ws(" ", "p_name", spell(F.col("p_partkey"))).alias("NAME"),
         F.when(F.col("p_size") % 10 == 0, F.lit(""))
@@ -50,6 +51,19 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("RCCATEGORY"),
         F.regexp_replace("p_brand", "#", "_").alias("district"),
     )
+    # every 19th card number is also another person's in a second district
+    again = part.where(F.col("p_partkey") % 19 == 0).select(
+        F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("PERMANENT_RCNO"),
+        F.concat_ws(" ", "p_name", spell(F.col("p_partkey") + 1)).alias("NAME"),
+        F.concat_ws(" ", "p_type", F.split_part("p_name", F.lit(" "), F.lit(1))).alias("FATHERNAME"),
+        F.lpad((F.col("p_size") % 25).cast("string"), 4, "0").alias("BlockMunicipalityCode"),
+        F.col("p_type").alias("RCCATEGORY"), F.lit("Second").alias("district"))
+    return own.unionByName(again)
+
+
+def pin_text(key: Column) -> Column:
+    """A six-digit pin of one state (all start with 7)."""
+    return F.concat(F.lit("7"), F.lpad((key * 7919 % 100000).cast("string"), 5, "0"))
 
 
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +74,9 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation and region are fixed 25/5-row dimensions: broadcast is size-safe
     df = (cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
               .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-              .join(part, cust.c_custkey == part.p_partkey))
+              .join(part, cust.c_custkey == part.p_partkey, "left")
+              .withColumn("p_name", F.coalesce("p_name", F.lit("unnamed")))
+              .withColumn("p_type", F.coalesce("p_type", F.lit("unknown"))))
     k = F.col("c_custkey")
     base = F.concat_ws(" ", "p_name", spell(k))
     first = F.split_part("p_name", F.lit(" "), F.lit(1))
@@ -81,6 +97,7 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.concat_ws(" ", "p_type", first)))
     address = (F.when(k % 13 == 0, F.lit(None).cast("string"))
                 .when(k % 13 == 1, F.concat("n_name", F.lit("x")))
+                .when(k % 13 == 2, pin_text(k))
                 .otherwise(F.concat_ws(", ", "c_name", "n_name", "r_name", "c_mktsegment")))
     return df.select(
         k.alias("death_main_id"),
@@ -145,8 +162,9 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = read_table(spark, sf_dir, "supplier").select("s_name")
-    return sup.select(F.regexp_extract("s_name", "[0-9]+", 0).alias("Pincode")).where(F.col("Pincode") != "").distinct()
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    digits = sup.select(F.regexp_extract("s_name", "[0-9]+", 0).alias("Pincode")).where(F.col("Pincode") != "")
+    return digits.unionByName(sup.select(pin_text(F.col("s_suppkey")).alias("Pincode"))).distinct()
 
 
 # The same derivation in SQL (DuckDB), prepended to every oracle query.
@@ -159,6 +177,13 @@ register AS (
          p_type AS RCCATEGORY,
          replace(p_brand, '#', '_') AS district
   FROM part
+  UNION ALL
+  SELECT lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS PERMANENT_RCNO,
+         p_name || ' ' || translate(CAST(p_partkey + 1 AS VARCHAR), '0123456789', 'abcdefghij') AS NAME,
+         p_type || ' ' || split_part(p_name, ' ', 1) AS FATHERNAME,
+         lpad(CAST(p_size % 25 AS VARCHAR), 4, '0') AS BlockMunicipalityCode,
+         p_type AS RCCATEGORY, 'Second' AS district
+  FROM part WHERE p_partkey % 19 = 0
 ),
 pending AS (
   SELECT c_custkey AS death_main_id,
@@ -177,10 +202,12 @@ pending AS (
               ELSE p_type || ' ' || split_part(p_name, ' ', 1) END AS DEATH_FATHER_NAME,
          CASE WHEN c_custkey % 13 = 0 THEN NULL
               WHEN c_custkey % 13 = 1 THEN n_name || 'x'
+              WHEN c_custkey % 13 = 2 THEN '7' || lpad(CAST(c_custkey * 7919 % 100000 AS VARCHAR), 5, '0')
               ELSE concat_ws(', ', c_name, n_name, r_name, c_mktsegment) END AS death_address
   FROM customer JOIN nation ON c_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey
-                JOIN part ON p_partkey = c_custkey
+                JOIN (SELECT c_custkey AS p_partkey, coalesce(p_name, 'unnamed') AS p_name, coalesce(p_type, 'unknown') AS p_type
+                      FROM customer LEFT JOIN part ON p_partkey = c_custkey) ON p_partkey = c_custkey
 ),
 blocks AS (
   SELECT lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS BlockCode, n_name AS BlockName FROM nation
@@ -207,6 +234,8 @@ uploads AS (
                JOIN region ON n_regionkey = r_regionkey
 ),
 pins AS (
-  SELECT DISTINCT regexp_extract(s_name, '[0-9]+', 0) AS Pincode FROM supplier
+  SELECT regexp_extract(s_name, '[0-9]+', 0) AS Pincode FROM supplier
   WHERE regexp_extract(s_name, '[0-9]+', 0) <> ''
+  UNION
+  SELECT '7' || lpad(CAST(s_suppkey * 7919 % 100000 AS VARCHAR), 5, '0') AS Pincode FROM supplier
 )"""

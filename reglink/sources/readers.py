@@ -72,17 +72,42 @@ def all_string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """CSV scan with a fixed schema (S1-S3): ids declared as strings keep their zeros."""
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-            .option("emptyValue", "").csv(path))
-
-
-def read_uploads(spark: SparkSession, folder: str, schema: T.StructType = UPLOAD_SCHEMA) -> DataFrame:
-    """Every ``*.csv`` in a folder (S10) with its source file name."""
-    df = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
-          .csv(folder))
-    return df.withColumn("file_name", F.col("_metadata.file_name"))
+def _csv(reader, path: str):
+    """RFC-4180 CSV: quotes doubled inside quotes, line breaks inside quotes, broken rows fail."""
+    return (reader.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+            .option("nullValue", "\u0000").option("emptyValue", "").option("mode", "FAILFAST").csv(path))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None) -> DataFrame:
+    """CSV scan (S1-S3): columns by header *name*, others (such as an unnamed index column) ignored.
+
+    Ids declared as strings keep their zeros; a missing column, a row that does not parse and a
+    value that does not cast raise.  In a folder, a file whose header differs from the first one's
+    raises too (not checked where a column has no name)."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    names = _csv(reader, path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names}")
+    reader = spark.read.schema(all_string_schema(names)).option("enforceSchema", any(n.startswith("_c") for n in names))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = _csv(reader, path)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                     F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_path").alias("_path"))
+
+
+def read_chunk(spark: SparkSession, path: str, schema: T.StructType = PENDING_SCHEMA) -> DataFrame:
+    """A pending chunk written as CSV (header, with or without an index column)."""
+    return read_csv(spark, path, schema).drop("_file", "_path")
+
+
+def read_uploads(spark: SparkSession, folder: str, schema: T.StructType = UPLOAD_SCHEMA, name_from: str = "file") -> DataFrame:
+    """Every ``*.csv`` in a folder (S10) with its source file name (F14), or the name of the
+    file's folder (``name_from="folder"``)."""
+    df = read_csv(spark, folder, schema, "*.csv")
+    name = F.col("_file") if name_from == "file" else F.element_at(F.split("_path", "/"), -2)
+    return df.withColumn("file_name", name).drop("_file", "_path")
 
 
 def load_register(df: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
-"""Sinks (K1-K9).  Every write is one DataFrame write, idempotent: re-running
-a run date / chunk replaces its partitions (dynamic partition overwrite)
-instead of appending duplicates, which is what a task retry needs."""
+"""Sinks (K1-K9).  Every write is one DataFrame write, idempotent: a run owns
+its folder and replaces it as a whole, instead of appending duplicates or
+leaving rows that the new run no longer yields."""
 
 from __future__ import annotations
 
@@ -20,33 +20,43 @@ def write_register(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("district").parquet(path)
 
 
-def write_chunks(df: DataFrame, path: str) -> None:
-    """K3: pending rows partitioned by ``chunk_id`` (one folder per chunk)."""
-    df.write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+def write_chunks(df: DataFrame, path: str, files: int | None = None) -> None:
+    """K3: pending rows with ``chunk_id`` as a column.  Whole chunks per file (range-partitioned by
+    chunk), many chunks in one: the number of files follows the bytes (or ``files``), not the queue."""
+    ranged = df.repartitionByRange(files, "chunk_id") if files else df.repartitionByRange("chunk_id")
+    ranged.write.mode("overwrite").parquet(path)
 
 
-def append_evidence(df: DataFrame, path: str, kind: str, run_date: str,
-                    partition_cols: tuple[str, ...] = ("run_date", "chunk_id"),
+def append_evidence(df: DataFrame, path: str, kind: str, run_date: str, owner: str | None = None,
                     fmt: str = "parquet") -> None:
-    """K4-K7: write one kind of evidence under ``path/kind`` partitioned by
-    run date (and chunk).  Only the partitions present in ``df`` are
-    replaced, so writing the same chunk twice leaves one copy."""
+    """K4-K7: one kind of evidence of one run, below ``path/kind/owner=...``.
+
+    The folder belongs to ``owner`` (a run date's batch run, or one batch of a stream) and is replaced as a
+    whole: a re-run that yields less, or nothing for some chunk, leaves nothing old behind."""
     if kind not in EVIDENCE_KINDS:
         raise ValueError(f"kind must be one of {EVIDENCE_KINDS}")
-    spark = df.sparkSession
-    out = df.withColumn("run_date", F.lit(run_date))
-    cols = [c for c in partition_cols if c in out.columns]
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
+    write_owned(df.withColumn("run_date", F.lit(run_date)), f"{path.rstrip('/')}/{kind}", owner or f"run-{run_date}", fmt)
+
+
+def write_owned(df: DataFrame, path: str, owner: str, fmt: str = "parquet") -> None:
+    """Replace what ``owner`` has below ``path``."""
+    writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        writer.format(fmt).save(f"{path.rstrip('/')}/{kind}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def write_uploads_csv(df: DataFrame, path: str, split_col: str) -> None:
-    """Test helper for S10: raw uploads as header CSV files, one folder per value."""
-    df.write.mode("overwrite").option("header", True).partitionBy(split_col).csv(path)
+        writer = writer.option("header", True).option("quote", '"').option("escape", '"')
+    writer.format(fmt).save(f"{path.rstrip('/')}/owner={owner}")
+
+
+# Headers of the CSV evidence files.
+CSV_HEADERS = {
+    "block": [("death_main_id", "death_main_id"), ("block_id", "blockcode")],
+    "pin": [("death_main_id", "death_main_id"), ("matched_pin", "pincode")],
+    "person": [("death_main_id", "death_main_id"), ("rc_no", "PERMANENT_RCNO"), ("rc_name", "NAME"),
+               ("rc_father_name", "FATHERNAME"), ("rc_blockmunicipalitycode", "BlockMunicipalityCode"),
+               ("rc_category", "RCCATEGORY")],
+}
+
+
+def write_evidence_csv(df: DataFrame, path: str, kind: str, run_date: str) -> None:
+    """K4: the dated CSV evidence with the source files' headers, replaced per run date."""
+    out = df.select(*[F.col(a).alias(b) for a, b in CSV_HEADERS[kind]])
+    write_owned(out, f"{path.rstrip('/')}/{kind}_csv", f"run-{run_date}", "csv")

@@ -3,9 +3,11 @@
 The reference walks a folder of chunk files, matches each against the
 registers and deletes it.  Here the folder is a Structured Streaming file
 source; each micro-batch is matched against the static, already cleaned
-register (a stream-static join inside ``foreachBatch``) and written with a
-dynamic partition overwrite keyed by batch id, so a replayed batch replaces
-its own output.  Progress lives in the checkpoint, not in deleted files.
+register (a stream-static join inside ``foreachBatch``) and written to a
+folder of its own, named by the stream (the query id that the checkpoint
+holds) and the batch: a replayed batch replaces its own output whatever its
+run date, and a stream with a fresh checkpoint touches no earlier output.
+Progress lives in the checkpoint, not in deleted files.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from reglink import constants as C
 from reglink.operators.person import RegisterSide
 from reglink.plans.pipeline import Reference, prepare_reference, run
 from reglink.sources import sinks
@@ -30,36 +33,39 @@ def pending_stream(spark: SparkSession, folder: str, schema: T.StructType,
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # files must have the schema's columns in its order; a file with another header fails
+        reader = (reader.option("header", True).option("enforceSchema", False).option("quote", '"').option("escape", '"')
+                  .option("multiLine", True).option("mode", "FAILFAST"))
     return reader.format(fmt).load(folder)
 
 
 def run_incremental(spark: SparkSession, stream: DataFrame, register: DataFrame, blocks: DataFrame,
                     pins: DataFrame, out_path: str, checkpoint: str, run_date: str,
                     available_now: bool = True, mode: str = "correlated",
-                    metric: str = "levenshtein", name_threshold: float = 0.9,
+                    metric: str = "levenshtein", name_threshold: float = C.NAME_THRESHOLD,
+                    address_threshold: int = C.ADDRESS_THRESHOLD, blank_policy: str = "null_is_blank",
                     reference: Reference | None = None) -> StreamingQuery:
     """Per micro-batch evidence, written idempotently by batch id.
 
     The register side (cleaned names, edit and token indexes) is built once
     and checkpointed to the shared checkpoint folder before the stream
     starts; each batch only probes it."""
-    if reference is not None:  # e.g. a register side reloaded from bucketed tables
-        ref = reference
-    else:
-        ref = prepare_reference(register, blocks, pins, name_threshold)
+    ref = reference  # e.g. a register side reloaded from bucketed tables
+    if ref is None:
+        ref = prepare_reference(register, blocks, pins, name_threshold, address_threshold)
         if metric != "levenshtein":
             ref.register = RegisterSide(ref.register.rows, name_threshold, metric=metric)
-        ref = ref.persist()
+    ref = ref.persist()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read the batch files once for the three evidence kinds
         try:
             # chained mode needs ``chunk_id`` in the files: chunks are the unit
-            ev = run(batch, None, None, None, name_threshold, mode=mode, reference=ref)
+            ev = run(batch, None, None, None, name_threshold, address_threshold, mode, blank_policy, reference=ref)
+            stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
             for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
                 sinks.append_evidence(df.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                                      out_path, kind, run_date, partition_cols=("run_date", "batch_id"))
+                                      out_path, kind, run_date, owner=f"stream-{stream_id}-{batch_id:09d}")
         finally:
             batch.unpersist()
 

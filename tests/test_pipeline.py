@@ -62,7 +62,7 @@ def test_ingest_keeps_file_name(spark):
 def test_leading_zeros_kept(spark):
     path = scratch_path(spark, "ids")
     spark.createDataFrame([("0001001", "a")], "PERMANENT_RCNO string, NAME string").write.option("header", True).csv(path)
-    df = readers.read_csv(spark, path, readers.all_string_schema(["PERMANENT_RCNO", "NAME"]))
+    df = readers.read_chunk(spark, path, readers.all_string_schema(["PERMANENT_RCNO", "NAME"]))
     assert df.first().PERMANENT_RCNO == "0001001"
 
 
@@ -109,7 +109,7 @@ def test_stream_chained_equals_batch_chained(spark):
     from reglink.streaming import incremental
     pend = chunks.assign_chunks(fx.pending(spark, SF_SMALL), 40, "death_main_id").drop("position")
     base = scratch_path(spark, "stream-chained")
-    sinks.write_chunks(pend.repartition("chunk_id"), f"{base}/in")
+    sinks.write_chunks(pend, f"{base}/in", files=3)
     schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
     stream = incremental.pending_stream(spark, f"{base}/in", schema, max_files_per_trigger=2)
     q = incremental.run_incremental(spark, stream, fx.register(spark, SF_SMALL), fx.blocks(spark, SF_SMALL),
@@ -134,7 +134,7 @@ def test_stream_archives_consumed_chunk_files(spark):
     from reglink.streaming import incremental
     pend = chunks.assign_chunks(fx.pending(spark, SF_SMALL), 40, "death_main_id").drop("position")
     base = scratch_path(spark, "stream-archive")
-    sinks.write_chunks(pend.repartition("chunk_id"), f"{base}/in")
+    sinks.write_chunks(pend, f"{base}/in", files=3)
     local = base.replace("file:", "")
     n_files = len(glob.glob(f"{local}/in/**/*.parquet", recursive=True))
     schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
@@ -178,7 +178,7 @@ def test_cli_stream_over_chunk_folder(spark):
     from reglink.sources import sinks
     base = scratch_path(spark, "cli-stream")
     pend = chunks.assign_chunks(fx.pending(spark, SF_SMALL), 50, "death_main_id").drop("position")
-    sinks.write_chunks(pend.repartition("chunk_id"), f"{base}/chunks")
+    sinks.write_chunks(pend, f"{base}/chunks", files=3)
     fx.register(spark, SF_SMALL).write.parquet(f"{base}/register")
     fx.blocks(spark, SF_SMALL).write.parquet(f"{base}/blocks")
     fx.pins(spark, SF_SMALL).write.parquet(f"{base}/pins")
