@@ -25,6 +25,7 @@ BUCKETS = 1 << 16
 MAX_LABELS = 20_000
 PER = 1000.0
 PRIOR = 20.0
+CARE = 4.0            # a good document lost weighs as much as so many bad ones kept
 
 
 def _features(text: pa.Array, buckets: int):
@@ -101,14 +102,14 @@ def weigh(docs: DataFrame, sample: DataFrame, ratio: np.ndarray) -> DataFrame:
     return rows.mapInArrow(score, "doc_id long, text_hash long, n_grams long, log_weight double, good int, quality int")
 
 
-def best_cut(weight: np.ndarray, good: np.ndarray) -> float:
-    """The weight from which on documents count as good: largest difference between the
-    shares of good and bad ones above it; between two weights, their middle."""
+def best_cut(weight: np.ndarray, good: np.ndarray, care: float = CARE) -> float:
+    """The weight from which on documents count as good: the share of bad ones below it less
+    ``care`` times the share of good ones is largest; between two weights, their middle."""
     if not good.any() or good.all():
         return -np.inf
     order = np.argsort(weight, kind="stable")
     w, g = weight[order], good[order]
-    gain = np.concatenate(([0.0], np.cumsum(np.where(g, -1 / g.sum(), 1 / (~g).sum()))))
+    gain = np.concatenate(([0.0], np.cumsum(np.where(g, -care / g.sum(), 1 / (~g).sum()))))
     gain[1:-1][w[1:] == w[:-1]] = -np.inf
     i = int(np.argmax(gain))
     return -np.inf if i == 0 else np.inf if i == len(w) else float((w[i - 1] + w[i]) / 2)

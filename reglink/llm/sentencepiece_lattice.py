@@ -25,7 +25,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,27 +232,11 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
     buckets = max(1, plain.n * (group_bytes // 64) // bucket_units)
     limit, of = MAX_UNIT if model.bpe else 1 << 30, model.bytes_of()
 
-    def compress(batches):
-        """A group's part of a batch as one compressed row."""
-        for batch in batches:
-            groups = batch.column("_g").to_numpy()
-            for g in np.unique(groups).tolist():
-                own = batch.filter(pa.array(groups == g)).select(["_id", "_text"])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, own.schema) as out:
-                    out.write_batch(own)
-                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary())], names=["_g", "part"])
-
-    rows = plain.rows.mapInArrow(compress, "_g int, part binary")
+    rows = ex.packed(plain.rows)
 
     def texts(table: pa.Table) -> tuple[list, list[list[str]]]:
-        ids, units = [], []
-        for raw in table.column("part").to_pylist():
-            with pa.ipc.open_stream(zstandard.decompress(raw)) as part:
-                own = part.read_all()
-            ids += own.column("_id").to_pylist()
-            units += [UNIT.findall(normalise(t)) for t in own.column("_text").to_pylist()]
-        return ids, units
+        own = ex.unpacked(table)
+        return own.column("_id").to_pylist(), [UNIT.findall(normalise(t)) for t in own.column("_text").to_pylist()]
 
     def by_bucket(units: list[list[str]]) -> dict[int, list[str]]:
         out: dict[int, list[str]] = {}

@@ -48,12 +48,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def flat(column) -> pa.Array:
-    """One contiguous array of a (chunked) text column; null becomes empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    """One contiguous array of a (chunked) text column; null becomes empty.
+
+    A slice is copied, so that its bytes begin at 0: kernels such as ``ascii_lower`` don't read
+    an array right whose first offset lies further on."""
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_string())
     column = column.cast(pa.large_string())
+    column = column.take(pa.array(np.arange(len(column))))
     return pc.fill_null(column, "") if column.null_count else column
 
 

@@ -21,6 +21,34 @@ BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def test_slices_of_a_batch_have_their_own_words():
+    import pyarrow as pa
+
+    from reglink.llm import resampling
+    from reglink.llm.words import flat, slices, split
+
+    texts_ = [t for _, t in texts()] * 3
+    column = pa.array(texts_, pa.string())
+    ranges = list(slices(column, 3000))
+    assert ranges[0][0] == 0 and ranges[-1][1] == len(texts_) and all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    ids = packing.load_encoders(BPE)
+    for lo, hi in ranges:
+        cut = column.slice(lo, hi - lo)
+        assert flat(cut).to_pylist() == [t or "" for t in texts_[lo:hi]]
+        w = split(cut, lower=True)
+        raw = w.vocab.to_pylist()
+        assert [[raw[i] for i in w.ids[a:b]] for a, b in zip(w.off[:-1], w.off[1:])] == [words(t, lower=True) for t in texts_[lo:hi]]
+        m = quality.measure(flat(cut), [5, 7])
+        assert list(zip(*(m[k].tolist() for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")))) == [_base(t) for t in texts_[lo:hi]]
+        assert m["cover_5"].tolist() == [_cover(t, 5) for t in texts_[lo:hi]]
+        got, at = packing.encode_ids(flat(cut), ids)
+        assert [got[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids[0].encode(t or "", add_special_tokens=False).ids for t in texts_[lo:hi]]
+        f, doc = resampling._features(flat(cut), 1 << 16)
+        for d, t in enumerate(texts_[lo:hi]):
+            one, _ = resampling._features(flat(pa.array([t], pa.string())), 1 << 16)
+            assert sorted(f[doc == d].tolist()) == sorted(one.tolist())
+
+
 # --- 1: sentence pieces -------------------------------------------------------
 
 def test_pieces_equal_the_library(spark):
