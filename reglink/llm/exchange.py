@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +65,40 @@ def unplanes(raw: bytes, dtype, width: int | None = None) -> np.ndarray:
     return out.view(dtype).ravel()
 
 
+def dense(a: np.ndarray, width: int | None = None) -> bytes:
+    """``planes``, entropy-coded: for counts and other numbers of few bits."""
+    return zstandard.compress(planes(a, width), 1)
+
+
+def undense(raw: bytes, dtype, width: int | None = None) -> np.ndarray:
+    return unplanes(zstandard.decompress(raw), dtype, width)
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """Each group's rows of an Arrow batch as one compressed row (``_g``, ``part``): less to shuffle."""
+
+    def pack(batches):
+        for batch in batches:
+            groups = batch.column("_g").to_numpy()
+            for g in np.unique(groups).tolist():
+                own = batch.filter(pa.array(groups == g)).drop_columns(["_g"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, own.schema) as out:
+                    out.write_batch(own)
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([zstandard.compress(sink.getvalue(), 1)], pa.binary())], names=["_g", "part"])
+
+    return rows.mapInArrow(pack, "_g int, part binary")
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """The rows of a group of ``packed`` rows (at least one)."""
+    parts = []
+    for raw in table.column("part").to_pylist():
+        with pa.ipc.open_stream(zstandard.decompress(raw)) as part:
+            parts.append(part.read_all())
+    return pa.concat_tables(parts)
+
+
 def bounds(keys: np.ndarray, bits: int) -> np.ndarray:
     """Where each of the 2**bits buckets begins in sorted keys, and their end."""
     if not bits:
@@ -73,7 +108,7 @@ def bounds(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def short(keys: np.ndarray, bits: int, width: int) -> bytes:
-    """Keys without their bucket's bits, cut to ``width`` bytes."""
+    """Keys without their bucket's bits, cut to ``width`` bytes: their order stays."""
     return planes((keys << np.uint64(bits)) >> np.uint64(64 - 8 * width), width)
 
 
@@ -81,19 +116,19 @@ def group_id(table: pa.Table) -> int:
     return table.column("_g")[0].as_py()
 
 
-def answers(side: pa.Table, keys: np.ndarray, bits: int, dtype, width: int | None = None, column: str = "reply", empty=0) -> np.ndarray:
-    """One value per sorted key from the buckets' replies (``empty`` where a bucket sent none)."""
-    out = np.full(len(keys), empty, dtype)
+def answers(side: pa.Table, keys: np.ndarray, bits: int, dtype, read=unplanes) -> np.ndarray:
+    """One value per sorted key from the buckets' replies (0 where a bucket sent none)."""
+    out = np.zeros(len(keys), dtype)
     at = bounds(keys, bits)
-    for b, raw in zip(side.column("b").to_pylist(), side.column(column).to_pylist()):
+    for b, raw in zip(side.column("b").to_pylist(), side.column("reply").to_pylist()):
         if raw is not None and b is not None and b >= 0:
-            out[at[b]:at[b + 1]] = unplanes(raw, dtype, width)
+            out[at[b]:at[b + 1]] = read(raw, dtype)
     return out
 
 
-def pieces(raws: list[bytes], dtype, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def pieces(raws: list[bytes], dtype, width: int | None = None, read=unplanes) -> tuple[np.ndarray, np.ndarray]:
     """Packed arrays of several senders as one, and the bounds of each sender's part."""
-    parts = [unplanes(r, dtype, width) for r in raws]
+    parts = [read(r, dtype, width) for r in raws]
     return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
 
