@@ -11,6 +11,9 @@ probability, with backoff weights that make every context's probabilities sum to
 
 A context whose counts free nothing counts one token more, and so does N.
 
+Hashes stand for words: 64 bits cut to 48 and the bucket's bits where words are counted,
+48 for a pair's context and 40 for its word beside that context.
+
 Exchange (see ``exchange``): text groups ask for their distinct words' counts, then for their
 distinct pairs' counts and, per context, integer sums from which alpha follows exactly.  Pairs go
 to the bucket of their context, pairs of a very frequent context to a bucket of their own
@@ -25,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reglink.llm import exchange as ex
-from reglink.llm.words import STEP, mix, split
+from reglink.llm.words import mix, split
 
 END = np.uint64(0xE4D0F5EA7E11D0C5)          # the end token, which no word hash is expected to equal
 BEGIN = np.uint64(0xB3617A9C24D80F1B)        # context of a document's first token
 TOP = 5
-WORD_BYTES = 7
-PAIR_BYTES = 6
+WORD_BYTES = 6          # sent of a word's hash, beside the bucket's bits
+CONTEXT_BYTES = 6
+PAIR_BYTES = 5          # sent of the word's hash in a pair, beside its context
 
 SENT1 = "_g int, b int, k binary, n binary"
 SENT2 = "_g int, b int, v binary, run binary, w binary, n binary, cw binary"
@@ -95,10 +99,11 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("_held", F.coalesce(held_out, F.lit(False)))
     groups = ex.text_groups(rows, ["_held"], group_bytes, bucket_keys)
-    bits, rows, hot = groups.bits, groups.rows, bucket_keys // 2
+    bits, rows, hot = groups.bits, ex.packed(groups.rows), bucket_keys // 2
 
     def stream(table: pa.Table):
-        """All tokens with their contexts, the document and training flag of each, and document bounds."""
+        """The rows, all tokens, whether each begins a document, its document and whether it trains."""
+        table = ex.unpacked(table)
         w = split(table.column("_text"), lower=True)
         n = len(w.off) - 1
         off = w.off + np.arange(n + 1)
@@ -107,27 +112,25 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
         last[off[1:] - 1] = True
         token[last] = END
         token[~last] = w.tokens
-        context = np.empty_like(token)
-        context[1:] = token[:-1]
-        context[off[:-1]] = BEGIN
-        held = table.column("_c0").to_numpy()
+        begins = np.zeros(len(token), bool)
+        begins[off[:-1]] = True
         doc = np.repeat(np.arange(n), np.diff(off))
-        return token, context, doc, ~held[doc], held
+        return table, token, begins, doc, ~table.column("_c0").to_numpy()[doc]
 
     def send_words(table: pa.Table) -> pa.Table:
         g = ex.group_id(table)
-        token, _, _, train, _ = stream(table)
+        _, token, _, _, train = stream(table)
         keys, where = np.unique(token, return_inverse=True)
         n = np.bincount(where, weights=train).astype(np.uint64)
         edge = ex.bounds(keys, bits)
         used = np.flatnonzero(np.diff(edge))
         cut = [slice(edge[b], edge[b + 1]) for b in used]
         return ex.table(SENT1, {"_g": [g] * len(used), "b": used.tolist(), "k": [ex.short(keys[c], bits, WORD_BYTES) for c in cut],
-                                "n": [ex.planes(n[c]) for c in cut]})
+                                "n": [ex.dense(n[c]) for c in cut]})
 
     def count_words(table: pa.Table) -> pa.Table:
         key, part = ex.pieces(table.column("k").to_pylist(), np.uint64, WORD_BYTES)
-        n, _ = ex.pieces(table.column("n").to_pylist(), np.uint64)
+        n, _ = ex.pieces(table.column("n").to_pylist(), np.uint64, None, ex.undense)
         uniq, where = np.unique(key, return_inverse=True)
         total = np.zeros(len(uniq), np.uint64)
         np.add.at(total, where, n)
@@ -137,40 +140,40 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
         m = table.num_rows
         return ex.table(REPLY, {
             "_g": [*table.column("_g").to_pylist(), -1], "b": [*table.column("b").to_pylist(), -1],
-            "reply": [*(ex.planes(each[part[i]:part[i + 1]]) for i in range(m)), None], "sums": [None] * (m + 1), "stat": [None] * m + [stat.tobytes()]})
+            "reply": [*(ex.dense(each[part[i]:part[i + 1]]) for i in range(m)), None], "sums": [None] * (m + 1), "stat": [None] * m + [stat.tobytes()]})
 
     def pairs(table: pa.Table, side: pa.Table):
         """Distinct pairs in the order (bucket, context, word) with their words' counts, and the list of
-        (bucket, context) with the number of pairs of each."""
-        token, context, doc, train, held = stream(table)
+        (bucket, context) with the number of pairs of each.  A context's number is its word's place among
+        the group's sorted words, so numbers, hashes and buckets have one order."""
+        table, token, begins, doc, train = stream(table)
         words, at = np.unique(token, return_inverse=True)
-        count = ex.answers(side, words, bits, np.uint64)
-        cw = count[at]
-        cv = np.empty_like(cw)
-        cv[1:] = cw[:-1]
-        begins = context == BEGIN
-        if len(words):
-            cv[begins] = count[np.searchsorted(words, END)]      # one end per training document
-        _, first, where = np.unique(mix(context * STEP + token), return_index=True, return_inverse=True)
-        n = np.bincount(where, weights=train, minlength=len(first)).astype(np.uint32)
-        v, w, c = context[first], token[first], cv[first]
-        spread = c > hot
-        home = np.where(spread, mix(mix(v) + w), mix(v))
-        bucket = (home >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(v), np.int64)
-        order = np.lexsort((w, v, bucket))
-        bucket, v, w = bucket[order], v[order], w[order]
+        count = ex.answers(side, words, bits, np.uint64, ex.undense)
+        size = len(words)
+        hashes = np.append(words, BEGIN)                         # number ``size``: the begin of a document
+        counts = np.append(count, count[np.searchsorted(words, END)])       # one end per training document
+        context = np.empty_like(at)
+        context[1:] = at[:-1]
+        context[begins] = size
+        code, where = np.unique(context * size + at, return_inverse=True)
+        n = np.bincount(where, weights=train, minlength=len(code)).astype(np.uint32)
+        vi, wi = code // size, code % size
+        spread = (counts[vi] > hot) | (vi == size)
+        bucket = (hashes[vi] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(code), np.int64)
+        if bits:
+            bucket[spread] = (mix(mix(hashes[vi[spread]]) + words[wi[spread]]) >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.argsort(bucket.astype(np.int32), kind="stable")      # stays in the order (context, word) within a bucket
+        bucket, vi, wi = bucket[order], vi[order], wi[order]
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        frequent = np.unique(v[spread[order]])                    # listed in every bucket, to get all sums
-        lb = np.concatenate([bucket, np.repeat(np.arange(1 << bits), len(frequent))])
-        lv = np.concatenate([v, np.tile(frequent, 1 << bits)])
-        real = np.concatenate([np.ones(len(v), np.int64), np.zeros(len(lb) - len(v), np.int64)])
-        o = np.lexsort((lv, lb))
-        lb, lv, real = lb[o], lv[o], real[o]
-        new = np.flatnonzero(np.r_[True, (lb[1:] != lb[:-1]) | (lv[1:] != lv[:-1])]) if len(lb) else np.zeros(0, np.int64)
-        run = np.add.reduceat(real, new).astype(np.uint32) if len(new) else np.zeros(0, np.uint32)
-        return {"doc": doc, "held": held, "cw": cw, "cv": cv, "context": context, "where": place[where],
-                "n": n[order], "w": w, "w_count": cw[first][order], "bucket": bucket, "lb": lb[new], "lv": lv[new], "run": run}
+        frequent = np.unique(vi[spread[order]])                   # listed in every bucket, to get all sums
+        listed = np.unique(np.concatenate([bucket * (size + 1) + vi, (np.arange(1 << bits)[:, None] * (size + 1) + frequent).ravel()]))
+        lb, lv = listed // (size + 1), listed % (size + 1)
+        run = np.zeros(len(listed), np.uint32)
+        own, times = np.unique(bucket * (size + 1) + vi, return_counts=True)
+        run[np.searchsorted(listed, own)] = times
+        return {"table": table, "doc": doc, "token": at, "context": context, "counts": counts, "where": place[where],
+                "n": n[order], "w": words[wi], "w_count": count[wi], "bucket": bucket, "lb": lb, "lv": lv, "v": hashes[lv], "run": run}
 
     def send_pairs(table: pa.Table, side: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -184,15 +187,16 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
         lists = [slice(le[b], le[b + 1]) for b in used]
         cuts = [slice(pe[b], pe[b + 1]) for b in used]
         return ex.table(SENT2, {
-            "_g": [g] * len(used), "b": used.tolist(), "v": [ex.planes(p["lv"][c]) for c in lists], "run": [ex.planes(p["run"][c]) for c in lists],
-            "w": [ex.short(p["w"][c], 0, PAIR_BYTES) for c in cuts], "n": [ex.planes(p["n"][c]) for c in cuts], "cw": [ex.planes(count[c]) for c in cuts]})
+            "_g": [g] * len(used), "b": used.tolist(), "v": [ex.short(mix(p["v"][c]), 0, CONTEXT_BYTES) for c in lists],
+            "run": [ex.dense(p["run"][c]) for c in lists], "w": [ex.short(p["w"][c], 0, PAIR_BYTES) for c in cuts],
+            "n": [ex.dense(p["n"][c]) for c in cuts], "cw": [ex.dense(count[c]) for c in cuts]})
 
     def count_pairs(table: pa.Table) -> pa.Table:
-        v_list, v_part = ex.pieces(table.column("v").to_pylist(), np.uint64)
-        run, _ = ex.pieces(table.column("run").to_pylist(), np.uint32)
+        v_list, v_part = ex.pieces(table.column("v").to_pylist(), np.uint64, CONTEXT_BYTES)
+        run, _ = ex.pieces(table.column("run").to_pylist(), np.uint32, None, ex.undense)
         w, part = ex.pieces(table.column("w").to_pylist(), np.uint64, PAIR_BYTES)
-        n, _ = ex.pieces(table.column("n").to_pylist(), np.uint32)
-        cw, _ = ex.pieces(table.column("cw").to_pylist(), np.uint64)
+        n, _ = ex.pieces(table.column("n").to_pylist(), np.uint32, None, ex.undense)
+        cw, _ = ex.pieces(table.column("cw").to_pylist(), np.uint64, None, ex.undense)
         contexts, ci = np.unique(v_list, return_inverse=True)
         v = np.repeat(ci, run)
         order = np.lexsort((w, v))
@@ -215,8 +219,8 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
         own = [sums[:, ci[v_part[i]:v_part[i + 1]]] for i in range(m)]
         return ex.table(REPLY, {
             "_g": [*table.column("_g").to_pylist(), -1], "b": [*table.column("b").to_pylist(), -1],
-            "reply": [*(ex.planes(each[part[i]:part[i + 1]]) for i in range(m)), None],
-            "sums": [*(ex.planes(s.ravel()) for s in own), None], "stat": [None] * m + [times.tobytes()]})
+            "reply": [*(ex.dense(each[part[i]:part[i + 1]]) for i in range(m)), None],
+            "sums": [*(ex.dense(s.ravel()) for s in own), None], "stat": [None] * m + [times.tobytes()]})
 
     def evaluate(table: pa.Table, side: pa.Table) -> pa.Table:
         step = np.array(side.column("step").to_pylist())
@@ -231,25 +235,22 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
         total = np.zeros(len(p["w"]), np.int64)
         sums = np.zeros((2 * top + 2, len(p["lv"])), np.int64)
         for b, reply, own in zip(*(found.column(c).to_pylist() for c in ("b", "reply", "sums"))):
-            total[pe[b]:pe[b + 1]] = ex.unplanes(reply, np.int64)
-            sums[:, le[b]:le[b + 1]] = ex.unplanes(own, np.int64).reshape(2 * top + 2, -1)
-        contexts, ci = np.unique(p["lv"], return_inverse=True)
-        whole = np.zeros((2 * top + 2, len(contexts)), np.int64)
-        for row in range(len(whole)):
-            np.add.at(whole[row], ci, sums[row])
-        at = np.searchsorted(contexts, p["context"])
-        cw, cv, pair = p["cw"].astype(np.int64), p["cv"].astype(np.int64), total[p["where"]]
-        c_of = np.zeros(len(contexts), np.int64)
-        c_of[at] = cv
-        denom, alpha = backoff(low, d, c_of, whole)
+            total[pe[b]:pe[b + 1]] = ex.undense(reply, np.int64)
+            sums[:, le[b]:le[b + 1]] = ex.undense(own, np.int64).reshape(2 * top + 2, -1)
+        counts = p["counts"].astype(np.int64)                    # by word number; the last is the begin
+        whole = np.stack([np.bincount(p["lv"], weights=row, minlength=len(counts)) for row in sums])     # exact below 2**53
+        denom, alpha = backoff(low, d, counts, whole)
+        at, pair = p["context"], total[p["where"]]
+        cw, cv = counts[p["token"]], counts[at]
         pair_mass = np.where(pair > top, pair, d[np.minimum(pair, top)] * pair)
         lower = low.p(cw)
         prob = np.where(pair > 0, pair_mass / np.maximum(denom[at], 1), np.where(cv > 0, alpha[at], 1.0) * lower)
-        doc, n = p["doc"], table.num_rows
+        rows = p["table"]
+        doc, n = p["doc"], rows.num_rows
         base = np.log10((cw + 1.0) / (tokens + vocabulary + 1.0))
-        ids = table.column("_id").to_numpy()
+        ids = rows.column("_id").to_numpy()
         return pa.table([
-            pa.array(ids, pa.int64(), mask=ids == ex.NO_ID), pa.array(p["held"]), pa.array(np.bincount(doc, minlength=n)),
+            pa.array(ids, pa.int64(), mask=ids == ex.NO_ID), rows.column("_c0"), pa.array(np.bincount(doc, minlength=n)),
             pa.array(np.bincount(doc, weights=cw > 0, minlength=n).astype(np.int64)), pa.array(np.full(n, tokens, np.int64)),
             pa.array(np.bincount(doc, weights=base, minlength=n)), pa.array(np.bincount(doc, weights=np.log10(prob), minlength=n))],
             names=[c.split()[0] for c in OUT.split(", ")])
