@@ -6,9 +6,10 @@ A score is the sum of local scores, one per list (a slice of the dimensions).
    each list; the k-th best whole score among the gathered vectors is a lower bound
    tau of the answer.
 2. The cutoff ceil(tau / lists) goes out with the queries: a vector that reaches tau must
-   reach the cutoff in some list, so tiles send only such vectors, and of these only
+   reach the cutoff in some list, so a tile collects only such entries, and of these only
    those whose bound (their seen local scores, the cutoff for the others) reaches tau.
-3. What was sent is joined to its vectors, scored exactly and ranked.
+3. What remains is resolved exactly where its vectors are: the tile adds the other lists' scores and
+   sends, per query, its k best of at least tau, which are then ranked over all tiles.
 
 Vectors and queries are packed in blocks of bounded size.  A tile is one row of an
 equi-join on the query block's number, so every task holds one tile at a time.
@@ -141,13 +142,17 @@ def search(table: DataFrame, is_query: Column, k: int = 5, lists: int = 4, id_co
                     seen |= reach
                     bound += np.where(reach, m, cut[:, None] - 1.0)
                 row, col = np.nonzero(seen & (bound >= least[:, None]))
-                ok = q_ids[row] != v_ids[col]
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[row[ok]]), pa.array(v_ids[col[ok]])], names=["query_id", "vec_id"])
-
-    sent = tiles(armed).mapInArrow(collect, "query_id long, vec_id long").distinct()
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q"))
-    pairs = sent.join(q, "query_id").join(vectors, "vec_id")
-    terms = F.zip_with("q", "vec", lambda a, b: F.coalesce(a, F.lit(0)) * F.coalesce(b, F.lit(0)))
-    score = F.aggregate(terms, F.lit(0).cast("long"), lambda s, x: s + x)
-    ranked = pairs.select("query_id", "vec_id", score.alias("score")).withColumn("rank", F.row_number().over(best).cast("int"))
+                score = sum(m[row, col] for m in local).astype(np.int64)        # the lists not seen yet
+                ok = (score >= least[row]) & (q_ids[row] != v_ids[col])
+                row, col, score = row[ok], col[ok], score[ok]
+                order = np.lexsort((v_ids[col], -score, row))
+                row, col, score = row[order], col[order], score[order]
+                head = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, bool)
+                place = np.arange(len(row)) - np.maximum.accumulate(np.where(head, np.arange(len(row)), 0))
+                own = place < k                         # no other of this tile can be among the k best
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[row[own]]), pa.array(v_ids[col[own]]), pa.array(score[own])],
+                                                 names=["query_id", "vec_id", "score"])
+
+    sent = tiles(armed).mapInArrow(collect, "query_id long, vec_id long, score long").distinct()
+    ranked = sent.withColumn("rank", F.row_number().over(best).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
