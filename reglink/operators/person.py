@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from reglink import constants as C
 from reglink.functions.clean import clean_name
 from reglink.operators.edit_join import EditIndex
+from reglink.session import stage_table
 
 PERSON_COLUMNS = ["death_main_id", "rc_no", "rc_name", "rc_father_name",
                   "rc_blockmunicipalitycode", "rc_category", "district"]
@@ -67,8 +68,10 @@ class RegisterSide:
         self.rows = r
         # Register rows without a father's name leave the two-key branch
         self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
-        self.names = EditIndex(self.two_key.select(F.col("r_name").alias("b")), threshold, metric=metric)
-        self.fathers = EditIndex(self.two_key.select(F.col("r_father").alias("b")), threshold, metric=metric)
+        # one pass over the register: both indexes and the existing key pairs come from this table
+        self.keys = stage_table(self.two_key.select("r_name", "r_father").distinct(), "register-keys")
+        self.names = EditIndex(self.keys.select(F.col("r_name").alias("b")), threshold, metric=metric)
+        self.fathers = EditIndex(self.keys.select(F.col("r_father").alias("b")), threshold, metric=metric)
 
     def persist(self) -> "RegisterSide":
         """Store rows and indexes in the shared checkpoint folder, once."""
@@ -135,6 +138,7 @@ class RegisterSide:
         side = cls.__new__(cls)
         side.threshold, side.metric, side.stored = first.threshold, first.metric, True
         side.rows, side.two_key = tbl("rows"), tbl("two_key")
+        side.keys = side.two_key.select("r_name", "r_father").distinct()
         for part in ("names", "fathers"):
             has_index = f"{part}/segments" in rows
             ix = EditIndex.from_tables(
@@ -185,8 +189,7 @@ def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) ->
 def existing_keys(p2: DataFrame, side: RegisterSide, names: DataFrame, fathers: DataFrame) -> DataFrame:
     """Distinct pending keys with each similar register name and that name's *existing* fathers, as far
     as they are similar to some pending father: never names times fathers."""
-    cards = (side.two_key.select("r_name", "r_father").distinct()
-             .join(names.select("r_name").distinct(), "r_name", "left_semi")
+    cards = (side.keys.join(names.select("r_name").distinct(), "r_name", "left_semi")
              .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
     return p2.select("p_name", "p_father").distinct().join(names, "p_name").join(cards, "r_name")
 

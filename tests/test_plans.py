@@ -94,3 +94,10 @@ def test_candidate_set_stays_selective(spark):
     ix = EditIndex(r.select(F.col("r_name").alias("b")), 0.9)
     cands, verified = ix.candidates(left, "a").count(), ix.probe(left).count()
     assert verified > 0 and cands <= 20 * verified
+
+
+def test_register_is_scanned_few_times(spark):
+    """Both indexes and the existing keys come from one staged pass."""
+    txt = plan(QUERIES["person_evidence"](spark, SF_SMALL)).split("Initial Plan")[0]
+    reads = [line for line in txt.splitlines() if "FileScan" in line and "part.parquet" in line and "p_brand" in line]
+    assert 1 <= len(reads) <= 4          # two sources of cards, each for the two-key rows and the name-only rows
