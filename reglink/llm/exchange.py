@@ -74,7 +74,7 @@ def undense(raw: bytes, dtype, width: int | None = None) -> np.ndarray:
     return unplanes(zstandard.decompress(raw), dtype, width)
 
 
-def packed(rows: DataFrame) -> DataFrame:
+def packed(rows: DataFrame, level: int = 1) -> DataFrame:
     """Each group's rows of an Arrow batch as one compressed row (``_g``, ``part``): less to shuffle."""
 
     def pack(batches):
@@ -85,7 +85,7 @@ def packed(rows: DataFrame) -> DataFrame:
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, own.schema) as out:
                     out.write_batch(own)
-                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([zstandard.compress(sink.getvalue(), 1)], pa.binary())], names=["_g", "part"])
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([zstandard.compress(sink.getvalue(), level)], pa.binary())], names=["_g", "part"])
 
     return rows.mapInArrow(pack, "_g int, part binary")
 

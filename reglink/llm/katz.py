@@ -99,7 +99,7 @@ def score(docs: DataFrame, held_out: Column, top: int = TOP, group_bytes: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("_held", F.coalesce(held_out, F.lit(False)))
     groups = ex.text_groups(rows, ["_held"], group_bytes, bucket_keys)
-    bits, rows, hot = groups.bits, ex.packed(groups.rows), bucket_keys // 2
+    bits, rows, hot = groups.bits, ex.packed(groups.rows, 3), bucket_keys
 
     def stream(table: pa.Table):
         """The rows, all tokens, whether each begins a document, its document and whether it trains."""
