@@ -105,18 +105,18 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
 
     ``known`` comes from ``known_digests`` over the caller's list of licences, which a
     session holds in memory, so it is small enough to broadcast.  Null text is empty."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     table = F.broadcast(known)
-    whole = rows.select("doc_id", digest(F.col("text")).alias("text_digest"))
+    whole = rows.select("doc_id", "text_hash", digest(F.col("text")).alias("text_digest"))
     whole = (whole.join(table, whole.text_digest == table.known_digest, "left")
-             .select("doc_id", "text_digest", F.col("license_id").alias("text_license")))
-    lines = rows.select("doc_id", "text", F.explode(F.split("text", "\n", -1)).alias("line"))
-    lines = lines.select("doc_id", "text", digest(F.col("line")).alias("line_digest"))
+             .select("doc_id", "text_hash", "text_digest", F.col("license_id").alias("text_license")))
+    lines = rows.select("doc_id", "text_hash", F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = lines.select(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash"), digest(F.col("line")).alias("line_digest"))
     found = (lines.join(table, lines.line_digest == table.known_digest)
-             .select(F.col("doc_id").alias("n_id"), digest(F.col("text")).alias("n_digest"), "license_id").distinct()
-             .groupBy("n_id", "n_digest")
+             .select("n_id", "n_hash", "license_id").distinct().groupBy("n_id", "n_hash")
              .agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("license_id")), ",").alias("names")))
-    return (whole.join(found, whole.doc_id.eqNullSafe(found.n_id) & (whole.text_digest == found.n_digest), "left")
+    return (whole.join(found, whole.doc_id.eqNullSafe(found.n_id) & (whole.text_hash == found.n_hash), "left")
             .select("doc_id", "text_digest", "text_license", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"),
                     F.coalesce("names", F.lit("")).alias("notice_licenses")))
 
