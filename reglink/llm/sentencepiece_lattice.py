@@ -115,7 +115,9 @@ def bpe_bounds(longest: int) -> Column:
         cut = F.transform(F.array(best), lambda x: F.filter(b, lambda _v, i: x["i"].isNull() | (i != -x["i"])))
         return F.when(F.size(b) > 2, F.get(cut, F.lit(0))).otherwise(b)
 
-    return seen, F.aggregate(F.sequence(F.lit(1), F.size("joins") + 1), first, merge)
+    # each merge takes a join's edge and a bound: at most so many
+    most = F.greatest(F.lit(1), F.least(F.size("joins"), F.length("unit") - 1))
+    return seen, F.aggregate(F.sequence(F.lit(1), most), first, merge)
 
 
 def viterbi_bounds(unknown_score: float) -> Column:
@@ -135,15 +137,23 @@ def viterbi_bounds(unknown_score: float) -> Column:
                        lambda b, _: F.when(F.get(b, F.lit(0)) > 0, F.concat(F.array(F.get(F.col("best"), F.get(b, F.lit(0)))["p"]), b)).otherwise(b)), best
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once a row: read inside a lambda, a plain projection's expression
+    would be computed again for every element, so each passes through a generator."""
+    made = df.withColumn("_once", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+    return made.select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
+
+
 def fold(edges: DataFrame, model: Model) -> DataFrame:
     """(b, unit, ids): the pieces of each unit of a lattice."""
     longest = model.longest
     if model.bpe:
         seen, bounds = bpe_bounds(longest)
-        held = (edges.withColumn("joins", F.filter("edges", lambda e: e["size"] > 1)).withColumn("seen", seen).withColumn("bounds", bounds))
+        held = _once(edges, joins=F.filter("edges", lambda e: e["size"] > 1))
+        held = _once(_once(held, seen=seen), bounds=bounds)
     else:
         bounds, best = viterbi_bounds(min(model.scores) - 10.0)
-        held = edges.withColumn("best", best).withColumn("bounds", bounds)
+        held = _once(_once(edges, best=best), bounds=bounds)
     ids = F.map_from_arrays(F.transform("edges", lambda e: _key(e["start"], e["size"], longest)), F.transform("edges", lambda e: F.coalesce(e["piece_id"], F.lit(-1))))
 
     def piece(i: Column) -> Column:
@@ -156,7 +166,7 @@ def fold(edges: DataFrame, model: Model) -> DataFrame:
                                lambda j: F.conv(F.substring(code, j, F.lit(2)), 16, 10).cast("int") + F.lit(model.bytes_from))
         return F.when(own >= 0, F.array(own)).otherwise(fallback)
 
-    held = held.withColumn("piece_ids", ids)
+    held = _once(held, piece_ids=ids)
     return held.select("b", "unit", F.flatten(F.transform(F.sequence(F.lit(1), F.size("bounds") - 1), piece)).alias("ids"))
 
 
