@@ -27,14 +27,16 @@ class Rules:
     """Limits of the verdict; shares are of the characters in words.
 
     ``ngram_share`` is the largest allowed share of characters inside n-grams that
-    the text holds more than once (every occurrence counts, each character once)."""
+    the text holds more than once (every occurrence counts, each character once): twice
+    the usual limits for later copies, 0.15 (5) to 0.10 (10).  ``line_share`` counts later
+    copies only.  Both lie below what ``repeat_percent`` rejects."""
 
     min_words: int = 50
     repeat_percent: int = 50
     symbol_share: float = 0.03
-    line_share: float = 0.30
+    line_share: float = 0.20
     ngram_share: dict[int, float] = field(default_factory=lambda: {
-        5: 0.55, 6: 0.54, 7: 0.53, 8: 0.52, 9: 0.51, 10: 0.50})
+        5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20})
 
 
 OUT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

@@ -203,6 +203,27 @@ def test_quality_rejects_repetition_and_keeps_prose(spark):
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
 
 
+def test_ngram_and_line_limits_reject_below_the_base_rule(spark):
+    own = [f"v{i:04d}" for i in range(400)]
+
+    def twice(n: int, total: int) -> str:       # two passages of n words, each of them twice
+        p, q, rest = own[:n], own[n:2 * n], own[2 * n:total - 2 * n]
+        return " ".join([*p, rest[0], *q, rest[1], *p, rest[2], *q, *rest[3:]])
+
+    lines = [" ".join(own[4 * i:4 * i + 4]) for i in range(14)]
+    totals = {5: 66, 6: 82, 7: 104, 8: 128, 9: 156, 10: 190}
+    rows = [(n, twice(n, total)) for n, total in totals.items()]
+    rows += [(20, "\n".join([*lines, *lines[3::-1]])), (30, twice(10, 210)), (31, "\n".join([*lines, *lines[2::-1]]))]
+    got = {r.doc_id: r for r in quality.quality_rules(documents(spark, rows)).collect()}
+    rules = quality.Rules()
+    over = {i: [n for n, share in rules.ngram_share.items() if r[f"cover_{n}"] > share * r.word_chars] for i, r in got.items()}
+    line = {i: r.dup_line_chars > rules.line_share * r.word_chars for i, r in got.items()}
+    assert not any(r.base_failed or r.n_symbols for r in got.values())
+    assert over == {n: [n] for n in totals} | {20: [], 30: [], 31: []}
+    assert {i for i in line if line[i]} == {20}
+    assert {i for i, r in got.items() if r.kept} == {30, 31}
+
+
 # --- 4: licences ------------------------------------------------------------------
 
 def test_license_scan(spark):
