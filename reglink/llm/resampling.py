@@ -7,6 +7,11 @@ the k largest samples k documents without replacement in proportion to the weigh
 ``k`` is the number of documents whose weight lies above the cut that separates the
 labelled good and bad documents best.
 
+An average over a text cannot see the few words that make it toxic.  So the labelled
+documents are also counted by word: a word that most of the labelled documents with it
+are toxic for, at a lower confidence bound, tells; a document's weight loses the log
+ratio of its most telling word, not averaged.
+
 Counts, weights and ranks cover all documents.  Only the labels are a bounded sample
 (``max_labels``, chosen by a hash of the id), and so are broadcast.
 """
@@ -26,11 +31,16 @@ MAX_LABELS = 20_000
 PER = 1000.0
 PRIOR = 20.0
 CARE = 4.0            # a good document lost weighs as much as so many bad ones kept
+WORD_SLOTS = 1 << 18
+SURE = 2.5            # standard errors of the bound on a telling word's share of toxic documents; many words are tried
 
 
 def _features(text: pa.Array, buckets: int):
     """Hashed n-gram and document number of every n-gram of the texts."""
-    w = split(text, lower=True)
+    return _grams(split(text, lower=True), buckets)
+
+
+def _grams(w, buckets: int):
     tokens, doc = w.tokens, w.doc
     pairs, ok = rolling(tokens, 2), window_starts(w.off, 2)
     h = np.concatenate([mix(tokens), pairs[ok]])
@@ -38,21 +48,22 @@ def _features(text: pa.Array, buckets: int):
 
 
 def label_sample(labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """(doc_id, good) of at most ``max_labels`` labelled ids, chosen by a hash of the id.
+    """(doc_id, good, quality, toxic) of at most ``max_labels`` labelled ids, chosen by a hash of the id.
 
     Good: quality 1 and not toxic.  Rows without id or quality are left out; an id that
-    is labelled both ways counts as not good."""
+    is labelled both ways counts as not good, and as toxic."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    good = ((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) != 1)).cast("int")
+    toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
+    good = ((F.col("quality") == 1) & ~toxic).cast("int")
     return (rows.groupBy(F.col("doc_id").cast("long").alias("l_id"))
-            .agg(F.min(good).alias("good"), F.min(F.col("quality")).alias("quality"))
+            .agg(F.min(good).alias("good"), F.min(F.col("quality")).alias("quality"), F.max(toxic.cast("int")).alias("toxic"))
             .orderBy(F.xxhash64("l_id"), "l_id").limit(max_labels))
 
 
 def _labelled(docs: DataFrame, sample: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return (rows.join(F.broadcast(sample), rows.doc_id == sample.l_id, "left")
-            .select("doc_id", "text", "good", "quality"))
+            .select("doc_id", "text", "good", "quality", "toxic"))
 
 
 def fit(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -80,26 +91,63 @@ def fit(docs: DataFrame, sample: DataFrame, buckets: int = BUCKETS) -> np.ndarra
     return np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
 
 
-def weigh(docs: DataFrame, sample: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, n_grams, log_weight, good, quality) per row of ``docs``; a
-    document without words has no weight."""
-    buckets = len(ratio)
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)     # fixed size
+def telling_words(docs: DataFrame, sample: DataFrame, slots: int = WORD_SLOTS, sure: float = SURE) -> np.ndarray:
+    """Log ratio of clean to toxic labelled documents per word slot, 0 where the word does not tell.
+
+    It tells where the Wilson lower bound, ``sure`` standard errors down, of the share of
+    toxic documents among the labelled ones with the word is above a half."""
+
+    def count(batches):
+        held = np.zeros((2, slots + 1), np.int64)       # the last slot counts documents
+        for batch in batches:
+            for lo, hi in slices(batch.column("text")):
+                w = split(flat(batch.column("text").slice(lo, hi - lo)), lower=True)
+                toxic = batch.column("toxic").slice(lo, hi - lo).to_numpy(zero_copy_only=False) == 1
+                at = np.unique(w.doc.astype(np.int64) * slots + (mix(w.tokens) % np.uint64(slots)).astype(np.int64))
+                for kind in (0, 1):
+                    held[kind] += np.bincount((at % slots)[toxic[at // slots] == kind], minlength=slots + 1)
+                    held[kind, slots] += int((toxic == kind).sum())
+        at = np.flatnonzero(held.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[0][at]), pa.array(held[1][at])], names=["slot", "clean", "toxic"])
+
+    sums = (_labelled(docs, sample).where(F.col("toxic").isNotNull()).mapInArrow(count, "slot long, clean long, toxic long")
+            .groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    n, z = F.col("clean") + F.col("toxic"), F.lit(sure)
+    share = F.col("toxic") / n
+    bound = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    rows = sums.where((bound > 0.5) | (F.col("slot") == slots)).collect()      # at most slots + 1 rows
+    out = np.zeros(slots)
+    all_clean, all_toxic = next(((r["clean"], r["toxic"]) for r in rows if r["slot"] == slots), (0, 0))
+    for r in rows:
+        if r["slot"] < slots:
+            out[r["slot"]] = min(0.0, np.log((r["clean"] + 0.5) / (all_clean + 1)) - np.log((r["toxic"] + 0.5) / (all_toxic + 1)))
+    return out
+
+
+def weigh(docs: DataFrame, sample: DataFrame, ratio: np.ndarray, telling: np.ndarray) -> DataFrame:
+    """(doc_id, text_hash, n_grams, log_weight, good, quality, told) per row of ``docs``; a
+    document without words has no weight.  ``told``: it has a telling word."""
+    buckets, slots = len(ratio), len(telling)
+    shared = docs.sparkSession.sparkContext.broadcast((ratio, telling))     # fixed size
 
     def score(batches):
+        ratio, telling = shared.value
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
                 cut = batch.slice(lo, hi - lo)
-                f, doc = _features(flat(cut.column("text")), buckets)
+                w = split(flat(cut.column("text")), lower=True)
+                f, doc = _grams(w, buckets)
                 n = np.bincount(doc, minlength=len(cut))
-                total = np.bincount(doc, weights=shared.value[f], minlength=len(cut))
-                weight = pa.array(PER * total / (n + PRIOR), pa.float64(), mask=n == 0)
+                total = np.bincount(doc, weights=ratio[f], minlength=len(cut))
+                worst = np.zeros(len(cut))
+                np.minimum.at(worst, w.doc, telling[(mix(w.tokens) % np.uint64(slots)).astype(np.int64)])
+                weight = pa.array(PER * (total / (n + PRIOR) + worst), pa.float64(), mask=n == 0)
                 yield pa.RecordBatch.from_arrays(
-                    [cut.column("doc_id"), cut.column("text_hash"), pa.array(n.astype(np.int64)), weight, cut.column("good"), cut.column("quality")],
-                    names=["doc_id", "text_hash", "n_grams", "log_weight", "good", "quality"])
+                    [cut.column("doc_id"), cut.column("text_hash"), pa.array(n.astype(np.int64)), weight, cut.column("good"), cut.column("quality"), pa.array(worst < 0)],
+                    names=["doc_id", "text_hash", "n_grams", "log_weight", "good", "quality", "told"])
 
     rows = _labelled(docs, sample).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(score, "doc_id long, text_hash long, n_grams long, log_weight double, good int, quality int")
+    return rows.mapInArrow(score, "doc_id long, text_hash long, n_grams long, log_weight double, good int, quality int, told boolean")
 
 
 def best_cut(weight: np.ndarray, good: np.ndarray, care: float = CARE) -> float:
@@ -121,14 +169,17 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, buckets:
     ``gumbel_key``, ``place`` (from 0, largest key first) and ``selected`` (place < k).
 
     ``k`` None: as many as weigh above the cut that the labelled documents give, with
-    documents of quality 1 as good.  Without labels every document with words is
+    documents of quality 1 that are not toxic as good.  Toxic ones of quality 1 without a
+    telling word are left out of it: the weight has nothing against them, so they would
+    only draw good documents below the cut.  Without labels every document with words is
     selected.  Documents without words (null or blank text) are never selected and come last."""
     sample = stage(label_sample(labels, max_labels), "labels")
-    held = stage(weigh(docs, sample, fit(docs, sample, buckets)), "weights")
+    held = stage(weigh(docs, sample, fit(docs, sample, buckets), telling_words(docs, sample)), "weights")
     if k is None:
         seen = held.where(F.col("quality").isNotNull() & F.col("log_weight").isNotNull())
-        seen = seen.select("doc_id", "log_weight", "quality").dropDuplicates(["doc_id"]).toPandas()   # at most max_labels rows
-        cut = best_cut(seen["log_weight"].to_numpy(float), seen["quality"].to_numpy() == 1)
+        seen = seen.where((F.col("good") == 1) | (F.col("quality") != 1) | F.col("told"))
+        seen = seen.select("doc_id", "log_weight", "good").dropDuplicates(["doc_id"]).toPandas()   # at most max_labels rows
+        cut = best_cut(seen["log_weight"].to_numpy(float), seen["good"].to_numpy() == 1)
         k = held.where(F.col("log_weight") >= F.lit(cut)).count()
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
     keyed = held.select("doc_id", "text_hash", "n_grams", "log_weight", (F.col("log_weight") - F.log(-F.log(u))).alias("gumbel_key"))

@@ -162,6 +162,29 @@ def test_resampling_empty_tables(spark):
     assert none.where("selected").count() == docs.where("length(trim(text)) > 0").count()
 
 
+def test_resampling_rejects_toxic_documents_of_good_quality(spark):
+    rng = np.random.default_rng(8)
+    rows, labels = [], []
+    for i in range(600):
+        bad, toxic = i % 10 == 0, i % 10 == 1
+        body = [("bad" if bad else "g") + str(x) for x in rng.integers(0, 60 if bad else 1500, 150)]
+        if toxic:
+            body[int(rng.integers(0, 150))] = f"Slur{i % 3}"
+        rows.append((i, " ".join(body)))
+        if i % 20 < 10:
+            labels.append((i, int(not bad), int(toxic)))
+    rows.append((1000, None))
+    sample = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    picked = {r.doc_id: r.selected for r in resampling.resample(documents(spark, rows), sample).collect()}
+    for seen in (True, False):       # labelled ones, and those that no label covers
+        part = [i for i in range(600) if (i % 20 < 10) == seen]
+        clean, toxic = [i for i in part if i % 10 > 1], [i for i in part if i % 10 == 1]
+        assert sum(picked[i] for i in clean) >= 0.95 * len(clean)
+        assert sum(picked[i] for i in toxic) <= 0.1 * len(toxic)
+        assert sum(picked[i] for i in part if i % 10 == 0) <= 0.1 * len(part) / 10
+    assert not picked[1000]
+
+
 # --- 7: substring dedup -----------------------------------------------------------------
 
 @pytest.mark.parametrize("max_suffixes, group_bytes", [(1 << 16, 1 << 22), (2, 7000)])
