@@ -8,6 +8,7 @@ looked up, and each line of a text by itself.  DataFrame functions only.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,30 +77,65 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright( \(c\)| ©|:)? ?[0-9]|\(c\) ?[0-9]|© ?[0-9]|all rights reserved)[^\n]*"
 NOT_WORD = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
+# Punctuation, blanks and format characters beyond ASCII: typographic quotes, dashes, no-break blanks.
+WIDE_MARKS = "".join(c for c in map(chr, range(0x80, 0x10000)) if unicodedata.category(c)[0] in "PZ" or unicodedata.category(c) in ("Cc", "Cf"))
+WIDE_MARK = r"[\u0080-\uffff&&[\p{P}\p{Z}\p{Cc}\p{Cf}]]|©"
+# What a line of 'copyright' goes on with in a licence's own sentences.
+SENTENCES = ("act|acts|also|and|are|as|assignment|claims?|disclaimers?|holders?|holding|in|infringements?|interests?|is|law|laws|licen[cs]es?|"
+             "licen[cs]ed|licensors?|means|notices?|of|on|or|owners?|ownership|permission|protection|rights?|statements?|status|to|treat(?:y|ies)|under")
+GAP = r"[^\p{L}\p{N}\n]*"
+# A copyright line behind any comment mark, with or without a year, in lower case.
+OWNER_LINE = (rf"(^|\n)[^\p{{L}}\p{{N}}\n©(]*(?:all rights reserved|copyrights?[^\p{{L}}\p{{N}}\n(©]*(?:\(c\)|©)|copyright{GAP}[0-9]|"
+              rf"copyright(?:[^\p{{L}}\p{{N}}\n]+)(?!(?:{SENTENCES})(?![\p{{L}}\p{{N}}]))\p{{L}}|©{GAP}[\p{{L}}\p{{N}}]|\(c\){GAP}(?:[0-9]|copyright)%s)[^\n]*")
+LISTED, UNLISTED = OWNER_LINE % "", OWNER_LINE % rf"|\(c\){GAP}\p{{L}}"     # '(c)' after '(b)' is a point of a list
 
-def canonical(text: Column) -> Column:
-    """Words of the text in one spelling, one blank apart, without copyright lines."""
-    c = F.translate(text, UPPER, LOWER)
-    c = F.regexp_replace(c, COPYRIGHT_LINE, "\n")
+
+def _spelt(c: Column) -> Column:
     c = F.trim(F.regexp_replace(c, NOT_WORD, " "))
     for old, new in SPELLINGS:
         c = F.replace(c, F.lit(old), F.lit(new))
     return c
 
 
+def canonical(text: Column) -> Column:
+    """Words of the text in one spelling, one blank apart, without copyright lines of a year."""
+    return _spelt(F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT_LINE, "\n"))
+
+
+def _marked(text: Column) -> Column:
+    """Whether ``bare`` can differ from ``canonical``."""
+    c = F.translate(text, UPPER, LOWER)
+    wide = (F.length(text) != F.octet_length(text)) & F.rlike(text, F.lit(WIDE_MARK))
+    return (wide | F.contains(c, F.lit("copyright")) | F.contains(c, F.lit("(c)"))
+            | F.contains(c, F.lit("all rights reserved")))
+
+
+def bare(text: Column) -> Column:
+    """``canonical`` without copyright lines of any kind and without marks beyond ASCII; as
+    ``canonical`` where nothing else is in the text."""
+    c = F.translate(text, UPPER + WIDE_MARKS, LOWER + " " * len(WIDE_MARKS))
+    c = _spelt(F.when(F.contains(c, F.lit("(b)")), F.regexp_replace(c, LISTED, "\n")).otherwise(F.regexp_replace(c, UNLISTED, "\n")))
+    return F.when(c == "", canonical(text)).otherwise(c)
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def bare_digest(text: Column) -> Column:
+    return F.when(_marked(text), F.sha2(bare(text), 256)).otherwise(digest(text))
+
+
 def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]]) -> DataFrame:
-    """(digest, license_id) of known texts; the smallest id where two say the same."""
+    """(digest, license_id) of known texts, canonical and bare; the smallest id where two say the same."""
     rows = spark.createDataFrame([(a, b) for a, b in known], "license_id string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("known_digest")).agg(F.min("license_id").alias("license_id"))
+    rows = rows.select("license_id", F.explode(F.array_distinct(F.array(digest(F.col("text")), bare_digest(F.col("text"))))).alias("known_digest"))
+    return rows.groupBy("known_digest").agg(F.min("license_id").alias("license_id"))
 
 
 def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text_digest`` of the whole canonical text,
-    ``text_license`` (the known licence that it is, else null), ``n_notices`` and
+    ``text_license`` (the known licence that it is, in canonical or bare form, else null), ``n_notices`` and
     ``notice_licenses`` (distinct known licences whose notice is a line of the text, sorted,
     comma-separated; empty where none).
 
@@ -108,11 +144,13 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     table = F.broadcast(known)
-    whole = rows.select("doc_id", "text_hash", digest(F.col("text")).alias("text_digest"))
-    whole = (whole.join(table, whole.text_digest == table.known_digest, "left")
-             .select("doc_id", "text_hash", "text_digest", F.col("license_id").alias("text_license")))
+    bare_of = F.broadcast(known.select(F.col("known_digest").alias("bare_known"), F.col("license_id").alias("bare_license")))
+    other = F.when(_marked(F.col("text")), F.sha2(bare(F.col("text")), 256))
+    whole = rows.select("doc_id", "text_hash", digest(F.col("text")).alias("text_digest"), other.alias("bare_digest"))
+    whole = (whole.join(table, whole.text_digest == table.known_digest, "left").join(bare_of, F.col("bare_digest") == F.col("bare_known"), "left")
+             .select("doc_id", "text_hash", "text_digest", F.coalesce("license_id", "bare_license").alias("text_license")))
     lines = rows.select("doc_id", "text_hash", F.explode(F.split("text", "\n", -1)).alias("line"))
-    lines = lines.select(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash"), digest(F.col("line")).alias("line_digest"))
+    lines = lines.select(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash"), bare_digest(F.col("line")).alias("line_digest"))
     found = (lines.join(table, lines.line_digest == table.known_digest)
              .select("n_id", "n_hash", "license_id").distinct().groupBy("n_id", "n_hash")
              .agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("license_id")), ",").alias("names")))
@@ -135,7 +173,8 @@ def _sql_digest(expr: str) -> str:
 
 
 def license_sql(known: Iterable[tuple[str, str]] = tuple(KNOWN_LICENSES)) -> str:
-    """DuckDB SQL for ``license_scan`` over ``documents``."""
+    """DuckDB SQL for ``license_scan`` over ``documents``; of licences it knows the canonical
+    form only, not the bare one."""
     values = ", ".join(f"({_sql_text(a)}, {_sql_text(b)})" for a, b in known)
     return f"""
 WITH known AS (SELECT {_sql_digest('text')} AS d, min(license_id) AS license_id FROM (VALUES {values}) AS v(license_id, text) GROUP BY 1),

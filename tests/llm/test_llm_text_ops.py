@@ -238,6 +238,19 @@ def test_license_scan(spark):
     assert licenses.license_scan(documents(spark), known.limit(0)).where("text_license IS NOT NULL").count() == 0
 
 
+def test_license_scan_sees_through_copyright_lines_and_typography(spark):
+    lines = ["Copyright (c) Jane Doe", "Copyright (c) Facebook, Inc. and its affiliates", "Copyright [year] [owner]", "Copyright (c)  2020", "copyright Jane Doe",
+             "# Copyright 2020 Jane", "// All rights reserved.", " * (c) Jane Doe", "© Jane Doe", "<!-- Copyright: Jane Doe -->", "Copyright © Jane", "(C) 2020 Jane"]
+    curly = licenses.MIT.replace('"AS IS"', "“AS IS”").replace("free of charge", "free\u00a0of\u2003charge").replace("and/or", "and\u2010or")
+    rows = [(i, f"{line}\n\n{licenses.MIT}") for i, line in enumerate(lines)]
+    rows += [(100, curly), (101, "\n".join("# " + x for x in ["Copyright (c) Jane", *licenses.ISC.split("\n")])),
+             (102, licenses.MIT.replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS").replace("copyright notice", "\ncopyright notice"))]
+    other = [(200, "copyright notice alone\n" + licenses.MIT), (201, "(b) a point\n(c) another point\n" + licenses.MIT), (202, "Jane Doe\n" + licenses.MIT)]
+    known = licenses.known_digests(spark, licenses.KNOWN_LICENSES)
+    got = {r.doc_id: r.text_license for r in licenses.license_scan(documents(spark, rows + other), known).collect()}
+    assert got == {i: "ISC" if i == 101 else "MIT" for i, _ in rows} | {i: None for i, _ in other}
+
+
 def test_license_scan_equals_sql(spark):
     rows = [(i, t) for i, t in texts() if t is None or "\x00" not in t] + [(900, "a\nLicensed under the Apache License, Version 2.0.\nb")]
     docs = documents(spark, rows)
