@@ -1,4 +1,6 @@
-"""Substring dedup by prefix-partitioned suffix trees over words.
+"""Substring dedup by a prefix-filtered hash join on windows of words.
+
+No suffix tree is built: "suffix" below means its first window, "subtree" a sort of window hashes.
 
 A suffix begins at each word that has a whole window (13 words) of its document before it.
 Suffixes are split by a prefix of variable length, so that a group fits in memory:
