@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reglink.llm import jaccard, katz, licenses, packing, quality, resampling, sentencepiece_lattice, sharding, substrings, topk
+from reglink.llm import jaccard, katz, langid, licenses, packing, quality, ranked, resampling, sentencepiece_lattice, sharding, substrings, topk, variants
 
 SHARDS = 24
 BYTE_BPE = "byte_bpe_50k.json"
@@ -65,6 +65,18 @@ def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(_table(spark, sf_dir, "documents"), katz.crc_held_out())
 
 
+def op11_language_bitmask_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"), langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op12_accumulator_limited_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_lattice": op1_sentencepiece_lattice,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -76,6 +88,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_uniform_threshold_topk": op8_uniform_threshold_topk,
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_katz_backoff": op10_katz_backoff,
+    "op11_language_bitmask_filters": op11_language_bitmask_filters,
+    "op12_accumulator_limited_search": op12_accumulator_limited_search,
+    "op13_permuterm_variants": op13_permuterm_variants,
 }
 
-ORACLE: dict[str, str] = {"op4_license_digests": licenses.license_sql()}
+ORACLE: dict[str, str] = {
+    "op4_license_digests": licenses.license_sql(),
+    "op12_accumulator_limited_search": ranked.ranked_sql(),
+}
