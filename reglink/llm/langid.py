@@ -40,8 +40,8 @@ CHUNK = 1 << 20               # code points of a long text at a time
 LAST_LETTER = 0x33480         # no letter lies beyond (CJK extension H and its end)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
-PLACES = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F),
-          np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
+TEXT_BYTES = 1 << 20          # of a slice that is looked up at once: its arrays stay small
+GROUP = 8                     # languages whose bits are counted at once
 
 
 def held_out(modulus: int = 4, remainder: int = 2) -> Column:
@@ -90,7 +90,7 @@ def folded(texts: list[str], fold: np.ndarray, chunk: int = CHUNK):
         points = fold[np.minimum(raw[at], LAST_LETTER + 1)]
         part = np.repeat(np.arange(len(short)), size)
         keep = _collapse(points, part)
-        yield Folded(points[keep], np.array([d for d, _ in short])[part[keep]], part[keep], None)
+        yield Folded(points[keep], np.array([d for d, _ in short])[part[keep]], part[keep].astype(np.int32), None)
     for d, t in enumerate(texts):
         if len(t) <= chunk:
             continue
@@ -155,9 +155,11 @@ def slot_counts(training: DataFrame, slot_bits: int = SLOT_BITS) -> DataFrame:
                     own = sums[lang]
                     own[slots] += int((code == i).sum())
                     for part in folded([t for t, c in zip(texts, code) if c == i], fold):
-                        for h, _ in grams(part):
-                            own[:slots] += np.bincount((h >> shift).astype(np.int64), minlength=slots)
-                            own[slots + 1] += len(h)
+                        found = [(h >> shift).astype(np.int64) for h, _ in grams(part)]
+                        if found:
+                            every = np.concatenate(found)
+                            own[:slots] += np.bincount(every, minlength=slots)
+                            own[slots + 1] += len(every)
         for lang, held in sums.items():
             yield from rows(lang, held)
 
@@ -184,28 +186,29 @@ def member_slots(counts: DataFrame, members: int = MEMBERS, ratio: float = RATIO
 
 @dataclass
 class Filters:
-    """Bit-sliced filters: ``rows[p, w]`` has bit b set where language 64 w + b has bit p set."""
+    """Bit-sliced filters: ``rows[g, p]`` has bit b set where language 8 g + b has bit p set."""
 
     langs: list[str]
-    rows: np.ndarray          # uint64 (2 ** row_bits, words)
+    rows: np.ndarray          # uint8 (groups of 8 languages, 2 ** row_bits)
     false: np.ndarray         # a language's false-positive rate
     hashes: int
     slot_bits: int
 
-    def masks(self, h: np.ndarray) -> np.ndarray:
-        """Per n-gram hash the bitmask of all languages that contain it."""
-        slot = h >> np.uint64(64 - self.slot_bits)
-        out = None
-        for at in places(slot, self.hashes, len(self.rows)):
-            own = self.rows[at]
-            out = own if out is None else out & own
-        return out
+    def masks(self, h: np.ndarray):
+        """Per group of languages, the bitmask of those that contain each n-gram (by its hash)."""
+        at = places(h >> np.uint64(64 - self.slot_bits), self.hashes, self.rows.shape[1])
+        for own in self.rows:
+            out = own[at[0]]
+            for p in at[1:]:
+                out &= own[p]
+            yield out
 
 
 def places(slot: np.ndarray, hashes: int, rows: int) -> list[np.ndarray]:
-    """Rows of the filter that belong to a slot."""
+    """Rows of the filter that belong to a slot: multiply and shift, by an odd number each."""
     shift = np.uint64(64 - (rows.bit_length() - 1))
-    return [(mix(slot.astype(np.uint64) + PLACES[i]) >> shift).astype(np.int64) for i in range(hashes)]
+    slot = slot.astype(np.uint64) + np.uint64(1)
+    return [((slot * (mix(np.array([i + 1], np.uint64)) | np.uint64(1))) >> shift).astype(np.int64) for i in range(hashes)]
 
 
 def fit(docs: DataFrame, slot_bits: int = SLOT_BITS, row_bits: int = ROW_BITS, hashes: int = HASHES, members: int = MEMBERS, ratio: float = RATIO) -> Filters:
@@ -221,7 +224,7 @@ def fit(docs: DataFrame, slot_bits: int = SLOT_BITS, row_bits: int = ROW_BITS, h
     if len(known) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     langs = [r["lang"] for r in known]
-    n_rows, words = 1 << row_bits, max(1, -(-len(langs) // 64))
+    n_rows, groups = 1 << row_bits, max(1, -(-len(langs) // GROUP))
     number = {lang: i for i, lang in enumerate(langs)}
 
     def bits(batches):
@@ -229,30 +232,34 @@ def fit(docs: DataFrame, slot_bits: int = SLOT_BITS, row_bits: int = ROW_BITS, h
             slot = batch.column("slot").to_numpy().astype(np.uint64)
             code = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
             for at in places(slot, hashes, n_rows):
-                yield pa.RecordBatch.from_arrays([pa.array(at * words + code // 64), pa.array((np.uint64(1) << (code % 64).astype(np.uint64)).view(np.int64))], names=["cell", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array((code // GROUP) * n_rows + at), pa.array(1 << (code % GROUP))], names=["cell", "mask"])
 
-    rows = np.zeros(n_rows * words, np.uint64)
+    rows = np.zeros(groups * n_rows, np.uint8)
     if langs:
         chosen = member_slots(counts, members, ratio)
-        cells = chosen.mapInArrow(bits, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()      # at most rows x words
-        rows[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy().view(np.uint64)
-    rows = rows.reshape(n_rows, words)
-    fill = np.array([np.count_nonzero(rows[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)) / n_rows for i in range(len(langs))])
+        cells = chosen.mapInArrow(bits, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()      # at most groups x rows
+        rows[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy()
+    rows = rows.reshape(groups, n_rows)
+    fill = np.array([np.count_nonzero(rows[i // GROUP] >> (i % GROUP) & 1) / n_rows for i in range(len(langs))])
     # -n_rows ln(1 - fill) / hashes estimates the members from the filter itself
     held = -n_rows * np.log1p(-np.minimum(fill, 1 - 1 / n_rows)) / hashes
     return Filters(langs, rows, 1 - (1 - fill ** hashes) * (1 - np.minimum(1.0, held / (1 << slot_bits))), hashes, slot_bits)
 
 
 def measure(texts: list[str], filters: Filters, fold: np.ndarray, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the number of n-grams, and the corrected hits of each language."""
-    n, hits = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(filters.langs)))
+    """Per text the number of n-grams, and the corrected hits of each language.
+
+    Bits are counted by mask: a text's masks of a group of languages fall into 2 ** 8 kinds."""
+    size = 1 << GROUP
+    bits = (np.arange(size)[:, None] >> np.arange(GROUP)[None, :]) & 1
+    counts = np.zeros((len(filters.rows), len(texts) * size), np.int64)      # how often a text has each mask
     for part in folded(texts, fold, chunk):
         for h, doc in grams(part):
-            n += np.bincount(doc, minlength=len(texts))
-            masks = filters.masks(h)
-            for i in range(len(filters.langs)):
-                has = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-                hits[:, i] += np.bincount(doc, weights=has, minlength=len(texts))
+            key = doc * size
+            for g, mask in enumerate(filters.masks(h)):
+                counts[g] += np.bincount(key + mask, minlength=len(texts) * size)
+    counts = counts.reshape(len(filters.rows), len(texts), size)
+    n, hits = counts[0].sum(axis=1), np.concatenate(list(counts @ bits), axis=1)[:, :len(filters.langs)]
     p = filters.false[None, :]
     return n, np.maximum(0.0, hits - p * n[:, None]) / (1 - p)
 
@@ -268,7 +275,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     def tell(batches):
         fold, own = letters(), shared.value
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text"), TEXT_BYTES):
                 cut = batch.slice(lo, hi - lo)
                 n, hits = measure(flat(cut.column("text")).to_pylist(), own, fold)
                 if own.langs:
