@@ -49,6 +49,29 @@ including commercial applications, and to alter it and redistribute it freely, s
 this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE
+COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED
+TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD_3 = BSD_2.replace("provided with the distribution. ", """provided with the distribution. 3. Neither the name of the copyright holder nor
+the names of its contributors may be used to endorse or promote products derived from this software without specific prior written
+permission. """)
+UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and
+to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more
+information, please refer to <https://unlicense.org>"""
 KNOWN_LICENSES: list[tuple[str, str]] = [
     ("MIT", MIT),
     ("MIT", "The MIT License\n" + MIT),
@@ -58,6 +81,11 @@ KNOWN_LICENSES: list[tuple[str, str]] = [
     ("ISC", "ISC License\n" + ISC),
     ("0BSD", ZERO_BSD),
     ("Zlib", ZLIB),
+    ("BSD-2-Clause", BSD_2),
+    ("BSD-2-Clause", "BSD 2-Clause License\n" + BSD_2),
+    ("BSD-3-Clause", BSD_3),
+    ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
+    ("Unlicense", UNLICENSE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -126,11 +154,33 @@ def bare_digest(text: Column) -> Column:
     return F.when(_marked(text), F.sha2(bare(text), 256)).otherwise(digest(text))
 
 
+def _gate(text: Column) -> Column:
+    """A word that every text of this canonical or bare form holds, in lower case; empty where there is none.
+
+    It is a longest ASCII word of both forms without any word that a spelling may have become.  The last spelling
+    that touches a word leaves what it wrote there whole, so none touched this one, and it stands in the text itself."""
+    made = sorted({w for _, new in SPELLINGS for w in new.split()})
+    both = F.array_intersect(F.split(canonical(text), " "), F.split(bare(text), " "))
+    own = F.filter(both, lambda w: F.rlike(w, F.lit("^[a-z0-9]+$")) & ~F.rlike(w, F.lit("|".join(made))))
+    return F.coalesce(F.array_max(F.transform(own, lambda w: F.named_struct(F.lit("n"), F.length(w), F.lit("w"), w)))["w"], F.lit(""))
+
+
 def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]]) -> DataFrame:
-    """(digest, license_id) of known texts, canonical and bare; the smallest id where two say the same."""
+    """(digest, license_id, gate) of known texts, canonical and bare; the smallest id where two say the same.
+    ``gate``: a word without which no text has this digest (see ``_gate``)."""
     rows = spark.createDataFrame([(a, b) for a, b in known], "license_id string, text string")
-    rows = rows.select("license_id", F.explode(F.array_distinct(F.array(digest(F.col("text")), bare_digest(F.col("text"))))).alias("known_digest"))
-    return rows.groupBy("known_digest").agg(F.min("license_id").alias("license_id"))
+    rows = rows.select("license_id", _gate(F.col("text")).alias("gate"), F.explode(F.array_distinct(F.array(digest(F.col("text")), bare_digest(F.col("text"))))).alias("known_digest"))
+    return rows.groupBy("known_digest").agg(F.min("license_id").alias("license_id"), F.min("gate").alias("gate"))
+
+
+def _may_match(text: Column, gates: list[str]) -> Column:
+    """Whether the text holds one of the words (lower-casing all of Unicode can only add matches)."""
+    if "" in gates:
+        return F.lit(True)
+    low, out = F.lower(text), F.lit(False)
+    for g in gates:
+        out = out | F.contains(low, F.lit(g))
+    return out
 
 
 def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -140,16 +190,21 @@ def license_scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     comma-separated; empty where none).
 
     ``known`` comes from ``known_digests`` over the caller's list of licences, which a
-    session holds in memory, so it is small enough to broadcast.  Null text is empty."""
+    session holds in memory, so it is small enough to broadcast.  Null text is empty.
+
+    Lines are hashed only where they hold the gate word of a known text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    gates = sorted({r["gate"] for r in known.select("gate").distinct().collect()})      # at most as many as known texts
+    known = known.select("known_digest", "license_id")
     table = F.broadcast(known)
     bare_of = F.broadcast(known.select(F.col("known_digest").alias("bare_known"), F.col("license_id").alias("bare_license")))
     other = F.when(_marked(F.col("text")), F.sha2(bare(F.col("text")), 256))
     whole = rows.select("doc_id", "text_hash", digest(F.col("text")).alias("text_digest"), other.alias("bare_digest"))
     whole = (whole.join(table, whole.text_digest == table.known_digest, "left").join(bare_of, F.col("bare_digest") == F.col("bare_known"), "left")
              .select("doc_id", "text_hash", "text_digest", F.coalesce("license_id", "bare_license").alias("text_license")))
-    lines = rows.select("doc_id", "text_hash", F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = rows.where(_may_match(F.col("text"), gates)).select("doc_id", "text_hash", F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = lines.where(_may_match(F.col("line"), gates))
     lines = lines.select(F.col("doc_id").alias("n_id"), F.col("text_hash").alias("n_hash"), bare_digest(F.col("line")).alias("line_digest"))
     found = (lines.join(table, lines.line_digest == table.known_digest)
              .select("n_id", "n_hash", "license_id").distinct().groupBy("n_id", "n_hash")
@@ -163,27 +218,42 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _sql_digest(expr: str) -> str:
-    c = f"translate({expr}, '{UPPER}', '{LOWER}')"
-    c = f"regexp_replace({c}, {_sql_text(COPYRIGHT_LINE)}, chr(10), 'g')"
+def _sql_spelt(c: str) -> str:
     c = f"trim(regexp_replace({c}, {_sql_text(NOT_WORD)}, ' ', 'g'), ' ')"
     for old, new in SPELLINGS:
         c = f"replace({c}, '{old}', '{new}')"
-    return f"sha256({c})"
+    return c
+
+
+def _sql_canonical(expr: str) -> str:
+    c = f"translate({expr}, '{UPPER}', '{LOWER}')"
+    return _sql_spelt(f"regexp_replace({c}, {_sql_text(COPYRIGHT_LINE)}, chr(10), 'g')")
+
+
+def _sql_bare(expr: str) -> str:
+    """The bare form, line by line: SQL's patterns have no look-ahead, so a sentence of the licence is a pattern of its own."""
+    c = f"translate({expr}, {_sql_text(UPPER + WIDE_MARKS)}, {_sql_text(LOWER + ' ' * len(WIDE_MARKS))})"
+    start = r"^[^\p{L}\p{N}©(]*"
+    owned = (rf"{start}(all rights reserved|copyrights?[^\p{{L}}\p{{N}}(©]*(\(c\)|©)|copyright{GAP}[0-9]|©{GAP}[\p{{L}}\p{{N}}]|\(c\){GAP}([0-9]|copyright))")
+    named, said = rf"{start}copyright[^\p{{L}}\p{{N}}]+\p{{L}}", rf"{start}copyright[^\p{{L}}\p{{N}}]+({SENTENCES})($|[^\p{{L}}\p{{N}}])"
+    point = rf"{start}\(c\){GAP}\p{{L}}"
+    match = lambda p: f"regexp_matches(x, {_sql_text(p)})"
+    keep = f"NOT ({match(owned)} OR ({match(named)} AND NOT {match(said)}) OR (NOT contains(t, '(b)') AND {match(point)}))"
+    kept = f"(SELECT array_to_string(list_filter(string_split(t, chr(10)), lambda x: {keep}), chr(10)) FROM (SELECT {c} AS t))"
+    return f"coalesce(nullif({_sql_spelt(kept)}, ''), {_sql_canonical(expr)})"
 
 
 def license_sql(known: Iterable[tuple[str, str]] = tuple(KNOWN_LICENSES)) -> str:
-    """DuckDB SQL for ``license_scan`` over ``documents``; of licences it knows the canonical
-    form only, not the bare one."""
+    """DuckDB SQL for ``license_scan`` over ``documents``, canonical and bare form."""
     values = ", ".join(f"({_sql_text(a)}, {_sql_text(b)})" for a, b in known)
     return f"""
-WITH known AS (SELECT {_sql_digest('text')} AS d, min(license_id) AS license_id FROM (VALUES {values}) AS v(license_id, text) GROUP BY 1),
-docs AS (SELECT doc_id, text_digest, unnest(lines) AS line, any_row FROM (
-  SELECT doc_id, {_sql_digest("coalesce(text, '')")} AS text_digest, string_split(coalesce(text, ''), chr(10)) AS lines,
-         row_number() OVER () AS any_row FROM documents)),
+WITH known AS (SELECT d, min(license_id) AS license_id FROM (
+  SELECT license_id, unnest([sha256({_sql_canonical('text')}), sha256({_sql_bare('text')})]) AS d FROM (VALUES {values}) AS v(license_id, text)) GROUP BY d),
+rows AS (SELECT row_number() OVER () AS any_row, doc_id, coalesce(text, '') AS text FROM documents),
+whole AS (SELECT any_row, doc_id, sha256({_sql_canonical('text')}) AS text_digest, sha256({_sql_bare('text')}) AS bare_digest FROM rows),
+lines AS (SELECT any_row, unnest(string_split(text, chr(10))) AS line FROM rows),
 found AS (SELECT any_row, count(DISTINCT k.license_id) AS n, string_agg(DISTINCT k.license_id, ',' ORDER BY k.license_id) AS names
-  FROM docs JOIN known k ON {_sql_digest('line')} = k.d GROUP BY any_row),
-whole AS (SELECT DISTINCT doc_id, text_digest, any_row FROM docs)
-SELECT w.doc_id, w.text_digest, k.license_id AS text_license, coalesce(f.n, 0) AS n_notices, coalesce(f.names, '') AS notice_licenses
-FROM whole w LEFT JOIN known k ON w.text_digest = k.d LEFT JOIN found f ON f.any_row = w.any_row
+  FROM (SELECT any_row, sha256({_sql_bare('line')}) AS d FROM lines) l JOIN known k ON l.d = k.d GROUP BY any_row)
+SELECT w.doc_id, w.text_digest, coalesce(k.license_id, b.license_id) AS text_license, coalesce(f.n, 0) AS n_notices, coalesce(f.names, '') AS notice_licenses
+FROM whole w LEFT JOIN known k ON w.text_digest = k.d LEFT JOIN known b ON w.bare_digest = b.d LEFT JOIN found f ON f.any_row = w.any_row
 """

@@ -238,7 +238,7 @@ def test_license_scan(spark):
     assert licenses.license_scan(documents(spark), known.limit(0)).where("text_license IS NOT NULL").count() == 0
 
 
-def test_license_scan_sees_through_copyright_lines_and_typography(spark):
+def license_cases() -> tuple[list, list]:
     lines = ["Copyright (c) Jane Doe", "Copyright (c) Facebook, Inc. and its affiliates", "Copyright [year] [owner]", "Copyright (c)  2020", "copyright Jane Doe",
              "# Copyright 2020 Jane", "// All rights reserved.", " * (c) Jane Doe", "© Jane Doe", "<!-- Copyright: Jane Doe -->", "Copyright © Jane", "(C) 2020 Jane"]
     curly = licenses.MIT.replace('"AS IS"', "“AS IS”").replace("free of charge", "free\u00a0of\u2003charge").replace("and/or", "and\u2010or")
@@ -246,6 +246,11 @@ def test_license_scan_sees_through_copyright_lines_and_typography(spark):
     rows += [(100, curly), (101, "\n".join("# " + x for x in ["Copyright (c) Jane", *licenses.ISC.split("\n")])),
              (102, licenses.MIT.replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS").replace("copyright notice", "\ncopyright notice"))]
     other = [(200, "copyright notice alone\n" + licenses.MIT), (201, "(b) a point\n(c) another point\n" + licenses.MIT), (202, "Jane Doe\n" + licenses.MIT)]
+    return rows, other
+
+
+def test_license_scan_sees_through_copyright_lines_and_typography(spark):
+    rows, other = license_cases()
     known = licenses.known_digests(spark, licenses.KNOWN_LICENSES)
     got = {r.doc_id: r.text_license for r in licenses.license_scan(documents(spark, rows + other), known).collect()}
     assert got == {i: "ISC" if i == 101 else "MIT" for i, _ in rows} | {i: None for i, _ in other}
@@ -253,6 +258,11 @@ def test_license_scan_sees_through_copyright_lines_and_typography(spark):
 
 def test_license_scan_equals_sql(spark):
     rows = [(i, t) for i, t in texts() if t is None or "\x00" not in t] + [(900, "a\nLicensed under the Apache License, Version 2.0.\nb")]
+    marked, other = license_cases()
+    rows += [(1000 + i, t) for i, t in marked + other]
+    rows += [(2000 + i, t) for i, (_, t) in enumerate(licenses.KNOWN_LICENSES)]
+    rows += [(3000 + i, f"x\n# {t}\n{t.upper()}") for i, (_, t) in enumerate(licenses.KNOWN_LICENSES) if "\n" not in t]
+    rows += [(4000, "— Licensed under “CC BY 4.0” —\n(c) Jane"), (4001, "copyright owner means\nLicence: spdx license identifier mit"), (4002, "(c) 2020 Jane"), (4003, "copyright noticed by x\nSPDX-License-Identifier: MIT")]
     docs = documents(spark, rows)
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
@@ -263,6 +273,19 @@ def test_license_scan_equals_sql(spark):
     assert got == want
 
 
+def test_gate_words_stand_in_every_text_of_a_digest(spark):
+    known = licenses.known_digests(spark, licenses.KNOWN_LICENSES)
+    gates = {r.gate for r in known.collect()}
+    assert "" not in gates and 3 < len(gates) < 30
+    spelt = [(f"{a}", f"{b}") for a, b in licenses.KNOWN_LICENSES]
+    for old, new in licenses.SPELLINGS:
+        spelt += [(a, b.replace(new, old)) for a, b in licenses.KNOWN_LICENSES if new in b]
+    rows = spark.createDataFrame([(b, b.upper()) for _, b in spelt], "text string, loud string")
+    assert rows.where(~licenses._may_match(F.col("text"), sorted(gates)) | ~licenses._may_match(F.col("loud"), sorted(gates))).count() == 0
+    own = spark.createDataFrame([("Centre organisation licence",), ("the fox",)], "text string").select(licenses._gate(F.col("text")).alias("g"))
+    assert [r.g for r in own.collect()] == ["", "the"]
+
+
 def test_canonical_spelling(spark):
     df = spark.createDataFrame([("The  LICENCE,\n(c) 2020 X\n-- organisation--",)], "t string").select(licenses.canonical(F.col("t")).alias("c"))
     assert df.first().c == "the license organization"
