@@ -15,6 +15,8 @@ attached afterwards by equi-joins.  Null or blank keys never match.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,10 +70,20 @@ class RegisterSide:
         self.rows = r
         # Register rows without a father's name leave the two-key branch
         self.two_key = r.where((F.length("r_name") > 0) & (F.length("r_father") > 0))
-        # one pass over the register: both indexes and the existing key pairs come from this table
-        self.keys = stage_table(self.two_key.select("r_name", "r_father").distinct(), "register-keys")
-        self.names = EditIndex(self.keys.select(F.col("r_name").alias("b")), threshold, metric=metric)
-        self.fathers = EditIndex(self.keys.select(F.col("r_father").alias("b")), threshold, metric=metric)
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        """Distinct (r_name, r_father), staged at their first use: one pass over the register, from which
+        both indexes and the existing key pairs come."""
+        return stage_table(self.two_key.select("r_name", "r_father").distinct(), "register-keys")
+
+    @cached_property
+    def names(self) -> EditIndex:
+        return EditIndex(self.keys.select(F.col("r_name").alias("b")), self.threshold, metric=self.metric)
+
+    @cached_property
+    def fathers(self) -> EditIndex:
+        return EditIndex(self.keys.select(F.col("r_father").alias("b")), self.threshold, metric=self.metric)
 
     def persist(self) -> "RegisterSide":
         """Store rows and indexes in the shared checkpoint folder, once."""
@@ -186,18 +198,64 @@ def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) ->
     return rows.join(side.two_key, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
 
 
+HEAVY = 4096      # cards that one pending key may reach before its expansion is salted
+SALTS = 64
+
+
+def similar_cards(side: RegisterSide, names: DataFrame, fathers: DataFrame) -> DataFrame:
+    """Existing (r_name, r_father) of which each is similar to some pending one."""
+    return (side.keys.join(names.select("r_name").distinct(), "r_name", "left_semi")
+            .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
+
+
+def key_degrees(p2: DataFrame, cards: DataFrame, names: DataFrame, fathers: DataFrame) -> DataFrame:
+    """(p_name, p_father, by_name, by_father): how many cards each distinct pending key reaches by its name, and by
+    its father's; keys that reach none by either are left out."""
+    def reach(pairs: DataFrame, mine: str, theirs: str, out: str) -> DataFrame:
+        held = cards.groupBy(theirs).agg(F.count(F.lit(1)).alias("_n"))
+        return pairs.join(held, theirs).groupBy(mine).agg(F.sum("_n").alias(out))
+
+    keys = p2.select("p_name", "p_father").distinct()
+    return (keys.join(reach(names, "p_name", "r_name", "by_name"), "p_name")
+            .join(reach(fathers, "p_father", "r_father", "by_father"), "p_father"))
+
+
+def _expand(keys: DataFrame, pairs: DataFrame, mine: str, theirs: str, cards: DataFrame, reach: str, salted: bool) -> DataFrame:
+    """Pending keys with every card that they reach through ``pairs``.  A key that reaches more than ``HEAVY``
+    cards is copied once a salt, and the cards are dealt over the salts, so one popular value is many tasks."""
+    rows = keys.join(pairs.join(cards.select(theirs).distinct(), theirs, "left_semi"), mine)
+    out = rows.where(F.col(reach) <= HEAVY).join(cards, theirs)
+    if salted:
+        dealt = cards.withColumn("_salt", F.pmod(F.xxhash64("r_name", "r_father"), F.lit(SALTS)).cast("int"))
+        copies = rows.where(F.col(reach) > HEAVY).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = out.unionByName(copies.join(dealt, [theirs, "_salt"]).drop("_salt"))
+    return out.select("p_name", "p_father", "r_name", "r_father")
+
+
+def lighter_expansions(p2: DataFrame, side: RegisterSide, names: DataFrame, fathers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates of the keys that reach fewer cards by name, and of those that reach fewer by father.
+
+    Each pending key is expanded on its lighter side only: a popular name with rare fathers goes by the fathers, a popular
+    father by the names, so rows are at most the sum of the lesser degrees.  The other side is still to be checked."""
+    cards = stage_table(similar_cards(side, names, fathers), "similar-cards")
+    keys = stage_table(key_degrees(p2, cards, names, fathers), "pending-degrees")
+    most = keys.agg(F.max(F.least("by_name", "by_father")).alias("n")).first()["n"] or 0
+    by_name = _expand(keys.where("by_name <= by_father"), names, "p_name", "r_name", cards, "by_name", most > HEAVY)
+    by_father = _expand(keys.where("by_name > by_father"), fathers, "p_father", "r_father", cards, "by_father", most > HEAVY)
+    return by_name, by_father
+
+
 def existing_keys(p2: DataFrame, side: RegisterSide, names: DataFrame, fathers: DataFrame) -> DataFrame:
-    """Distinct pending keys with each similar register name and that name's *existing* fathers, as far
-    as they are similar to some pending father: never names times fathers."""
-    cards = (side.keys.join(names.select("r_name").distinct(), "r_name", "left_semi")
-             .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
-    return p2.select("p_name", "p_father").distinct().join(names, "p_name").join(cards, "r_name")
+    """All rows that ``two_key_candidates`` checks: pending keys with the cards of their lighter side."""
+    by_name, by_father = lighter_expansions(p2, side, names, fathers)
+    return by_name.unionByName(by_father)
 
 
 def two_key_candidates(p2: DataFrame, side: RegisterSide) -> DataFrame:
     """Distinct ``(p_name, p_father, r_name, r_father)`` with both keys similar."""
-    names, fathers = name_pairs(p2, side), father_pairs(p2, side)
-    return existing_keys(p2, side, names, fathers).join(fathers, ["p_father", "r_father"])
+    names, fathers = stage_table(name_pairs(p2, side), "name-pairs"), stage_table(father_pairs(p2, side), "father-pairs")
+    by_name, by_father = lighter_expansions(p2, side, names, fathers)
+    return by_name.join(fathers, ["p_father", "r_father"]).unionByName(by_father.join(names, ["p_name", "r_name"]))
 
 
 def two_key_chained(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:

@@ -67,6 +67,43 @@ def test_names_times_fathers_is_not_built(spark):
     assert person.two_key_correlated(person.prepare_pending(pend), side).count() == 0
 
 
+REGISTER_DDL = "PERMANENT_RCNO string, NAME string, FATHERNAME string, BlockMunicipalityCode string, RCCATEGORY string"
+PENDING_DDL = "death_main_id long, DEATH_DECEASED_NAME string, DEATH_FATHER_NAME string, death_address string"
+
+
+def _letters(i: int) -> str:
+    return "".join(chr(97 + i // 25 ** k % 25) for k in range(4))
+
+
+def test_a_popular_key_expands_by_the_other_one(spark, monkeypatch):
+    """One name with 400 fathers on both sides, one father with 400 names: each record has one card."""
+    people = [("popular person", f"father {_letters(i * 7)} {_letters(i * 13)}") for i in range(400)]
+    people += [(f"person {_letters(i * 7)} {_letters(i * 13)}", "popular father") for i in range(400)]
+    register = spark.createDataFrame([(str(i), n, f, "1", "c") for i, (n, f) in enumerate(people)], REGISTER_DDL)
+    pend = spark.createDataFrame([(i, n, f, "") for i, (n, f) in enumerate(people)], PENDING_DDL)
+    p = person.prepare_pending(pend)
+    side = person.RegisterSide(person.prepare_register(register), 0.9)
+    p2 = person._two_key_pending(p)
+    names, fathers = person.name_pairs(p2, side), person.father_pairs(p2, side)
+    rows = person.existing_keys(p2, side, names, fathers).count()
+    want = {(i, str(i)) for i in range(800)}
+    found = {(r.death_main_id, r.rc_no) for r in person.two_key_correlated(p, side).collect()}
+    assert want <= found and rows <= 4000 and len(found) <= rows
+    # salted expansion of keys that are heavy on both sides gives the same rows
+    monkeypatch.setattr(person, "HEAVY", 0)
+    monkeypatch.setattr(person, "SALTS", 3)
+    assert {(r.death_main_id, r.rc_no) for r in person.two_key_correlated(p, side).collect()} == found
+
+
+def test_keys_heavy_on_both_sides_keep_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(person, "HEAVY", 20)
+    names, fathers = [f"person abcdefgh {c}" for c in "abcdefgh"], [f"father abcdefgh {c}" for c in "abcdefgh"]
+    register = spark.createDataFrame([(f"{n}|{f}", n, f, "1", "c") for n in names for f in fathers], REGISTER_DDL)
+    pend = spark.createDataFrame([(1, names[0], fathers[0], ""), (2, names[1], "other", ""), (3, names[2], fathers[2], "")], PENDING_DDL)
+    got = Counter(r.death_main_id for r in person.two_key_correlated(person.prepare_pending(pend), person.prepare_register(register)).collect())
+    assert got == {1: 64, 3: 64}
+
+
 def test_queue_advances_and_claims_repeat_safely(spark):
     main = spark.range(1, 251).select(F.col("id"), (F.col("id") % 10 == 0).cast("int").alias("is_send"))
     ledger = scratch_path(spark, "ledger-test")
