@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reglink import constants as C
+from reglink.sources import registry
 
 LOCAL_BITS = 33  # monotonically_increasing_id = (partition << 33) + index in partition
 
@@ -90,12 +91,17 @@ def ids_from_list(lists: DataFrame, col: str = "id_list", key: str = "id") -> Da
 LEDGER_SCHEMA = "id bigint, chunk_id bigint, claim string"
 
 
+CLAIMS = "_claims"      # which claims hold: one entry each, in order
+ATTEMPTS = 100
+
+
 def read_ledger(spark, path: str) -> DataFrame:
-    """Claimed ids so far (K8); empty before the first claim."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+    """Claimed ids so far (K8); empty before the first claim.  Rows of a claim count once it is entered."""
+    claims = registry.entries(spark, f"{path.rstrip('/')}/{CLAIMS}")
+    if not claims:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    folders = [f"{path.rstrip('/')}/claim={c}" for c in claims]
+    return spark.read.schema(LEDGER_SCHEMA).option("basePath", path).parquet(*folders)
 
 
 def claim_pending(main: DataFrame, ledger: DataFrame | None = None, n_chunks: int = 1, size: int = C.CHUNK_SIZE,
@@ -112,22 +118,31 @@ def claim_pending(main: DataFrame, ledger: DataFrame | None = None, n_chunks: in
             .select(key, (F.col("chunk_id") + F.lit(done)).cast("long").alias("chunk_id")))
 
 
-def mark_claimed(claim: DataFrame, path: str, claim_id: str, key: str = "id") -> DataFrame:
-    """K8: add a claim to the ledger below ``path`` once: the folder of ``claim_id`` is its own,
-    so marking it again replaces it.  Returns the claim as written."""
-    out = f"{path.rstrip('/')}/claim={claim_id}"
-    claim.select(F.col(key).cast("long").alias("id"), "chunk_id").write.mode("overwrite").parquet(out)
-    return claim.sparkSession.read.schema("id bigint, chunk_id bigint").parquet(out).withColumnRenamed("id", key)
+def mark_claimed(claim: DataFrame, path: str, claim_id: str, number: int, key: str = "id") -> bool:
+    """K8: write a claim's rows to a folder of its own, then enter it as the ledger's claim ``number``; False if
+    another claim has that number, and then these rows do not count."""
+    path = path.rstrip("/")
+    claim.select(F.col(key).cast("long").alias("id"), "chunk_id").write.mode("overwrite").parquet(f"{path}/claim={claim_id}")
+    return registry.add(claim.sparkSession, f"{path}/{CLAIMS}", number, claim_id)
 
 
 def claim_next(main: DataFrame, path: str, claim_id: str, n_chunks: int, size: int = C.CHUNK_SIZE,
                key: str = "id", flag: str = "is_send") -> DataFrame:
-    """S7 + K8: claim the next chunks and mark them; a claim that was marked before is handed out again as it was."""
-    ledger = read_ledger(main.sparkSession, path)
-    mine = ledger.where(F.col("claim") == claim_id)
-    if not mine.isEmpty():
-        return mine.select(F.col("id").alias(key), "chunk_id")
-    return mark_claimed(claim_pending(main, ledger, n_chunks, size, key, flag), path, claim_id, key)
+    """S7 + K8: claim the next chunks and mark them.
+
+    Claimers exclude each other: a claim holds if it is entered as the number after those that it has seen; if another
+    one came first, the next chunks are worked out again.  A claim that holds already is handed out again as it
+    was.  ``claim_id`` belongs to one caller."""
+    spark, folder = main.sparkSession, f"{path.rstrip('/')}/{CLAIMS}"
+    for _ in range(ATTEMPTS):
+        held = registry.entries(spark, folder)
+        if claim_id not in held:
+            claim = claim_pending(main, read_ledger(spark, path) if held else None, n_chunks, size, key, flag)
+            if not mark_claimed(claim, path, claim_id, len(held) + 1, key):
+                continue
+        mine = spark.read.schema("id bigint, chunk_id bigint").parquet(f"{path.rstrip('/')}/claim={claim_id}")
+        return mine.withColumnRenamed("id", key)
+    raise RuntimeError(f"claim {claim_id}: others came first {ATTEMPTS} times")
 
 
 def to_pending(main: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from reglink.plans import pipeline
 from reglink.session import scratch_path
 from reglink.sources import fixtures as fx
 from reglink.sources import readers, sinks
-from reglink.streaming import incremental
+from reglink.streaming import csv_queue, incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -269,6 +269,23 @@ def q_ingest_claim_match(spark, sf_dir):
     return found.join(files, "death_main_id").select("death_main_id", "chunk_id", "file_name", "rc_no", "branch")
 
 
+@register_query("reload_keeps_ids", O.with_fixtures(O.RELOAD_KEEPS_IDS, O.RELOAD_CTES))
+def q_reload_keeps_ids(spark, sf_dir):
+    """K9/K8: batches b1 and b2 loaded, two chunks claimed, b1 loaded again, two more chunks claimed: every claimed
+    row is the one that its id named at first, and none is claimed twice."""
+    base = scratch_path(spark, "reload")
+    raw = fx.uploads(spark, sf_dir)
+    raw = raw.withColumn("file_name", F.concat(F.lit("upload_"), (F.col("row_id") % 3).cast("string")))
+    b1, b2 = (pipeline.ingest_uploads(raw.where(F.col("row_id") % 2 == k).drop("row_id")) for k in (0, 1))
+    claims = []
+    for loads, claim in (((("b1", b1), ("b2", b2)), "c1"), ((("b1", b1),), "c2")):
+        for name, rows in loads:
+            pipeline.append_uploads(rows, f"{base}/main", name)
+        claims.append(chunks.claim_next(spark.read.parquet(f"{base}/main"), f"{base}/ledger", claim, 2))
+    main = spark.read.parquet(f"{base}/main")      # as it is after the reload
+    return main.join(claims[0].unionByName(claims[1]), "id").select("id", "chunk_id", "batch", "file_name", "death_name", "death_father_name", "death_address")
+
+
 @register_query("edit_join_keep", O.with_fixtures(O.EDIT_JOIN_KEEP))
 def q_edit_join_keep(spark, sf_dir):
     """J3 with keep lists (P2) and case ignored (F4), on the names as they are."""
@@ -423,3 +440,24 @@ def q_incremental_evidence(spark, sf_dir):
                                     fx.pins(spark, sf_dir), f"{base}/out", f"{base}/ckpt", "2024-01-01")
     q.awaitTermination()
     return pipeline.read_evidence(spark, f"{base}/out", "person").drop("run_date", "batch_id")
+
+
+@register_query("csv_queue_evidence", O.with_fixtures(O.CSV_QUEUE, O.EVIDENCE_CTES))
+def q_csv_queue_evidence(spark, sf_dir):
+    """The queue as a folder of CSV chunk files (an index column first, the columns in two orders, one
+    file with an id that is no number), consumed as a stream of files; evidence and unmatched records as in the batch."""
+    pend = fx.pending(spark, sf_dir)
+    base = scratch_path(spark, "csv-queue")
+    index, names = F.monotonically_increasing_id().alias(""), pend.columns
+    for k, cols in enumerate((names, names[::-1])):
+        own = pend.where(F.col("death_main_id") % 2 == k)
+        _csv_options(own.repartition(2, "death_main_id").select(index, *cols).write).mode("append").csv(f"{base}/in")
+    broken = pend.select(index, F.concat(F.lit("no. "), F.col("death_main_id").cast("string")).alias("death_main_id"), *names[1:])
+    _csv_options(broken.coalesce(1).write).mode("append").csv(f"{base}/in")
+    ref = pipeline.prepare_reference(fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir))
+    csv_queue.run_csv_queue(spark, f"{base}/in", ref, f"{base}/out", f"{base}/ckpt", "2024-01-01", max_files_per_trigger=3).awaitTermination()
+    missing = spark.read.parquet(f"{base}/out/unmatched").select(
+        "death_main_id", F.concat(F.lit("no "), "evidence").alias("evidence"), F.lit(None).cast("string").alias("ref_id"), F.lit(None).cast("int").alias("score"))
+    failed = spark.read.parquet(f"{base}/out/failed_files").select(
+        F.lit(None).cast("long").alias("death_main_id"), F.lit("failed file").alias("evidence"), F.col("reason").alias("ref_id"), F.lit(None).cast("int").alias("score"))
+    return pipeline.read_all_evidence(spark, f"{base}/out").unionByName(missing).unionByName(failed)

@@ -21,7 +21,7 @@ from reglink import constants as C
 from reglink.operators import chunks, person
 from reglink.plans import pipeline
 from reglink.session import get_session
-from reglink.sources import readers, sinks
+from reglink.sources import readers, registry, sinks
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -43,9 +43,10 @@ def main(argv: list[str] | None = None) -> None:
                          "loaded when present, built and saved once otherwise")
     ap.add_argument("--buckets", type=int, default=None)
     ap.add_argument("--stream", action="store_true",
-                    help="treat --pending as a folder of chunk files (with chunk_id) and consume it "
-                         "as a stream; progress is kept in OUT/_checkpoint")
+                    help="treat --pending as a folder of chunk files and consume it as a stream (Parquet with "
+                         "chunk_id, or CSV, whose file names are the chunks); progress is kept in OUT/_checkpoint")
     ap.add_argument("--files-per-batch", type=int, default=1)
+    ap.add_argument("--archive-dir", default=None, help="with --stream: move chunk files there once their batch is done")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--csv-evidence", action="store_true", help="also write the evidence as CSV with the source headers")
     ap.add_argument("--master", default=None)
@@ -106,20 +107,19 @@ def _run_stream(spark, args) -> None:
     over chunk files), against the static register side."""
     from pyspark.sql import types as T
 
-    from reglink.streaming import incremental
+    from reglink.streaming import csv_queue, incremental
     ref = _reference(spark, args)
-    schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
-    stream = incremental.pending_stream(spark, args.pending, schema, args.files_per_batch, args.format)
     out = args.out.rstrip("/")
+    if args.format == "csv":
+        csv_queue.run_csv_queue(spark, args.pending, ref, out, f"{out}/_checkpoint", args.run_date, args.mode, args.blank_policy, args.name_threshold,
+                                args.address_threshold, args.files_per_batch, args.archive_dir).awaitTermination()
+        return
+    schema = T.StructType(readers.PENDING_SCHEMA.fields + [T.StructField("chunk_id", T.LongType())])
+    stream = incremental.pending_stream(spark, args.pending, schema, args.files_per_batch, args.format, args.archive_dir)
     incremental.run_incremental(spark, stream, None, None, None, out, f"{out}/_checkpoint", args.run_date,
                                 mode=args.mode, name_threshold=args.name_threshold,
                                 address_threshold=args.address_threshold, blank_policy=args.blank_policy,
-                                reference=ref).awaitTermination()
-
-
-def _exists(spark, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+                                reference=ref, reports=True).awaitTermination()
 
 
 def _register_index(spark, args, prepared_rows) -> person.RegisterSide:
@@ -128,7 +128,7 @@ def _register_index(spark, args, prepared_rows) -> person.RegisterSide:
     path = args.register_index.rstrip("/")
     table = f"reglink_register_{hashlib.md5(path.encode()).hexdigest()[:12]}"
     side = person.RegisterSide(prepared_rows, args.name_threshold, metric=args.metric)
-    if _exists(spark, f"{path}/_manifest"):
+    if registry.exists(spark, f"{path}/_manifest"):
         saved = person.RegisterSide.load_bucketed(spark, path, table, expect=side.fingerprint())
         if saved is not None:
             return saved

@@ -247,6 +247,9 @@ SELECT death_main_id, 'block' AS evidence, block_id AS ref_id, score FROM block_
 UNION ALL SELECT death_main_id, 'pin' AS evidence, matched_pin AS ref_id, score FROM pin_ev
 UNION ALL SELECT death_main_id, 'person' AS evidence, rc_no AS ref_id, CAST(NULL AS INTEGER) AS score FROM person_ev"""
 
+CSV_QUEUE = f"""{PIPELINE_EVIDENCE}
+UNION ALL SELECT death_main_id, 'no ' || evidence AS evidence, CAST(NULL AS VARCHAR) AS ref_id, CAST(NULL AS INTEGER) AS score FROM ({UNMATCHED})
+UNION ALL SELECT CAST(NULL AS BIGINT) AS death_main_id, 'failed file' AS evidence, 'a value does not cast: death_main_id' AS ref_id, CAST(NULL AS INTEGER) AS score"""
 
 CLAIM_TWICE = """
 SELECT id, chunk_id, 1 AS claim_no FROM chunks WHERE chunk_id <= 3
@@ -287,6 +290,19 @@ up AS (
          {clean('death_name')} AS p_name, {clean('death_father_name')} AS p_father FROM claimed
 )"""
 
+RELOAD_CTES = f"""
+loaded AS (
+  SELECT 'b' || CAST(1 + row_id % 2 AS VARCHAR) AS batch, 'upload_' || CAST(row_id % 3 AS VARCHAR) AS file_name,
+         {strip_punct('DEATH_DECEASED_NAME')} AS death_name, {strip_punct('DEATH_FATHER_NAME')} AS death_father_name,
+         concat_ws(',', {ADDRESS_PARTS}) AS death_address
+  FROM uploads
+)"""
+RELOAD_KEEPS_IDS = """
+SELECT id, CAST((id - 1) // 100 + 1 AS BIGINT) AS chunk_id, batch, file_name, death_name, death_father_name, death_address
+FROM (SELECT *, row_number() OVER (ORDER BY batch, file_name NULLS FIRST, death_address NULLS FIRST, death_name NULLS FIRST,
+                                            death_father_name NULLS FIRST) AS id FROM loaded)
+WHERE id <= 400"""
+
 INGEST_CLAIM_MATCH = f"""
 SELECT p.death_main_id, p.chunk_id, p.file_name, r.rc_no, 'name_father' AS branch FROM up p JOIN r2 r
   ON coalesce(p.p_father, '') <> '' AND {sim_ok('p.p_name', 'r.r_name')} AND {sim_ok('p.p_father', 'r.r_father')}

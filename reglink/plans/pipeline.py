@@ -16,7 +16,8 @@ from reglink import constants as C
 from reglink.functions.clean import concat_address, strip_punct
 from reglink.operators import person, token_join
 from reglink.operators.chunks import assign_positions
-from reglink.sources import sinks
+from reglink.session import stage_table
+from reglink.sources import registry, sinks
 
 DROPPED_UPLOAD_COLUMNS = C.UPLOAD_DROPPED_COLUMNS
 ADDRESS_COLUMNS = C.UPLOAD_ADDRESS_COLUMNS
@@ -43,25 +44,56 @@ def ingest_uploads(raw: DataFrame) -> DataFrame:
     )
 
 
-def new_main_rows(ingested: DataFrame, after_id: int = 0) -> DataFrame:
-    """K9: ingested uploads as rows of the main table: ids go on after ``after_id`` in the order of
-    file, address and name; nothing sent yet."""
-    keyed = ingested.select("death_name", "death_father_name", "death_address", "file_name")
-    placed = assign_positions(keyed, "file_name", tiebreak=["death_address", "death_name", "death_father_name"])
-    return placed.select((F.col("position") + F.lit(after_id)).cast("long").alias("id"), F.lit(0).alias("is_send"),
-                         "death_name", "death_father_name", "death_address", "file_name")
+MAIN_COLUMNS = ["file_name", "death_address", "death_name", "death_father_name"]
+RANGES = "_ranges"        # id ranges given out: one entry per load, never given out again
+
+
+def _numbered_copies(rows: DataFrame, key: str, tiebreak: list[str]) -> DataFrame:
+    """Add ``_content`` and ``_copy``: which of the equal rows a row is, from 0.  Equal rows are neighbours in the
+    order by ``key`` and ``tiebreak``, so no group of them meets in one task."""
+    content = F.sha2(F.to_json(F.struct(*MAIN_COLUMNS)), 256)
+    placed = assign_positions(rows.withColumn("_content", content), key, tiebreak=tiebreak)
+    first = placed.groupBy(F.col("_content").alias("_c")).agg(F.min("position").alias("_first"))
+    return placed.join(first, F.col("_content") == F.col("_c")).withColumn("_copy", F.col("position") - F.col("_first")).drop("_c", "_first")
+
+
+def _reserve_ids(spark, main_path: str, batch: str, n: int) -> int:
+    """The id before ``n`` fresh ones: the range is entered in the registry, so no other load gets it."""
+    folder = f"{main_path.rstrip('/')}/{RANGES}"
+    while True:
+        held = registry.entries(spark, folder)
+        after = max((int(line.rsplit(" ", 1)[1]) for line in held), default=0)
+        if not held and registry.exists(spark, main_path):        # a table from before the registry
+            after = spark.read.parquet(main_path).agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
+        if registry.add(spark, folder, len(held) + 1, f"{batch} {after + 1} {after + n}"):
+            return after
 
 
 def append_uploads(ingested: DataFrame, main_path: str, batch: str) -> None:
-    """K9: append one batch of uploads to the main table; the folder of ``batch`` is its own, so
-    loading it again replaces it (ids of other batches stay)."""
+    """K9: load one batch of uploads into the main table, nothing sent yet; the folder of ``batch`` is its own, so
+    loading it again replaces it.
+
+    New rows get the next ids in the order of file, address and names.  A row that the batch held before (the
+    same in all columns, equal rows one for one) keeps its id, so claims and evidence go on naming it;
+    ids of rows that are gone aren't given out again."""
     spark = ingested.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(main_path)
-    after = 0
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        others = spark.read.parquet(main_path).where(F.col("batch") != batch)
-        after = others.agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
-    new_main_rows(ingested, after).write.mode("overwrite").parquet(f"{main_path.rstrip('/')}/batch={batch}")
+    folder = f"{main_path.rstrip('/')}/batch={batch}"
+    rows = _numbered_copies(ingested.select(*MAIN_COLUMNS), MAIN_COLUMNS[0], MAIN_COLUMNS[1:])
+    known, before = None, registry.exists(spark, folder)
+    if before:
+        old = spark.read.parquet(folder).select("id", *MAIN_COLUMNS)
+        old = _numbered_copies(old, MAIN_COLUMNS[0], [*MAIN_COLUMNS[1:], "id"])
+        old = old.select(F.col("id").alias("_old"), F.col("_content").alias("_c"), F.col("_copy").alias("_k"))
+        both = stage_table(rows.join(old, (F.col("_content") == F.col("_c")) & (F.col("_copy") == F.col("_k")), "left")
+                           .select(*MAIN_COLUMNS, "_old"), "uploads")
+        known = both.where(F.col("_old").isNotNull()).select(F.col("_old").alias("id"), *MAIN_COLUMNS)
+        rows = assign_positions(both.where(F.col("_old").isNull()).select(*MAIN_COLUMNS), MAIN_COLUMNS[0], tiebreak=MAIN_COLUMNS[1:])
+    n = rows.count()
+    after = _reserve_ids(spark, main_path, batch, n) if n else 0
+    fresh = rows.select((F.col("position") + F.lit(after)).cast("long").alias("id"), *MAIN_COLUMNS)
+    out = fresh if known is None else fresh.unionByName(known)
+    out.select("id", F.lit(0).alias("is_send"), "death_name", "death_father_name", "death_address", "file_name") \
+       .write.mode("overwrite").parquet(folder)
 
 
 @dataclass

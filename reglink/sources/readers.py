@@ -72,34 +72,47 @@ def all_string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _csv(reader, path: str):
-    """RFC-4180 CSV: quotes doubled inside quotes, line breaks inside quotes, broken rows fail."""
-    return (reader.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
-            .option("nullValue", "\u0000").option("emptyValue", "").option("mode", "FAILFAST").csv(path))
+def csv_options(reader, mode: str = "FAILFAST", multi_line: bool = True):
+    """RFC-4180 CSV: quotes doubled inside quotes and, with ``multi_line``, line breaks inside quotes (then a file
+    is one task; without, large files are split, and a row with a line break is a broken row)."""
+    return (reader.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+            .option("nullValue", "\u0000").option("emptyValue", "").option("mode", mode))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None) -> DataFrame:
+def _csv(reader, path: str, multi_line: bool):
+    """Broken rows fail."""
+    return csv_options(reader, "FAILFAST", multi_line).csv(path)
+
+
+def plain_path(path: str) -> str:
+    """A path without scheme and without percent escapes: file sources write the same path in several ways."""
+    from urllib.parse import unquote, urlsplit
+    return "/" + unquote(urlsplit(path).path).lstrip("/")
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV scan (S1-S3): columns by header *name*, others (such as an unnamed index column) ignored.
 
     Ids declared as strings keep their zeros; a missing column, a row that does not parse and a
     value that does not cast raise.  In a folder, a file whose header differs from the first one's
-    raises too (not checked where a column has no name)."""
+    raises too (not checked where a column has no name).  ``multi_line=False`` reads large files by several tasks;
+    a quoted line break then raises."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    names = _csv(reader, path).columns
+    names = _csv(reader, path, multi_line).columns
     missing = [f.name for f in schema.fields if f.name not in names]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names}")
     reader = spark.read.schema(all_string_schema(names)).option("enforceSchema", any(n.startswith("_c") for n in names))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = _csv(reader, path)
+    df = _csv(reader, path, multi_line)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
                      F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_path").alias("_path"))
 
 
-def read_chunk(spark: SparkSession, path: str, schema: T.StructType = PENDING_SCHEMA) -> DataFrame:
+def read_chunk(spark: SparkSession, path: str, schema: T.StructType = PENDING_SCHEMA, multi_line: bool = True) -> DataFrame:
     """A pending chunk written as CSV (header, with or without an index column)."""
-    return read_csv(spark, path, schema).drop("_file", "_path")
+    return read_csv(spark, path, schema, multi_line=multi_line).drop("_file", "_path")
 
 
 def read_uploads(spark: SparkSession, folder: str, schema: T.StructType = UPLOAD_SCHEMA, name_from: str = "file") -> DataFrame:

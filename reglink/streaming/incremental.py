@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reglink import constants as C
 from reglink.operators.person import RegisterSide
-from reglink.plans.pipeline import Reference, prepare_reference, run
+from reglink.plans.pipeline import Evidence, Reference, prepare_reference, run, unmatched_report
 from reglink.sources import sinks
 
 
@@ -39,13 +39,38 @@ def pending_stream(spark: SparkSession, folder: str, schema: T.StructType,
     return reader.format(fmt).load(folder)
 
 
+def batch_owner(spark: SparkSession, batch_id: int) -> str:
+    """Owner of a batch's output: the stream (the query id that its checkpoint holds) and the batch."""
+    return f"stream-{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:09d}"
+
+
+def match_batch(batch: DataFrame, batch_id: int, ref: Reference, out_path: str, run_date: str, owner: str, mode: str, blank_policy: str,
+                name_threshold: float, address_threshold: int, reports: bool = False) -> None:
+    """Match one batch and write its evidence.  ``reports``: also the records without evidence (J7, per kind) and the
+    match counts (A4, per chunk where there is one, district and branch), both from the evidence as written, so no join runs twice."""
+    spark, out = batch.sparkSession, out_path.rstrip("/")
+    ev = run(batch, None, None, None, name_threshold, address_threshold, mode, blank_policy, reference=ref)
+    for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
+        sinks.append_evidence(df.withColumn("batch_id", F.lit(batch_id).cast("long")), out, kind, run_date, owner=owner)
+    if not reports:
+        return
+    kept = Evidence(*(spark.read.parquet(f"{out}/{kind}/owner={owner}") for kind in sinks.EVIDENCE_KINDS))
+    sinks.write_owned(unmatched_report(batch, kept).withColumn("run_date", F.lit(run_date)), f"{out}/unmatched", owner)
+    found, by = kept.person, ["district", "branch"]
+    if "chunk_id" in batch.columns:
+        found, by = found.join(batch.select("death_main_id", "chunk_id"), "death_main_id"), ["chunk_id", *by]
+    counts = found.groupBy(*by).agg(F.count(F.lit(1)).alias("match_count"))
+    sinks.write_owned(counts.withColumn("run_date", F.lit(run_date)), f"{out}/match_counts", owner)
+
+
 def run_incremental(spark: SparkSession, stream: DataFrame, register: DataFrame, blocks: DataFrame,
                     pins: DataFrame, out_path: str, checkpoint: str, run_date: str,
                     available_now: bool = True, mode: str = "correlated",
                     metric: str = "levenshtein", name_threshold: float = C.NAME_THRESHOLD,
                     address_threshold: int = C.ADDRESS_THRESHOLD, blank_policy: str = "null_is_blank",
-                    reference: Reference | None = None) -> StreamingQuery:
-    """Per micro-batch evidence, written idempotently by batch id.
+                    reference: Reference | None = None, reports: bool = False) -> StreamingQuery:
+    """Per micro-batch evidence, written idempotently by batch id; with ``reports`` also
+    unmatched records and match counts.
 
     The register side (cleaned names, edit and token indexes) is built once
     and checkpointed to the shared checkpoint folder before the stream
@@ -61,11 +86,8 @@ def run_incremental(spark: SparkSession, stream: DataFrame, register: DataFrame,
         batch = batch.persist()  # read the batch files once for the three evidence kinds
         try:
             # chained mode needs ``chunk_id`` in the files: chunks are the unit
-            ev = run(batch, None, None, None, name_threshold, address_threshold, mode, blank_policy, reference=ref)
-            stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
-                sinks.append_evidence(df.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                                      out_path, kind, run_date, owner=f"stream-{stream_id}-{batch_id:09d}")
+            match_batch(batch, batch_id, ref, out_path, run_date, batch_owner(batch.sparkSession, batch_id), mode, blank_policy,
+                        name_threshold, address_threshold, reports)
         finally:
             batch.unpersist()
 

@@ -189,3 +189,69 @@ def test_cli_stream_over_chunk_folder(spark):
     cols = ["death_main_id", "rc_no", "branch"]
     got = pipeline.read_evidence(spark, f"{base}/out", "person")
     assert _rows(got, cols) == _rows(QUERIES_PERSON(spark), cols)
+
+
+def test_csv_chunk_files_fail_alone_and_their_reports_equal_the_batch(spark):
+    """Files by header name, chunk from the file name; each broken file is listed and matches nothing."""
+    import os
+
+    from reglink.plans import cli
+    from reglink.streaming import csv_queue
+
+    base = scratch_path(spark, "csv-files")
+    folder = f"{base}/in".replace("file:", "")
+    os.makedirs(folder)
+    pend = [tuple(r) for r in fx.pending(spark, SF_SMALL).orderBy("death_main_id").limit(40).collect()]
+
+    def text(v):
+        return "" if v is None else '"' + str(v).replace('"', '""') + '"'
+
+    def put(name, header, order, rows):
+        lines = [header] + [",".join([str(i), *(text(r[k]) for k in order)]) for i, r in enumerate(rows)]
+        with open(f"{folder}/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+
+    names = ["death_main_id", "DEATH_DECEASED_NAME", "DEATH_FATHER_NAME", "death_address"]
+    put("A1B2C3D4E.csv", ",".join(["", *names]), [0, 1, 2, 3], pend[:15])
+    put("B 2.csv", ",".join(["", *names[::-1]]), [3, 2, 1, 0], pend[15:30])
+    put("C3.csv", "\ufeffidx," + ",".join(names), [0, 1, 2, 3], pend[30:])
+    put("no-father.csv", ",".join(["", names[0], names[1], names[3]]), [0, 1, 3], pend[:3])
+    put("twice.csv", ",".join(["", *names, names[1]]), [0, 1, 2, 3, 1], pend[:3])
+    put("bad-id.csv", ",".join(["", *names]), [0, 1, 2, 3], [*pend[:3], ("x", "y", "z", "w")])
+    put("short-row.csv", ",".join(["", *names]), [0, 1, 2, 3], pend[:3])
+    with open(f"{folder}/short-row.csv", "a") as f:
+        f.write("9,8\n")
+    put("empty.csv", ",".join(["", *names]), [0, 1, 2, 3], [])
+    open(f"{folder}/nothing.csv", "w").close()                # a file of no bytes has no rows and is not listed
+    with open(f"{folder}/readme.txt", "w") as f:
+        f.write("no chunk")
+
+    for k, df in (("register", fx.register(spark, SF_SMALL)), ("blocks", fx.blocks(spark, SF_SMALL)), ("pins", fx.pins(spark, SF_SMALL))):
+        df.write.parquet(f"{base}/{k}")
+
+    def files(n):
+        return [f"{folder}/{x}" for x in ("A1B2C3D4E.csv", "B 2.csv", "C3.csv", "empty.csv")[:n]]
+
+    rows, failed = csv_queue.read_chunk_files(spark, files(4))
+    assert failed.count() == 0
+    key = lambda r: (r[0], *(x or "" for x in r[1:4]))
+    assert sorted(map(key, rows.collect())) == sorted(map(key, pend))
+    assert {r.chunk_id for r in rows.collect()} == {"A1B2C3D4E", "B%202", "C3"} or {r.chunk_id for r in rows.collect()} == {"A1B2C3D4E", "B 2", "C3"}
+
+    args = ["--stream", "--format", "csv", "--files-per-batch", "4", "--pending", folder, "--out", f"{base}/out", "--run-date", "d", "--archive-dir", f"{base}/done"]
+    reg = fx.register(spark, SF_SMALL)
+    for k, df in (("register", reg), ("blocks", fx.blocks(spark, SF_SMALL)), ("pins", fx.pins(spark, SF_SMALL))):
+        df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{base}/{k}-csv")
+    cli.main([*args, "--register", f"all={base}/register-csv", "--blocks", f"{base}/blocks-csv", "--pins", f"{base}/pins-csv"])
+    ids = [r[0] for r in pend]
+    own = fx.pending(spark, SF_SMALL).where(F.col("death_main_id").isin(ids))
+    want = pipeline.run(own, reg.withColumn("district", F.lit("all")), fx.blocks(spark, SF_SMALL), fx.pins(spark, SF_SMALL))
+    bag = lambda df, *cols: sorted(tuple(r) for r in df.select(*cols).collect())
+    for kind, df, ref in (("person", want.person, "rc_no"), ("block", want.block, "block_id"), ("pin", want.pin, "matched_pin")):
+        assert bag(pipeline.read_evidence(spark, f"{base}/out", kind), "death_main_id", ref) == bag(df, "death_main_id", ref)
+    assert bag(spark.read.parquet(f"{base}/out/unmatched"), "death_main_id", "evidence") == bag(pipeline.unmatched_report(own, want), "death_main_id", "evidence")
+    counts = spark.read.parquet(f"{base}/out/match_counts")
+    assert counts.agg(F.sum("match_count")).first()[0] == want.person.count() and counts.select("chunk_id").distinct().count() == 3
+    bad = {os.path.basename(r.path): r.reason for r in spark.read.parquet(f"{base}/out/failed_files").collect()}
+    assert bad == {"no-father.csv": "no column DEATH_FATHER_NAME", "twice.csv": "column DEATH_DECEASED_NAME more than once",
+                   "bad-id.csv": "a value does not cast: death_main_id", "short-row.csv": "a row does not parse"}

@@ -116,6 +116,57 @@ def test_queue_advances_and_claims_repeat_safely(spark):
     assert chunks.claim_next(main, ledger, "c", 9, 50).count() == 75
 
 
+def test_two_claimers_at_once_get_disjoint_chunks(spark, monkeypatch):
+    """The second claimer comes in after the first has read the ledger and before it marks its claim."""
+    main = spark.range(1, 301).select("id", F.lit(0).alias("is_send"))
+    ledger = scratch_path(spark, "ledger-race")
+    plain, others, seen = chunks.claim_pending, ["c", "b"], []
+
+    def claim_pending(*args, **more):
+        out = plain(*args, **more)
+        if others:                             # b cuts in before a marks, c before b does
+            seen.append(chunks.claim_next(main, ledger, others.pop(), 1, 50).count())
+        return out
+
+    monkeypatch.setattr(chunks, "claim_pending", claim_pending)
+    a = chunks.claim_next(main, ledger, "a", 2, 50)
+    rows = chunks.read_ledger(spark, ledger)
+    assert seen == [50, 50] and a.count() == 100
+    assert rows.count() == rows.select("id").distinct().count() == 200
+    assert {r.claim: r.n for r in rows.groupBy("claim").agg(F.countDistinct("chunk_id").alias("n")).collect()} == {"a": 2, "b": 1, "c": 1}
+    assert rows.select("chunk_id").distinct().count() == 4
+
+
+def test_a_claim_that_died_before_its_entry_holds_nothing(spark):
+    main = spark.range(1, 101).select("id", F.lit(0).alias("is_send"))
+    ledger = scratch_path(spark, "ledger-died")
+    main.select("id", F.lit(1).alias("chunk_id")).write.parquet(f"{ledger}/claim=dead")
+    assert chunks.read_ledger(spark, ledger).count() == 0
+    assert chunks.claim_next(main, ledger, "a", 1, 60).count() == 60 and chunks.claim_next(main, ledger, "dead", 9, 60).count() == 40
+
+
+def test_reloading_a_changed_batch_keeps_the_ids_of_its_rows(spark):
+    ddl = "death_name string, death_father_name string, death_address string, file_name string"
+
+    def load(batch, rows):
+        pipeline.append_uploads(spark.createDataFrame([(n, None, "x", "f.csv") for n in rows], ddl), base, batch)
+        return {(r.batch, r.id): r.death_name for r in spark.read.parquet(base).collect()}
+
+    base = scratch_path(spark, "reload-changed")
+    first = load("b1", ["a", "b", "b", "b", None])
+    assert sorted(i for _, i in first) == [1, 2, 3, 4, 5]
+    both = load("b2", ["a", "c"])
+    assert sorted(i for b, i in both if b == "b2") == [6, 7] and {k: v for k, v in both.items() if k[0] == "b1"} == first
+    assert load("b1", ["a", "b", "b", "b", None]) == both
+    changed = load("b1", ["b", "b", None, "z", "zz"])                # a gone, one b gone, two new
+    kept = {k: v for k, v in changed.items() if k[0] == "b1"}
+    assert {k: v for k, v in kept.items() if k[1] <= 5}.items() <= first.items()
+    assert sorted(v or "" for k, v in kept.items() if k[1] <= 5) == ["", "b", "b"] and {v for k, v in kept.items() if k[1] > 7} == {"z", "zz"}
+    again = load("b1", ["a", "b", "b", None, "z", "zz"])             # a came back: a new row with a fresh id
+    assert {v for (b, i), v in again.items() if i > 9} == {"a"} and len(again) == 8
+    assert load("b3", []) == again
+
+
 def test_csv_by_name_fails_loudly(spark):
     path = scratch_path(spark, "csv-names")
     spark.createDataFrame([("Bina", "Asha"), ("x", None)], "FATHERNAME string, NAME string").coalesce(1).write.option("header", True).csv(path)
