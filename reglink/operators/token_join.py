@@ -2,7 +2,13 @@
 
 Exact candidate set, no cross product:
 
-(a) pairs sharing at least one token: explode distinct tokens, equi-join;
+(a) pairs sharing at least one token.  Their score comes from the shared tokens against the shorter text, or from
+    the LCS of both whole texts:
+    - shared tokens: they must make up about two thirds of the shorter text.  Its tokens are put rarest first
+      (by the right side's document frequency), and only those from which on the rest could still be
+      enough are keys.  A word that every name holds is a key only of names that are little else;
+    - LCS: both lengths lie within a factor of about 1.5, so keys are a token and a length class, and the
+      characters that both texts have at all must be enough;
 (b) pairs sharing none: then ``t0`` is empty and the score is
     ``ratio(sorted A, sorted B)``, which needs the indel distance
     ``|a| + |b| - 2*LCS`` to be at most ``(100.5 - T) / 100 * (|a| + |b|)``.
@@ -19,7 +25,7 @@ third ratio can still change the result.  Rows are attached afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reglink import constants as C
@@ -66,6 +72,19 @@ class TokenSetIndex:
         self.segments = index_segments(longish, "rc", self.tau).select(SEG_LEN, SEG_NO, SEG_TXT, "rc")
         self.lengths = longish.select(F.length("rc").alias(SEG_LEN)).distinct()
         self.deletions = self._deletions(self.values, "rc", "_lb", "_la")
+        self.frequency = self.tokens.groupBy(F.col("tok").alias("_tok")).agg(F.count(F.lit(1)).alias("_df"))
+        self.keys = self._keys(self.tokens, "rc")
+        self.longest = self.values.agg(F.max(F.length("rc")).alias("n"))
+
+    def _keys(self, tokens: DataFrame, text: str) -> DataFrame:
+        """(text, tok) of the tokens by which a pair is found that shares enough of this text: rarest first, those from
+        which on the tokens left could still make up the share that the threshold asks of the shared ones.
+
+        The shared tokens, joined by blanks, are t0; ``round(200 t0 / (t0 + text)) >= T`` needs
+        ``(401 - 2T) t0 >= (2T - 1) text``.  The rarest shared token has all others after it, so it is a key."""
+        last = Window.partitionBy(text).orderBy(F.desc("_df"), F.length("tok"), F.desc("tok")).rowsBetween(Window.unboundedPreceding, 0)
+        rest = tokens.join(self.frequency, F.col("tok") == F.col("_tok")).withColumn("_rest", F.sum(F.length("tok") + 1).over(last) - 1)
+        return rest.where((401 - 2 * self.threshold) * F.col("_rest") >= (2 * self.threshold - 1) * F.length(text)).select(text, "tok")
 
     def band(self, l: str) -> tuple[str, str]:
         num, den = self.num, self.den
@@ -94,14 +113,35 @@ class TokenSetIndex:
         self.rows = self.rows.checkpoint()
         self.values = self.values.checkpoint()
         self.tokens = self.tokens.checkpoint()
+        self.frequency = self.frequency.checkpoint()
+        self.keys = self.keys.checkpoint()
+        self.longest = self.longest.checkpoint()
         self.segments = self.segments.checkpoint()
         self.lengths = self.lengths.checkpoint()
         return self
 
+    def _length_class(self, n: str) -> str:
+        """Two lengths within the band are in the same class or in neighbouring ones."""
+        return f"CAST(floor(ln({n}) / ln({self.den + self.num} / {self.den - self.num})) AS INT)"
+
+    def _enough_characters(self) -> str:
+        # LCS is at most the number of characters that the other side has at all
+        common = "least(length(lc) - length(translate(lc, rc, '')), length(rc) - length(translate(rc, lc, '')))"
+        return f"{self.den} * (length(lc) + length(rc) - 2 * {common}) <= {self.num} * (length(lc) + length(rc))"
+
     def shared_token_pairs(self, lc: DataFrame) -> DataFrame:
-        """(a): distinct ``(lc, rc)`` sharing a token."""
-        lt = lc.select("lc", F.explode(F.split("lc", " ")).alias("tok"))
-        return lt.join(self.tokens, "tok").select("lc", "rc").distinct()
+        """(a): ``(lc, rc)`` that share a token and can reach the threshold (with repeats)."""
+        tokens = lc.select("lc", F.explode(F.split("lc", " ")).alias("tok"))
+        right_shorter = tokens.join(self.keys, "tok").where("length(rc) <= length(lc)").select("lc", "rc")
+        shorter = tokens.where(F.length("lc") < self.longest.scalar())
+        left_shorter = self._keys(shorter, "lc").join(self.tokens, "tok").where("length(lc) < length(rc)").select("lc", "rc")
+        # a pair within the band has a left text of at most the longest right one's partner
+        near = tokens.where((self.den - self.num) * F.length("lc") <= (self.den + self.num) * self.longest.scalar())
+        near = near.selectExpr("lc", "tok", f"explode(sequence({self._length_class('length(lc)')} - 1, {self._length_class('length(lc)')} + 1)) AS _class")
+        alike = near.join(self.tokens.selectExpr("rc", "tok", f"{self._length_class('length(rc)')} AS _class"), ["tok", "_class"])
+        lo, hi = self.band("length(lc)")
+        alike = alike.where(f"length(rc) BETWEEN {lo} AND {hi} AND {self._enough_characters()}").select("lc", "rc")
+        return right_shorter.unionByName(left_shorter).unionByName(alike)
 
     def no_shared_token_pairs(self, lc: DataFrame) -> DataFrame:
         """(b): candidates that can reach the threshold on ``ratio(lc, rc)`` alone."""
@@ -109,10 +149,7 @@ class TokenSetIndex:
                  .select("lc", "rc"))
         probe = probe_segments(lc, "lc", self.lengths, self.band, self.tau,
                                min_pair_len=SHORT + 1).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")
-        # LCS is at most the number of characters that the other side has at all
-        common = ("least(length(lc) - length(translate(lc, rc, '')), length(rc) - length(translate(rc, lc, '')))")
-        long = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc") \
-                    .where(f"{self.den} * (length(lc) + length(rc) - 2 * {common}) <= {self.num} * (length(lc) + length(rc))")
+        long = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc").where(self._enough_characters())
         return short.unionByName(long).distinct()
 
     def join(self, left: DataFrame, left_key: str, left_text: str,

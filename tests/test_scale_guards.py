@@ -36,6 +36,22 @@ def test_bare_pins_are_not_all_paired(spark):
     assert kept > 0 and cand <= 20 * kept
 
 
+def test_a_word_in_every_name_pairs_nobody(spark):
+    """50,000 addresses and 5,000 names that all hold one word, and every address one name's own word."""
+    own = lambda i: F.translate(F.lpad((i * 7919 % 99991).cast("string"), 6, "0"), "0123456789", "abcdefghij")
+    right = spark.range(5000).select(F.col("id").cast("string").alias("g"), F.concat(F.lit("road "), own(F.col("id"))).alias("u"))
+    left = spark.range(50000).select(F.col("id").alias("k"), F.concat(F.lit("House "), F.col("id").cast("string"), F.lit(", Road, "), own(F.col("id") % 6000)).alias("t"))
+    ix = token_join.TokenSetIndex(right, "g", "u", 80)
+    lc = token_join._canonical(left, "t", "lc").select("lc").distinct()
+    cand = ix.shared_token_pairs(lc).count()
+    kept = ix.join(left, "k", "t")
+    n = kept.count()
+    assert n >= 41000 and cand <= 20 * n
+    assert kept.where("score < 100").count() == 0 or cand <= 20 * n
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_token_join_thresholds_and_how(spark):
     left = spark.createDataFrame([(1, "abc road"), (2, "zzz"), (3, None), (4, "712345")], "k long, t string")
     right = spark.createDataFrame([("a", "abc road"), ("b", "712346")], "g string, u string")
