@@ -51,6 +51,26 @@ def test_slices_of_a_batch_have_their_own_words():
 
 # --- 1: sentence pieces -------------------------------------------------------
 
+def test_numpy_merges_equal_the_fold(spark):
+    """The merges of a bucket at once against the higher-order fold over the same lattice, on the corpus's own units and odd ones."""
+    model = lattice.load_model(PIECES)
+    pieces = lattice.piece_table(spark, model)
+    text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30).collect()
+    units = sorted({u for r in text for u in lattice.UNIT.findall(lattice.normalise(r.text or ""))})[::7]
+    units += ["▁aaaaaaaaaa", "▁日本語", "\U0001f600x", "é" * 40, "▁", "▁▁▁x", "ab" * 60, "\x00\x01"]
+    units = sorted({u for u in units if 0 < len(u) <= lattice.MAX_UNIT})
+    rows = spark.createDataFrame([(i % 3, i // 3, u) for i, u in enumerate(units)], "b int, u int, unit string")
+    want = {r.unit: r.ids for r in lattice.encode_units(rows.select("b", "unit"), model, pieces).collect()}
+    got = {}
+    for b in range(3):
+        own = lattice.edge_rows(rows.where(F.col("b") == b), pieces, model.longest, 2).toPandas()
+        n = len(units[b::3])
+        unit, what, _ = lattice.merge_edges(own.u.to_numpy().astype(np.int64), own.edge.to_numpy(), np.array(model.scores), n, model.longest)
+        sizes, ids = lattice.edge_ids(unit, what, model, n)
+        got |= dict(zip(units[b::3], (x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1]))))
+    assert got == want
+
+
 def test_pieces_equal_the_library(spark):
     import sentencepiece
 
