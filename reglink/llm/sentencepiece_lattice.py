@@ -26,12 +26,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reglink.llm import exchange as ex
 
 MARK = "▁"
+MARK_BYTES = MARK.encode()
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 MAX_UNIT = 256           # longer units are folded outside the lattice, by the same merges
 GROUP_BYTES = 8 << 20
@@ -177,11 +179,10 @@ def encode_units(units: DataFrame, model: Model, pieces: DataFrame) -> DataFrame
     return fold(lattice(units, pieces, model.longest), model)
 
 
-def edge_rows(units: DataFrame, pieces: DataFrame, longest: int, n_parts: int) -> DataFrame:
+def edge_rows(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """(b, u, edge): the lattice's edges of every unit (b, u, unit), one number each: its start and size, and twice its
     piece's id, or for a character without a piece twice its code point and one."""
-    placed = units.repartition(n_parts, "b")
-    start = placed.select("b", "u", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
+    start = units.select("b", "u", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
     most = F.least(F.lit(longest), F.length("unit") - F.col("start"))
     span = start.select("b", "u", "start", F.substring("unit", F.col("start") + 1, F.lit(longest)).alias("rest"), F.explode(F.sequence(F.lit(1), most)).alias("size"))
     span = span.select("b", "u", "start", "size", F.substring("rest", F.lit(1), F.col("size")).alias("piece"))
@@ -295,13 +296,21 @@ def decode(ids, of: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+def units_of(text: str) -> list[str]:
+    """The units of a text in order, each without the mark that it begins with."""
+    parts = text.replace(MARK, " ").split(" ") if text else []
+    # a further blank is a mark of the unit after it
+    return [u[1:] for u in UNIT.findall(normalise(text))] if "" in parts else parts
+
+
 def _packed(units: list[str]) -> bytes:
     raw = [u.encode() for u in units]
     sizes = np.array([len(r) for r in raw], np.uint32)
-    return np.uint32(len(raw)).tobytes() + ex.planes(sizes) + b"".join(raw)
+    return zstandard.compress(np.uint32(len(raw)).tobytes() + ex.planes(sizes) + b"".join(raw), 1)
 
 
 def _unpacked(raw: bytes) -> list[str]:
+    raw = zstandard.decompress(raw)
     n = int(np.frombuffer(raw, np.uint32, 1)[0])
     ends = np.cumsum(ex.unplanes(raw[4:4 + 4 * n], np.uint32)).tolist()
     text = raw[4 + 4 * n:]
@@ -329,7 +338,7 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
 
     def texts(table: pa.Table) -> tuple[list, list[list[str]]]:
         own = ex.unpacked(table)
-        return own.column("_id").to_pylist(), [UNIT.findall(normalise(t)) for t in own.column("_text").to_pylist()]
+        return own.column("_id").to_pylist(), [units_of(t) for t in own.column("_text").to_pylist()]
 
     def by_bucket(units: list[list[str]]) -> dict[int, list[str]]:
         out: dict[int, list[str]] = {}
@@ -343,34 +352,58 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
         return ex.table(UNITS, {"_g": [g] * len(parts), "b": list(parts), "units": [_packed(u) for u in parts.values()]})
 
     scores = np.array(model.scores)
+    of_size = np.array([len(x) for x in of], np.int64)
+    of_begin, of_flat = np.concatenate(([0], np.cumsum(of_size)[:-1])), np.frombuffer(b"".join(of), np.uint8)
 
     def short_units(raws: list[bytes]) -> list[str]:
-        return sorted({u for raw in raws for u in _unpacked(raw) if len(u) <= limit})
+        return sorted({u for raw in raws for u in _unpacked(raw) if len(u) < limit})
 
     def distinct(table: pa.Table) -> pa.Table:
         b = table.column("b")[0].as_py()
         units = short_units(table.column("units").to_pylist())
-        return ex.table(PLACED, {"b": [b] * len(units), "u": list(range(len(units))), "unit": units})
+        return ex.table(PLACED, {"b": [b] * len(units), "u": list(range(len(units))), "unit": [MARK + u for u in units]})
 
-    def pack(table: pa.Table) -> pa.Table:
-        b = table.column("b")[0].as_py()
-        if model.bpe:
-            u, edge = table.column("u").to_numpy().astype(np.int64), table.column("edge").to_numpy()
+    def coded_row(b: int, sizes: np.ndarray, ids: np.ndarray) -> dict:
+        return {"b": [b], "sizes": [ex.dense(sizes.astype(np.uint32))], "ids": [ex.dense(ids.astype(np.uint32))]}
+
+    def merge(batches):
+        """One row per bucket; a partition has its buckets one after another, as ``distinct`` left them."""
+        seen, b, parts = set(), None, []
+
+        def row():
+            u, edge = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
             n = int(u.max()) + 1
             unit, what, _ = merge_edges(u, edge, scores, n, longest)
-            sizes, ids = edge_ids(unit, what, model, n)
-            return ex.table(FOLDED, {"b": [b], "sizes": [ex.planes(sizes.astype(np.uint32))], "ids": [ex.planes(ids.astype(np.uint32))]})
+            return ex.table(FOLDED, coded_row(b, *edge_ids(unit, what, model, n))).to_batches()[0]
+
+        for batch in batches:
+            own = batch.column("b").to_numpy()
+            cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                if own[lo] != b:
+                    if parts:
+                        yield row()
+                    b, parts = int(own[lo]), []
+                    if b in seen:
+                        raise RuntimeError(f"rows of bucket {b} are apart")
+                    seen.add(b)
+                parts.append((batch.column("u").to_numpy()[lo:hi].astype(np.int64), batch.column("edge").to_numpy()[lo:hi]))
+        if parts:
+            yield row()
+
+    def pack(table: pa.Table) -> pa.Table:
         own = dict(zip(table.column("unit").to_pylist(), table.column("ids").to_pylist()))
         ids = [own[x] for x in sorted(own)]
-        return ex.table(FOLDED, {"b": [b], "sizes": [ex.planes(np.array([len(i) for i in ids], np.uint32))],
-                                 "ids": [ex.planes(np.array([x for i in ids for x in i], np.uint32))]})
+        return ex.table(FOLDED, coded_row(table.column("b")[0].as_py(), np.array([len(i) for i in ids]), np.array([x for i in ids for x in i])))
 
     def reply(asked: pa.Table, coded: pa.Table) -> pa.Table:
         # the units of this bucket in the order of their numbers
         place = {u: i for i, u in enumerate(short_units(asked.column("units").to_pylist()))}
         size, ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
         for own, raw in zip(coded.column("sizes").to_pylist(), coded.column("ids").to_pylist()):
-            size, ids = ex.unplanes(own, np.uint32).astype(np.int64), ex.unplanes(raw, np.uint32)
+            size, ids = ex.undense(own, np.uint32).astype(np.int64), ex.undense(raw, np.uint32)
         begin = np.concatenate(([0], np.cumsum(size)))
         index: dict[str, int] = {}
         long: dict[str, np.ndarray] = {}
@@ -378,16 +411,16 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
         for g, b, raw in zip(*(asked.column(c).to_pylist() for c in ("_g", "b", "units"))):
             units = _unpacked(raw)
             for u in units:
-                if len(u) > limit and u not in long:
+                if len(u) >= limit and u not in long:
                     index = index or {p: i for i, (p, ok) in enumerate(zip(model.pieces, model.normal)) if ok}
-                    long[u] = np.array(merge_long(u, model, index), np.uint32)
+                    long[u] = np.array(merge_long(MARK + u, model, index), np.uint32)
             if long:
-                parts = [long[u] if len(u) > limit else ids[begin[place[u]]:begin[place[u] + 1]] for u in units]
+                parts = [long[u] if len(u) >= limit else ids[begin[place[u]]:begin[place[u] + 1]] for u in units]
                 sizes, flat = np.array([len(p) for p in parts], np.uint32), np.concatenate(parts)
             else:
                 at = np.fromiter(map(place.__getitem__, units), np.int64, len(units))
                 sizes, flat = size[at].astype(np.uint32), _gather(ids, begin[at], size[at])
-            for name, value in (("_g", g), ("b", b), ("sizes", ex.planes(sizes)), ("ids", ex.planes(flat))):
+            for name, value in (("_g", g), ("b", b), ("sizes", ex.dense(sizes)), ("ids", ex.dense(flat))):
                 out[name].append(value)
         return ex.table(REPLY, out)
 
@@ -400,18 +433,21 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
         parts = by_bucket(units)
         for b, sizes, raw in zip(*(side.column(c).to_pylist() for c in ("b", "sizes", "ids"))):
             place.update(zip(parts[b], range(len(place), len(place) + len(parts[b]))))
-            size.append(ex.unplanes(sizes, np.uint32).astype(np.int64))
-            held.append(ex.unplanes(raw, np.uint32))
+            size.append(ex.undense(sizes, np.uint32).astype(np.int64))
+            held.append(ex.undense(raw, np.uint32))
         size, held = np.concatenate(size), np.concatenate(held)
         begin = np.concatenate(([0], np.cumsum(size)))
+        # texts come back if all units do; else each is decoded whole
+        text_size = np.fromiter((len(u.encode()) + len(MARK_BYTES) for u in place), np.int64, len(place))
+        coded_size = np.diff(np.concatenate(([0], np.cumsum(of_size[held])))[begin]) if len(place) else text_size
+        plain = bool((coded_size == text_size).all()) and _gather(of_flat, of_begin[held], of_size[held]).tobytes() == "".join([MARK + u for u in place]).encode()
         n, crc, same, kept = [], [], [], []
         for own in units:
             at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
             coded = _gather(held, begin[at], size[at])
             n.append(len(coded))
             crc.append(zlib.crc32(coded.astype("<u4").tobytes()))
-            text = "".join(own).replace(MARK, " ")[1:]
-            same.append(decode(coded.tolist(), of) == text)
+            same.append(plain or decode(coded.tolist(), of) == MARK.join(own).replace(MARK, " "))
             kept.append(coded.astype(np.int32).tolist() if with_ids else None)
         columns = [pa.array([None if i == int(ex.NO_ID) else i for i in ids], pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
         names = ["doc_id", "n_pieces", "ids_crc32", "round_trip"]
@@ -420,9 +456,11 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
         return pa.table(columns, names=names)
 
     asked = rows.groupBy("_g").applyInArrow(send, UNITS)
+    asked = asked.repartition(buckets, "b")              # one bucket to a partition, about: lattices are what costs
     words = asked.groupBy("b").applyInArrow(distinct, PLACED)
-    # the units' edges stay where their bucket is: partitioned before the explosion, and not shuffled after
-    lattices = edge_rows(words, pieces, longest, buckets) if model.bpe else encode_units(words.select("b", "unit"), model, pieces)
-    coded = lattices.groupBy("b").applyInArrow(pack, FOLDED)
+    if model.bpe:            # edges stay where their bucket is: neither they nor the units are shuffled
+        coded = edge_rows(words, pieces, longest).mapInArrow(merge, FOLDED)
+    else:
+        coded = encode_units(words.select("b", "unit"), model, pieces).groupBy("b").applyInArrow(pack, FOLDED)
     replies = asked.groupBy("b").cogroup(coded.groupBy("b")).applyInArrow(reply, REPLY)
     return rows.groupBy("_g").cogroup(replies.groupBy("_g")).applyInArrow(assemble, out_schema)

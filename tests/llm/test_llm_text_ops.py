@@ -63,7 +63,7 @@ def test_numpy_merges_equal_the_fold(spark):
     want = {r.unit: r.ids for r in lattice.encode_units(rows.select("b", "unit"), model, pieces).collect()}
     got = {}
     for b in range(3):
-        own = lattice.edge_rows(rows.where(F.col("b") == b), pieces, model.longest, 2).toPandas()
+        own = lattice.edge_rows(rows.where(F.col("b") == b), pieces, model.longest).toPandas()
         n = len(units[b::3])
         unit, what, _ = lattice.merge_edges(own.u.to_numpy().astype(np.int64), own.edge.to_numpy(), np.array(model.scores), n, model.longest)
         sizes, ids = lattice.edge_ids(unit, what, model, n)
@@ -71,6 +71,11 @@ def test_numpy_merges_equal_the_fold(spark):
     assert got == want
 
 
+def test_units_without_their_mark():
+    for t in [t or "" for _, t in texts()] + ["a  b", " a", "a ", "  ", " ", "▁x ▁y", "\n a\n", "a▁▁b"]:
+        assert lattice.units_of(t) == [u[1:] for u in lattice.UNIT.findall(lattice.normalise(t))]
+
+
 def test_pieces_equal_the_library(spark):
     import sentencepiece
 
