@@ -122,13 +122,16 @@ def _run_stream(spark, args) -> None:
                                 reference=ref, reports=True).awaitTermination()
 
 
+_exists = registry.exists
+
+
 def _register_index(spark, args, prepared_rows) -> person.RegisterSide:
     """Reuse the register side saved by an earlier run when it was built from this register with
     this threshold and metric; else build and save it.  Table names follow from the path."""
     path = args.register_index.rstrip("/")
     table = f"reglink_register_{hashlib.md5(path.encode()).hexdigest()[:12]}"
     side = person.RegisterSide(prepared_rows, args.name_threshold, metric=args.metric)
-    if registry.exists(spark, f"{path}/_manifest"):
+    if _exists(spark, f"{path}/_manifest"):
         saved = person.RegisterSide.load_bucketed(spark, path, table, expect=side.fingerprint())
         if saved is not None:
             return saved
