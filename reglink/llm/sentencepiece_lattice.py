@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -303,18 +304,62 @@ def units_of(text: str) -> list[str]:
     return [u[1:] for u in UNIT.findall(normalise(text))] if "" in parts else parts
 
 
-def _packed(units: list[str]) -> bytes:
-    raw = [u.encode() for u in units]
-    sizes = np.array([len(r) for r in raw], np.uint32)
-    return zstandard.compress(np.uint32(len(raw)).tobytes() + ex.planes(sizes) + b"".join(raw), 1)
+def _bytes_of(units: pa.StringArray) -> tuple[np.ndarray, bytes]:
+    """Each unit's size in bytes, and the bytes of all."""
+    off = np.frombuffer(units.buffers()[1], np.int32)[units.offset:units.offset + len(units) + 1]
+    data = units.buffers()[2]
+    return np.diff(off), data.slice(int(off[0]), int(off[-1] - off[0])).to_pybytes() if data is not None else b""
 
 
-def _unpacked(raw: bytes) -> list[str]:
+def _packed(units: pa.StringArray) -> bytes:
+    sizes, raw = _bytes_of(units)
+    return zstandard.compress(np.uint32(len(units)).tobytes() + ex.planes(sizes.astype(np.uint32)) + raw, 1)
+
+
+def _unpacked(raw: bytes) -> pa.StringArray:
     raw = zstandard.decompress(raw)
     n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    ends = np.cumsum(ex.unplanes(raw[4:4 + 4 * n], np.uint32)).tolist()
-    text = raw[4 + 4 * n:]
-    return [text[a:b].decode() for a, b in zip([0, *ends[:-1]], ends)]
+    off = np.concatenate(([0], np.cumsum(ex.unplanes(raw[4:4 + 4 * n], np.uint32)))).astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(off.tobytes()), pa.py_buffer(raw[4 + 4 * n:]))
+
+
+def distinct_sorted(units: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The distinct units in order, and which of them each unit is."""
+    coded = units.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), rank[coded.indices.to_numpy()]
+
+
+def units_of_all(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """Units as by ``units_of`` of many texts: the distinct ones in order, which of them each unit of the texts is,
+    one text after another, and where each text's begin (and the end)."""
+    plain = pc.replace_substring(texts, MARK, " ") if pc.any(pc.match_substring(texts, MARK)).as_py() else texts
+    parts = pc.split_pattern(plain, " ")
+    off = parts.offsets.to_numpy().astype(np.int64)
+    flat = parts.values.slice(off[0], off[-1] - off[0])
+    off = off - off[0]
+    blank = np.concatenate(([0], np.cumsum(pc.equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False))))
+    odd = np.flatnonzero(blank[off[1:]] > blank[off[:-1]]).tolist()      # empty, or with blanks in a row or at an end
+    if odd:
+        keep = np.ones(len(flat), bool)
+        count, more = np.diff(off), []
+        for i in odd:
+            keep[off[i]:off[i + 1]] = False
+            more.append(units_of(texts[i].as_py()))
+            count[i] = len(more[-1])
+        # the others' units, then those of the odd ones; ``place`` puts them in the order of the texts
+        flat = pa.concat_arrays([flat.filter(pa.array(keep)), pa.array([u for own in more for u in own], pa.string())])
+        is_odd = np.zeros(len(count), bool)
+        is_odd[odd] = True
+        place = np.argsort(np.repeat(is_odd, count), kind="stable")
+        off = np.concatenate(([0], np.cumsum(count)))
+    units, which = distinct_sorted(flat)
+    if odd:
+        which, moved = np.empty_like(which), which
+        which[place] = moved
+    return units, which, off
 
 
 def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -336,32 +381,44 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
 
     rows = ex.packed(plain.rows)
 
-    def texts(table: pa.Table) -> tuple[list, list[list[str]]]:
+    def texts(table: pa.Table) -> tuple[pa.ChunkedArray, pa.StringArray]:
         own = ex.unpacked(table)
-        return own.column("_id").to_pylist(), [units_of(t) for t in own.column("_text").to_pylist()]
+        return own.column("_id"), pa.concat_arrays(own.column("_text").chunks)
 
-    def by_bucket(units: list[list[str]]) -> dict[int, list[str]]:
-        out: dict[int, list[str]] = {}
-        for u in sorted({u for own in units for u in own}):
-            out.setdefault(xxhash.xxh3_64_intdigest(u) % buckets, []).append(u)
-        return out
+    def by_bucket(units: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The units' order by bucket, the buckets that have some, and where each one's begin (and the end)."""
+        b = np.fromiter((xxhash.xxh3_64_intdigest(u) % buckets for u in units.to_pylist()), np.int64, len(units))
+        order = np.argsort(b, kind="stable")
+        own, first = np.unique(b[order], return_index=True)
+        return order, own, np.append(first, len(units))
 
     def send(table: pa.Table) -> pa.Table:
         g = ex.group_id(table)
-        parts = by_bucket(texts(table)[1])
-        return ex.table(UNITS, {"_g": [g] * len(parts), "b": list(parts), "units": [_packed(u) for u in parts.values()]})
+        units = units_of_all(texts(table)[1])[0]
+        order, own, off = by_bucket(units)
+        units = units.take(pa.array(order))
+        parts = [_packed(units.slice(lo, hi - lo)) for lo, hi in zip(off[:-1].tolist(), off[1:].tolist())]
+        return ex.table(UNITS, {"_g": [g] * len(parts), "b": own.tolist(), "units": parts})
 
     scores = np.array(model.scores)
     of_size = np.array([len(x) for x in of], np.int64)
     of_begin, of_flat = np.concatenate(([0], np.cumsum(of_size)[:-1])), np.frombuffer(b"".join(of), np.uint8)
 
-    def short_units(raws: list[bytes]) -> list[str]:
-        return sorted({u for raw in raws for u in _unpacked(raw) if len(u) < limit})
+    def short_units(raws: list[bytes]) -> tuple[pa.StringArray, np.ndarray, np.ndarray, pa.StringArray]:
+        """A bucket's distinct short units in order; of all that were sent, which of them each is (-1: a long one), where
+        each sender's begin (and the end), and the units themselves."""
+        sent = [_unpacked(raw) for raw in raws]
+        every = pa.concat_arrays(sent)
+        units, which = distinct_sorted(every)
+        short = pc.less(pc.utf8_length(units), limit).to_numpy(zero_copy_only=False)
+        number = np.where(short, np.cumsum(short) - 1, -1)
+        return units.filter(pa.array(short)), number[which], np.concatenate(([0], np.cumsum([len(x) for x in sent]))), every
 
     def distinct(table: pa.Table) -> pa.Table:
         b = table.column("b")[0].as_py()
-        units = short_units(table.column("units").to_pylist())
-        return ex.table(PLACED, {"b": [b] * len(units), "u": list(range(len(units))), "unit": [MARK + u for u in units]})
+        units = short_units(table.column("units").to_pylist())[0]
+        marked = pc.binary_join_element_wise(MARK, units, "")
+        return pa.table([pa.array(np.full(len(units), b, np.int32)), pa.array(np.arange(len(units), dtype=np.int32)), marked], names=["b", "u", "unit"])
 
     def coded_row(b: int, sizes: np.ndarray, ids: np.ndarray) -> dict:
         return {"b": [b], "sizes": [ex.dense(sizes.astype(np.uint32))], "ids": [ex.dense(ids.astype(np.uint32))]}
@@ -400,59 +457,61 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
 
     def reply(asked: pa.Table, coded: pa.Table) -> pa.Table:
         # the units of this bucket in the order of their numbers
-        place = {u: i for i, u in enumerate(short_units(asked.column("units").to_pylist()))}
+        _, place, off, every = short_units(asked.column("units").to_pylist())
         size, ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
         for own, raw in zip(coded.column("sizes").to_pylist(), coded.column("ids").to_pylist()):
             size, ids = ex.undense(own, np.uint32).astype(np.int64), ex.undense(raw, np.uint32)
         begin = np.concatenate(([0], np.cumsum(size)))
-        index: dict[str, int] = {}
-        long: dict[str, np.ndarray] = {}
-        out: dict[str, list] = {"_g": [], "b": [], "sizes": [], "ids": []}
-        for g, b, raw in zip(*(asked.column(c).to_pylist() for c in ("_g", "b", "units"))):
-            units = _unpacked(raw)
-            for u in units:
-                if len(u) >= limit and u not in long:
-                    index = index or {p: i for i, (p, ok) in enumerate(zip(model.pieces, model.normal)) if ok}
-                    long[u] = np.array(merge_long(MARK + u, model, index), np.uint32)
-            if long:
-                parts = [long[u] if len(u) >= limit else ids[begin[place[u]]:begin[place[u] + 1]] for u in units]
-                sizes, flat = np.array([len(p) for p in parts], np.uint32), np.concatenate(parts)
-            else:
-                at = np.fromiter(map(place.__getitem__, units), np.int64, len(units))
-                sizes, flat = size[at].astype(np.uint32), _gather(ids, begin[at], size[at])
-            for name, value in (("_g", g), ("b", b), ("sizes", ex.dense(sizes)), ("ids", ex.dense(flat))):
-                out[name].append(value)
+        # long units' ids come after those of the others
+        long: dict[str, int] = {}
+        more: list[np.ndarray] = []
+        if (place < 0).any():
+            index = {p: i for i, (p, ok) in enumerate(zip(model.pieces, model.normal)) if ok}
+            for i in np.flatnonzero(place < 0).tolist():
+                u = every[i].as_py()
+                if u not in long:
+                    long[u] = len(size) + len(more)
+                    more.append(np.array(merge_long(MARK + u, model, index), np.uint32))
+                place[i] = long[u]
+            ids = np.concatenate([ids, *more])
+            size = np.concatenate([size, [len(x) for x in more]])
+            begin = np.concatenate(([0], np.cumsum(size)))
+        out: dict[str, list] = {"_g": asked.column("_g").to_pylist(), "b": asked.column("b").to_pylist(), "sizes": [], "ids": []}
+        for lo, hi in zip(off[:-1].tolist(), off[1:].tolist()):
+            at = place[lo:hi]
+            out["sizes"].append(ex.dense(size[at].astype(np.uint32)))
+            out["ids"].append(ex.dense(_gather(ids, begin[at], size[at])))
         return ex.table(REPLY, out)
 
     out_schema = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")
 
     def assemble(table: pa.Table, side: pa.Table) -> pa.Table:
-        ids, units = texts(table) if table.num_rows else ([], [])
-        place: dict[str, int] = {}
-        size, held = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        parts = by_bucket(units)
-        for b, sizes, raw in zip(*(side.column(c).to_pylist() for c in ("b", "sizes", "ids"))):
-            place.update(zip(parts[b], range(len(place), len(place) + len(parts[b]))))
-            size.append(ex.undense(sizes, np.uint32).astype(np.int64))
-            held.append(ex.undense(raw, np.uint32))
-        size, held = np.concatenate(size), np.concatenate(held)
+        ids, own = texts(table) if table.num_rows else (pa.array([], pa.int64()), pa.array([], pa.string()))
+        units, which, off = units_of_all(own)
+        order = by_bucket(units)[0]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        units, which = units.take(pa.array(order)), place[which]
+        # replies by bucket hold the units in just this order
+        replies = sorted(zip(*(side.column(c).to_pylist() for c in ("b", "sizes", "ids"))))
+        size = np.concatenate([np.zeros(0, np.int64), *(ex.undense(s, np.uint32).astype(np.int64) for _, s, _ in replies)])
+        held = np.concatenate([np.zeros(0, np.uint32), *(ex.undense(i, np.uint32) for _, _, i in replies)])
         begin = np.concatenate(([0], np.cumsum(size)))
         # texts come back if all units do; else each is decoded whole
-        text_size = np.fromiter((len(u.encode()) + len(MARK_BYTES) for u in place), np.int64, len(place))
-        coded_size = np.diff(np.concatenate(([0], np.cumsum(of_size[held])))[begin]) if len(place) else text_size
-        plain = bool((coded_size == text_size).all()) and _gather(of_flat, of_begin[held], of_size[held]).tobytes() == "".join([MARK + u for u in place]).encode()
-        n, crc, same, kept = [], [], [], []
-        for own in units:
-            at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
-            coded = _gather(held, begin[at], size[at])
-            n.append(len(coded))
-            crc.append(zlib.crc32(coded.astype("<u4").tobytes()))
-            same.append(plain or decode(coded.tolist(), of) == MARK.join(own).replace(MARK, " "))
-            kept.append(coded.astype(np.int32).tolist() if with_ids else None)
-        columns = [pa.array([None if i == int(ex.NO_ID) else i for i in ids], pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+        text_size, text_bytes = _bytes_of(pc.binary_join_element_wise(MARK, units, ""))
+        coded_size = np.diff(np.concatenate(([0], np.cumsum(of_size[held])))[begin])
+        plain = bool((coded_size == text_size).all()) and _gather(of_flat, of_begin[held], of_size[held]).tobytes() == text_bytes
+        coded = _gather(held, begin[which], size[which]).astype("<u4")
+        ends = np.concatenate(([0], np.cumsum(size[which])))[off]
+        bounds = list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+        crc = [zlib.crc32(coded[a:z]) for a, z in bounds]
+        same = [True] * len(own) if plain else [decode(coded[a:z].tolist(), of) == t.replace(MARK, " ") for (a, z), t in zip(bounds, own.to_pylist())]
+        columns = [pa.array([None if i == int(ex.NO_ID) else i for i in ids.to_pylist()], pa.int64()), pa.array(np.diff(ends), pa.int64()),
+                   pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
         names = ["doc_id", "n_pieces", "ids_crc32", "round_trip"]
         if with_ids:
-            columns, names = [*columns, pa.array(kept, pa.list_(pa.int32()))], [*names, "ids"]
+            kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(coded.astype(np.int32)))
+            columns, names = [*columns, kept], [*names, "ids"]
         return pa.table(columns, names=names)
 
     asked = rows.groupBy("_g").applyInArrow(send, UNITS)

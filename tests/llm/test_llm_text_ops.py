@@ -76,6 +76,19 @@ def test_units_without_their_mark():
         assert lattice.units_of(t) == [u[1:] for u in lattice.UNIT.findall(lattice.normalise(t))]
 
 
+def test_units_of_many_texts_are_those_of_each():
+    import pyarrow as pa
+
+    odd = [t or "" for _, t in texts()] + ["a  b", " a", "a ", "  ", " ", "▁x ▁y", "\n a\n", "a▁▁b", "plain words", ""]
+    for own in (odd, odd[-2:-1], [""], [], ["a b"] * 3):
+        units, which, off = lattice.units_of_all(pa.array(own, pa.string()))
+        raw = units.to_pylist()
+        assert raw == sorted({u for t in own for u in lattice.units_of(t)})
+        assert [[raw[i] for i in which[a:b]] for a, b in zip(off[:-1], off[1:])] == [lattice.units_of(t) for t in own]
+        assert lattice._unpacked(lattice._packed(units)).equals(units)
+        assert lattice._unpacked(lattice._packed(units.slice(1))).to_pylist() == raw[1:]
+
+
 def test_pieces_equal_the_library(spark):
     import sentencepiece
 
