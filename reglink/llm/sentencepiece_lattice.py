@@ -379,7 +379,7 @@ def encode_documents(docs: DataFrame, model: Model, pieces: DataFrame, with_ids:
     buckets = max(1, plain.n * (group_bytes // 64) // bucket_units)
     limit, of, longest = MAX_UNIT if model.bpe else 1 << 30, model.bytes_of(), model.longest
 
-    rows = ex.packed(plain.rows)
+    rows = ex.packed(plain.rows, level=6)
 
     def texts(table: pa.Table) -> tuple[pa.ChunkedArray, pa.StringArray]:
         own = ex.unpacked(table)
