@@ -28,21 +28,21 @@ SCALE = 256
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, vec array<long>): floor(scale * x) of each component, x as double.
+    """(vec_id, vec array<long>, copies): floor(scale * x) of each component, x as double.
 
     Rows without id, null vectors and vectors with a null or non-finite component take
-    no part; equal rows count once."""
+    no part; ``copies`` rows have the same id and the same integers."""
     x = F.col(vector).cast("array<double>")
     usable = F.col(id_col).isNotNull() & F.col(vector).isNotNull() & F.forall(
         x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     rows = table.where(usable).select(
         F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("long")).alias("vec"))
-    return rows.dropDuplicates()
+    return rows.groupBy("vec_id", "vec").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _blocks(rows: DataFrame, size: int, key: str) -> tuple[DataFrame, int]:
-    """Rows packed in blocks of about ``size``: block number, ids and a matrix (shorter vectors
-    end in zeros)."""
+    """Rows packed in blocks of about ``size``: block number, row numbers, ids, copies and a matrix (shorter
+    vectors end in zeros)."""
     n = max(1, -(-rows.count() // size))
 
     def packed(table: pa.Table) -> pa.Table:
@@ -55,17 +55,18 @@ def _blocks(rows: DataFrame, size: int, key: str) -> tuple[DataFrame, int]:
         row = np.repeat(np.arange(len(lens)), lens)
         col = np.arange(len(row)) - np.repeat(np.cumsum(lens) - lens, lens)
         m[row, col] = vec.flatten().to_numpy(zero_copy_only=False)
-        ids = table.column("vec_id").to_numpy().astype(np.int64)
+        ids = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("row", "vec_id", "copies")])
         return pa.table({key: pa.array([table.column(key)[0].as_py()], pa.int32()), f"{key}_ids": [ids.tobytes()],
                          f"{key}_mat": [m.tobytes()]})
 
-    dealt = rows.withColumn(key, F.pmod(F.xxhash64("vec_id", "vec"), F.lit(n)).cast("int"))
+    dealt = rows.withColumn(key, F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
     return dealt.groupBy(key).applyInArrow(packed, f"{key} int, {key}_ids binary, {key}_mat binary"), n
 
 
-def _matrix(ids: bytes, mat: bytes) -> tuple[np.ndarray, np.ndarray]:
-    i = np.frombuffer(ids, np.int64)
-    return i, np.frombuffer(mat, np.int64).reshape(len(i), -1)
+def _matrix(ids: bytes, mat: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, ids, copies and the matrix of a block."""
+    row, own, copies = np.frombuffer(ids, np.int64).reshape(3, -1)
+    return row, own, copies, np.frombuffer(mat, np.int64).reshape(len(row), -1)
 
 
 def _local_scores(q: np.ndarray, v: np.ndarray, lists: int) -> list[np.ndarray]:
@@ -80,9 +81,12 @@ def _local_scores(q: np.ndarray, v: np.ndarray, lists: int) -> list[np.ndarray]:
 
 def search(table: DataFrame, is_query: Column, k: int = 5, lists: int = 4, id_col: str = "vec_id", vector: str = "embedding",
            scale: int = SCALE, query_block: int = 1024, vector_block: int = 8192) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` best vectors of each query row among all
-    other ids, all if fewer, ties to the smaller id.  An empty table gives no rows."""
-    vectors = stage(integer_vectors(table, id_col, vector, scale), "vectors")
+    """(query_id, rank, vec_id, score): the ``k`` best rows for each query row among all
+    other rows, all if fewer, ties to the smaller id.  A copy of the query's row is another row, and so is
+    one of the same id with another vector; a query row that is there twice is answered twice.  An empty table gives no rows.
+
+    Rows are worked on as distinct (id, vector) with their number of copies, and copies are told apart in the answer only."""
+    vectors = stage(integer_vectors(table, id_col, vector, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = stage(vectors.where(is_query), "queries")
     held, n_held = _blocks(vectors, vector_block, "vb")
     asked, n_asked = _blocks(queries, query_block, "qb")
@@ -92,47 +96,49 @@ def search(table: DataFrame, is_query: Column, k: int = 5, lists: int = 4, id_co
         each = held.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
         return each.repartition(max(n_held * n_asked, 1), "vb", "qb").join(query_rows, "qb")
 
+    found = "query long, row long, vec_id long, copies long, score long"
+
+    def entries(q_row, v_row, v_ids, v_copies, row, col, score):
+        """The pairs of a tile as rows; the query itself is one copy less."""
+        copies = v_copies[col] - (q_row[row] == v_row[col])
+        ok = copies > 0
+        row, col = row[ok], col[ok]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (q_row[row], v_row[col], v_ids[col], copies[ok], score[ok].astype(np.int64))],
+                                          names=["query", "row", "vec_id", "copies", "score"])
+
     def gather(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                q_ids, q = _matrix(r["qb_ids"], r["qb_mat"])
-                v_ids, v = _matrix(r["vb_ids"], r["vb_mat"])
+                q_row, _, _, q = _matrix(r["qb_ids"], r["qb_mat"])
+                v_row, v_ids, v_copies, v = _matrix(r["vb_ids"], r["vb_mat"])
                 local = _local_scores(q, v, lists)
-                whole = sum(local)
-                own = q_ids[:, None] == v_ids[None, :]
-                take = min(k + 1, len(v_ids))           # one may be the query itself
-                out = []
-                for m in local:
-                    top = np.argpartition(-m, take - 1, axis=1)[:, :take]
-                    row = np.repeat(np.arange(len(q_ids)), take)
-                    col = top.ravel()
-                    ok = ~own[row, col]
-                    out.append((row[ok], col[ok]))
-                row, col = (np.concatenate(x) for x in zip(*out))
-                flat = np.unique(row * len(v_ids) + col)
-                row, col = flat // len(v_ids), flat % len(v_ids)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[row]), pa.array(v_ids[col]), pa.array(whole[row, col].astype(np.int64))], names=["query_id", "vec_id", "score"])
-
-    first = tiles(asked).mapInArrow(gather, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    bound = (first.distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
-             .groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("tau")))
+                take = min(k + 1, len(v_row))           # one may be the query itself
+                row = np.repeat(np.arange(len(q_row)), take)
+                tops = [np.argpartition(-m, take - 1, axis=1)[:, :take].ravel() for m in local]
+                flat = np.unique(np.concatenate([row * len(v_row) + col for col in tops]))
+                row, col = flat // len(v_row), flat % len(v_row)
+                # whole scores of the gathered vectors only
+                yield entries(q_row, v_row, v_ids, v_copies, row, col, sum(m[row, col].astype(np.int64) for m in local))
+
+    first = tiles(asked).mapInArrow(gather, found)
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "row")
+    bound = (first.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
+             .groupBy("query").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("tau")))
     bounds = stage(bound, "bounds")
 
     # each query block takes its queries' bounds along; a query with fewer than k others has none
-    spread = (queries.select(F.col("vec_id").alias("query_id"), F.pmod(F.xxhash64("vec_id", "vec"), F.lit(n_asked)).cast("int").alias("qb"))
-              .join(bounds, "query_id").where(F.col("tau").isNotNull())
-              .groupBy("qb").agg(F.collect_list(F.struct("query_id", "tau")).alias("taus")))
+    spread = (queries.select(F.col("row").alias("query"), F.pmod(F.xxhash64("row"), F.lit(n_asked)).cast("int").alias("qb"))
+              .join(bounds, "query").where(F.col("tau").isNotNull())
+              .groupBy("qb").agg(F.collect_list(F.struct("query", "tau")).alias("taus")))
     armed = asked.join(spread, "qb", "left")
 
     def collect(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                q_ids, q = _matrix(r["qb_ids"], r["qb_mat"])
-                v_ids, v = _matrix(r["vb_ids"], r["vb_mat"])
-                tau = {t["query_id"]: t["tau"] for t in r["taus"] or []}
-                least = np.array([tau.get(i, -(2 ** 62)) for i in q_ids.tolist()], np.int64)
+                q_row, _, _, q = _matrix(r["qb_ids"], r["qb_mat"])
+                v_row, v_ids, v_copies, v = _matrix(r["vb_ids"], r["vb_mat"])
+                tau = {t["query"]: t["tau"] for t in r["taus"] or []}
+                least = np.array([tau.get(i, -(2 ** 62)) for i in q_row.tolist()], np.int64)
                 cut = -((-least) // lists)              # ceil
                 local = _local_scores(q, v, lists)
                 seen = np.zeros(local[0].shape, bool)
@@ -142,17 +148,21 @@ def search(table: DataFrame, is_query: Column, k: int = 5, lists: int = 4, id_co
                     seen |= reach
                     bound += np.where(reach, m, cut[:, None] - 1.0)
                 row, col = np.nonzero(seen & (bound >= least[:, None]))
-                score = sum(m[row, col] for m in local).astype(np.int64)        # the lists not seen yet
-                ok = (score >= least[row]) & (q_ids[row] != v_ids[col])
+                score = sum(m[row, col].astype(np.int64) for m in local)        # the lists not seen yet
+                ok = (score >= least[row]) & ((q_row[row] != v_row[col]) | (v_copies[col] > 1))
                 row, col, score = row[ok], col[ok], score[ok]
                 order = np.lexsort((v_ids[col], -score, row))
                 row, col, score = row[order], col[order], score[order]
                 head = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, bool)
                 place = np.arange(len(row)) - np.maximum.accumulate(np.where(head, np.arange(len(row)), 0))
                 own = place < k                         # no other of this tile can be among the k best
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[row[own]]), pa.array(v_ids[col[own]]), pa.array(score[own])],
-                                                 names=["query_id", "vec_id", "score"])
-
-    sent = tiles(armed).mapInArrow(collect, "query_id long, vec_id long, score long").distinct()
-    ranked = sent.withColumn("rank", F.row_number().over(best).cast("int"))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                yield entries(q_row, v_row, v_ids, v_copies, row[own], col[own], score[own])
+
+    sent = tiles(armed).mapInArrow(collect, found)
+    top = sent.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
+    each = top.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k).cast("long")).cast("int"))))
+    places = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "row", "copy")
+    ranked = each.withColumn("rank", F.row_number().over(places).cast("int")).where(F.col("rank") <= k)
+    names = queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("copies").alias("_times"))
+    answers = ranked.select("query", "rank", "vec_id", "score").join(names, "query")
+    return answers.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select("query_id", "rank", "vec_id", "score")

@@ -229,14 +229,12 @@ def _vectors(spark):
 
 
 def _brute_top(rows, k=5, each=50):
-    seen = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            seen[(i, tuple(v))] = [math.floor(256 * x) for x in v]
+    """Row by row: each query row against every other row."""
+    held = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for (qi, _), q in seen.items():
+    for at, (qi, q) in enumerate(held):
         if qi % each == 0:
-            s = sorted((-sum(a * b for a, b in zip(q, v)), i) for (i, _), v in seen.items() if i != qi)[:k]
+            s = sorted((-sum(a * b for a, b in zip(q, v)), i) for n, (i, v) in enumerate(held) if n != at)[:k]
             out += [(qi, r, i, -x) for r, (x, i) in enumerate(s, start=1)]
     return Counter(out)
 
@@ -248,6 +246,17 @@ def test_topk_equals_brute_force(spark, lists, qb, vb):
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == _brute_top(rows)
 
 
+@pytest.mark.parametrize("lists, qb, vb", [(4, 1024, 8192), (2, 1, 2)])
+def test_topk_counts_every_copy_of_a_row(spark, lists, qb, vb):
+    """Copies of a row, of a query's own too, are rows of their own; so are rows of one id with other vectors."""
+    big, small = [4.0, -3.0, 2.0], [0.5, 0.5, 0.5]
+    for rows in ([(0, big)] * 3 + [(50, small)] * 2 + [(50, big)] + [(7, big)] * 4 + [(8, small), (9, [-1.0, 0.0, 0.0])],
+                 [(50, small)] * 9, [(50, small)], [(50, small), (50, big)], [(50, big), (1, small), (1, small)]):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("copies", F.lit("x")).withColumn("row", F.lit(1))
+        got = topk.search(df, F.col("vec_id") % 50 == 0, lists=lists, query_block=qb, vector_block=vb)
+        assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == _brute_top(rows)
+
+
 def test_topk_few_and_none(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, -3.0]), (2, [0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
