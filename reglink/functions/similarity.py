@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,27 +83,70 @@ def canonical_tokens_sql(x: str) -> str:
 def _make_lcs_udf():
     # Built in a factory so cloudpickle ships the function by value: executors
     # need pandas only, not this package on their path.
+    WORDS, CELLS = 4, 1 << 16       # longest shorter text in 64-bit words, and characters at once
+
+    def one(x: str, y: str) -> int:
+        """One pair of long texts: Python integers hold any number of bits."""
+        masks: dict[str, int] = {}
+        for i, ch in enumerate(x):
+            masks[ch] = masks.get(ch, 0) | (1 << i)
+        full = (1 << len(x)) - 1
+        v = full
+        for ch in y:
+            u = v & masks.get(ch, 0)
+            v = ((v + u) | (v - u)) & full
+        return len(x) - v.bit_count()
+
+    def codes(texts: list[str], width: int, fill: int) -> np.ndarray:
+        """Code points, one text a row, filled up with ``fill``."""
+        out = np.full((len(texts), width), fill, np.uint32)
+        size = np.array([len(t) for t in texts])
+        out[np.arange(width) < size[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return out
+
+    def many(xs: list[str], ys: list[str], words: int) -> np.ndarray:
+        """Pairs as rows, the second texts from long to short: each step takes one character of all that have it."""
+        a = codes(xs, 64 * words, 0xFFFFFFFF)
+        b = codes(ys, len(ys[0]), 0xFFFFFFFE).T.copy()
+        left = -np.array([len(y) for y in ys])
+        v = np.full((words, len(xs)), 0xFFFFFFFFFFFFFFFF, np.uint64)
+        for j in range(len(b)):
+            n = int(np.searchsorted(left, -j, "left"))               # rows with more than j characters
+            same = np.packbits(a[:n] == b[j, :n, None], axis=1, bitorder="little").view("<u8")
+            carry = np.zeros(n, bool)
+            for w in range(words):
+                old = v[w, :n]
+                u = old & same[:, w]
+                s = old + u
+                t = s + carry
+                carry = (s < old) | (t < s)
+                v[w, :n] = t | (old - u)
+        return 64 * words * np.ones(len(xs), np.int64) - np.bitwise_count(v).sum(axis=0)
+
     def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
-        """Length of the longest common subsequence (bit-parallel, Hyyro 2004).
+        """Length of the longest common subsequence (bit-parallel, Hyyro 2004), for a batch of pairs at once.
 
-        ``V`` starts all ones over |a| bits; per char c of b:
+        ``V`` starts all ones over the bits of the shorter text; per char c of the other:
         ``U = V & M[c]; V = (V + U) | (V - U)``; LCS = number of zero bits in V.
-        Python integers remove the 64-char word limit.
         """
-        out = []
-        for x, y in zip(a, b):
-            if x is None or y is None or not x or not y:
-                out.append(0)
-                continue
-            masks: dict[str, int] = {}
-            for i, ch in enumerate(x):
-                masks[ch] = masks.get(ch, 0) | (1 << i)
-            full = (1 << len(x)) - 1
-            v = full
-            for ch in y:
-                u = v & masks.get(ch, 0)
-                v = ((v + u) | (v - u)) & full
-            out.append(len(x) - bin(v).count("1"))
+        out = np.zeros(len(a), np.int32)
+        pairs = []
+        for i, (x, y) in enumerate(zip(a, b)):
+            if x and y:
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                words = -(-len(x) // 64)
+                if words > WORDS:
+                    out[i] = one(x, y)
+                else:
+                    pairs.append((words, -len(y), i, x, y))
+        pairs.sort(key=lambda p: p[:3])
+        at = 0
+        while at < len(pairs):
+            words = pairs[at][0]
+            step = max(1, CELLS // max(64 * words, -pairs[at][1]))
+            own = [p for p in pairs[at:at + step] if p[0] == words]
+            out[[p[2] for p in own]] = many([p[3] for p in own], [p[4] for p in own], words)
+            at += len(own)
         return pd.Series(out, dtype="int32")
 
     return F.pandas_udf(lcs_length, T.IntegerType())

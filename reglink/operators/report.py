@@ -94,8 +94,43 @@ def peek(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+SAMPLE = 4096           # keys drawn to find where a slice lies
+BAND_ROWS = 1 << 20     # a longer way into the band is placed by position
+
+
 def slice_rows(df: DataFrame, order: list[str], offset: int, n: int) -> DataFrame:
-    """L3: ``skiprows``/``nrows``: rows ``offset + 1`` to ``offset + n`` in a total order, by
-    position (no task sorts or skips all rows before the slice)."""
-    placed = assign_positions(df, order[0], tiebreak=order[1:])
-    return placed.where(F.col("position").between(offset + 1, offset + n)).drop("position")
+    """L3: ``skiprows``/``nrows``: rows ``offset + 1`` to ``offset + n`` in a total order (nulls first), by rank selection.
+
+    A sample of the keys bounds the band that should hold the slice; one count of the rows below and inside makes that
+    exact (a band that misses the slice grows to that side).  Only the band is read again and ordered, its
+    first rows kept per task.  In a band that ties make long, rows are placed by position."""
+    if n <= 0:
+        return df.limit(0)
+    key = F.struct(*order)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    total = df.count()
+    drawn = df.select(*order).sample(min(1.0, SAMPLE / max(total, 1)), seed=1).orderBy(*order).collect() if total > SAMPLE else []
+
+    def bound(i: int):
+        """Key ``i`` of the sample (none outside it)."""
+        return F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(order, drawn[i])]) if 0 <= i < len(drawn) else None
+
+    def place(rank: int) -> int:
+        return rank * len(drawn) // max(total, 1)
+
+    slack = 4 * int(len(drawn) ** 0.5) + 1
+    lo, hi = place(offset) - slack, place(offset + n) + slack
+    while True:
+        low, high = bound(lo), bound(hi)
+        below = key < low if low is not None else F.lit(False)
+        above = key > high if high is not None else F.lit(False)
+        at = df.agg(F.count_if(below).alias("below"), F.count_if(above).alias("above")).first() if low is not None or high is not None else (0, 0)
+        skip, end = offset - at[0], offset + n
+        if skip >= 0 and (high is None or end <= total - at[1]):
+            break
+        lo, hi = (lo - 4 * slack if skip < 0 else lo), (hi + 4 * slack if high is not None and end > total - at[1] else hi)
+    band = df.where(~below & ~above)
+    if skip + n <= BAND_ROWS:
+        return band.orderBy(*order).offset(skip).limit(n)
+    placed = assign_positions(band, order[0], tiebreak=order[1:])
+    return placed.where(F.col("position").between(skip + 1, skip + n)).drop("position")

@@ -425,6 +425,26 @@ def q_pipeline_evidence(spark, sf_dir):
     return pipeline.read_all_evidence(spark, path)
 
 
+@register_query("evidence_failed_rerun", O.with_fixtures(O.PIPELINE_EVIDENCE, O.EVIDENCE_CTES))
+def q_evidence_failed_rerun(spark, sf_dir):
+    """K5-K7: a second run of the same date finds other block and pin evidence and fails while it writes the person
+    evidence: what holds is the first run's, of all three kinds."""
+    pend = fx.pending(spark, sf_dir)
+    ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
+    ev = pipeline.run(pend, fx.register(spark, sf_dir), fx.blocks(spark, sf_dir), fx.pins(spark, sf_dir))
+    path = scratch_path(spark, "failed-rerun")
+    pipeline.write_evidence(ev, path, "2024-01-01", chunks=ch)
+    first = pipeline.written_evidence(spark, path, "2024-01-01")
+    broken = first.person.withColumn("rc_no", F.when(F.length("rc_no") >= 0, F.raise_error(F.lit("fails half-way")).cast("string")))
+    again = pipeline.Evidence(block=first.block.where("death_main_id % 2 = 0"), pin=first.pin.where("score > 90"), person=broken)
+    try:
+        pipeline.write_evidence(again, path, "2024-01-01")
+    except Exception as e:
+        if "fails half-way" not in str(e):
+            raise
+    return pipeline.read_all_evidence(spark, path)
+
+
 @register_query("incremental_evidence", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_incremental_evidence(spark, sf_dir):
     """Pending written as chunk files (whole chunks, many to a file),

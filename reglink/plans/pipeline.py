@@ -150,22 +150,22 @@ def run(pending: DataFrame, register: DataFrame | None, blocks: DataFrame | None
 
 
 def write_evidence(ev: Evidence, path: str, run_date: str, chunks: DataFrame | None = None) -> None:
-    """One write per evidence kind, with ``chunk_id`` as a column; a run date's folder is replaced."""
-    for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
-        if chunks is not None:
-            df = df.join(chunks.select("death_main_id", "chunk_id"), "death_main_id")
-        sinks.append_evidence(df, path, kind, run_date)
+    """One write per evidence kind, with ``chunk_id`` as a column; together they replace the run date's evidence."""
+    with sinks.EvidenceRun(ev.block.sparkSession, path, f"run-{run_date}") as run:
+        for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
+            if chunks is not None:
+                df = df.join(chunks.select("death_main_id", "chunk_id"), "death_main_id")
+            run.write(kind, df.withColumn("run_date", F.lit(run_date)))
 
 
 def read_evidence(spark, path: str, kind: str) -> DataFrame:
-    return spark.read.parquet(f"{path.rstrip('/')}/{kind}").drop("owner")
+    """All evidence of a kind that holds now."""
+    return spark.read.parquet(*sinks.live_runs(spark, path, kind).values())
 
 
 def written_evidence(spark, path: str, run_date: str) -> Evidence:
     """The evidence that a batch run of ``run_date`` wrote."""
-    def kind(k: str) -> DataFrame:
-        return spark.read.parquet(f"{path.rstrip('/')}/{k}/owner=run-{run_date}")
-    return Evidence(block=kind("block"), pin=kind("pin"), person=kind("person"))
+    return Evidence(*(spark.read.parquet(sinks.live_runs(spark, path, kind)[f"run-{run_date}"]) for kind in sinks.EVIDENCE_KINDS))
 
 
 EVIDENCE_REF = {"block": ("block_id", "score"), "pin": ("matched_pin", "score"), "person": ("rc_no", None)}

@@ -31,6 +31,24 @@ def entries(spark: SparkSession, folder: str) -> list[str]:
     return [r.value for r in sorted(rows, key=lambda r: r.n)]
 
 
+def latest(spark: SparkSession, folder: str) -> tuple[int, str]:
+    """The last entry and its number (0 and an empty line before the first one)."""
+    if not exists(spark, folder):
+        return 0, ""
+    p = _path(spark, folder)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    numbers = [int(name) for name in (f.getPath().getName() for f in found) if name.isdigit()]
+    if not numbers:
+        return 0, ""
+    return max(numbers), spark.read.text(f"{folder.rstrip('/')}/{max(numbers):012d}").first().value
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    p = _path(spark, path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def add(spark: SparkSession, folder: str, number: int, line: str) -> bool:
     """Create entry ``number`` (from 1); False if it is there already."""
     fs_of = spark._jvm.org.apache.hadoop.fs

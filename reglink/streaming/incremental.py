@@ -3,8 +3,8 @@
 The reference walks a folder of chunk files, matches each against the
 registers and deletes it.  Here the folder is a Structured Streaming file
 source; each micro-batch is matched against the static, already cleaned
-register (a stream-static join inside ``foreachBatch``) and written to a
-folder of its own, named by the stream (the query id that the checkpoint
+register (a stream-static join inside ``foreachBatch``) and its evidence
+published in one step, owned by the stream (the query id that the checkpoint
 holds) and the batch: a replayed batch replaces its own output whatever its
 run date, and a stream with a fresh checkpoint touches no earlier output.
 Progress lives in the checkpoint, not in deleted files.
@@ -22,6 +22,8 @@ from reglink.operators.person import RegisterSide
 from reglink.plans.pipeline import Evidence, Reference, prepare_reference, run, unmatched_report
 from reglink.sources import sinks
 
+FOLD = 64        # batches of a stream whose evidence becomes one folder
+
 
 def pending_stream(spark: SparkSession, folder: str, schema: T.StructType,
                    max_files_per_trigger: int = 1, fmt: str = "parquet",
@@ -50,11 +52,15 @@ def match_batch(batch: DataFrame, batch_id: int, ref: Reference, out_path: str,
     match counts (A4, per chunk where there is one, district and branch), both from the evidence as written, so no join runs twice."""
     spark, out = batch.sparkSession, out_path.rstrip("/")
     ev = run(batch, None, None, None, name_threshold, address_threshold, mode, blank_policy, reference=ref)
-    for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
-        sinks.append_evidence(df.withColumn("batch_id", F.lit(batch_id).cast("long")), out, kind, run_date, owner=owner)
-    if not reports:
-        return
-    kept = Evidence(*(spark.read.parquet(f"{out}/{kind}/owner={owner}") for kind in sinks.EVIDENCE_KINDS))
+    with sinks.EvidenceRun(spark, out, owner) as sink:
+        kept = Evidence(*(sink.write(kind, df.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("run_date", F.lit(run_date)))
+                          for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person))))
+        if reports:
+            _write_reports(batch, kept, out, run_date, owner)
+    sinks.fold_batches(spark, out, owner.rsplit("-", 1)[0], batch_id, FOLD)
+
+
+def _write_reports(batch: DataFrame, kept: Evidence, out: str, run_date: str, owner: str) -> None:
     sinks.write_owned(unmatched_report(batch, kept).withColumn("run_date", F.lit(run_date)), f"{out}/unmatched", owner)
     found, by = kept.person, ["district", "branch"]
     if "chunk_id" in batch.columns:

@@ -297,3 +297,71 @@ def test_no_shared_folder_off_local(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_failed_rerun_leaves_the_earlier_evidence(spark):
+    path = scratch_path(spark, "half-way")
+    rows = spark.createDataFrame([(i, "r") for i in range(100)], "death_main_id long, rc_no string")
+    with sinks.EvidenceRun(spark, path, "a") as run:
+        for kind in sinks.EVIDENCE_KINDS:
+            run.write(kind, rows)
+    with pytest.raises(Exception, match="half-way"):
+        with sinks.EvidenceRun(spark, path, "a") as run:
+            run.write("block", rows.limit(3))
+            run.write("person", rows.withColumn("rc_no", F.raise_error(F.lit("half-way")).cast("string")))
+    assert [pipeline.read_evidence(spark, path, k).count() for k in sinks.EVIDENCE_KINDS] == [100, 100, 100]
+    for n in (50, 20, 10):
+        sinks.append_evidence(rows.limit(n), path, "pin", "d", owner="a")
+    assert pipeline.read_evidence(spark, path, "pin").count() == 10
+    # the failed run's folders are gone; of those replaced, the last one is kept for its readers
+    held = {k: len(glob.glob(f"{path.replace('file:', '')}/{k}/run=*")) for k in sinks.EVIDENCE_KINDS}
+    assert held == {"block": 1, "pin": 2, "person": 1}
+
+
+def test_two_writers_commit_one_after_the_other(spark, monkeypatch):
+    """A commit that comes between another one's reading and its entry is kept."""
+    from reglink.sources import registry
+
+    path = scratch_path(spark, "two-writers")
+    rows = spark.createDataFrame([(1, "r")], "death_main_id long, rc_no string")
+    add, done = registry.add, []
+
+    def late(session, folder, number, line):
+        if not done:
+            done.append(1)
+            sinks.append_evidence(rows, path, "person", "d", owner="other")
+        return add(session, folder, number, line)
+
+    monkeypatch.setattr(registry, "add", late)
+    sinks.append_evidence(rows, path, "person", "d", owner="own")
+    assert set(sinks.live_runs(spark, path, "person")) == {"own", "other"}
+
+
+def test_batches_of_a_stream_are_folded(spark):
+    path = scratch_path(spark, "fold")
+    for i in range(11):
+        with sinks.EvidenceRun(spark, path, f"stream-q-{i:09d}") as run:
+            for kind in sinks.EVIDENCE_KINDS:
+                run.write(kind, spark.createDataFrame([(i, kind)], "death_main_id long, rc_no string"))
+        sinks.fold_batches(spark, path, "stream-q", i, 3)
+    for kind in sinks.EVIDENCE_KINDS:
+        assert _bag(pipeline.read_evidence(spark, path, kind), ["death_main_id", "rc_no"]) == {(i, kind): 1 for i in range(11)}
+        assert len(sinks.live_runs(spark, path, kind)) <= 5
+        assert len(glob.glob(f"{path.replace('file:', '')}/{kind}/run=*")) <= 9
+
+
+def test_slice_is_found_by_rank(spark, monkeypatch):
+    from reglink.operators import report
+
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "same").when(F.col("id") % 1000 == 1, None).otherwise(F.md5(F.col("id").cast("string"))).alias("k"),
+                                   F.when(F.col("id") % 7 > 0, F.col("id")).alias("i"), F.col("id").alias("j")).repartition(7)
+    rows = sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is not None, x if x is not None else 0) for x in r))
+    for sample, most in ((4096, 1 << 20), (200, 1 << 20), (4096, 10)):
+        monkeypatch.setattr(report, "SAMPLE", sample)
+        monkeypatch.setattr(report, "BAND_ROWS", most)
+        for offset, n in ((0, 5), (100, 100), (15000, 40), (29990, 100), (40000, 5), (29000, 0)):
+            got = report.slice_rows(df, ["k", "i", "j"], offset, n)
+            assert sorted(tuple(r) for r in got.select("j").collect()) == sorted((r[2],) for r in rows[offset:offset + n]), (sample, offset)
+    monkeypatch.undo()
+    plan = report.slice_rows(df, ["k", "i", "j"], 15000, 40)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and "ExistingRDD" not in plan
