@@ -14,6 +14,7 @@ from reglink import constants as C
 from reglink.functions import clean
 from reglink.operators import chunks, person, report, token_join
 from reglink.operators.chunks import assign_chunks
+from reglink.operators.register_index import RegisterIndex
 from reglink.plans import oracle as O
 from reglink.plans import pipeline
 from reglink.session import scratch_path
@@ -384,6 +385,17 @@ def q_person_evidence_bucketed(spark, sf_dir):
     return person.person_evidence(person.prepare_pending(fx.pending(spark, sf_dir)), ref.register, C.NAME_THRESHOLD)
 
 
+@register_query("register_index_refresh", O.with_fixtures(O.PERSON_EVIDENCE))
+def q_register_index_refresh(spark, sf_dir):
+    """A stored register index of an earlier state (one district not there yet, the fathers of another
+    one blank, one card twice), brought up to date with the whole register by its changed cards."""
+    rows = person.prepare_register(fx.register(spark, sf_dir))
+    earlier = rows.where("district <> 'Brand_12'").withColumn("r_father", F.when(F.col("district") == "Brand_13", "").otherwise(F.col("r_father")))
+    index = RegisterIndex(spark, scratch_path(spark, "register-index"), C.NAME_THRESHOLD)
+    index.refresh(earlier.unionByName(earlier.orderBy("rc_no", "district").limit(1)))
+    return person.person_evidence(person.prepare_pending(fx.pending(spark, sf_dir)), index.refresh(rows), C.NAME_THRESHOLD)
+
+
 @register_query("evidence_sink_roundtrip", O.with_fixtures(O.PERSON_EVIDENCE))
 def q_evidence_sink_roundtrip(spark, sf_dir):
     """K4-K7: person evidence written twice for the same run date (a retried

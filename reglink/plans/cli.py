@@ -13,12 +13,12 @@ per kind and run date; re-running a date replaces its folders.
 from __future__ import annotations
 
 import argparse
-import hashlib
 
 from pyspark.sql import functions as F
 
 from reglink import constants as C
 from reglink.operators import chunks, person
+from reglink.operators.register_index import RegisterIndex
 from reglink.plans import pipeline
 from reglink.session import get_session
 from reglink.sources import readers, registry, sinks
@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--address-threshold", type=int, default=C.ADDRESS_THRESHOLD)
     ap.add_argument("--register-index", default=None,
                     help="shared folder for the prepared register (bucketed tables): "
-                         "loaded when present, built and saved once otherwise")
+                         "brought up to date by the changed cards when present, built once otherwise")
     ap.add_argument("--buckets", type=int, default=None)
     ap.add_argument("--stream", action="store_true",
                     help="treat --pending as a folder of chunk files and consume it as a stream (Parquet with "
@@ -126,17 +126,9 @@ _exists = registry.exists
 
 
 def _register_index(spark, args, prepared_rows) -> person.RegisterSide:
-    """Reuse the register side saved by an earlier run when it was built from this register with
-    this threshold and metric; else build and save it.  Table names follow from the path."""
-    path = args.register_index.rstrip("/")
-    table = f"reglink_register_{hashlib.md5(path.encode()).hexdigest()[:12]}"
-    side = person.RegisterSide(prepared_rows, args.name_threshold, metric=args.metric)
-    if _exists(spark, f"{path}/_manifest"):
-        saved = person.RegisterSide.load_bucketed(spark, path, table, expect=side.fingerprint())
-        if saved is not None:
-            return saved
-    buckets = args.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return side.save_bucketed(table, path, buckets)
+    """The register side stored by earlier runs, brought up to date by the cards that changed since; built at the first
+    run, and anew for another threshold or metric."""
+    return RegisterIndex(spark, args.register_index, args.name_threshold, args.metric, args.buckets).refresh(prepared_rows)
 
 
 if __name__ == "__main__":
