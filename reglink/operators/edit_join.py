@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from reglink.functions.similarity import damerau_distance, edit_within, threshold_fraction
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
+from reglink.operators.semi_filter import might_hold
+from reglink.session import stage_table
 
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
 MIN_DAMERAU_THRESHOLD = 0.67  # an edit spoils two segments: below 2/3 there are more segments than characters
@@ -128,25 +130,33 @@ class EditIndex:
             self.lengths = spark.read.parquet(f"{path}/lengths")
         return self
 
-    def candidates(self, left_values: DataFrame, a: str) -> DataFrame:
-        """Unverified ``(a, b)`` candidates (with repeats) from both generators."""
+    def candidates(self, left_values: DataFrame, a: str, reduce: bool = False) -> DataFrame:
+        """Unverified ``(a, b)`` candidates (with repeats) from both generators.  ``reduce``: cut the index down to the
+        keys that the left values may probe before it is shuffled."""
         b = self.b
         short_max = self.long_from - 1
-        short = (left_values.where(F.length(a) <= short_max)
-                 .selectExpr(f"`{a}`", f"explode({deletion_variants_sql(f'`{a}`', self.edit_from)}) AS {VARIANT}")
-                 .join(self.variants, VARIANT).select(a, b))
+        mine = (left_values.where(F.length(a) <= short_max)
+                .selectExpr(f"`{a}`", f"explode({deletion_variants_sql(f'`{a}`', self.edit_from)}) AS {VARIANT}"))
         probe = probe_segments(left_values, a, self.lengths, self.band, self.tau, self.per_edit,
                                min_pair_len=self.long_from).select(SEG_LEN, SEG_NO, SEG_TXT, a)
-        long = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select(a, b)
+        variants, segments, seg = self.variants, self.segments, [SEG_LEN, SEG_NO, SEG_TXT]
+        if reduce:
+            probe = stage_table(probe, "segment-probes")
+            n = left_values.agg(F.coalesce(F.sum(F.length(a) + 1), F.lit(0)).alias("n")).first()["n"]
+            variants, segments = might_hold(variants, mine, [VARIANT], n), might_hold(segments, probe, seg, probe.count())
+        short = mine.join(variants, VARIANT).select(a, b)
+        long = probe.join(segments, seg).select(a, b)
         return short.unionByName(long)
 
-    def probe(self, left_values: DataFrame, a: str = "a") -> DataFrame:
+    def probe(self, left_values: DataFrame, a: str = "a", reduce: bool = False) -> DataFrame:
         """Distinct verified ``(a, b)`` pairs for the left values."""
         b = self.b
         left_values = left_values.select(a).where(F.length(a) > 0).distinct()
         if self.segments is None:
             return left_values.join(self.values, F.col(a) == F.col(b)).select(a, b)
-        cand = self.candidates(left_values, a)
+        if reduce:
+            left_values = stage_table(left_values, "probe-values")
+        cand = self.candidates(left_values, a, reduce)
         if self.metric == "damerau":
             return self._verify_damerau(cand, a, b)
         # Verify before deduplicating: a pair found several times is verified

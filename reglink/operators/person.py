@@ -23,12 +23,15 @@ from pyspark.sql import functions as F
 from reglink import constants as C
 from reglink.functions.clean import clean_name
 from reglink.operators.edit_join import EditIndex
+from reglink.operators.semi_filter import might_hold
 from reglink.session import stage_table
 
 PERSON_COLUMNS = ["death_main_id", "rc_no", "rc_name", "rc_father_name",
                   "rc_blockmunicipalitycode", "rc_category", "district"]
 
 BLANK_POLICIES = ("null_is_blank", "strict")
+REDUCE_RATIO = 8           # register keys a pending row from which on the register is cut down first
+REDUCE_FROM = 1 << 16      # below, its shuffles are not worth the extra pass
 
 
 def prepare_pending(pending: DataFrame, blank_policy: str = "null_is_blank") -> DataFrame:
@@ -85,6 +88,15 @@ class RegisterSide:
     def fathers(self) -> EditIndex:
         return EditIndex(self.keys.select(F.col("r_father").alias("b")), self.threshold, metric=self.metric)
 
+    @cached_property
+    def n_keys(self) -> int:
+        return self.keys.count()
+
+    def outweighs(self, p2: DataFrame) -> bool:
+        """Whether the pending side is worth a pass of its own to cut this side down before its shuffles.  Stored
+        indexes are not shuffled."""
+        return not self.stored and self.n_keys >= REDUCE_FROM and self.n_keys >= REDUCE_RATIO * p2.count()
+
     def persist(self) -> "RegisterSide":
         """Store rows and indexes in the shared checkpoint folder, once."""
         if not self.stored:
@@ -172,12 +184,12 @@ def _two_key_pending(p: DataFrame) -> DataFrame:
 
 
 def name_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
-    return side.names.probe(p2.select(F.col("p_name").alias("a"))) \
+    return side.names.probe(p2.select(F.col("p_name").alias("a")), reduce=side.outweighs(p2)) \
         .select(F.col("a").alias("p_name"), F.col("b").alias("r_name"))
 
 
 def father_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
-    return side.fathers.probe(p2.select(F.col("p_father").alias("a"))) \
+    return side.fathers.probe(p2.select(F.col("p_father").alias("a")), reduce=side.outweighs(p2)) \
         .select(F.col("a").alias("p_father"), F.col("b").alias("r_father"))
 
 
@@ -193,18 +205,22 @@ def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) ->
     """J3 + J4 correlated: name and father of the same pair both >= threshold."""
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
-    keys = two_key_candidates(p2, side)
+    keys, cards = two_key_candidates(p2, side), side.two_key
+    if side.outweighs(p2):
+        keys = stage_table(keys, "two-key-pairs")
+        cards = might_hold(cards, keys, ["r_name", "r_father"], keys.count())
     rows = p2.select("death_main_id", "p_name", "p_father").join(keys, ["p_name", "p_father"])
-    return rows.join(side.two_key, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
+    return rows.join(cards, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
 
 
 HEAVY = 4096      # cards that one pending key may reach before its expansion is salted
 SALTS = 64
 
 
-def similar_cards(side: RegisterSide, names: DataFrame, fathers: DataFrame) -> DataFrame:
+def similar_cards(side: RegisterSide, names: DataFrame, fathers: DataFrame, reduce: bool = False) -> DataFrame:
     """Existing (r_name, r_father) of which each is similar to some pending one."""
-    return (side.keys.join(names.select("r_name").distinct(), "r_name", "left_semi")
+    keys = might_hold(side.keys, names, ["r_name"], names.count()) if reduce else side.keys
+    return (keys.join(names.select("r_name").distinct(), "r_name", "left_semi")
             .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
 
 
@@ -237,7 +253,7 @@ def lighter_expansions(p2: DataFrame, side: RegisterSide, names: DataFrame, fath
 
     Each pending key is expanded on its lighter side only: a popular name with rare fathers goes by the fathers, a popular
     father by the names, so rows are at most the sum of the lesser degrees.  The other side is still to be checked."""
-    cards = stage_table(similar_cards(side, names, fathers), "similar-cards")
+    cards = stage_table(similar_cards(side, names, fathers, side.outweighs(p2)), "similar-cards")
     keys = stage_table(key_degrees(p2, cards, names, fathers), "pending-degrees")
     most = keys.agg(F.max(F.least("by_name", "by_father")).alias("n")).first()["n"] or 0
     by_name = _expand(keys.where("by_name <= by_father"), names, "p_name", "r_name", cards, "by_name", most > HEAVY)
@@ -279,6 +295,8 @@ def name_only_match(p: DataFrame, r) -> DataFrame:
     rows = r.rows if isinstance(r, RegisterSide) else r
     p1 = p.where(F.col("name_only") & (F.length("p_name") > 0)).select("death_main_id", F.col("p_name").alias("r_name"))
     r1 = rows.where(F.length("r_name") > 0)
+    if isinstance(r, RegisterSide) and r.outweighs(p):
+        r1 = might_hold(r1, p1, ["r_name"], p1.count())
     return p1.join(r1, "r_name").select(*PERSON_COLUMNS)
 
 
