@@ -3,7 +3,7 @@
 The filter is one 64-bit word per ``KEYS_A_WORD`` keys; a key sets ``BITS`` bits of the word that its hash names.  Words are
 rows, made by ``bit_or``, so the filter is an ordinary aggregate and is never on the driver as a whole; its size follows from
 the counted keys and is checked: beyond ``MAX_WORDS`` the large side stays as it is.  No row with a key of the
-small side is lost, some 3 % of the others stay, and the join that follows drops them: the result is the same.
+small side is lost, some 1 % of the others stay, and the join that follows drops them: the result is the same.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEYS_A_WORD = 8
+KEYS_A_WORD = 4
 BITS = 3
 MAX_WORDS = 1 << 22        # about 200 MB as a broadcast relation
 
