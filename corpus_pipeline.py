@@ -3,7 +3,7 @@ shared passages, packing.  Each stage works on all rows that the stage before ke
 written as Parquet in the shared folder before the next one reads it.
 
 ``ORACLE_SQL`` is None: SQL can't express the classifier, the signature-tree join's
-components or the tokenizer; ``tests/llm/test_pipeline.py`` holds each stage against a
+components or the tokenizer; ``tests/llm/test_llm_pipeline.py`` holds each stage against a
 brute-force version.
 """
 
@@ -42,12 +42,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without the passages that a document of a smaller id holds too; a document
     of which no word stays goes."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = substrings.dedup_substrings(docs, carry=others).where(F.col("n_removed") < F.col("n_words"))
-    out = out.withColumn("text", F.col("kept_text"))
+    held = {c: f"carried_{i}" for i, c in enumerate(others)}        # a column may be named like one of the result's
+    named = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in held.items()))
+    out = substrings.dedup_substrings(named, carry=list(held.values())).where(F.col("n_removed") < F.col("n_words"))
+    own = {c: F.col(n) for c, n in held.items()} | {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
     if "n_chars" in others:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return out.select(docs.columns)
+        own["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(own["n_chars"]).cast(kind)
+    return out.select(*(own[c].alias(c) for c in docs.columns))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

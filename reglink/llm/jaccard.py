@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from reglink.llm import exchange as ex
 from reglink.llm.components import components
-from reglink.llm.stage import stage
+from reglink.llm.stage import free_name, stage
 from reglink.llm.words import mix, rolling, split, window_starts
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -387,9 +387,10 @@ def keep_first(docs: DataFrame, found: DataFrame, group_bytes: int = ex.GROUP_BY
     the smallest id (of texts with that id, the one of the smallest hash; of equal rows, one).
     Rows without shingles link with nothing and all stay.  Columns unchanged."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    marked = docs.withColumn("_null_text", F.col("text").isNull())
-    rows = ex.text_groups(marked, [*others, "_null_text"], group_bytes).rows
-    held = {c: f"_c{i}" for i, c in enumerate([*others, "_null_text"])}
+    mark = free_name("_null_text", docs.columns)
+    marked = docs.withColumn(mark, F.col("text").isNull())
+    rows = ex.text_groups(marked, [*others, mark], group_bytes).rows
+    held = {c: f"_c{i}" for i, c in enumerate([*others, mark])}
     none = F.lit(int(ex.NO_ID))
     heads = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
     heads = (heads.groupBy(F.coalesce("doc_id", none).alias("id")).agg(F.min(F.struct("text_hash", "text_group")).alias("h"))
@@ -409,7 +410,7 @@ def keep_first(docs: DataFrame, found: DataFrame, group_bytes: int = ex.GROUP_BY
                 if hit:
                     del want[i]
         kept = table.filter(pa.array(keep, pa.bool_()))
-        null = kept.column(held["_null_text"]).combine_chunks()
+        null = kept.column(held[mark]).combine_chunks()
         ids = kept.column("_id").to_numpy()
         own = {"doc_id": pa.array(ids, pa.int64(), mask=ids == ex.NO_ID), "text": pc.if_else(null, pa.scalar(None, pa.string()), kept.column("_text").combine_chunks().cast(pa.string()))}
         return pa.table([own[c] if c in own else kept.column(held[c]) for c in names], names=names)

@@ -142,7 +142,9 @@ def quality_rules(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
-    """Rows of ``docs`` that the rules keep, columns unchanged."""
+    """Rows of ``docs`` that the rules keep, columns unchanged.
+
+    Each row is judged by its own text: repeated rows stay or go together; null, empty and blank texts have no word and go."""
     rules = rules or Rules()
     lengths = sorted(rules.ngram_share)
 

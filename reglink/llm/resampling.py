@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reglink.llm.stage import numbered, stage
+from reglink.llm.stage import free_name, numbered, stage
 from reglink.llm.words import flat, mix, rolling, slices, split, window_starts
 
 BUCKETS = 1 << 16
@@ -189,7 +189,11 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, buckets:
 
 
 def keep_selected(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that ``resample`` selected, columns unchanged."""
-    chosen = verdict.where("selected").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    """Rows of ``docs`` that ``resample`` selected, columns unchanged, whatever their names.
+
+    A row is known by its id and text: repeated rows stay or go together, and so do rows of a null id with
+    equal texts.  Null and blank texts are never selected, so they go."""
+    own, tag = free_name("_id", docs.columns), free_name("_hash", docs.columns)
+    chosen = verdict.where("selected").select(F.col("doc_id").alias(own), F.col("text_hash").alias(tag)).distinct()
+    cond = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(F.col("text").cast("string")) == F.col(tag))
     return docs.join(chosen, cond, "left_semi")

@@ -46,3 +46,11 @@ def numbered(df: DataFrame, group: str | None, order: list[Column], into: str, n
         cond = cond & c
     return (local.join(bases, cond)
             .select(*[local[c] for c in df.columns], (local[into] + bases[base]).cast("long").alias(into)))
+
+
+def free_name(stem: str, taken: list[str]) -> str:
+    """A column name that ``taken`` doesn't hold, in any case of letters."""
+    held = {c.lower() for c in taken}
+    while stem.lower() in held:
+        stem += "_"
+    return stem

@@ -8,9 +8,10 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from llm_small import words
-from reglink.llm import quality, resampling
+from llm_small import documents, words
+from reglink.llm import jaccard, quality, resampling
 from reglink.llm.stage import stage
+from reglink.session import scratch_path
 from test_llm_corpus_ops import shingles
 from test_llm_text_ops import _base, _cover, _pieces
 
@@ -110,3 +111,54 @@ def test_run_is_the_last_stage(spark):
     digest = hashlib.sha256("".join(sorted(str(r.ids_crc32) for r in out.select("ids_crc32").collect())).encode()).hexdigest()
     again = hashlib.sha256("".join(sorted(str(r.ids_crc32) for r in pipeline.run(spark, SF).select("ids_crc32").collect())).encode()).hexdigest()
     assert digest == again and out.select(F.count_distinct("sequence_id")).first()[0] > 0
+
+
+AWKWARD = ["_id", "_hash", "_null_text", "_text", "_g", "root", "kept_text", "n_words"]
+
+
+def _awkward(spark):
+    """The small documents with nulls, blanks, long texts and repeated rows, and columns named like those used inside."""
+    docs = documents(spark).select(COLUMNS)
+    return docs.select("*", *(F.concat(F.lit(f"{c}:"), F.coalesce("doc_id", F.lit(-1)).cast("string")).alias(c) for c in AWKWARD))
+
+
+def _bag(rows):
+    return Counter(tuple(r) for r in rows)
+
+
+def test_stages_on_awkward_rows(spark):
+    docs = stage(_awkward(spark), "awkward")
+    rows = docs.collect()
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 5 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    verdict = stage(resampling.resample(docs, labels), "verdict")
+    chosen = {(r.doc_id, r.text_hash) for r in verdict.where("selected").collect()}
+    hashed = docs.select("*", F.xxhash64("text").alias("h")).collect()
+    want = _bag(tuple(r)[:-1] for r in hashed if r.text is not None and (r.doc_id, r.h) in chosen)
+    assert want and _bag(resampling.keep_selected(docs, verdict).collect()) == want
+
+    good = Counter(r.doc_id for r in quality.quality_rules(docs).where("kept").collect())
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and not _bag(kept.collect()) - _bag(rows)
+    assert Counter(r.doc_id for r in kept.collect()) == good and sum(good.values()) > 20
+
+    found = stage(jaccard.near_duplicates(docs), "found")
+    heads = {r.doc_id for r in found.collect() if r.n_shingles and r.doc_id == r.component_id}
+    first = jaccard.keep_first(docs, found)
+    assert first.columns == docs.columns
+    got = first.collect()
+    assert not _bag(got) - _bag(rows)
+    bare = [r for r in rows if not words(r.text)]
+    assert _bag(r for r in got if not words(r.text)) == _bag(bare)
+    assert Counter(r.doc_id for r in got if words(r.text)) == Counter(heads)
+
+    cut = pipeline.substring_dedup(spark, docs, SF)
+    assert cut.columns == docs.columns
+    assert all(getattr(r, c) == f"{c}:{-1 if r.doc_id is None else r.doc_id}" for r in cut.collect() for c in AWKWARD)
+
+
+def test_no_documents(spark):
+    held = scratch_path(spark, "no-documents")
+    documents(spark, []).select(COLUMNS).write.parquet(f"{held}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{held}/labels.parquet")
+    out = pipeline.run(spark, held)
+    assert out.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
