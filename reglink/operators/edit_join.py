@@ -20,15 +20,23 @@ from reglink.session import stage_table
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
 MIN_DAMERAU_THRESHOLD = 0.67  # an edit spoils two segments: below 2/3 there are more segments than characters
 VARIANT = "_var"
+TWO_DELETIONS = 32   # longest string with two deletions: some 500 variants
+METHOD = "deletions-2"    # of the index tables; those stored by another method are not probed
 
 
-def deletion_variants_sql(x: str, from_len: int = 1) -> str:
-    """SQL: the string itself and, from ``from_len`` characters on, every string with one char deleted.
+def deletion_variants_sql(x: str, from_len: int = 1, two_from: int | None = None) -> str:
+    """SQL: the string itself; from ``from_len`` characters on, also every string with one char deleted; from
+    ``two_from`` on, also every string with two.
 
     A pair with an edit has its longer string at ``from_len`` at least; a shorter one is then
-    that string with one char deleted, so it needs no variants of its own."""
-    return (f"IF(length({x}) < {from_len}, array({x}), array_distinct(transform(sequence(0, length({x})), i -> IF(i = 0, {x}, "
-            f"concat(substr({x}, 1, i - 1), substr({x}, i + 1))))))")
+    that string with one char deleted, so it needs no variants of its own.  Likewise with two."""
+    one = f"transform(sequence(0, length({x})), i -> IF(i = 0, {x}, concat(substr({x}, 1, i - 1), substr({x}, i + 1))))"
+    some = f"array_distinct({one})"
+    if two_from is not None:
+        two = (f"flatten(transform(sequence(1, length({x}) - 1), i -> transform(sequence(i + 1, length({x})), "
+               f"j -> concat(substr({x}, 1, i - 1), substr({x}, i + 1, j - i - 1), substr({x}, j + 1)))))")
+        some = f"IF(length({x}) < {max(two_from, 2)}, {some}, array_distinct(concat({one}, {two})))"
+    return f"IF(length({x}) < {from_len}, array({x}), {some})"
 
 
 class EditIndex:
@@ -39,13 +47,14 @@ class EditIndex:
     Two exact candidate generators, split by the pair's edit budget
     ``floor((q-p) * max(len) / q)``:
 
-    * budget <= 1 (every pair whose longer string is shorter than
-      ``long_from``; at 0.9 that is under 20 chars, i.e. most names): the
-      one-deletion neighbourhood.  Two strings within one edit -- or one
-      adjacent swap -- share the string itself or a one-char deletion, so
-      candidates are an equi-join on the variant.  Long shared prefixes do
-      not inflate it.
-    * budget >= 2: the segment filter (Pass-Join), probed only for length
+    * budget <= 2 (every pair whose longer string is shorter than
+      ``long_from``; at 0.9 that is under 30 chars, i.e. nearly all names): the
+      deletion neighbourhood.  Two strings within ``k`` edits -- or adjacent
+      swaps -- share a string that each of them leaves after at most ``k``
+      deletions, so candidates are an equi-join on the variant.  Long shared
+      prefixes do not inflate it.  (Budget 2 only where such strings are short
+      enough to have few variants.)
+    * above: the segment filter (Pass-Join), probed only for length
       pairs whose longer side reaches ``long_from``.
     """
 
@@ -68,21 +77,33 @@ class EditIndex:
         if threshold < least:
             raise ValueError(f"{metric} threshold {threshold} < {least}: segments would be empty")
         p, q = self.p, self.q
-        # smallest max-length whose budget reaches 2
-        self.long_from = -(-2 * q // (q - p))
-        short_max = self.long_from - 1
-        self.variants = (self.values.where(F.length(b) <= short_max)
-                         .selectExpr(f"`{b}`", f"explode({deletion_variants_sql(f'`{b}`', self.edit_from)}) AS {VARIANT}"))
+        self.variants = self._variants(self.values, b)
         # segments only for strings that can have a partner at least long_from long
         min_indexed = -(-p * self.long_from // q)
         longish = self.values.where(F.length(b) >= min_indexed)
         self.segments = index_segments(longish, b, self.tau, self.per_edit).select(SEG_LEN, SEG_NO, SEG_TXT, b)
         self.lengths = longish.select(F.length(b).alias(SEG_LEN)).distinct()
 
+    def _edits_from(self, n: int) -> int:
+        """Length of the longer string from which on ``n`` edits are allowed."""
+        return -(-n * self.q // (self.q - self.p))
+
     @property
     def edit_from(self) -> int:
-        """Length of the longer string from which on one edit is allowed."""
-        return -(-self.q // (self.q - self.p))
+        return self._edits_from(1)
+
+    @property
+    def two_deletions(self) -> bool:
+        return self._edits_from(3) - 1 <= TWO_DELETIONS
+
+    @property
+    def long_from(self) -> int:
+        """Length of the longer string from which on pairs are left to the segments."""
+        return self._edits_from(3 if self.two_deletions else 2)
+
+    def _variants(self, values: DataFrame, x: str) -> DataFrame:
+        gen = deletion_variants_sql(f"`{x}`", self.edit_from, self._edits_from(2) if self.two_deletions else None)
+        return values.where(F.length(x) < self.long_from).selectExpr(f"`{x}`", f"explode({gen}) AS {VARIANT}")
 
     def tau(self, L: str) -> str:
         # the largest budget any partner of a length-L string can have
@@ -109,7 +130,6 @@ class EditIndex:
         ix.p, ix.q = threshold_fraction(threshold)
         ix.threshold, ix.b, ix.metric = threshold, b, metric
         ix.per_edit = 2 if metric == "damerau" else 1
-        ix.long_from = -(-2 * ix.q // (ix.q - ix.p)) if ix.p != ix.q else None
         ix.values, ix.segments, ix.variants, ix.lengths = values, segments, variants, lengths
         return ix
 
@@ -130,25 +150,27 @@ class EditIndex:
             self.lengths = spark.read.parquet(f"{path}/lengths")
         return self
 
-    def candidates(self, left_values: DataFrame, a: str, reduce: bool = False) -> DataFrame:
+    def candidates(self, left_values: DataFrame, a: str, reduce: bool = False, few: bool = False) -> DataFrame:
         """Unverified ``(a, b)`` candidates (with repeats) from both generators.  ``reduce``: cut the index down to the
-        keys that the left values may probe before it is shuffled."""
+        keys that the left values may probe before it is shuffled.  ``few``: send the left keys to the index.
+
+        Spark sizes an exploded side by the rows before the explode, so the join is named: left to that size, the
+        whole index would be broadcast through the driver, and AQE doesn't take a broadcast back."""
         b = self.b
-        short_max = self.long_from - 1
-        mine = (left_values.where(F.length(a) <= short_max)
-                .selectExpr(f"`{a}`", f"explode({deletion_variants_sql(f'`{a}`', self.edit_from)}) AS {VARIANT}"))
+        mine = self._variants(left_values, a)
         probe = probe_segments(left_values, a, self.lengths, self.band, self.tau, self.per_edit,
                                min_pair_len=self.long_from).select(SEG_LEN, SEG_NO, SEG_TXT, a)
         variants, segments, seg = self.variants, self.segments, [SEG_LEN, SEG_NO, SEG_TXT]
         if reduce:
             probe = stage_table(probe, "segment-probes")
-            n = left_values.agg(F.coalesce(F.sum(F.length(a) + 1), F.lit(0)).alias("n")).first()["n"]
+            n = mine.count()
             variants, segments = might_hold(variants, mine, [VARIANT], n), might_hold(segments, probe, seg, probe.count())
-        short = mine.join(variants, VARIANT).select(a, b)
-        long = probe.join(segments, seg).select(a, b)
+        how = "broadcast" if few else "merge"
+        short = variants.join(mine.hint(how), VARIANT).select(a, b)
+        long = segments.join(probe.hint(how), seg).select(a, b)
         return short.unionByName(long)
 
-    def probe(self, left_values: DataFrame, a: str = "a", reduce: bool = False) -> DataFrame:
+    def probe(self, left_values: DataFrame, a: str = "a", reduce: bool = False, few: bool = False) -> DataFrame:
         """Distinct verified ``(a, b)`` pairs for the left values."""
         b = self.b
         left_values = left_values.select(a).where(F.length(a) > 0).distinct()
@@ -156,7 +178,7 @@ class EditIndex:
             return left_values.join(self.values, F.col(a) == F.col(b)).select(a, b)
         if reduce:
             left_values = stage_table(left_values, "probe-values")
-        cand = self.candidates(left_values, a, reduce)
+        cand = self.candidates(left_values, a, reduce, few)
         if self.metric == "damerau":
             return self._verify_damerau(cand, a, b)
         # Verify before deduplicating: a pair found several times is verified

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from reglink import constants as C
 from reglink.functions.clean import clean_name
-from reglink.operators.edit_join import EditIndex
+from reglink.operators.edit_join import METHOD, EditIndex
 from reglink.operators.semi_filter import might_hold
 from reglink.session import stage_table
 
@@ -32,6 +32,7 @@ PERSON_COLUMNS = ["death_main_id", "rc_no", "rc_name", "rc_father_name",
 BLANK_POLICIES = ("null_is_blank", "strict")
 REDUCE_RATIO = 8           # register keys a pending row from which on the register is cut down first
 REDUCE_FROM = 1 << 16      # below, its shuffles are not worth the extra pass
+FEW = 4096                 # pending rows (a small batch of a stream) whose keys are sent to a stored index
 
 
 def prepare_pending(pending: DataFrame, blank_policy: str = "null_is_blank") -> DataFrame:
@@ -97,6 +98,10 @@ class RegisterSide:
         indexes are not shuffled."""
         return not self.stored and self.n_keys >= REDUCE_FROM and self.n_keys >= REDUCE_RATIO * p2.count()
 
+    def probed_by_few(self, p2: DataFrame) -> bool:
+        """Whether the pending side goes to the stored indexes whole, so that they are not shuffled for it."""
+        return self.stored and p2.limit(FEW + 1).count() <= FEW
+
     def persist(self) -> "RegisterSide":
         """Store rows and indexes in the shared checkpoint folder, once."""
         if not self.stored:
@@ -111,7 +116,7 @@ class RegisterSide:
         cols = sorted(self.rows.columns)
         n, x, y = self.rows.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*cols)),
                                 F.sum(F.hash(*cols).cast("long"))).first()
-        return f"{n}/{x}/{y}/{','.join(cols)}/{self.threshold}/{self.metric}"
+        return f"{n}/{x}/{y}/{','.join(cols)}/{self.threshold}/{self.metric}/{METHOD}"
 
     def save_bucketed(self, table: str, path: str, buckets: int) -> "RegisterSide":
         """Persist the prepared register for repeated runs: rows bucketed on
@@ -134,10 +139,10 @@ class RegisterSide:
             if ix.segments is not None:
                 entries += [(f"{part}/segments", ["_seg_L", "_seg_i", "_seg_txt"], ix.segments),
                             (f"{part}/variants", ["_var"], ix.variants)]
-        manifest = [(name, ",".join(cols), buckets, df.schema.toDDL(), float(self.threshold), self.metric, print_of)
+        manifest = [(name, ",".join(cols), buckets, df.schema.toDDL(), float(self.threshold), self.metric, print_of, METHOD)
                     for name, cols, df in entries]
         spark.createDataFrame(manifest, "part string, cols string, buckets int, ddl string, "
-                                        "threshold double, metric string, fingerprint string") \
+                                        "threshold double, metric string, fingerprint string, method string") \
              .coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
         self.stored = True
         return self
@@ -147,11 +152,11 @@ class RegisterSide:
         """Attach a register side saved by ``save_bucketed`` (e.g. by an earlier
         run in another process): tables are re-registered over the same files,
         nothing is recomputed or shuffled.  ``expect``: the fingerprint it must
-        have; None when it was built from something else."""
+        have; None when it was built from something else, or by another method."""
         from reglink.operators.edit_join import EditIndex, register_bucketed
         rows = {r.part: r for r in spark.read.json(f"{path}/_manifest").collect()}  # a few rows
         first = next(iter(rows.values()))
-        if expect is not None and getattr(first, "fingerprint", None) != expect:
+        if getattr(first, "method", None) != METHOD or expect is not None and getattr(first, "fingerprint", None) != expect:
             return None
 
         def tbl(part):
@@ -184,12 +189,12 @@ def _two_key_pending(p: DataFrame) -> DataFrame:
 
 
 def name_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
-    return side.names.probe(p2.select(F.col("p_name").alias("a")), reduce=side.outweighs(p2)) \
+    return side.names.probe(p2.select(F.col("p_name").alias("a")), reduce=side.outweighs(p2), few=side.probed_by_few(p2)) \
         .select(F.col("a").alias("p_name"), F.col("b").alias("r_name"))
 
 
 def father_pairs(p2: DataFrame, side: RegisterSide) -> DataFrame:
-    return side.fathers.probe(p2.select(F.col("p_father").alias("a")), reduce=side.outweighs(p2)) \
+    return side.fathers.probe(p2.select(F.col("p_father").alias("a")), reduce=side.outweighs(p2), few=side.probed_by_few(p2)) \
         .select(F.col("a").alias("p_father"), F.col("b").alias("r_father"))
 
 
@@ -220,7 +225,7 @@ SALTS = 64
 def similar_cards(side: RegisterSide, names: DataFrame, fathers: DataFrame, reduce: bool = False) -> DataFrame:
     """Existing (r_name, r_father) of which each is similar to some pending one."""
     keys = might_hold(side.keys, names, ["r_name"], names.count()) if reduce else side.keys
-    return (keys.join(names.select("r_name").distinct(), "r_name", "left_semi")
+    return (keys.join(names.select("r_name").distinct().hint("merge"), "r_name", "left_semi")
             .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
 
 
@@ -229,22 +234,26 @@ def key_degrees(p2: DataFrame, cards: DataFrame, names: DataFrame, fathers: Data
     its father's; keys that reach none by either are left out."""
     def reach(pairs: DataFrame, mine: str, theirs: str, out: str) -> DataFrame:
         held = cards.groupBy(theirs).agg(F.count(F.lit(1)).alias("_n"))
-        return pairs.join(held, theirs).groupBy(mine).agg(F.sum("_n").alias(out))
+        return pairs.join(held.hint("merge"), theirs).groupBy(mine).agg(F.sum("_n").alias(out))
 
     keys = p2.select("p_name", "p_father").distinct()
-    return (keys.join(reach(names, "p_name", "r_name", "by_name"), "p_name")
+    return (keys.join(reach(names, "p_name", "r_name", "by_name").hint("merge"), "p_name")
             .join(reach(fathers, "p_father", "r_father", "by_father"), "p_father"))
 
 
 def _expand(keys: DataFrame, pairs: DataFrame, mine: str, theirs: str, cards: DataFrame, reach: str, salted: bool) -> DataFrame:
     """Pending keys with every card that they reach through ``pairs``.  A key that reaches more than ``HEAVY``
     cards is copied once a salt, and the cards are dealt over the salts, so one popular value is many tasks."""
-    rows = keys.join(pairs.join(cards.select(theirs).distinct(), theirs, "left_semi"), mine)
-    out = rows.where(F.col(reach) <= HEAVY).join(cards, theirs)
+    def large(df: DataFrame) -> DataFrame:
+        """Names are nearly as many as cards, however small their files; fathers may be few and popular."""
+        return df.hint("merge") if theirs == "r_name" else df
+
+    rows = keys.join(large(pairs.join(large(cards.select(theirs).distinct()), theirs, "left_semi")), mine)
+    out = rows.where(F.col(reach) <= HEAVY).join(large(cards), theirs)
     if salted:
         dealt = cards.withColumn("_salt", F.pmod(F.xxhash64("r_name", "r_father"), F.lit(SALTS)).cast("int"))
         copies = rows.where(F.col(reach) > HEAVY).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        out = out.unionByName(copies.join(dealt, [theirs, "_salt"]).drop("_salt"))
+        out = out.unionByName(copies.hint("merge").join(dealt, [theirs, "_salt"]).drop("_salt"))
     return out.select("p_name", "p_father", "r_name", "r_father")
 
 
@@ -271,7 +280,7 @@ def two_key_candidates(p2: DataFrame, side: RegisterSide) -> DataFrame:
     """Distinct ``(p_name, p_father, r_name, r_father)`` with both keys similar."""
     names, fathers = stage_table(name_pairs(p2, side), "name-pairs"), stage_table(father_pairs(p2, side), "father-pairs")
     by_name, by_father = lighter_expansions(p2, side, names, fathers)
-    return by_name.join(fathers, ["p_father", "r_father"]).unionByName(by_father.join(names, ["p_name", "r_name"]))
+    return by_name.join(fathers, ["p_father", "r_father"]).unionByName(by_father.join(names.hint("merge"), ["p_name", "r_name"]))
 
 
 def two_key_chained(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:

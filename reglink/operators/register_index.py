@@ -10,7 +10,7 @@ A refresh compares the register with the stored one by row digest (a bag: equal
 Index entries of values that no card holds any more stay: they only give candidates, and every candidate is joined
 with the live cards.  A load counts once it is entered in the registry, so one that died half-way is never read, and of
 two writers at once the second works its difference out again.  When the appended and dead rows pass a quarter of the
-register, or after ``MAX_LOADS`` loads, or with another threshold, metric or set of columns, all is built anew in a fresh
+register, or after ``MAX_LOADS`` loads, or with another threshold, metric, method or set of columns, all is built anew in a fresh
 folder; the folder that it replaces goes with the next load.
 """
 
@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reglink.operators.edit_join import VARIANT, EditIndex, register_bucketed
+from reglink.operators.edit_join import METHOD, VARIANT, EditIndex, register_bucketed
 from reglink.operators.person import RegisterSide
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT
 from reglink.session import stage_table
@@ -56,7 +56,7 @@ class RegisterIndex:
             number, line = registry.latest(self.spark, f"{self.path}/{LOADS}")
             state = json.loads(line) if line else None
             layout = [[f.name, f.dataType.simpleString()] for f in rows.schema.fields]
-            if state is None or [state["layout"], state["threshold"], state["metric"]] != [layout, self.threshold, self.metric]:
+            if state is None or [state["layout"], state["threshold"], state["metric"], state.get("method")] != [layout, self.threshold, self.metric, METHOD]:
                 new = self._build(rows, layout, state)
             else:
                 new = self._update(rows, state)
@@ -69,7 +69,7 @@ class RegisterIndex:
 
     def _build(self, rows: DataFrame, layout: list, before: dict | None) -> dict:
         load = uuid.uuid4().hex[:16]
-        state = {"folder": f"base-{load}", "loads": [load], "layout": layout, "threshold": self.threshold, "metric": self.metric, "buckets": self.buckets,
+        state = {"folder": f"base-{load}", "loads": [load], "layout": layout, "threshold": self.threshold, "metric": self.metric, "method": METHOD, "buckets": self.buckets,
                  "ddl": {}, "changed": 0, "gone": [before["folder"]] if before else []}
         self._append(state, load, rows, None)
         state["rows"] = self._table(state, "rows").count()

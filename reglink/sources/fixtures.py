@@ -74,7 +74,7 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation and region are fixed 25/5-row dimensions: broadcast is size-safe
     df = (cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
               .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-              .join(part, cust.c_custkey == part.p_partkey, "left")
+              .join(part.hint("merge"), cust.c_custkey == part.p_partkey, "left")     # a small file may hold many cards
               .withColumn("p_name", F.coalesce("p_name", F.lit("unnamed")))
               .withColumn("p_type", F.coalesce("p_type", F.lit("unknown"))))
     k = F.col("c_custkey")

@@ -234,3 +234,21 @@ def test_long_strings_exact(spark, metric):
                                           spark.createDataFrame([(x,) for x in B], "b string"),
                                           0.85, metric=metric).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("metric", ["levenshtein", "damerau"])
+@pytest.mark.parametrize("threshold", [0.9, 0.7])
+def test_two_edits_exact(spark, metric, threshold):
+    """Strings around the lengths where the budget becomes 1, 2 and 3."""
+    rng = random.Random(7)
+    alpha, middle = "abc", round(2.5 / (1 - threshold))
+    base = ["".join(rng.choice(alpha) for _ in range(rng.randint(max(1, middle - 8), middle + 8))) for _ in range(110)]
+    A = sorted({_mutate(rng, x, alpha) for x in base})
+    B = sorted({_mutate(rng, x[1:2] + x[:1] + x[2:], alpha) for x in base} | set(base))
+    f, dist = Fraction(str(threshold)), lev if metric == "levenshtein" else damerau
+    p, q = f.numerator, f.denominator
+    want = {(a, b) for a in A for b in B if a and b and q * dist(a, b) <= (q - p) * max(len(a), len(b))}
+    got = {(r.a, r.b) for r in edit_pairs(spark.createDataFrame([(x,) for x in A], "a string"),
+                                          spark.createDataFrame([(x,) for x in B], "b string"),
+                                          threshold, metric=metric).collect()}
+    assert got == want and len(want) > 50

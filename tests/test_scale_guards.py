@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reglink.operators import chunks, person, token_join
+from reglink.operators.edit_join import EditIndex
 from reglink.plans import cli, pipeline
 from reglink.session import scratch_path
 from reglink.sources import fixtures as fx
-from reglink.sources import readers, sinks
+from reglink.sources import readers, registry, sinks
 from reglink.streaming import incremental
 
 from conftest import SF_SMALL
+from test_properties import lev
 
 COLS = ["death_main_id", "rc_no", "branch"]
 
@@ -120,6 +122,59 @@ def test_keys_heavy_on_both_sides_keep_every_pair(spark, monkeypatch):
     assert got == {1: 64, 3: 64}
 
 
+def test_no_index_of_names_is_broadcast(spark):
+    """An exploded side looks as small as the names it comes from; the joins with it are shuffle joins all the same."""
+    names = spark.range(3000).select(F.concat(F.lit("one common beginning "), F.col("id").cast("string")).alias("b"))
+    ix = EditIndex(names, 0.9)
+    text = ix.candidates(names.select(F.col("b").alias("a")), "a")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("SortMergeJoin") == 2
+    assert not [line for line in text.splitlines() if "BroadcastHashJoin" in line and "Inner" in line]
+
+
+def test_few_names_are_sent_to_a_stored_index(spark, monkeypatch):
+    register = person.prepare_register(fx.register(spark, SF_SMALL))
+    p = person.prepare_pending(fx.pending(spark, SF_SMALL))
+    side = person.RegisterSide(register, 0.9)
+    want = _bag(person.person_evidence(p, side))
+    p2 = person._two_key_pending(p)
+    assert not side.probed_by_few(p2)
+    side.persist()
+    for few in (person.FEW, 0):
+        monkeypatch.setattr(person, "FEW", few)
+        text = person.name_pairs(p2, side)._jdf.queryExecution().executedPlan().toString()
+        assert any("SortMergeJoin [_var" in line for line in text.splitlines()) == (not few)
+        assert _bag(person.person_evidence(p, side)) == want
+
+
+def test_a_long_common_beginning_pairs_nobody(spark):
+    """2,000 names of 21 to 23 characters that share their first 16: by segments every two of them are candidates."""
+    own = F.translate((F.col("id") * 7919 % 99991 + 1).cast("string"), "0123456789", "abcdefghij")
+    names = spark.range(2000).select(F.concat(F.lit("a very long word "), own).alias("a"))
+    ix = EditIndex(names.select(F.col("a").alias("b")), 0.9)
+    text = [r.a for r in names.collect()]
+    pairs = {(r.a, r.b) for r in ix.probe(names).collect()}
+    assert pairs == {(x, y) for x in text for y in text if 10 * lev(x[-6:], y[-6:]) <= max(len(x), len(y))}
+    assert ix.candidates(names, "a").count() < 500 * len(text)
+
+
+def test_an_index_of_another_method_is_not_probed(spark, monkeypatch):
+    from reglink.operators import register_index
+    from reglink.operators.register_index import RegisterIndex
+    rows = person.prepare_register(fx.register(spark, SF_SMALL))
+    p = person.prepare_pending(fx.pending(spark, SF_SMALL))
+    want, path, kept = _bag(person.person_evidence(p, rows)), scratch_path(spark, "method"), scratch_path(spark, "method-index")
+    with monkeypatch.context() as m:
+        m.setattr(person, "METHOD", "segments")
+        m.setattr(register_index, "METHOD", "segments")
+        person.RegisterSide(rows, 0.9).save_bucketed("method_old", path, 4)
+        RegisterIndex(spark, kept, 0.9, buckets=4).refresh(rows)
+    assert person.RegisterSide.load_bucketed(spark, path, "method_new") is None
+    index = RegisterIndex(spark, kept, 0.9, buckets=4)
+    assert _bag(person.person_evidence(p, index.refresh(rows))) == want
+    number, line = registry.latest(spark, f"{kept}/_manifest")
+    assert number == 2 and '"method"' in line
+
+
 def test_queue_advances_and_claims_repeat_safely(spark):
     main = spark.range(1, 251).select(F.col("id"), (F.col("id") % 10 == 0).cast("int").alias("is_send"))
     ledger = scratch_path(spark, "ledger-test")
