@@ -145,7 +145,8 @@ class TokenSetIndex:
 
     def no_shared_token_pairs(self, lc: DataFrame) -> DataFrame:
         """(b): candidates that can reach the threshold on ``ratio(lc, rc)`` alone."""
-        short = (self._deletions(lc, "lc", "_la", "_lb").join(self.deletions, ["_la", "_lb", VARIANT])
+        # both sides are many times the rows that Spark sizes them by: not to be broadcast
+        short = (self._deletions(lc, "lc", "_la", "_lb").hint("merge").join(self.deletions, ["_la", "_lb", VARIANT])
                  .select("lc", "rc"))
         probe = probe_segments(lc, "lc", self.lengths, self.band, self.tau,
                                min_pair_len=SHORT + 1).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")

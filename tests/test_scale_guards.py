@@ -131,6 +131,14 @@ def test_no_index_of_names_is_broadcast(spark):
     assert not [line for line in text.splitlines() if "BroadcastHashJoin" in line and "Inner" in line]
 
 
+def test_no_deletions_of_pins_are_broadcast(spark):
+    pins = spark.range(2000).select(fx.pin_text(F.col("id")).alias("u")).distinct()
+    ix = token_join.TokenSetIndex(pins, "u", "u", 80)
+    text = ix.no_shared_token_pairs(pins.select(F.col("u").alias("lc")))._jdf.queryExecution().executedPlan().toString()
+    assert [line for line in text.splitlines() if "Join" in line and "_del" in line]
+    assert not [line for line in text.splitlines() if "BroadcastHashJoin" in line and "_del" in line]
+
+
 def test_few_names_are_sent_to_a_stored_index(spark, monkeypatch):
     register = person.prepare_register(fx.register(spark, SF_SMALL))
     p = person.prepare_pending(fx.pending(spark, SF_SMALL))
