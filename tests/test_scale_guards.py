@@ -155,14 +155,13 @@ def test_few_names_are_sent_to_a_stored_index(spark, monkeypatch):
 
 
 def test_a_long_common_beginning_pairs_nobody(spark):
-    """2,000 names of 21 to 23 characters that share their first 16: by segments every two of them are candidates."""
-    own = F.translate((F.col("id") * 7919 % 99991 + 1).cast("string"), "0123456789", "abcdefghij")
-    names = spark.range(2000).select(F.concat(F.lit("a very long word "), own).alias("a"))
+    """400 names of 23 characters that share their first 17: by segments every two of them are candidates."""
+    own = [f"{i * 7919 % 99991:06d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(400)]
+    names = spark.createDataFrame([("a very long word " + x,) for x in own], "a string")
     ix = EditIndex(names.select(F.col("a").alias("b")), 0.9)
-    text = [r.a for r in names.collect()]
-    pairs = {(r.a, r.b) for r in ix.probe(names).collect()}
-    assert pairs == {(x, y) for x in text for y in text if 10 * lev(x[-6:], y[-6:]) <= max(len(x), len(y))}
-    assert ix.candidates(names, "a").count() < 500 * len(text)
+    pairs = {(r.a[17:], r.b[17:]) for r in ix.probe(names).collect()}
+    assert pairs == {(x, y) for x in own for y in own if lev(x, y) <= 2}
+    assert ix.candidates(names, "a").where("a <> b").count() < 200 * len(own)
 
 
 def test_an_index_of_another_method_is_not_probed(spark, monkeypatch):
