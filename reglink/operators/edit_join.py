@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reglink.functions.similarity import damerau_distance, edit_within, threshold_fraction
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
 from reglink.operators.semi_filter import might_hold
-from reglink.session import stage_table
+from reglink.session import join_side, stage_table
 
 MIN_THRESHOLD = 0.6  # below this segments get too short for the filter to prune
 MIN_DAMERAU_THRESHOLD = 0.67  # an edit spoils two segments: below 2/3 there are more segments than characters
@@ -175,7 +175,7 @@ class EditIndex:
         b = self.b
         left_values = left_values.select(a).where(F.length(a) > 0).distinct()
         if self.segments is None:
-            return left_values.join(self.values, F.col(a) == F.col(b)).select(a, b)
+            return left_values.hint("broadcast" if few else "merge").join(self.values, F.col(a) == F.col(b)).select(a, b)
         if reduce:
             left_values = stage_table(left_values, "probe-values")
         cand = self.candidates(left_values, a, reduce, few)
@@ -237,11 +237,11 @@ def edit_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, th
     l_key, r_key = case(F.col(left_on)), case(F.col(right_on))
     pairs = edit_pairs(left.select(l_key.alias("_a")), right.select(r_key.alias("_b")), threshold, "_a", "_b")
     if how in ("left_semi", "left_anti"):
-        return left.join(pairs.select("_a").distinct(), l_key == F.col("_a"), how).select(*keep_left)
+        return left.join(join_side(pairs.select("_a").distinct()), l_key == F.col("_a"), how).select(*keep_left)
     l = left.select(*{*keep_left, left_on})
     r = right.select(*{*keep_right, right_on})
-    matched = l.join(pairs, l_key == F.col("_a"), "left" if how == "left" else "inner")
-    out = matched.join(r, F.col("_b") == r_key, "left" if how == "left" else "inner")
+    matched = l.join(join_side(pairs), l_key == F.col("_a"), "left" if how == "left" else "inner")
+    out = matched.join(join_side(r), F.col("_b") == r_key, "left" if how == "left" else "inner")
     return out.select(*keep_left, *keep_right)
 
 

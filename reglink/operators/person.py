@@ -24,7 +24,7 @@ from reglink import constants as C
 from reglink.functions.clean import clean_name
 from reglink.operators.edit_join import METHOD, EditIndex
 from reglink.operators.semi_filter import might_hold
-from reglink.session import stage_table
+from reglink.session import join_side, stage_table
 
 PERSON_COLUMNS = ["death_main_id", "rc_no", "rc_name", "rc_father_name",
                   "rc_blockmunicipalitycode", "rc_category", "district"]
@@ -202,8 +202,8 @@ def name_match(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFram
     """J3 alone: two-key pending rows x register rows with similar names."""
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
-    return (p2.select("death_main_id", "p_name").join(name_pairs(p2, side), "p_name")
-              .join(side.two_key, "r_name").select(*PERSON_COLUMNS))
+    return (p2.select("death_main_id", "p_name").join(join_side(name_pairs(p2, side)), "p_name")
+              .join(join_side(side.two_key), "r_name").select(*PERSON_COLUMNS))
 
 
 def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:
@@ -214,8 +214,8 @@ def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) ->
     if side.outweighs(p2):
         keys = stage_table(keys, "two-key-pairs")
         cards = might_hold(cards, keys, ["r_name", "r_father"], keys.count())
-    rows = p2.select("death_main_id", "p_name", "p_father").join(keys, ["p_name", "p_father"])
-    return rows.join(cards, ["r_name", "r_father"]).select(*PERSON_COLUMNS)
+    rows = p2.select("death_main_id", "p_name", "p_father").join(join_side(keys), ["p_name", "p_father"])
+    return rows.join(join_side(cards), ["r_name", "r_father"]).select(*PERSON_COLUMNS)
 
 
 HEAVY = 4096      # cards that one pending key may reach before its expansion is salted
@@ -225,8 +225,8 @@ SALTS = 64
 def similar_cards(side: RegisterSide, names: DataFrame, fathers: DataFrame, reduce: bool = False) -> DataFrame:
     """Existing (r_name, r_father) of which each is similar to some pending one."""
     keys = might_hold(side.keys, names, ["r_name"], names.count()) if reduce else side.keys
-    return (keys.join(names.select("r_name").distinct().hint("merge"), "r_name", "left_semi")
-            .join(fathers.select("r_father").distinct(), "r_father", "left_semi"))
+    return (keys.join(join_side(names.select("r_name").distinct()), "r_name", "left_semi")
+            .join(join_side(fathers.select("r_father").distinct(), fathers.count()), "r_father", "left_semi"))
 
 
 def key_degrees(p2: DataFrame, cards: DataFrame, names: DataFrame, fathers: DataFrame) -> DataFrame:
@@ -234,26 +234,24 @@ def key_degrees(p2: DataFrame, cards: DataFrame, names: DataFrame, fathers: Data
     its father's; keys that reach none by either are left out."""
     def reach(pairs: DataFrame, mine: str, theirs: str, out: str) -> DataFrame:
         held = cards.groupBy(theirs).agg(F.count(F.lit(1)).alias("_n"))
-        return pairs.join(held.hint("merge"), theirs).groupBy(mine).agg(F.sum("_n").alias(out))
+        return pairs.join(join_side(held), theirs).groupBy(mine).agg(F.sum("_n").alias(out))
 
     keys = p2.select("p_name", "p_father").distinct()
-    return (keys.join(reach(names, "p_name", "r_name", "by_name").hint("merge"), "p_name")
-            .join(reach(fathers, "p_father", "r_father", "by_father"), "p_father"))
+    return (keys.join(join_side(reach(names, "p_name", "r_name", "by_name")), "p_name")
+            .join(join_side(reach(fathers, "p_father", "r_father", "by_father"), fathers.count()), "p_father"))
 
 
 def _expand(keys: DataFrame, pairs: DataFrame, mine: str, theirs: str, cards: DataFrame, reach: str, salted: bool) -> DataFrame:
     """Pending keys with every card that they reach through ``pairs``.  A key that reaches more than ``HEAVY``
     cards is copied once a salt, and the cards are dealt over the salts, so one popular value is many tasks."""
-    def large(df: DataFrame) -> DataFrame:
-        """Names are nearly as many as cards, however small their files; fathers may be few and popular."""
-        return df.hint("merge") if theirs == "r_name" else df
-
-    rows = keys.join(large(pairs.join(large(cards.select(theirs).distinct()), theirs, "left_semi")), mine)
-    out = rows.where(F.col(reach) <= HEAVY).join(large(cards), theirs)
+    n = None if theirs == "r_name" else pairs.count()       # names are nearly as many as cards; fathers may be few and popular
+    held = pairs.join(join_side(cards.select(theirs).distinct()), theirs, "left_semi")
+    rows = keys.join(join_side(held, n), mine)
+    out = rows.where(F.col(reach) <= HEAVY).join(join_side(cards), theirs)
     if salted:
         dealt = cards.withColumn("_salt", F.pmod(F.xxhash64("r_name", "r_father"), F.lit(SALTS)).cast("int"))
         copies = rows.where(F.col(reach) > HEAVY).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        out = out.unionByName(copies.hint("merge").join(dealt, [theirs, "_salt"]).drop("_salt"))
+        out = out.unionByName(copies.join(join_side(dealt), [theirs, "_salt"]).drop("_salt"))
     return out.select("p_name", "p_father", "r_name", "r_father")
 
 
@@ -280,7 +278,8 @@ def two_key_candidates(p2: DataFrame, side: RegisterSide) -> DataFrame:
     """Distinct ``(p_name, p_father, r_name, r_father)`` with both keys similar."""
     names, fathers = stage_table(name_pairs(p2, side), "name-pairs"), stage_table(father_pairs(p2, side), "father-pairs")
     by_name, by_father = lighter_expansions(p2, side, names, fathers)
-    return by_name.join(fathers, ["p_father", "r_father"]).unionByName(by_father.join(names.hint("merge"), ["p_name", "r_name"]))
+    return (by_name.join(join_side(fathers, fathers.count()), ["p_father", "r_father"])
+            .unionByName(by_father.join(join_side(names), ["p_name", "r_name"])))
 
 
 def two_key_chained(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> DataFrame:
@@ -290,11 +289,11 @@ def two_key_chained(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) -> Dat
     reg_cols = [c for c in PERSON_COLUMNS if c != "death_main_id"]
     # m: one copy of a register row per pending row of the chunk whose name
     # matched it, kept as a count (pre-aggregated before the second join)
-    m = (p2.select("chunk_id", "p_name").join(name_pairs(p2, side), "p_name")
-           .join(side.two_key, "r_name")
+    m = (p2.select("chunk_id", "p_name").join(join_side(name_pairs(p2, side)), "p_name")
+           .join(join_side(side.two_key), "r_name")
            .groupBy("chunk_id", "r_father", *reg_cols).agg(F.count(F.lit(1)).alias("_mult")))
-    out = (p2.select("chunk_id", "death_main_id", "p_father").join(father_pairs(p2, side), "p_father")
-             .join(m, ["chunk_id", "r_father"]))
+    out = (p2.select("chunk_id", "death_main_id", "p_father").join(join_side(father_pairs(p2, side)), "p_father")
+             .join(join_side(m), ["chunk_id", "r_father"]))
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int")))) \
               .select(*PERSON_COLUMNS)
 
@@ -306,7 +305,7 @@ def name_only_match(p: DataFrame, r) -> DataFrame:
     r1 = rows.where(F.length("r_name") > 0)
     if isinstance(r, RegisterSide) and r.outweighs(p):
         r1 = might_hold(r1, p1, ["r_name"], p1.count())
-    return p1.join(r1, "r_name").select(*PERSON_COLUMNS)
+    return p1.join(join_side(r1), "r_name").select(*PERSON_COLUMNS)
 
 
 def person_evidence(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD, mode: str = "correlated") -> DataFrame:
@@ -326,4 +325,4 @@ def unmatched(pending: DataFrame, evidence: DataFrame, key: str = "death_main_id
     """Pending ids without any evidence row (left anti join).  Evidence ids
     are deduplicated first (map-side), so a record with very many candidates
     is one row on the build side."""
-    return pending.select(key).join(evidence.select(key).distinct(), key, "left_anti")
+    return pending.select(key).join(join_side(evidence.select(key).distinct()), key, "left_anti")

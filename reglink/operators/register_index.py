@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from reglink.operators.edit_join import METHOD, VARIANT, EditIndex, register_bucketed
 from reglink.operators.person import RegisterSide
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT
-from reglink.session import stage_table
+from reglink.session import join_side, stage_table
 from reglink.sources import registry
 
 LOADS = "_manifest"        # registry of loads; the last entry tells what counts
@@ -87,7 +87,7 @@ class RegisterIndex:
         if changed * 4 > state["rows"] or len(state["loads"]) >= MAX_LOADS:
             return self._build(rows, state["layout"], state)
         load = uuid.uuid4().hex[:16]
-        added = stage_table(rows.join(changes.where("_now IS NOT NULL").select(ROW), ROW, "left_semi"), "register-added")
+        added = stage_table(rows.join(join_side(changes.where("_now IS NOT NULL").select(ROW), n), ROW, "left_semi"), "register-added")
         self._append(state, load, added, changes.where("_held IS NOT NULL").select(ROW, LOAD))
         total = state["rows"] + changes.agg(F.sum(F.coalesce("_now", F.lit(0)) - F.coalesce("_held", F.lit(0))).alias("n")).first()["n"]
         return state | {"loads": [*state["loads"], load], "changed": changed, "rows": total, "gone": []}
@@ -104,7 +104,7 @@ class RegisterIndex:
         for part, key in (("names", "r_name"), ("fathers", "r_father")):
             values = two_key.select(F.col(key).alias(VALUE)).distinct()
             if dead is not None:
-                values = stage_table(values.join(self._table(state, f"{part}/values"), VALUE, "left_anti"), "register-values")
+                values = stage_table(values.join(join_side(self._table(state, f"{part}/values")), VALUE, "left_anti"), "register-values")
             ix = EditIndex(values, self.threshold, VALUE, self.metric)
             self._write(state, f"{part}/values", ix.values, load)
             if ix.segments is not None:
@@ -149,7 +149,7 @@ class RegisterIndex:
         if len(state["loads"]) == 1:
             return cards
         dead = self._table(state, "dead").select(ROW, F.col("_of").alias(LOAD))
-        return cards.join(dead, [ROW, LOAD], "left_anti")
+        return cards.join(join_side(dead, state["changed"]), [ROW, LOAD], "left_anti")
 
     def _open(self, state: dict) -> RegisterSide:
         side = RegisterSide(self._live(state, "rows").drop(ROW, LOAD), self.threshold, self.metric)

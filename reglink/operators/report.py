@@ -11,11 +11,12 @@ from reglink.functions.clean import clean_name
 from reglink.functions.similarity import edit_score
 from reglink.operators.chunks import assign_positions
 from reglink.functions.util import as_col
+from reglink.session import join_side
 
 
 def match_counts(evidence: DataFrame, chunks: DataFrame, key: str = "death_main_id") -> DataFrame:
     """A4: evidence rows per chunk, district and branch."""
-    return (evidence.join(chunks.select(key, "chunk_id"), key)
+    return (evidence.join(join_side(chunks.select(key, "chunk_id")), key)
                     .groupBy("chunk_id", "district", "branch")
                     .agg(F.count(F.lit(1)).alias("match_count")))
 
@@ -37,12 +38,12 @@ def scorecard(evidence: DataFrame, pending: DataFrame, block_ev: DataFrame, pin_
     block in the record's block evidence, the best pin score of the record.
     The card's names are those of the evidence row (``rc_no`` need not be unique)."""
     pc = pending.select("death_main_id", "p_name", "p_father")
-    blocks = (block_ev.groupBy("death_main_id", "block_id").agg(F.max("score").alias("block_score")))
-    pins = pin_ev.groupBy("death_main_id").agg(F.max("score").alias("pin_score"))
+    blocks = join_side(block_ev.groupBy("death_main_id", "block_id").agg(F.max("score").alias("block_score")))
+    pins = join_side(pin_ev.groupBy("death_main_id").agg(F.max("score").alias("pin_score")))
     own = evidence.select("death_main_id", "rc_no", "rc_blockmunicipalitycode", "branch",
                           clean_name(F.coalesce("rc_name", F.lit(""))).alias("r_name"),
                           clean_name(F.coalesce("rc_father_name", F.lit(""))).alias("r_father"))
-    card = own.join(pc, "death_main_id")
+    card = own.join(join_side(pc), "death_main_id")
     card = card.select(
         "death_main_id", "rc_no", "branch", "rc_blockmunicipalitycode",
         edit_score("p_name", "r_name").alias("name_score"),

@@ -25,12 +25,15 @@ third ratio can still change the result.  Rows are attached afterwards.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reglink import constants as C
 from reglink.functions.similarity import canonical_tokens_sql, lcs_length
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
+from reglink.session import join_side
 
 MIN_SCORE = 68  # below this the segment filter would cut more segments than characters
 SHORT = 10      # pairs of at most this length on both sides use exact deletions
@@ -73,9 +76,21 @@ class TokenSetIndex:
         self.lengths = longish.select(F.length("rc").alias(SEG_LEN)).distinct()
         self.deletions = self._deletions(self.values, "rc", "_lb", "_la")
         self.frequency = self.tokens.groupBy(F.col("tok").alias("_tok")).agg(F.count(F.lit(1)).alias("_df"))
-        self.keys = self._keys(self.tokens, "rc")
         self.longest = self.values.agg(F.max(F.length("rc")).alias("n"))
 
+    @cached_property
+    def size(self) -> int:
+        """Characters of the rows: tokens, keys and segments are fewer."""
+        return self.rows.agg(F.coalesce(F.sum(F.length("rc")), F.lit(0)).alias("n")).first()["n"]
+
+    def _side(self, df: DataFrame) -> DataFrame:
+        """A table of the index in a join: a short gazetteer is sent to the addresses, a long one shuffled."""
+        return join_side(df, self.size)
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        return self._keys(self.tokens, "rc")
+
     def _keys(self, tokens: DataFrame, text: str) -> DataFrame:
         """(text, tok) of the tokens by which a pair is found that shares enough of this text: rarest first, those from
         which on the tokens left could still make up the share that the threshold asks of the shared ones.
@@ -83,7 +98,7 @@ class TokenSetIndex:
         The shared tokens, joined by blanks, are t0; ``round(200 t0 / (t0 + text)) >= T`` needs
         ``(401 - 2T) t0 >= (2T - 1) text``.  The rarest shared token has all others after it, so it is a key."""
         last = Window.partitionBy(text).orderBy(F.desc("_df"), F.length("tok"), F.desc("tok")).rowsBetween(Window.unboundedPreceding, 0)
-        rest = tokens.join(self.frequency, F.col("tok") == F.col("_tok")).withColumn("_rest", F.sum(F.length("tok") + 1).over(last) - 1)
+        rest = tokens.join(self._side(self.frequency), F.col("tok") == F.col("_tok")).withColumn("_rest", F.sum(F.length("tok") + 1).over(last) - 1)
         return rest.where((401 - 2 * self.threshold) * F.col("_rest") >= (2 * self.threshold - 1) * F.length(text)).select(text, "tok")
 
     def band(self, l: str) -> tuple[str, str]:
@@ -132,13 +147,13 @@ class TokenSetIndex:
     def shared_token_pairs(self, lc: DataFrame) -> DataFrame:
         """(a): ``(lc, rc)`` that share a token and can reach the threshold (with repeats)."""
         tokens = lc.select("lc", F.explode(F.split("lc", " ")).alias("tok"))
-        right_shorter = tokens.join(self.keys, "tok").where("length(rc) <= length(lc)").select("lc", "rc")
+        right_shorter = tokens.join(self._side(self.keys), "tok").where("length(rc) <= length(lc)").select("lc", "rc")
         shorter = tokens.where(F.length("lc") < self.longest.scalar())
-        left_shorter = self._keys(shorter, "lc").join(self.tokens, "tok").where("length(lc) < length(rc)").select("lc", "rc")
+        left_shorter = self._keys(shorter, "lc").join(self._side(self.tokens), "tok").where("length(lc) < length(rc)").select("lc", "rc")
         # a pair within the band has a left text of at most the longest right one's partner
         near = tokens.where((self.den - self.num) * F.length("lc") <= (self.den + self.num) * self.longest.scalar())
         near = near.selectExpr("lc", "tok", f"explode(sequence({self._length_class('length(lc)')} - 1, {self._length_class('length(lc)')} + 1)) AS _class")
-        alike = near.join(self.tokens.selectExpr("rc", "tok", f"{self._length_class('length(rc)')} AS _class"), ["tok", "_class"])
+        alike = near.join(self._side(self.tokens.selectExpr("rc", "tok", f"{self._length_class('length(rc)')} AS _class")), ["tok", "_class"])
         lo, hi = self.band("length(lc)")
         alike = alike.where(f"length(rc) BETWEEN {lo} AND {hi} AND {self._enough_characters()}").select("lc", "rc")
         return right_shorter.unionByName(left_shorter).unionByName(alike)
@@ -150,7 +165,7 @@ class TokenSetIndex:
                  .select("lc", "rc"))
         probe = probe_segments(lc, "lc", self.lengths, self.band, self.tau,
                                min_pair_len=SHORT + 1).select(SEG_LEN, SEG_NO, SEG_TXT, "lc")
-        long = probe.join(self.segments, [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc").where(self._enough_characters())
+        long = probe.join(self._side(self.segments), [SEG_LEN, SEG_NO, SEG_TXT]).select("lc", "rc").where(self._enough_characters())
         return short.unionByName(long).distinct()
 
     def join(self, left: DataFrame, left_key: str, left_text: str,
@@ -162,7 +177,7 @@ class TokenSetIndex:
                 raise ValueError(f"how: {how}")
             mine = left_out or left_key
             found = self.join(left, left_key, left_text, left_out, right_out)
-            keys = found.select(F.col(mine).alias("_hit")).distinct()
+            keys = join_side(found.select(F.col(mine).alias("_hit")).distinct())
             if how != "left":
                 return left.join(keys, F.col(left_key) == F.col("_hit"), how)
             rest = left.join(keys, F.col(left_key) == F.col("_hit"), "left_anti").select(
@@ -172,7 +187,7 @@ class TokenSetIndex:
         lc = lrows.select("lc").distinct()
         cand = self.shared_token_pairs(lc).unionByName(self.no_shared_token_pairs(lc)).distinct()
         scored = score_pairs(cand, self.threshold)
-        out = lrows.select(left_key, "lc").join(scored, "lc").join(self.rows, "rc")
+        out = lrows.select(left_key, "lc").join(join_side(scored), "lc").join(self._side(self.rows), "rc")
         return out.select(F.col(left_key).alias(left_out or left_key),
                           F.col(self.key).alias(right_out or self.key), "score")
 

@@ -17,7 +17,7 @@ from reglink.operators.chunks import assign_chunks
 from reglink.operators.register_index import RegisterIndex
 from reglink.plans import oracle as O
 from reglink.plans import pipeline
-from reglink.session import scratch_path
+from reglink.session import join_side, scratch_path
 from reglink.sources import fixtures as fx
 from reglink.sources import readers, sinks
 from reglink.streaming import csv_queue, incremental
@@ -404,7 +404,7 @@ def q_evidence_sink_roundtrip(spark, sf_dir):
     p, r = person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir))
     ev = person.person_evidence(p, r, C.NAME_THRESHOLD)
     ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
-    out = ev.join(ch.select("death_main_id", "chunk_id"), "death_main_id")
+    out = ev.join(join_side(ch.select("death_main_id", "chunk_id")), "death_main_id")
     path = scratch_path(spark, "evidence")
     for _ in range(2):
         sinks.append_evidence(out, path, "person", "2024-01-01")
@@ -418,7 +418,7 @@ def q_evidence_rerun_shrinks(spark, sf_dir):
     pend = fx.pending(spark, sf_dir)
     ch = chunks.assign_chunks(pend.select("death_main_id"), C.CHUNK_SIZE, "death_main_id")
     ev = person.person_evidence(person.prepare_pending(pend), person.prepare_register(fx.register(spark, sf_dir)), C.NAME_THRESHOLD)
-    out = ev.join(ch.select("death_main_id", "chunk_id"), "death_main_id")
+    out = ev.join(join_side(ch.select("death_main_id", "chunk_id")), "death_main_id")
     path = scratch_path(spark, "shrink")
     sinks.append_evidence(out, path, "person", "2024-01-01")
     sinks.append_evidence(out.where((F.col("chunk_id") > 1) & (F.col("death_main_id") % 5 != 0)), path, "person", "2024-01-01")

@@ -20,7 +20,7 @@ from reglink import constants as C
 from reglink.operators import chunks, person
 from reglink.operators.register_index import RegisterIndex
 from reglink.plans import pipeline
-from reglink.session import get_session
+from reglink.session import get_session, join_side
 from reglink.sources import readers, registry, sinks
 
 
@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     pipeline.write_evidence(ev, out, args.run_date, chunks=chunked)
     # what was written answers the rest: no join runs twice
     ev, owner = pipeline.written_evidence(spark, out, args.run_date), f"run-{args.run_date}"
-    missing = pipeline.unmatched_report(pend, ev).join(chunked.select("death_main_id", "chunk_id"), "death_main_id")
+    missing = pipeline.unmatched_report(pend, ev).join(join_side(chunked.select("death_main_id", "chunk_id")), "death_main_id")
     sinks.write_owned(missing.withColumn("run_date", F.lit(args.run_date)), f"{out}/unmatched", owner)
     counts = ev.person.groupBy("chunk_id", "district", "branch").agg(F.count(F.lit(1)).alias("match_count"))
     sinks.write_owned(counts.withColumn("run_date", F.lit(args.run_date)), f"{out}/match_counts", owner)

@@ -16,7 +16,7 @@ from reglink import constants as C
 from reglink.functions.clean import concat_address, strip_punct
 from reglink.operators import person, token_join
 from reglink.operators.chunks import assign_positions
-from reglink.session import stage_table
+from reglink.session import join_side, stage_table
 from reglink.sources import registry, sinks
 
 DROPPED_UPLOAD_COLUMNS = C.UPLOAD_DROPPED_COLUMNS
@@ -154,7 +154,7 @@ def write_evidence(ev: Evidence, path: str, run_date: str, chunks: DataFrame | N
     with sinks.EvidenceRun(ev.block.sparkSession, path, f"run-{run_date}") as run:
         for kind, df in (("block", ev.block), ("pin", ev.pin), ("person", ev.person)):
             if chunks is not None:
-                df = df.join(chunks.select("death_main_id", "chunk_id"), "death_main_id")
+                df = df.join(join_side(chunks.select("death_main_id", "chunk_id")), "death_main_id")
             run.write(kind, df.withColumn("run_date", F.lit(run_date)))
 
 

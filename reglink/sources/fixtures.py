@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reglink.session import join_side
 from reglink.sources.readers import read_table
 
 # Fixed spelling rule: digit d -> the d-th letter.
@@ -74,7 +75,7 @@ def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation and region are fixed 25/5-row dimensions: broadcast is size-safe
     df = (cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
               .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-              .join(part.hint("merge"), cust.c_custkey == part.p_partkey, "left")     # a small file may hold many cards
+              .join(join_side(part), cust.c_custkey == part.p_partkey, "left")     # a small file may hold many cards
               .withColumn("p_name", F.coalesce("p_name", F.lit("unnamed")))
               .withColumn("p_type", F.coalesce("p_type", F.lit("unknown"))))
     k = F.col("c_custkey")
@@ -112,7 +113,7 @@ def pending_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     (customers with a negative balance), ``file_name`` = upload file."""
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     p = pending(spark, sf_dir)
-    return p.join(cust, p.death_main_id == cust.c_custkey).select(
+    return p.join(join_side(cust), p.death_main_id == cust.c_custkey).select(
         F.col("death_main_id").alias("id"),
         F.when(F.col("c_acctbal") < 0, F.lit(1)).otherwise(F.lit(0)).alias("is_send"),
         F.col("DEATH_DECEASED_NAME").alias("death_name"),
@@ -129,7 +130,7 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = pending(spark, sf_dir)
-    df = (p.join(cust, p.death_main_id == cust.c_custkey)
+    df = (p.join(join_side(cust), p.death_main_id == cust.c_custkey)
            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
            .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
     k = F.col("c_custkey")

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reglink.operators import chunks, person, token_join
-from reglink.operators.edit_join import EditIndex
+from reglink import session
+from reglink.operators import chunks, person, report, token_join
+from reglink.operators.edit_join import EditIndex, edit_join
 from reglink.plans import cli, pipeline
 from reglink.session import scratch_path
 from reglink.sources import fixtures as fx
@@ -131,6 +132,33 @@ def test_no_index_of_names_is_broadcast(spark):
     assert not [line for line in text.splitlines() if "BroadcastHashJoin" in line and "Inner" in line]
 
 
+def _broadcast_sides(df) -> list[str]:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "BroadcastHashJoin" in line and "_seg_L" not in line]
+
+
+def test_no_cards_or_records_are_broadcast(spark, monkeypatch):
+    """Cards, records and their pairs come from files or scans that look small; only what is counted as few is sent whole."""
+    monkeypatch.setattr(session, "MANY", 0, raising=False)
+    base = scratch_path(spark, "small-files")
+    fx.pending(spark, SF_SMALL).write.parquet(f"{base}/pending")
+    fx.register(spark, SF_SMALL).write.parquet(f"{base}/register")
+    pend, register = spark.read.parquet(f"{base}/pending"), spark.read.parquet(f"{base}/register")
+    p, side = person.prepare_pending(pend), person.RegisterSide(person.prepare_register(register), 0.9)
+    ids = pend.select("death_main_id", F.lit(1).alias("chunk_id"))
+    found = person.person_evidence(p, side)
+    pins = token_join.TokenSetIndex(fx.pins(spark, SF_SMALL), "Pincode", "Pincode", 80)
+    for df in (found, person.name_match(p, side), person.two_key_chained(p.withColumn("chunk_id", F.lit(1)), side), person.unmatched(pend, found),
+               edit_join(pend, register, "DEATH_DECEASED_NAME", "NAME", 0.9, ["death_main_id"], ["PERMANENT_RCNO"]),
+               report.match_counts(found, ids), pins.join(pend, "death_main_id", "death_address", right_out="matched_pin")):
+        assert not _broadcast_sides(df)
+
+
+def test_few_rows_are_still_sent_whole(spark):
+    p, side = person.prepare_pending(fx.pending(spark, SF_SMALL)), person.RegisterSide(person.prepare_register(fx.register(spark, SF_SMALL)), 0.9)
+    assert _broadcast_sides(person.two_key_candidates(person._two_key_pending(p), side))
+
+
 def test_no_deletions_of_pins_are_broadcast(spark):
     pins = spark.range(2000).select(fx.pin_text(F.col("id")).alias("u")).distinct()
     ix = token_join.TokenSetIndex(pins, "u", "u", 80)
