@@ -245,9 +245,15 @@ def edit_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, th
     return out.select(*keep_left, *keep_right)
 
 
+def by_bucket(df: DataFrame, buckets: int, cols: list[str]) -> DataFrame:
+    """Rows of a bucket together, so that a bucket is one file rather than one of every task (with many buckets, tasks
+    times buckets files).  A rebalance, as a common name's bucket may be far the longest: AQE splits it among tasks."""
+    return df.hint("rebalance", buckets, *(F.col(c) for c in cols))
+
+
 def _save_bucketed(df: DataFrame, table: str, path: str, buckets: int, cols: list[str]) -> None:
     """Bucketed parquet table at an explicit (shared) location."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, *cols).sortBy(*cols)
+    (by_bucket(df, buckets, cols).write.mode("overwrite").format("parquet").bucketBy(buckets, *cols).sortBy(*cols)
        .option("path", path).saveAsTable(table))
 
 

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reglink.operators.edit_join import METHOD, VARIANT, EditIndex, register_bucketed
+from reglink.operators.edit_join import METHOD, VARIANT, EditIndex, by_bucket, register_bucketed
 from reglink.operators.person import RegisterSide
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT
 from reglink.session import join_side, stage_table
@@ -104,7 +104,8 @@ class RegisterIndex:
         for part, key in (("names", "r_name"), ("fathers", "r_father")):
             values = two_key.select(F.col(key).alias(VALUE)).distinct()
             if dead is not None:
-                values = stage_table(values.join(join_side(self._table(state, f"{part}/values")), VALUE, "left_anti"), "register-values")
+                values = values.join(join_side(self._table(state, f"{part}/values")), VALUE, "left_anti")
+            values = stage_table(values, "register-values")
             ix = EditIndex(values, self.threshold, VALUE, self.metric)
             self._write(state, f"{part}/values", ix.values, load)
             if ix.segments is not None:
@@ -126,8 +127,7 @@ class RegisterIndex:
         if not keys:
             df.write.mode("append").parquet(folder)
             return
-        if part not in ("rows", "two_key"):        # distinct values; cards keep their tasks, as one name may hold a third of them
-            df = df.repartition(*keys)
+        df = by_bucket(df, state["buckets"], keys)
         if load == state["loads"][0]:
             df.write.format("parquet").bucketBy(state["buckets"], *keys).sortBy(*keys).option("path", folder).saveAsTable(table)
         else:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import glob
 import json
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from reglink import constants as C
 from reglink.operators import person
 from reglink.operators.register_index import LOAD, LOADS, RegisterIndex
 from reglink.session import scratch_path, stage_table
@@ -124,3 +126,14 @@ def test_no_shuffle_of_the_stored_index(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Bucketed: true" in text and "Bucketed: false (disabled" not in text
+
+
+def test_a_bucket_is_one_file_of_many_tasks(spark):
+    """Tasks times buckets files would grow with the square of the shuffle partitions; a bucket is one file of a load."""
+    rows = person.prepare_register(fx.register(spark, SF_SMALL)).repartition(6)
+    path = scratch_path(spark, "few-files")
+    RegisterIndex(spark, f"{path}/refreshed", C.NAME_THRESHOLD, buckets=4).refresh(rows)
+    person.RegisterSide(rows, C.NAME_THRESHOLD).save_bucketed(f"few_files_{path[-12:]}", f"{path}/saved", 4)
+    for folder in (f"{path}/saved", *glob.glob(f"{path.removeprefix('file:')}/refreshed/base-*")):
+        for part in ("rows", "two_key", "names/values", "names/variants"):
+            assert 1 <= len(glob.glob(f"{folder.removeprefix('file:')}/{part}/*.parquet")) <= 4
