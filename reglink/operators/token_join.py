@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from reglink import constants as C
 from reglink.functions.similarity import canonical_tokens_sql, lcs_length
 from reglink.operators.segments import SEG_LEN, SEG_NO, SEG_TXT, index_segments, probe_segments
-from reglink.session import join_side
+from reglink.session import join_side, stage_table
 
 MIN_SCORE = 68  # below this the segment filter would cut more segments than characters
 SHORT = 10      # pairs of at most this length on both sides use exact deletions
@@ -184,8 +184,9 @@ class TokenSetIndex:
                 F.col(left_key).alias(mine), *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in found.columns[1:]])
             return found.unionByName(rest)
         lrows = _canonical(left.select(left_key, left_text), left_text, "lc").where(F.length("lc") > 0)
-        lc = lrows.select("lc").distinct()
-        cand = self.shared_token_pairs(lc).unionByName(self.no_shared_token_pairs(lc)).distinct()
+        # both staged: either is read several times, and the driver holds the text of every plan, with all that it repeats
+        lc = stage_table(lrows.select("lc").distinct(), "addresses")
+        cand = stage_table(self.shared_token_pairs(lc).unionByName(self.no_shared_token_pairs(lc)).distinct(), "address-pairs")
         scored = score_pairs(cand, self.threshold)
         out = lrows.select(left_key, "lc").join(join_side(scored), "lc").join(self._side(self.rows), "rc")
         return out.select(F.col(left_key).alias(left_out or left_key),
