@@ -211,8 +211,10 @@ def two_key_correlated(p: DataFrame, r, threshold: float = C.NAME_THRESHOLD) ->
     side = _side(r, threshold)
     p2 = _two_key_pending(p)
     keys, cards = two_key_candidates(p2, side), side.two_key
-    if side.outweighs(p2):
+    reduce = side.outweighs(p2)
+    if reduce or side.stored:       # a stream's batches each plan this anew: two short plans hold less of the driver than one
         keys = stage_table(keys, "two-key-pairs")
+    if reduce:
         cards = might_hold(cards, keys, ["r_name", "r_father"], keys.count())
     rows = p2.select("death_main_id", "p_name", "p_father").join(join_side(keys), ["p_name", "p_father"])
     return rows.join(join_side(cards), ["r_name", "r_father"]).select(*PERSON_COLUMNS)

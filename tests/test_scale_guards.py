@@ -466,3 +466,17 @@ def test_slice_is_found_by_rank(spark, monkeypatch):
     monkeypatch.undo()
     plan = report.slice_rows(df, ["k", "i", "j"], 15000, 40)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and "ExistingRDD" not in plan
+
+
+def test_batches_on_a_stored_register_plan_in_short_pieces(spark):
+    """The pairs of keys that a batch finds in a stored register are staged: the plan of its evidence joins records, pairs
+    and cards, and holds neither the similar names and fathers nor the cards that they reach."""
+    pend = spark.createDataFrame([(1, "ann lee", "bob lee"), (2, "ann leee", "bob lee"), (3, "ann lee", ""), (4, "zoe", "max"), (5, None, None)],
+                                 "death_main_id long, DEATH_DECEASED_NAME string, DEATH_FATHER_NAME string")
+    cards = spark.createDataFrame([("1", "ann lee", "bob lee", "0001", "x", "d"), ("1", "ann lee", "bob lee", "0001", "x", "d"), ("2", "zoe", "tim", "0002", "x", "d"),
+                                   ("3", "ann lee", None, "0003", "x", "d")],
+                                  "PERMANENT_RCNO string, NAME string, FATHERNAME string, BlockMunicipalityCode string, RCCATEGORY string, district string")
+    p, rows = person.prepare_pending(pend), person.prepare_register(cards)
+    found = person.two_key_correlated(p, person.RegisterSide(rows).persist())
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, person.two_key_correlated(p, rows).collect())) and found.count() == 2
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
